@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from audiweave.llm import jaccard_join
+from audiweave.llm import decontaminate, jaccard_join, packing, pii
 
 QUERIES = {
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op10_personal_data": pii.op10_personal_data,
 }
 
 ORACLES = {
     "op4_jaccard_join": jaccard_join.ORACLE,
+    "op5_decontaminate": decontaminate.ORACLE,
 }
