@@ -230,7 +230,7 @@ def jaccard_join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFram
     blocks = tiles.withColumnRenamed("tile", "i").join(upper, "family").where(f"j >= i and {percent} * upper_low <= 100 * high").select("family", "i", "j")
     places = blocks.select("family", F.col("i").alias("tile"), "i", "j").union(blocks.where("i < j").select("family", F.col("j").alias("tile"), "i", "j"))
 
-    picked = texts.join(tiled.select(F.col("least").alias("id"), "family", "tile", "a", "b", "copies"), F.col("doc_id").eqNullSafe(F.col("id")))
+    picked = texts.hint("merge").join(tiled.select(F.col("least").alias("id"), "family", "tile", "a", "b", "copies"), F.col("doc_id").eqNullSafe(F.col("id")))
     sets = picked.select("text", "family", "tile", "a", "b", "copies").mapInArrow(_set_rows(words), "family long, tile long, a long, copies long, n long, grams binary")
     found = keep(sets.join(places, ["family", "tile"]).groupBy("family", "i", "j").applyInArrow(_block(percent), "u long, v long, links long"), "links")
     labels = connected_components(found.where("v is not null").select("u", "v"))
