@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from audiweave.llm import decontaminate, jaccard_join, packing, pii
+from audiweave.llm import decontaminate, jaccard_join, language, packing, pii, quality
 
 QUERIES = {
+    "op2_quality_classifier": quality.op2_quality_classifier,
+    "op9_language_id": language.op9_language_id,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_decontaminate": decontaminate.op5_decontaminate,

@@ -24,6 +24,10 @@ _PINV = U(pow(0x9E3779B97F4A7C15, -1, 2**64))
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 WORD = ~SPACE
+#: 1: letters, digits and bytes of other scripts; 2: other signs; 0: white space and controls.
+WORD_OR_SIGN = np.full(256, 2, np.uint8)
+WORD_OR_SIGN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+WORD_OR_SIGN[:33] = 0
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -76,7 +80,8 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[
 
 
 class Words:
-    """Words of a chunk of texts: ``doc`` (row of each word), ``start``/``end``
+    """Words of a chunk of texts, runs of bytes of one kind other than 0 in
+    ``member``: ``doc`` (row of each word), ``start``/``end``
     (byte positions in ``raw``), ``first`` (words before each row, plus the
     total) and, on demand, ``hash``."""
 
@@ -85,12 +90,13 @@ class Words:
         self.raw = raw = fold[raw] if fold is not None else raw
         self.off = off
         n = len(raw)
-        inside = np.zeros(n + 2, dtype=bool)
-        inside[1:-1] = member[raw]
+        kind = np.zeros(n + 2, dtype=np.uint8)
+        kind[1:-1] = member[raw]
         edge = np.zeros(n + 1, dtype=bool)
         edge[off] = True
-        begins = inside[1:] & (~inside[:-1] | edge)
-        ends = inside[:-1] & (~inside[1:] | edge)
+        edge |= kind[1:] != kind[:-1]
+        begins = edge & (kind[1:] > 0)
+        ends = edge & (kind[:-1] > 0)
         self.start = np.flatnonzero(begins)
         self.end = np.flatnonzero(ends)
         self.first = np.searchsorted(self.start, off)
