@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from audiweave.llm import decontaminate, jaccard_join, language, packing, pii, quality
+from audiweave.llm import decontaminate, jaccard_join, language, packing, pii, quality, rules, urls
 
 QUERIES = {
+    "op6_url_filters": urls.op6_url_filters,
+    "op7_quality_rules": rules.op7_quality_rules,
     "op2_quality_classifier": quality.op2_quality_classifier,
     "op9_language_id": language.op9_language_id,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
