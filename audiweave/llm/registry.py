@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from audiweave.llm import decontaminate, jaccard_join, language, packing, pii, quality, rules, urls
+from audiweave.llm import chat, decontaminate, jaccard_join, language, licenses, packing, pii, quality, rules, urls
 
 QUERIES = {
+    "op1_chat_format": chat.op1_chat_format,
+    "op8_license_scan": licenses.op8_license_scan,
     "op6_url_filters": urls.op6_url_filters,
     "op7_quality_rules": rules.op7_quality_rules,
     "op2_quality_classifier": quality.op2_quality_classifier,

@@ -1,30 +1,69 @@
-"""Corpus pipeline: STAGES in order, each over what the one before kept."""
+"""Corpus pipeline: STAGES in order, each over what the one before kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last
+return the columns of ``documents``; ``run`` writes each as Parquet and hands
+the reread table to the next.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from audiweave.llm.decontaminate import contamination
 from audiweave.llm.jaccard_join import jaccard_join
+from audiweave.llm.packing import pack
+from audiweave.llm.pii import find_personal_data, redact
+from audiweave.llm.quality import ACCEPT, learn, learned_marks, score_quality
 from audiweave.llm.scratch import keep
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    scored = score_quality(docs, learn(docs, learned_marks(spark, sf_dir)), "_score")
+    return scored.where(F.col("_score") >= ACCEPT).drop("_score")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one of the least doc_id stays."""
+    """One document of each group of linked documents stays, that of the least doc_id."""
     groups = jaccard_join(docs).select("doc_id", "component_id")
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go."""
+    hit = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated")
+    hit = hit.select(F.col("doc_id").alias("id"), "t").distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["id"]) & (F.xxhash64(docs["text"]) == hit["t"]), "left_anti")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in brackets; n_chars follows the text."""
+    clean = redact(find_personal_data(docs))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences."""
+    return pack(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
 
-#: The stages hold trained models, which SQL can't express; tests hold each against a brute-force version.
+#: The stages hold trained models and token ids, which SQL can't express; tests hold them against brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = keep(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
