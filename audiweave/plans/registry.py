@@ -1,6 +1,23 @@
-"""Queries over the reference's own operators, and SQL for comparison."""
+"""Queries by name, and SQL that gives the same rows where SQL can."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+QUERIES: dict[str, Callable] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a function (spark, sf_dir) under its name."""
+
+    def add(f: Callable) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+from audiweave.plans import audience, behaviour, cleaning, loads, matching, models, payloads  # noqa: E402, F401
