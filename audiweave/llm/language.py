@@ -146,7 +146,7 @@ class Field:
         """Mean word posterior of each text, a row per text; zeros without words."""
         words = Words(column, member=LETTERS, fold=LOWER)
         out = np.zeros((len(column), len(self.labels)))
-        if not len(words.doc):
+        if not len(words.doc) or not self.labels:
             return out
         _, which, back = np.unique(words.hash, return_index=True, return_inverse=True)
         entries, first = features(words, which)
