@@ -143,7 +143,7 @@ def _pred(spark, sf):
 
 
 @query(f"""WITH p AS ({PRED}), c AS (SELECT unnest([0, 1]) AS class), s AS (SELECT class, (SELECT count(*) FROM p WHERE y = class) AS support, (SELECT count(*) FROM p WHERE yhat = class) AS predicted, (SELECT count(*) FROM p WHERE y = class AND yhat = class) AS hit FROM c)
-SELECT class, round(hit / predicted, 4) AS precision, round(hit / support, 4) AS recall, round(2 * (hit / predicted) * (hit / support) / (hit / predicted + hit / support), 4) AS f1_score, support FROM s""")
+SELECT class, round(coalesce(hit / nullif(predicted, 0), 0), 4) AS precision, round(coalesce(hit / nullif(support, 0), 0), 4) AS recall, round(coalesce(2 * hit / nullif(predicted + support, 0), 0), 4) AS f1_score, support FROM s WHERE support + predicted > 0""")
 def m19_class_report(spark, sf_dir):
     return M.class_report(_pred(spark, sf_dir)).withColumns({c: F.round(c, 4) for c in ("precision", "recall", "f1_score")})
 
