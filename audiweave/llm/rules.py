@@ -18,8 +18,8 @@ from audiweave.llm.scratch import small_batches
 from audiweave.llm.textbytes import Words, chunks
 
 #: (bytes below which it holds, least and greatest ratio of the whole text). Prose lies at 0.55 to 0.75 under 1 kB and near 0.4 over 16 kB.
-BANDS = ((128, 0.35, 9.0), (256, 0.42, 1.1), (1 << 10, 0.40, 0.85), (1 << 12, 0.36, 0.78), (1 << 14, 0.32, 0.72), (1 << 16, 0.28, 0.70), (1 << 62, 0.22, 0.70))
-CHUNK, CHUNK_BAND, CHUNK_SHARE = 1 << 10, (0.30, 0.78), 0.2
+BANDS = ((128, 0.30, 9.0), (256, 0.35, 1.2), (1 << 10, 0.32, 0.88), (1 << 12, 0.28, 0.80), (1 << 14, 0.24, 0.74), (1 << 16, 0.20, 0.72), (1 << 62, 0.15, 0.72))
+CHUNK, CHUNK_BAND, CHUNK_SHARE = 1 << 10, (0.25, 0.80), 0.2
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
