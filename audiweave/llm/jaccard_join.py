@@ -7,7 +7,7 @@
    range. Classes that agree on one are put in one *family*. Agreement needs
    all of some ten shingles to be equal, which passages shared by unlike texts
    don't give.
-3. Within a family, classes sorted by size form tiles of bounded bytes. A pair
+3. Within a family, classes of about one size form tiles of bounded bytes. A pair
    of tiles whose sizes can link is one block: the product of the two document
    by shingle incidence matrices is accumulated over column blocks, and rows
    that can't reach their size-derived bound any more are discarded.
@@ -17,6 +17,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,8 @@ from audiweave.llm.components import connected_components
 from audiweave.llm.scratch import keep, small_batches
 from audiweave.llm.textbytes import U, chunks, mix, shingle_sets
 
-#: Shingles of the classes of one tile (the last class may pass it).
-TILE = 1 << 18
+#: Shingles of the classes of one tile, about.
+TILE = 1 << 16
 #: Cells of one dense column block of a product.
 CELLS = 1 << 22
 
@@ -74,9 +75,13 @@ def _signature_rows(n: int, percent: int):
     bounds = size_classes(percent)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # classes of this partition: copies add nothing
         for batch in batches:
             for part in chunks(batch, "text"):
                 doc, gram, count, a, _ = _classes(part.column("text"), n)
+                new = np.array([not (x in seen or seen.add(x)) for x in a.tolist()], dtype=bool)
+                count = np.where(new, count, 0)
+                doc, gram = doc[new[doc]], gram[new[doc]]
                 keys, nodes = [], []
                 own = np.searchsorted(bounds, count, side="right") - 1
                 for step in (0, 1):
@@ -222,12 +227,16 @@ def jaccard_join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFram
     chain = signatures.withColumn("v", F.lag("a").over(together)).where("v <> a").select(F.col("a").alias("u"), "v").distinct()
     families = connected_components(chain).withColumnsRenamed({"node": "a", "label": "family"})
 
-    along = Window.partitionBy("family").orderBy("n", "a", "b")
-    tiled = byclass.join(families, "a").withColumn("tile", F.floor((F.sum("n").over(along) - F.col("n")) / TILE))
+    # a tile is a part by hash of a size class of a family, so no task orders a whole family
+    level = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
+    placed = keep(byclass.join(families, "a").withColumn("level", level), "placed")
+    parts = placed.groupBy("family", "level").agg((F.floor(F.sum("n") / TILE) + 1).alias("parts"))
+    tiled = placed.join(parts, ["family", "level"]).withColumn("tile", F.col("level") * F.lit(1 << 40) + F.pmod(F.xxhash64("a", "b"), F.col("parts")))
     tiled = keep(tiled.select("family", "tile", "n", "a", "b", "copies", "least"), "tiled")
     tiles = tiled.groupBy("family", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    upper = tiles.select("family", F.col("tile").alias("j"), F.col("low").alias("upper_low"))
-    blocks = tiles.withColumnRenamed("tile", "i").join(upper, "family").where(f"j >= i and {percent} * upper_low <= 100 * high").select("family", "i", "j")
+    upper = tiles.select("family", F.col("tile").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
+    alike = f"j >= i and {percent} * low_j <= 100 * high and {percent} * low <= 100 * high_j"
+    blocks = tiles.withColumnRenamed("tile", "i").join(upper, "family").where(alike).select("family", "i", "j")
     places = blocks.select("family", F.col("i").alias("tile"), "i", "j").union(blocks.where("i < j").select("family", F.col("j").alias("tile"), "i", "j"))
 
     picked = texts.hint("merge").join(tiled.select(F.col("least").alias("id"), "family", "tile", "a", "b", "copies"), F.col("doc_id").eqNullSafe(F.col("id")))
