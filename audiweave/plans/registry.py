@@ -20,4 +20,4 @@ def query(sql: str | None = None):
     return add
 
 
-from audiweave.plans import audience, behaviour, cleaning, loads, matching, models, payloads  # noqa: E402, F401
+from audiweave.plans import audience, behaviour, cleaning, loads, matching, models, payloads, stores  # noqa: E402, F401
