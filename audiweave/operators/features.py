@@ -122,12 +122,15 @@ def returning_pct(ev: DataFrame, segments: DataFrame, day, n_days: int = 30, kee
 
     Groups without any returning user drop out unless ``keep_zero``; so do users without a segment.
     """
-    day = F.lit(day).cast("date")
-    seen = days_seen_before(ev, n_days).where(F.col("day") == day)
-    known = seen.join(segments.select("user_id", "site", "cluster"), ["user_id", "site"], "left").where("cluster is not null")
-    out = known.groupBy("site", "cluster", "day").agg(F.count_distinct("user_id").alias("users"), F.count_distinct(F.when(F.col("days_before") > 0, F.col("user_id"))).alias("returning_users"))
+    day, kind = F.lit(day).cast("date"), ev.schema["ts"].dataType
+    # bounds on the bare column reach the scan; one group per user and site tells both days apart
+    recent = ev.where((F.col("ts") >= F.date_sub(day, n_days).cast(kind)) & (F.col("ts") < F.date_add(day, 1).cast(kind)))
+    today = F.col("ts") >= day.cast(kind)
+    seen = recent.groupBy("user_id", "site").agg(F.bool_or(today).alias("today"), F.bool_or(~today).alias("before")).where("today")
+    known = seen.join(segments.select("user_id", "site", "cluster").distinct(), ["user_id", "site"]).where("cluster is not null")
+    out = known.groupBy("site", "cluster").agg(F.count("*").alias("users"), F.count_if("before").alias("returning_users"))
     out = out if keep_zero else out.where("returning_users > 0")
-    return out.withColumn("returning_pct", F.round(100 * F.col("returning_users") / F.col("users"), 2))
+    return out.select("site", "cluster", day.alias("day"), "users", "returning_users", F.round(100 * F.col("returning_users") / F.col("users"), 2).alias("returning_pct"))
 
 
 def rate(total: DataFrame, part: DataFrame, keys: list[str]) -> DataFrame:

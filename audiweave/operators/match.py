@@ -89,7 +89,7 @@ def match_titles(titles: DataFrame, masters: DataFrame) -> DataFrame:
     left = t.join(exact, "title", "left_anti")
     keys = lambda df, c: df.select(c, F.explode(F.array_union(F.split(c, " "), F.array(F.substring(c, 1, 3)))).alias("key"))
     pairs = keys(left, "title").join(keys(m, "master"), "key").select("title", "master").distinct()
-    lone = left.join(pairs, "title", "left_anti").join(F.broadcast(m), F.levenshtein("title", "master") >= 0)
+    lone = left.join(pairs, "title", "left_anti").join(m, F.levenshtein("title", "master") >= 0)
     scored = pairs.union(lone).withColumns({
         "similar": title_similarity(F.col("title"), F.col("master")), "held": word_found(F.col("title"), F.col("master")), "distance": F.levenshtein("title", "master"),
     })
