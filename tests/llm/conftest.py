@@ -1,5 +1,3 @@
-import re
-
 import pytest
 
 EDGES = [
@@ -18,6 +16,3 @@ def edges(spark):
 def empty(edges):
     return edges.limit(0)
 
-
-def low(text):
-    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
