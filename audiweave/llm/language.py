@@ -112,8 +112,9 @@ class Field:
         grads, move_grads = np.full(self.weights.shape, 1e-3), np.full(self.move.shape, 1e-3)
         for epoch in range(EPOCHS):
             order = rng.permutation(len(segments))
-            # half of the texts go on in their language, so both kinds of chain are seen
-            order = np.array(sorted(order, key=lambda k: segments[k][1])) if epoch % 2 else order
+            if epoch % 2:
+                # chains that stay in one language, for the other half of the epochs
+                order = np.array(sorted(order, key=lambda k: segments[k][1]))
             parts = [order[i : i + 600] for i in range(0, len(order), 600)]
             for k in rng.permutation(len(parts)):
                 self._step([segments[i] for i in parts[k]], number, grads, move_grads)
@@ -134,9 +135,9 @@ class Field:
         joined = chain[1:] == chain[:-1]
         seen = np.zeros_like(moves)
         np.add.at(seen, (want[:-1][joined], want[1:][joined]), 1)
-        for grad, total, weights in ((move_grads, (seen - moves) / len(want) * 50, self.move),):
-            grad += total**2
-            weights += 0.3 * total / np.sqrt(grad)
+        total = (seen - moves) / len(want) * 50
+        move_grads += total**2
+        self.move += 0.3 * total / np.sqrt(move_grads)
         for k in range(len(self.labels)):
             total = np.bincount(entries, weights=error[each, k], minlength=TABLE)
             grads[:, k] += total**2
