@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pytest
 from compare import duck, rows
 
 from audiweave.llm import jaccard_join as J
@@ -47,7 +48,9 @@ def test_op4_equals_sql(spark, sf_dir):
     assert rows(J.op4_jaccard_join(spark, sf_dir).toPandas()) == rows(duck(sf_dir, J.ORACLE))
 
 
-def test_join_of_copies_chains_and_sizes_near_the_bound(spark):
+@pytest.mark.parametrize("tile", [1 << 16, 60])
+def test_join_of_copies_chains_and_sizes_near_the_bound(spark, monkeypatch, tile):
+    monkeypatch.setattr(J, "TILE", tile)
     rng = random.Random(1)
     docs, k = [], 0
     for size in (3, 9, 10, 11, 12, 19, 20, 21, 22, 40, 41, 80, 95, 133):
