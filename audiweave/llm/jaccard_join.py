@@ -2,11 +2,11 @@
 
 1. Every text becomes a set of shingle hashes. Equal sets are one *class*, so
    a group of exact copies costs one set, however large.
-2. Sets are cut into hash ranges, one more than the most elements by which two
-   linking sets of that size can differ; so two linking sets agree on a whole
-   range. Classes that agree on one are put in one *family*. Agreement needs
-   all of some ten shingles to be equal, which passages shared by unlike texts
-   don't give.
+2. Shingles are put in one order: by how many classes hold them, as counted in
+   hashed buckets, then by hash. Two linking sets share one of the first
+   n - ceil(percent n / 100) + 1 of either, whatever the order (prefix filter).
+   Classes that share such a shingle are put in one *family*. Counts of buckets
+   only make the order a good one: passages that many texts share come last.
 3. Within a family, classes of about one size form tiles of bounded bytes. A pair
    of tiles whose sizes can link is one block: the product of the two document
    by shingle incidence matrices is accumulated over column blocks, and rows
@@ -18,6 +18,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,20 +35,17 @@ from audiweave.llm.textbytes import U, chunks, mix, shingle_sets
 TILE = 1 << 16
 #: Cells of one dense column block of a product.
 CELLS = 1 << 22
+#: Buckets in which classes are counted by shingle, and buckets of one row of counts.
+BUCKETS, ROW = 1 << 24, 1 << 18
 
 
-def size_classes(percent: int, top: int = 1 << 40) -> np.ndarray:
-    """Lower bounds of size classes; two linking sizes are in one class or in neighbours."""
-    bounds = [1]
-    while bounds[-1] < top:
-        bounds.append(bounds[-1] * 100 // percent + 1)
-    return np.array(bounds, dtype=np.int64)
+def _bucket(gram: np.ndarray) -> np.ndarray:
+    return (mix(gram ^ U(0x7F4A7C15)) % U(BUCKETS)).astype(np.int64)
 
 
-def _ranges(bounds: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray:
-    """Hash ranges of a class: most differing elements of a linking pair whose larger set is in it, plus one."""
-    largest = 2 * (bounds[level + 1] - 1)
-    return (largest * (100 - percent)) // (100 + percent) + 1
+def _fresh(seen: set[int], a: np.ndarray) -> np.ndarray:
+    """Classes that this partition hasn't met yet: copies add nothing."""
+    return np.array([not (x in seen or seen.add(x)) for x in a.tolist()], dtype=bool)
 
 
 def _classes(column: pa.Array, n: int) -> tuple[np.ndarray, ...]:
@@ -62,43 +60,56 @@ def _classes(column: pa.Array, n: int) -> tuple[np.ndarray, ...]:
 
 
 def _class_rows(n: int):
+    """A row per text, and at the end of a partition rows of counts by bucket."""
+    names = ["doc_id", "n_shingles", "a", "b", "row", "counts"]
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        counts = np.zeros(BUCKETS, np.uint8)
         for batch in batches:
             for part in chunks(batch, "text"):
-                _, _, count, a, b = _classes(part.column("text"), n)
-                yield pa.record_batch([part.column("doc_id"), pa.array(count), pa.array(a), pa.array(b)], names=["doc_id", "n_shingles", "a", "b"])
+                doc, gram, count, a, b = _classes(part.column("text"), n)
+                held, times = np.unique(_bucket(gram[_fresh(seen, a)[doc]]), return_counts=True)
+                counts[held] = np.minimum(counts[held] + times, 255)  # of a partition; that a bucket is full is enough to know
+                none = len(a)
+                yield pa.record_batch([part.column("doc_id"), pa.array(count), pa.array(a), pa.array(b), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names=names)
+        if seen:
+            own = [zlib.compress(counts[i : i + ROW], 1) for i in range(0, BUCKETS, ROW)]
+            void = pa.nulls(len(own), pa.int64())
+            yield pa.record_batch([void, void, void, void, pa.array(range(len(own)), pa.int32()), pa.array(own, pa.binary())], names=names)
 
     return rows
 
 
-def _signature_rows(n: int, percent: int):
-    bounds = size_classes(percent)
+def _sum_counts(table: pa.Table) -> pa.Table:
+    """Counts of all partitions for one row of buckets, as eighths of their logarithm."""
+    total = np.zeros(ROW, np.uint64)
+    for x in table.column("counts"):
+        total += np.frombuffer(zlib.decompress(x.as_buffer()), np.uint8)
+    rank = np.minimum(8 * np.log2(total + 1.0), 255).astype(np.uint8)
+    return pa.table({"row": table.column("row")[:1], "ranks": pa.array([rank.tobytes()], pa.binary())})
+
+
+def prefixes(doc: np.ndarray, gram: np.ndarray, count: np.ndarray, ranks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of the first shingles of each set, of which two linking sets share one."""
+    order = np.lexsort((mix(gram + U(0x1B873593)), ranks[_bucket(gram)], doc))
+    doc, gram = doc[order], gram[order]
+    first = np.cumsum(count) - count
+    early = np.arange(len(doc)) - first[doc] <= (count - -(-percent * count // 100))[doc]
+    return doc[early], gram[early]
+
 
+def _signature_rows(n: int, percent: int, held):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # classes of this partition: copies add nothing
+        seen: set[int] = set()
+        ranks = np.frombuffer(held.value, np.uint8)
         for batch in batches:
             for part in chunks(batch, "text"):
                 doc, gram, count, a, _ = _classes(part.column("text"), n)
-                new = np.array([not (x in seen or seen.add(x)) for x in a.tolist()], dtype=bool)
+                new = _fresh(seen, a)
                 count = np.where(new, count, 0)
-                doc, gram = doc[new[doc]], gram[new[doc]]
-                keys, nodes = [], []
-                own = np.searchsorted(bounds, count, side="right") - 1
-                for step in (0, 1):
-                    level = np.maximum(own, 0) + step
-                    k = np.where(count > 0, _ranges(bounds, level, percent), 0)
-                    first = np.concatenate([[0], np.cumsum(k)])
-                    spread = mix(gram ^ U(0x7F4A7C15)) >> U(32)
-                    at = first[doc] + ((spread * k[doc].astype(U)) >> U(32)).astype(np.int64)
-                    total = np.zeros(first[-1], U)
-                    np.add.at(total, at, mix(gram + U(0x1B873593)))
-                    row = np.repeat(np.arange(len(k)), k)
-                    index = np.arange(first[-1]) - first[row]
-                    # cut alike for both of a pair, whichever step brought it to this level
-                    keys.append((total, level[row], index))
-                    nodes.append(a[row])
-                key = np.concatenate([mix(mix(t + U(0x9E37) * lv.astype(U)) + ix.astype(U)) for t, lv, ix in keys])
-                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(np.concatenate(nodes))], names=["key", "a"])
+                doc, gram = prefixes(doc[new[doc]], gram[new[doc]], count, ranks, percent)
+                yield pa.record_batch([pa.array(gram.view(np.int64)), pa.array(a[doc])], names=["key", "a"])
 
     return rows
 
@@ -218,11 +229,17 @@ def jaccard_join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFram
     spark = docs.sparkSession
     small_batches(spark)
     texts = docs.select("doc_id", "text")
-    classes = keep(texts.mapInArrow(_class_rows(words), "doc_id long, n_shingles long, a long, b long"), "classes")
+    made = keep(texts.mapInArrow(_class_rows(words), "doc_id long, n_shingles long, a long, b long, row int, counts binary"), "classes")
+    classes = made.where("row is null").select("doc_id", "n_shingles", "a", "b")
+    summed = made.where("row is not null").select("row", "counts").groupBy("row").applyInArrow(_sum_counts, "row int, ranks binary")
+    ranks = np.zeros((BUCKETS // ROW, ROW), np.uint8)
+    for r in summed.collect():
+        ranks[r["row"]] = np.frombuffer(r["ranks"], np.uint8)
+    held = spark.sparkContext.broadcast(ranks.tobytes())
     some = classes.where("n_shingles > 0")
     byclass = keep(some.groupBy("a", "b").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"), F.max("n_shingles").alias("n")), "byclass")
 
-    signatures = texts.mapInArrow(_signature_rows(words, percent), "key long, a long")
+    signatures = texts.mapInArrow(_signature_rows(words, percent, held), "key long, a long")
     together = Window.partitionBy("key").orderBy("a")
     chain = signatures.withColumn("v", F.lag("a").over(together)).where("v <> a").select(F.col("a").alias("u"), "v").distinct()
     families = connected_components(chain).withColumnsRenamed({"node": "a", "label": "family"})

@@ -25,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents stays, that of the least doc_id."""
-    groups = jaccard_join(docs).select("doc_id", "component_id")
+    """One document of each group of documents linked by five-word shingles stays, that of the least doc_id."""
+    groups = jaccard_join(docs, words=5, percent=80).select("doc_id", "component_id")
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
 

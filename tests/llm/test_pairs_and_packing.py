@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import duck, rows
 
@@ -68,6 +69,45 @@ def test_join_of_copies_chains_and_sizes_near_the_bound(spark, monkeypatch, tile
     assert sorted(map(tuple, got), key=str) == plain_join(docs)
 
 
+def passages():
+    """Unlike texts with a common passage, and near copies between the limits of op4 and those of the pipeline."""
+    rng = random.Random(4)
+    shared = " ".join(f"s{j}" for j in range(30))
+    docs = []
+    for k in range(60):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((4, 30, 80)))]
+        docs.append((3 * k, " ".join(own) + " " + shared))
+        if k % 3 == 0:
+            for i in (1, 2):
+                own = [x if rng.random() > 0.02 else f"n{rng.randrange(10**6)}" for x in own]
+                docs.append((3 * k + i, " ".join(own) + " " + shared))
+    return docs
+
+
+def test_join_at_five_words_and_80_percent(spark):
+    docs = passages()
+    got = sorted(map(tuple, J.jaccard_join(spark.createDataFrame(docs, "doc_id long, text string"), words=5, percent=80).collect()), key=str)
+    assert got == plain_join(docs, 5, 80) != plain_join(docs)
+
+
+def test_stage_drops_near_copies_of_80_percent(spark):
+    import corpus_pipeline
+
+    docs = passages()
+    own = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(docs, "doc_id long, text string"), "")
+    stay = [i for i, _, c, _ in plain_join(docs, 5, 80) if i == c]
+    assert sorted(r.doc_id for r in own.collect()) == sorted(stay)
+    assert len(stay) < sum(i == c for i, _, c, _ in plain_join(docs))
+
+
+def test_unlike_texts_with_a_common_passage_share_no_prefix():
+    docs = pa.array([" ".join(f"w{k}x{j}" for j in range(40)) + " " + " ".join(f"s{j}" for j in range(30)) for k in range(50)])
+    doc, gram, count, _, _ = J._classes(docs, 5)
+    counts = np.bincount(J._bucket(gram), minlength=J.BUCKETS)
+    at, first = J.prefixes(doc, gram, count, np.minimum(8 * np.log2(counts + 1.0), 255).astype(np.uint8), 80)
+    assert len(at) == len(set(first.tolist())) == 50 * (66 - 53 + 1)
+
+
 def test_join_edges(edges, empty):
     docs = [tuple(r)[:2] for r in edges.collect()]
     assert sorted(map(tuple, J.jaccard_join(edges).collect()), key=str) == plain_join(docs)
