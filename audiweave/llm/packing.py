@@ -11,6 +11,8 @@ that many pieces share is ranked by many tasks.
 from __future__ import annotations
 
 import base64
+import functools
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -36,19 +38,25 @@ def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
-def coder(path: str):
-    """Byte-level BPE over a file of ranks."""
+def added_tokens(name: str = "byte_bpe_50k.json") -> dict[str, int]:
+    """Tokens that a vocabulary matches inside texts before it splits them, with their ids."""
+    with open(tokenizer_path(name), encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
+def coder(path: str, added: dict[str, int] | None = None):
+    """Byte-level BPE over a file of ranks; literals of ``added`` tokens get their ids."""
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added or {})
 
 
-def _piece_rows(path: str, capacity: int, end_id: int):
+def _piece_rows(path: str, capacity: int, end_id: int, added: dict[str, int] | None):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = coder(path).encode_ordinary
+        encode = functools.partial(coder(path, added).encode, allowed_special="all", disallowed_special=())
         for batch in batches:
             for part in chunks(batch, "text", 1 << 18):
                 out: tuple[list, ...] = ([], [], [], [], [])
@@ -65,12 +73,14 @@ def _piece_rows(path: str, capacity: int, end_id: int):
     return rows
 
 
-def token_pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | None = None) -> DataFrame:
+def token_pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | None = None, added: dict[str, int] | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): the ids of each text and a
     closing ``end_id``, cut into pieces of ``capacity`` ids. A shorter piece,
-    if any, is the first. A null text counts as empty: one piece of one id."""
+    if any, is the first. A null text counts as empty: one piece of one id.
+    Literals of ``added`` tokens in a text get their ids; without it they are
+    split like other text."""
     small_batches(docs.sparkSession)
-    rows = _piece_rows(path or tokenizer_path(), capacity, end_id)
+    rows = _piece_rows(path or tokenizer_path(), capacity, end_id, added)
     return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
@@ -120,10 +130,12 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | Non
     Takes doc_id and text; other columns are ignored. Returns a row per piece:
     doc_id, piece, start, length, ids_crc32, sequence_id, offset. Sequences are
     filled without gaps from offset 0. Repeated rows and rows of a null doc_id
-    are packed like others; an empty table gives an empty result.
+    are packed like others; an empty table gives an empty result. Ids are those
+    of ``byte_bpe_50k.json`` at the defaults of tokenizers, added tokens
+    included; the ranks of another ``path`` have none.
     """
     spark = docs.sparkSession
-    pieces = keep(token_pieces(docs, capacity, end_id, path), "pieces")
+    pieces = keep(token_pieces(docs, capacity, end_id, path, None if path else added_tokens()), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     salts = max(256, sum(counts.values()) // RANKED)
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))

@@ -179,6 +179,19 @@ def test_special_token_text_is_ordinary(spark):
     assert [tuple(r) for r in got] == plain_pieces([(1, "a <|endoftext|> b")])
 
 
+def test_pack_gives_added_tokens_the_ids_of_tokenizers(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end} ", f"x{end}y", f"  {end}\n\n{end}é", "<|endoftext", f"<|endo{end}ftext|>", "plain text"]
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in K.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    ids = [[*coder.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert got == {k: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in enumerate(ids)}
+    assert ids[0] == [64, 220, 50256, 275, 0]
+
+
 def test_plan_is_best_fit():
     rng = random.Random(3)
     counts = {rng.randrange(1, 101): rng.randrange(1, 50) for _ in range(40)}
