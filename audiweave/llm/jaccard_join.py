@@ -2,23 +2,28 @@
 
 1. Every text becomes a set of shingle hashes. Equal sets are one *class*, so
    a group of exact copies costs one set, however large.
-2. Shingles are put in one order: by how many classes hold them, as counted in
-   hashed buckets, then by hash. Two linking sets share one of the first
-   n - ceil(percent n / 100) + 1 of either, whatever the order (prefix filter).
-   Classes that share such a shingle are put in one *family*. Counts of buckets
-   only make the order a good one: passages that many texts share come last.
-3. Within a family, classes of about one size form tiles of bounded bytes. A pair
-   of tiles whose sizes can link is one block: the product of the two document
-   by shingle incidence matrices is accumulated over column blocks, and rows
-   that can't reach their size-derived bound any more are discarded.
-4. Blocks return a spanning forest of their links, never the pairs. Its
+2. A set of n shingles links only with sets that lack at most
+   ``lack = n - ceil(percent n / 100)`` of them. In the order of hashes, two
+   linking sets share ``spare`` of the first lack + spare shingles of either
+   (prefix filter). Classes that share fewer with all others are done.
+3. Shingles of the rest are counted exactly over all of these. One that a single
+   class holds is lacked by every other, so a class with more than ``lack`` of
+   them is done too. In the order of counts, rare ones first, linking sets share
+   one of their first lack + 1; classes that do are put in one *family*.
+4. Within a family, classes of about one size form tiles of bounded rows and
+   shingles. A pair of tiles whose sizes can link is one block: the product of the
+   two sparse document by shingle incidence matrices is accumulated over column
+   blocks, and pairs that can't reach their size-derived bound are discarded.
+5. Blocks return a spanning forest of their links, never the pairs. Its
    components are the components of the join.
+
+No step holds a whole group: a shingle that many classes of a chunk of texts
+share is counted there, and few rows of it leave the chunk.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,19 +33,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from audiweave.llm.components import connected_components
-from audiweave.llm.scratch import keep, small_batches
+from audiweave.llm.scratch import drop, keep
 from audiweave.llm.textbytes import U, chunks, mix, shingle_sets
 
-#: Shingles of the classes of one tile, about.
-TILE = 1 << 16
-#: Cells of one dense column block of a product.
-CELLS = 1 << 22
-#: Buckets in which classes are counted by shingle, and buckets of one row of counts.
-BUCKETS, ROW = 1 << 24, 1 << 18
+#: Shingles and classes of one tile, about.
+TILE, ROWS = 1 << 16, 512
+#: Shingles of one column block of a product, about.
+COLUMNS = 1 << 17
+#: Counts from here on are one in the order of shingles.
+COMMON = 16
+#: Bytes of text whose shingles are counted together before they leave a task.
+CHUNK = 1 << 22
+
+
+def lack(n, percent: int):
+    """Shingles of a set of ``n`` that a linking set may lack."""
+    return n - -(-percent * n // 100)
 
 
-def _bucket(gram: np.ndarray) -> np.ndarray:
-    return (mix(gram ^ U(0x7F4A7C15)) % U(BUCKETS)).astype(np.int64)
+def spare(n, percent: int):
+    """Shingles of its longer prefix that a set of ``n`` shares with a linking set, at least; never falls as n grows."""
+    return np.minimum(1 + n // 16, n - lack(n, percent))
 
 
 def _fresh(seen: set[int], a: np.ndarray) -> np.ndarray:
@@ -60,56 +73,55 @@ def _classes(column: pa.Array, n: int) -> tuple[np.ndarray, ...]:
 
 
 def _class_rows(n: int):
-    """A row per text, and at the end of a partition rows of counts by bucket."""
-    names = ["doc_id", "n_shingles", "a", "b", "row", "counts"]
-
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        counts = np.zeros(BUCKETS, np.uint8)
         for batch in batches:
             for part in chunks(batch, "text"):
-                doc, gram, count, a, b = _classes(part.column("text"), n)
-                held, times = np.unique(_bucket(gram[_fresh(seen, a)[doc]]), return_counts=True)
-                counts[held] = np.minimum(counts[held] + times, 255)  # of a partition; that a bucket is full is enough to know
-                none = len(a)
-                yield pa.record_batch([part.column("doc_id"), pa.array(count), pa.array(a), pa.array(b), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names=names)
-        if seen:
-            own = [zlib.compress(counts[i : i + ROW], 1) for i in range(0, BUCKETS, ROW)]
-            void = pa.nulls(len(own), pa.int64())
-            yield pa.record_batch([void, void, void, void, pa.array(range(len(own)), pa.int32()), pa.array(own, pa.binary())], names=names)
+                _, _, count, a, b = _classes(part.column("text"), n)
+                yield pa.record_batch([part.column("doc_id"), part.column("h"), pa.array(count), pa.array(a), pa.array(b)], names=["doc_id", "h", "n_shingles", "a", "b"])
 
     return rows
 
 
-def _sum_counts(table: pa.Table) -> pa.Table:
-    """Counts of all partitions for one row of buckets, as eighths of their logarithm."""
-    total = np.zeros(ROW, np.uint64)
-    for x in table.column("counts"):
-        total += np.frombuffer(zlib.decompress(x.as_buffer()), np.uint8)
-    rank = np.minimum(8 * np.log2(total + 1.0), 255).astype(np.uint8)
-    return pa.table({"row": table.column("row")[:1], "ranks": pa.array([rank.tobytes()], pa.binary())})
+def _order(gram: np.ndarray) -> np.ndarray:
+    return mix(gram + U(0x1B873593))
+
 
+def shared_prefixes(doc: np.ndarray, gram: np.ndarray, count: np.ndarray, a: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """(key, class, known) of the sets of one chunk.
 
-def prefixes(doc: np.ndarray, gram: np.ndarray, count: np.ndarray, ranks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of the first shingles of each set, of which two linking sets share one."""
-    order = np.lexsort((mix(gram + U(0x1B873593)), ranks[_bucket(gram)], doc))
+    Prefix shingles that several of the sets hold are known to be shared: each
+    class has a row of how many of its own are (under a key of its own), and
+    two rows of such a shingle stand for all, so that every class elsewhere
+    meets another than itself. Shingles of one set have a row.
+    """
+    order = np.lexsort((_order(gram), doc))
     doc, gram = doc[order], gram[order]
     first = np.cumsum(count) - count
-    early = np.arange(len(doc)) - first[doc] <= (count - -(-percent * count // 100))[doc]
-    return doc[early], gram[early]
-
-
-def _signature_rows(n: int, percent: int, held):
+    early = np.arange(len(doc)) - first[doc] < (lack(count, percent) + spare(count, percent))[doc]
+    doc, gram = doc[early], gram[early]
+    order = np.argsort(gram, kind="stable")
+    doc, gram = doc[order], gram[order]
+    new = np.ones(len(gram), dtype=bool)
+    new[1:] = gram[1:] != gram[:-1]
+    group = np.cumsum(new) - 1
+    size = np.bincount(group)[group]
+    place = np.arange(len(gram)) - np.flatnonzero(new)[group]
+    known = np.bincount(doc[size > 1], minlength=len(a))
+    some = np.flatnonzero(known)
+    sent = place < 2
+    key = np.concatenate([gram[sent], mix(a[some].view(U) ^ U(0x632BE59BD9B4E019))])
+    return key.view(np.int64), np.concatenate([a[doc[sent]], a[some]]), np.concatenate([np.zeros(int(sent.sum()), np.int64), known[some]])
+
+
+def _prefix_rows(n: int, percent: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        ranks = np.frombuffer(held.value, np.uint8)
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", CHUNK):
                 doc, gram, count, a, _ = _classes(part.column("text"), n)
                 new = _fresh(seen, a)
-                count = np.where(new, count, 0)
-                doc, gram = prefixes(doc[new[doc]], gram[new[doc]], count, ranks, percent)
-                yield pa.record_batch([pa.array(gram.view(np.int64)), pa.array(a[doc])], names=["key", "a"])
+                doc, gram, count = doc[new[doc]], gram[new[doc]], np.where(new, count, 0)
+                yield pa.record_batch([pa.array(x) for x in shared_prefixes(doc, gram, count, a, percent)], names=["key", "a", "known"])
 
     return rows
 
@@ -118,52 +130,123 @@ def _set_rows(n: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
-                doc, gram, count, a, b = _classes(part.column("text"), n)
+                _, gram, count, a, b = _classes(part.column("text"), n)
                 first = np.concatenate([[0], np.cumsum(count)])
                 sets = [gram[i:j].tobytes() for i, j in zip(first[:-1], first[1:], strict=True)]
                 mine = (a == part.column("a").to_numpy()) & (b == part.column("b").to_numpy())
-                names = ["family", "tile", "a", "copies"]
-                out = pa.record_batch([*(part.column(x) for x in names), pa.array(count), pa.array(sets, pa.binary())], names=[*names, "n", "grams"])
-                yield out.filter(pa.array(mine))
+                yield pa.record_batch([pa.array(a), pa.array(b), pa.array(count), pa.array(sets, pa.binary())], names=["a", "b", "n", "grams"]).filter(pa.array(mine))
 
     return rows
 
 
+def counted_rows(gram: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, shingle, class, weight) of the sets of one chunk, a row for each shingle of a class.
+
+    A shingle that ``COMMON`` classes hold here is common everywhere: its rows
+    leave under keys of their own with that weight, and one row without a class
+    (0, weight -COMMON) tells it to the rows of other chunks.
+    """
+    order = np.argsort(gram, kind="stable")
+    gram, a = gram[order], a[order]
+    new = np.ones(len(gram), dtype=bool)
+    new[1:] = gram[1:] != gram[:-1]
+    group = np.cumsum(new) - 1
+    common = np.bincount(group)[group] >= COMMON if len(group) else new
+    key = np.where(common, mix(mix(gram) ^ a.view(U)), gram)
+    told = gram[common & new]
+    weight = np.where(common, COMMON, 1)
+    none = np.zeros(len(told), np.int64)
+    return tuple(np.concatenate(x) for x in ((key.view(np.int64), told.view(np.int64)), (gram.view(np.int64), told.view(np.int64)), (a, none), (weight, none - COMMON)))
+
+
+def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in chunks(batch, "grams", 2 * CHUNK):
+            own = part.column("grams").to_pylist()
+            gram = np.frombuffer(b"".join(own), U)
+            a = np.repeat(part.column("a").to_numpy(), [len(x) // 8 for x in own])
+            yield pa.record_batch([pa.array(x) for x in counted_rows(gram, a)], names=["key", "gram", "a", "weight"])
+
+
 def overlaps(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
-    """Overlap counts of two lists of sets, by column blocks; rows that can't link any more keep a lower count."""
-    every = np.concatenate([*left, *right])
-    vocab, column, seen = np.unique(every, return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
-    shared = seen[column] > 1
-    row, column = row[shared], column[shared]
-    nl, nr = np.array([len(x) for x in left]), np.array([len(x) for x in right])
+    """Overlap counts of two lists of sets, accumulated over column blocks.
+
+    The incidence matrices stay sparse: (column, row) entries sorted by column.
+    A column block is multiplied entry by entry where few rows hold its columns,
+    and as a small dense product where many do. Between blocks, rows all of
+    whose pairs fall short of their bound are left out; they keep a lower count.
+    """
+    nl, nr = np.array([len(x) for x in left], np.int64), np.array([len(x) for x in right], np.int64)
+    column = np.concatenate([*left, *right])
+    row = np.repeat(np.arange(len(left) + len(right)), np.concatenate([nl, nr]))
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    new = np.ones(len(column), dtype=bool)
+    new[1:] = column[1:] != column[:-1]
+    column = np.cumsum(new) - 1
+    at_left = row < len(left)
+    ls, rs = np.bincount(column[at_left], minlength=column[-1] + 1), np.bincount(column[~at_left], minlength=column[-1] + 1)
+    both = (ls > 0) & (rs > 0)
+    # rare columns first: they discard most pairs at least cost
+    rank = np.argsort(np.where(both, ls * rs, 0), kind="stable")
+    place = np.empty_like(rank)
+    place[rank] = np.arange(len(rank))
+    own = both[column]
+    column, row = place[column[own]], row[own]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
     need = -(-percent * (nl[:, None] + nr[None, :]) // (100 + percent))
+    counts = np.zeros((len(left), len(right)), np.int64)
     rest = np.bincount(row, minlength=len(left) + len(right))
-    need = np.where(np.minimum(rest[: len(left), None], rest[None, len(left) :]) < need, np.iinfo(np.int64).max, need)
-    counts = np.zeros((len(left), len(right)), np.float32)
-    used = np.unique(column)
-    width = max(64, CELLS // (len(left) + len(right)))
     alive = np.ones(len(rest), dtype=bool)
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    for start in range(0, len(used), width):
-        own = used[start : start + width]
-        lo, hi = np.searchsorted(column, [own[0], own[-1] + 1])
-        r, c = row[lo:hi], np.searchsorted(own, column[lo:hi])
+    start = 0
+    while start < len(column):
+        can = counts + np.minimum(rest[: len(left), None], rest[None, len(left) :]) >= need
+        alive[: len(left)] &= can.any(axis=1)
+        alive[len(left) :] &= can.any(axis=0)
+        if not alive.any():
+            break
+        end = int(np.searchsorted(column, column[min(start + COLUMNS, len(column)) - 1], side="right"))
+        r, c = row[start:end], column[start:end]
         rest = rest - np.bincount(r, minlength=len(rest))
-        keep_row = alive[r]
-        r, c = r[keep_row], c[keep_row]
-        block = np.zeros((len(rest), len(own)), np.float32)
-        block[r, c] = 1
-        la, ra = np.flatnonzero(alive[: len(left)]), np.flatnonzero(alive[len(left) :])
-        counts[np.ix_(la, ra)] += block[la] @ block[len(left) + ra].T
-        if start + width < len(used):
-            can = counts + np.minimum(rest[: len(left), None], rest[None, len(left) :]) >= need
-            alive[: len(left)] &= can.any(axis=1)
-            alive[len(left) :] &= can.any(axis=0)
-            if not alive[: len(left)].any():
-                break
-    return counts.astype(np.int64)
+        r, c = r[alive[r]], c[alive[r]]
+        _add_block(counts, r, c, len(left))
+        start = end
+    return counts
+
+
+def _add_block(counts: np.ndarray, row: np.ndarray, column: np.ndarray, nl: int) -> None:
+    """Adds the product of one column block, given as entries sorted by column."""
+    if not len(row):
+        return
+    new = np.ones(len(column), dtype=bool)
+    new[1:] = column[1:] != column[:-1]
+    column = np.cumsum(new) - 1
+    at_left = row < nl
+    lr, lc, rr, rc = row[at_left], column[at_left], row[~at_left] - nl, column[~at_left]
+    ls, rs = np.bincount(lc, minlength=column[-1] + 1), np.bincount(rc, minlength=column[-1] + 1)
+    wide = ls * rs > 64
+    first = np.cumsum(rs) - rs
+    thin = ~wide[lc]
+    times = rs[lc[thin]]
+    entry = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first[lc[thin]], times)
+    pair = np.repeat(lr[thin], times) * counts.shape[1] + rr[entry]
+    counts += np.bincount(pair, minlength=counts.size).reshape(counts.shape)
+    used = np.flatnonzero(wide)
+    if len(used):
+        name = np.zeros(len(wide), np.int64)
+        name[used] = np.arange(len(used))
+        hl, hr = np.unique(lr[wide[lc]]), np.unique(rr[wide[rc]])
+        for lo in range(0, len(used), 2048):
+            width = min(2048, len(used) - lo)
+            dense = []
+            for own, r, c in ((hl, lr, lc), (hr, rr, rc)):
+                some = wide[c]
+                some[some] = (name[c[some]] >= lo) & (name[c[some]] < lo + width)
+                m = np.zeros((len(own), width), np.float32)
+                m[np.searchsorted(own, r[some]), name[c[some]] - lo] = 1
+                dense.append(m)
+            counts[np.ix_(hl, hr)] += (dense[0] @ dense[1].T).astype(np.int64)
 
 
 def _forest(rows: np.ndarray, cols: np.ndarray, names: np.ndarray) -> list[tuple[int, int]]:
@@ -215,6 +298,42 @@ def _block(percent: int):
     return links
 
 
+def candidates(texts: DataFrame, byclass: DataFrame, words: int, percent: int) -> DataFrame:
+    """Classes of ``byclass`` that share enough of their longer prefix with others."""
+    rows = texts.select("text").mapInArrow(_prefix_rows(words, percent), "key long, a long, known long")
+    by_key = Window.partitionBy("key").orderBy("a")
+    rows = rows.withColumns({"before": F.lag("a").over(by_key), "least": F.first("a").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    another = (F.col("a") != F.col("least")) & (F.col("a") != F.col("before"))
+    rows = rows.where(another | (F.col("known") > 0))
+    # the second class of a shingle shows that the first shares it too
+    told = F.when(another & (F.col("before") == F.col("least")), F.array("a", "least")).otherwise(F.array("a"))
+    rows = rows.select(F.explode(told).alias("a"), (F.col("known") + F.when(another, 1).otherwise(0)).alias("k"))
+    shared = rows.groupBy("a").agg(F.sum("k").alias("k"))
+    partner = F.ceil(F.col("n") * percent / 100)
+    least = F.least(1 + F.floor(partner / 16), F.ceil(partner * percent / 100))
+    return byclass.join(shared, "a").where(F.col("k") >= least).drop("k")
+
+
+def families(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, family): classes that share a shingle among their first in the order of exact counts."""
+    rows = sets.select("a", "grams").mapInArrow(_token_rows, "key long, gram long, a long, weight long")
+    total = F.sum(F.abs("weight")).over(Window.partitionBy("key"))
+    shared = rows.withColumn("total", total).where((F.col("total") > 1) & (F.col("weight") > 0))
+    shared = shared.select("a", "gram", F.least("total", F.lit(COMMON)).cast("int").alias("rank"))
+    by_class = Window.partitionBy("a")
+    placed = shared.withColumns({"own": F.count("*").over(by_class), "at": F.row_number().over(by_class.orderBy("rank", F.xxhash64("gram"), "gram"))})
+    lacking = F.col("n") - F.ceil(F.col("n") * percent / 100)
+    alone = F.col("n") - F.col("own")
+    early = placed.join(sets.select("a", "n"), "a").where(F.col("at") <= lacking + 1 - alone)
+    early = keep(early.select("a", "gram"), "prefixes")
+    # tied to the least class by a sum that tasks begin, so a common shingle is no group of its own
+    tied = early.groupBy("gram").agg(F.min("a").alias("v"))
+    edges = keep(early.join(tied, "gram").where("a <> v").select(F.col("a").alias("u"), "v").distinct(), "chain")
+    out = connected_components(edges).withColumnsRenamed({"node": "a", "label": "family"})
+    drop(early)
+    return out
+
+
 def jaccard_join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """Components of the graph that links documents of alike shingle sets.
 
@@ -227,45 +346,41 @@ def jaccard_join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFram
     doc_id count as separate texts.
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    texts = docs.select("doc_id", "text")
-    made = keep(texts.mapInArrow(_class_rows(words), "doc_id long, n_shingles long, a long, b long, row int, counts binary"), "classes")
-    classes = made.where("row is null").select("doc_id", "n_shingles", "a", "b")
-    summed = made.where("row is not null").select("row", "counts").groupBy("row").applyInArrow(_sum_counts, "row int, ranks binary")
-    ranks = np.zeros((BUCKETS // ROW, ROW), np.uint8)
-    for r in summed.collect():
-        ranks[r["row"]] = np.frombuffer(r["ranks"], np.uint8)
-    held = spark.sparkContext.broadcast(ranks.tobytes())
+    texts = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    classes = keep(texts.mapInArrow(_class_rows(words), "doc_id long, h long, n_shingles long, a long, b long"), "classes")
     some = classes.where("n_shingles > 0")
-    byclass = keep(some.groupBy("a", "b").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"), F.max("n_shingles").alias("n")), "byclass")
+    named_by = F.min(F.struct(F.isnull("doc_id").alias("void"), "doc_id", "h")).alias("by")
+    byclass = keep(some.groupBy("a", "b").agg(F.count("*").alias("copies"), named_by, F.max("n_shingles").alias("n")), "byclass")
 
-    signatures = texts.mapInArrow(_signature_rows(words, percent, held), "key long, a long")
-    together = Window.partitionBy("key").orderBy("a")
-    chain = signatures.withColumn("v", F.lag("a").over(together)).where("v <> a").select(F.col("a").alias("u"), "v").distinct()
-    families = connected_components(chain).withColumnsRenamed({"node": "a", "label": "family"})
+    met = keep(candidates(texts, byclass, words, percent), "candidates")
+    picked = met.select(F.col("by.doc_id").alias("id"), F.col("by.h").alias("t"), "a", "b")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("t"))
+    sets = texts.hint("merge").join(picked, same).select("text", "a", "b").mapInArrow(_set_rows(words), "a long, b long, n long, grams binary")
+    sets = keep(sets.dropDuplicates(["a", "b"]), "sets")
 
     # a tile is a part by hash of a size class of a family, so no task orders a whole family
     level = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
-    placed = keep(byclass.join(families, "a").withColumn("level", level), "placed")
-    parts = placed.groupBy("family", "level").agg((F.floor(F.sum("n") / TILE) + 1).alias("parts"))
+    placed = keep(met.join(families(sets, percent), "a").select("family", "n", "a", "b", "copies", level.alias("level")), "placed")
+    parts = F.floor(F.greatest(F.sum("n") / TILE, F.count("*") / ROWS)) + 1
+    parts = placed.groupBy("family", "level").agg(parts.alias("parts"))
     tiled = placed.join(parts, ["family", "level"]).withColumn("tile", F.col("level") * F.lit(1 << 40) + F.pmod(F.xxhash64("a", "b"), F.col("parts")))
-    tiled = keep(tiled.select("family", "tile", "n", "a", "b", "copies", "least"), "tiled")
+    tiled = keep(tiled.select("family", "tile", "n", "a", "b", "copies"), "tiled")
     tiles = tiled.groupBy("family", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     upper = tiles.select("family", F.col("tile").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
     alike = f"j >= i and {percent} * low_j <= 100 * high and {percent} * low <= 100 * high_j"
     blocks = tiles.withColumnRenamed("tile", "i").join(upper, "family").where(alike).select("family", "i", "j")
     places = blocks.select("family", F.col("i").alias("tile"), "i", "j").union(blocks.where("i < j").select("family", F.col("j").alias("tile"), "i", "j"))
-
-    picked = texts.hint("merge").join(tiled.select(F.col("least").alias("id"), "family", "tile", "a", "b", "copies"), F.col("doc_id").eqNullSafe(F.col("id")))
-    sets = picked.select("text", "family", "tile", "a", "b", "copies").mapInArrow(_set_rows(words), "family long, tile long, a long, copies long, n long, grams binary")
-    found = keep(sets.join(places, ["family", "tile"]).groupBy("family", "i", "j").applyInArrow(_block(percent), "u long, v long, links long"), "links")
+    dealt = sets.drop("n").join(tiled, ["a", "b"]).join(places, ["family", "tile"])
+    found = keep(dealt.groupBy("family", "i", "j").applyInArrow(_block(percent), "u long, v long, links long"), "links")
     labels = connected_components(found.where("v is not null").select("u", "v"))
     totals = found.where("v is null").groupBy(F.col("u").alias("a")).agg(F.sum("links").alias("links"))
 
-    named = byclass.join(labels.withColumnRenamed("node", "a"), "a", "left").join(totals, "a", "left")
+    named = byclass.select("a", "b", "copies", F.col("by.doc_id").alias("least")).join(labels.withColumnRenamed("node", "a"), "a", "left").join(totals, "a", "left")
     group = F.coalesce("label", "a")
     ids = named.groupBy(group.alias("group")).agg(F.min("least").alias("component_id"))
     named = keep(named.withColumn("group", group).join(ids, "group").select("a", "b", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "named")
+    for table in (met, sets, placed, tiled, found, byclass):
+        drop(table)
     return classes.join(named, ["a", "b"], "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),

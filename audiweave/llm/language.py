@@ -19,7 +19,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audiweave.llm.scratch import small_batches
 from audiweave.llm.textbytes import LOWER, U, Words, chunks, mix
 
 TABLE, CHAIN = 1 << 15, 128
@@ -204,7 +203,6 @@ def identify(docs: DataFrame, field: Field) -> DataFrame:
     """(doc_id, lang_pred, score) per row of ``docs``: the language with the
     largest share of the whole text and that share. A text that is null or has
     no letter, and any text where nothing was learned, is ``und`` with score 0."""
-    small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(_language_rows(docs.sparkSession.sparkContext.broadcast(field)), "doc_id long, lang_pred string, score double")
 
 

@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from audiweave.llm.scratch import small_batches
 from audiweave.llm.textbytes import LOWER, U, Words, chunks, mix
 
 SHINGLE, BANDS, ROWS, CONTAINED = 5, 10, 2, 0.8
@@ -156,7 +155,6 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None) -> Da
     are runs of letters and digits in lower case. A null text and a text of
     fewer than five words have none. Repeated rows get equal results.
     """
-    small_batches(docs.sparkSession)
     kinds = "doc_id long, n_words long, licenses string, spans array<struct<license:string,start:long,end:long,containment:double>>"
     return docs.select("doc_id", "text").mapInArrow(_license_rows(templates or TEMPLATES), kinds)
 

@@ -18,7 +18,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audiweave.llm.scratch import small_batches
 from audiweave.llm.textbytes import U, WORD_OR_SIGN, Words, chunks
 
 BUCKETS, WIDTH, NONZERO, REACH = 1 << 13, 32, 4, 2
@@ -57,7 +56,6 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Context vectors of all buckets over all documents, centred, scaled to
     unit spread and weighted down where a bucket is frequent."""
-    small_batches(docs.sparkSession)
     names = [f"v{k}" for k in range(WIDTH)]
     rows = docs.select("text").mapInArrow(_context_rows, "bucket long, n long, " + ", ".join(f"{v} long" for v in names))
     sums = rows.groupBy("bucket").agg(F.sum("n").alias("n"), *(F.sum(v).alias(v) for v in names)).toPandas()
@@ -183,7 +181,6 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, Network], name: str
     """Adds the score (0 to 1) of every row's whole text; null and empty texts
     get that of a text without words. All columns stay; ``name`` is the new one's."""
     spark = docs.sparkSession
-    small_batches(spark)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(_score_rows(spark.sparkContext.broadcast(model), name), f"{fields}, `{name}` double")
 

@@ -14,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from audiweave.llm.scratch import small_batches
 from audiweave.llm.textbytes import Words, chunks
 
 #: (bytes below which it holds, least and greatest ratio of the whole text). Prose lies at 0.55 to 0.75 under 1 kB and near 0.4 over 16 kB.
@@ -109,7 +108,6 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     10 words, or over a fifth of them repeated); kept; zstd_ratio; odd_chunks.
     A null text counts as empty: all counts 0, base_failed, not kept.
     """
-    small_batches(docs.sparkSession)
     kinds = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, zstd_ratio double, odd_chunks double"
     return docs.select("doc_id", "text").mapInArrow(_rule_rows, kinds)
 

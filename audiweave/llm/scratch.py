@@ -1,7 +1,8 @@
 """Intermediate tables that outlive a lost executor.
 
-They are Parquet files in the shared folder named by ``spark.checkpoint.dir``;
-where that is unset (tests on one machine) a temporary folder is used.
+They are Parquet files in the shared folder named by ``spark.checkpoint.dir``.
+Where that is unset, a run within one process (tests) makes a folder of its own;
+on a cluster this is an error, since a folder of one machine isn't shared.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables."""
+    """The shared folder for intermediate tables; ValueError on a cluster where none is set."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
@@ -37,8 +40,3 @@ def drop(df: DataFrame) -> None:
         return
     path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def small_batches(spark: SparkSession, rows: int = 400) -> None:
-    """Bound the rows of a batch sent to Python: texts can be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

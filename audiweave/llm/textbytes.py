@@ -55,12 +55,12 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets from 0) of a string column; a null counts as empty."""
+    """(bytes, offsets from 0) of a string or binary column; a null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = column.fill_null("")
-    column = column.cast(pa.large_string())
+        column = column.fill_null(b"" if pa.types.is_binary(column.type) else "")
+    column = column.cast(pa.large_binary() if pa.types.is_binary(column.type) else pa.large_string())
     _, offs, data = column.buffers()
     off = np.frombuffer(offs, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8)[off[0] : off[-1]] if data is not None and off[-1] > off[0] else np.zeros(0, np.uint8)

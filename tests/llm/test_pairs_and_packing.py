@@ -5,7 +5,6 @@ import re
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from compare import duck, rows
 
@@ -100,12 +99,38 @@ def test_stage_drops_near_copies_of_80_percent(spark):
     assert len(stay) < sum(i == c for i, _, c, _ in plain_join(docs))
 
 
-def test_unlike_texts_with_a_common_passage_share_no_prefix():
-    docs = pa.array([" ".join(f"w{k}x{j}" for j in range(40)) + " " + " ".join(f"s{j}" for j in range(30)) for k in range(50)])
-    doc, gram, count, _, _ = J._classes(docs, 5)
-    counts = np.bincount(J._bucket(gram), minlength=J.BUCKETS)
-    at, first = J.prefixes(doc, gram, count, np.minimum(8 * np.log2(counts + 1.0), 255).astype(np.uint8), 80)
-    assert len(at) == len(set(first.tolist())) == 50 * (66 - 53 + 1)
+def chosen(spark, docs, words, percent):
+    """(classes, candidates, families) of the join's own steps."""
+    from pyspark.sql import functions as F
+
+    texts = spark.createDataFrame(docs, "doc_id long, text string").withColumn("h", F.xxhash64("text"))
+    classes = texts.select("doc_id", "h", "text").mapInArrow(J._class_rows(words), "doc_id long, h long, n_shingles long, a long, b long")
+    byclass = J.keep(classes.where("n_shingles > 0").selectExpr("a", "b", "h", "n_shingles as n").distinct(), "byclass")
+    met = J.keep(J.candidates(texts, byclass, words, percent), "met")
+    sets = texts.join(met.select("h", "a", "b"), "h").select("text", "a", "b").mapInArrow(J._set_rows(words), "a long, b long, n long, grams binary")
+    return byclass.count(), met.count(), J.families(J.keep(sets, "sets"), percent).groupBy("family").count().collect()
+
+
+@pytest.mark.parametrize("words, percent", [(3, 90), (5, 80)])
+def test_unlike_texts_are_no_candidates_and_no_family(spark, words, percent):
+    rng = random.Random(8)
+    shared = " ".join(f"s{j}" for j in range(40))
+    own = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    few = [own(rng.choice((9, 100, 1000))) for _ in range(3000)] + [own(400) + " " + shared for _ in range(500)]
+    n, met, families = chosen(spark, list(enumerate(few)), words, percent)
+    assert (n, met, families) == (3500, 0, [])
+    # most of these is a passage in common, so they stay candidates; counts tell them apart
+    n, met, families = chosen(spark, list(enumerate(own(30) + " " + shared for _ in range(300))), words, percent)
+    assert met > 250 and families == []
+
+
+def test_common_shingles_leave_a_chunk_in_few_rows(monkeypatch):
+    gram, a = np.repeat(np.arange(5, dtype=U), 1000), np.tile(np.arange(1, 1001), 5)
+    key, shingle, owner, weight = J.counted_rows(gram, a)
+    assert len(key) == 5005 and len(np.unique(key)) == 5005 and (weight[owner == 0] == -J.COMMON).all()
+    doc = np.repeat(np.arange(1000), 5)
+    key, owner, known = J.shared_prefixes(doc, np.tile(np.arange(5, dtype=U), 1000), np.full(1000, 5), np.arange(1, 1001), 80)
+    assert (known > 0).sum() == 1000 and (known == 0).sum() == 2 * len(np.unique(key[known == 0]))
 
 
 def test_join_edges(edges, empty):
@@ -115,7 +140,7 @@ def test_join_edges(edges, empty):
 
 
 def test_overlaps_in_small_column_blocks(monkeypatch):
-    monkeypatch.setattr(J, "CELLS", 64)
+    monkeypatch.setattr(J, "COLUMNS", 64)
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 500, 300).astype(U)) for _ in range(6)]
     sets += [np.unique(np.concatenate([sets[0][:-3], [U(900), U(901)]]))]
