@@ -4,14 +4,17 @@ A row's text is cut into segments where a line opens with a speaker marker
 ("User:", "### Assistant", "<|im_start|>system"). A segment is seen as a few
 coded features (marker, number and length of lines, question mark, list or
 code, place in the transcript). Emission and transition counts come from all
-rows whose role is known and may be learned. Viterbi recovers the role of each
-segment from the segments of its whole conversation.
-
-Segments are range-partitioned in (conversation, turn) order, so one
-conversation may span many partitions and no task holds a whole one. Viterbi is
-exact across them: a partition first reports the (max, +) matrices of its first
-and last conversation, the driver chains these (two for each partition), and
-each partition then runs with its entry scores and its exit state.
+rows whose role is known and may be learned. One thing is given and not learned:
+a marker, where there is one, names its speaker (``NAMED`` of the time), since
+labelled rows need not hold any. How often a role has no marker is learned.
+Viterbi recovers the role of each segment from those of its whole conversation.
+
+Segments are range-partitioned in (conversation, turn) order and cut into blocks
+of ``BLOCK`` rows, so one conversation may span many blocks and no task holds a
+whole one. Counts and Viterbi are exact across them: of each block the driver
+gets its first and last row, to count the step between blocks, and the (max, +)
+matrices of its first and last conversation, which it chains; each block then
+runs with its entry scores and its exit state.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +43,11 @@ MARKER = re.compile(rf"^[ \t]*(?:<\|(?:im_start\|>)?|#+[ \t]*|\*\*|\[)?[ \t]*({_
 _CLOSED = re.compile(r"<\|(?:im_end|end|endoftext)\|>")
 #: Values of each feature, in order: marker, lines, characters, question, list or code, first of its conversation's turns.
 WIDTHS = (4, 4, 6, 2, 2, 2)
-_SEGMENTS = "conv_id long, turn long, seg int, h long, role int, learned boolean, f array<int>, text string"
+#: Share of markers that name the role that speaks.
+NAMED = 0.94
+#: Bits of the number of segments that a task holds at a time.
+BLOCK = 16
+_SEGMENTS = "conv_id long, turn long, h long, row long, seg int, role int, learned boolean, f array<int>, text string"
 
 
 def split_segments(text: str) -> list[tuple[int, str]]:
@@ -70,39 +77,66 @@ def held_out(conv_id) -> bool:
     return conv_id is not None and zlib.crc32(str(conv_id).encode()) % 5 == 0
 
 
-def _segment_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for conv, turn, h, role, text in zip(batch["conv_id"], batch["turn"], batch["h"], batch["role"], batch["text"], strict=True):
-            conv, turn = None if pd.isna(conv) else int(conv), None if pd.isna(turn) else int(turn)
-            parts = split_segments(text if isinstance(text, str) else "")
+        out: tuple[list, ...] = tuple([] for _ in range(9))
+        for conv, turn, h, row, role, text in zip(*(batch.column(x).to_pylist() for x in ("conv_id", "turn", "h", "row", "role", "text")), strict=True):
+            parts = split_segments(text or "")
             known = ROLES.index(role) if role in ROLES and len(parts) == 1 else -1
             for k, (marker, own) in enumerate(parts):
-                out.append((conv, turn, k, h, known, known >= 0 and not held_out(conv), features(marker, own, turn == 0 and k == 0), own))
-        frame = pd.DataFrame(out, columns=["conv_id", "turn", "seg", "h", "role", "learned", "f", "text"])
-        yield frame.astype({"conv_id": "Int64", "turn": "Int64"})
-
-
-def _key(conv) -> int | None:
-    return None if pd.isna(conv) else int(conv)
+                made = (conv, turn, h, row, k, known, known >= 0 and not held_out(conv), features(marker, own, turn == 0 and k == 0), own)
+                for to, x in zip(out, made, strict=True):
+                    to.append(x)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int32()), pa.string())
+        names = ["conv_id", "turn", "h", "row", "seg", "role", "learned", "f", "text"]
+        yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=names)
 
 
-def _count_rows(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Partial emission and transition counts of one partition; the pair across its start is left out."""
-    pdf = pdf.sort_values("n")
-    role, conv, learned = pdf["role"].to_numpy(), [_key(x) for x in pdf["conv_id"]], pdf["learned"].to_numpy()
+def _mark_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ``same`` to the rows of a partition in order: 1 where the row before is of the same conversation, 2 for its first row."""
+    before: list = []
+    for batch in batches:
+        conv = batch.column("conv_id").to_pylist()
+        shifted = (before or [None]) + conv[:-1]
+        same = [int(x == y) for x, y in zip(shifted, conv, strict=True)]
+        if same and not before:
+            same[0] = 2
+        before = conv[-1:] or before
+        yield pa.record_batch([*batch.columns, pa.array(same, pa.int32())], names=[*batch.schema.names, "same"])
+
+
+def _count_rows(table: pa.Table) -> pa.Table:
+    """Partial emission, transition and begin counts of one block, and (a = -1, -2) the roles at its ends."""
+    table = table.sort_by("n")
+    role, learned, same = (table.column(x).to_numpy() for x in ("role", "learned", "same"))
     counts: dict[tuple[int, int, int], int] = {}
-    for k, f in enumerate(pdf["f"]):
+    for k, f in enumerate(table.column("f").to_pylist()):
         if learned[k]:
-            before = role[k - 1] if k and conv[k - 1] == conv[k] else None
             keys = [(j, int(role[k]), int(v)) for j, v in enumerate(f)]
-            if k and before is not None and before >= 0:
-                keys.append((len(WIDTHS), int(before), int(role[k])))
-            elif k and conv[k - 1] != conv[k]:
+            if k and same[k]:
+                keys += [(len(WIDTHS), int(role[k - 1]), int(role[k]))] if role[k - 1] >= 0 else []
+            elif k:
                 keys.append((len(WIDTHS) + 1, 0, int(role[k])))
             for key in keys:
                 counts[key] = counts.get(key, 0) + 1
-    return pd.DataFrame([(*k, v) for k, v in counts.items()], columns=["a", "b", "c", "n"], dtype="int64")
+    block = table.column("block")[0].as_py()
+    rows = [(*k, v) for k, v in counts.items()] + [(-1, block, int(role[0]) if learned[0] else -1, 0), (-2, block, int(role[-1]), 0)]
+    return pa.table({x: pa.array([r[j] for r in rows], pa.int64()) for j, x in enumerate("abcn")})
+
+
+def step_counts(ends: list[tuple[int, int, int]], joined: set[int]) -> dict[tuple[int, int, int], int]:
+    """Transitions and begins at the starts of blocks, from (-1, block, learned role of its first row) and (-2, block,
+    role of its last), -1 for none. ``joined`` are the blocks that go on with the conversation before."""
+    first, last = {b: c for a, b, c in ends if a == -1}, {b: c for a, b, c in ends if a == -2}
+    out: dict[tuple[int, int, int], int] = {}
+    before = -1
+    for block in sorted(first):
+        role = first[block]
+        key = (len(WIDTHS), before, role) if block in joined else (len(WIDTHS) + 1, 0, role)
+        if role >= 0 and key[1] >= 0:
+            out[key] = out.get(key, 0) + 1
+        before = last[block]
+    return out
 
 
 class Chain:
@@ -117,41 +151,44 @@ class Chain:
         self.begin = np.log(begin / begin.sum())
         # a marker names its speaker, whatever the labelled rows hold
         for r in range(len(ROLES)):
+            marked = 1 - np.exp(self.emit[0][r, 0])
             for m in range(1, len(ROLES) + 1):
-                self.emit[0][r, m] = np.log(0.9 if m == r + 1 else 0.02)
+                self.emit[0][r, m] = np.log(marked * (NAMED if m == r + 1 else (1 - NAMED) / (len(ROLES) - 1)))
 
     def scores(self, f: np.ndarray) -> np.ndarray:
         return sum(t[:, f[:, j]].T for j, t in enumerate(self.emit))
 
 
+def _scores(chain: Chain, table: pa.Table) -> np.ndarray:
+    return chain.scores(np.array(table.column("f").to_pylist(), int))
+
+
 def _ends(chain: Chain):
-    def rows(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Of the first and the last conversation of a partition: its (max, +) matrix, from the role before it to the role at its end."""
-        pdf = pdf.sort_values("n")
-        conv = [_key(x) for x in pdf["conv_id"]]
-        e = chain.scores(np.stack(pdf["f"].to_list()))
-        first = next((k for k, c in enumerate(conv) if c != conv[0]), len(conv))
-        last = next((k for k in range(len(conv) - 1, -1, -1) if conv[k] != conv[-1]), -1) + 1
+    def rows(table: pa.Table) -> pa.Table:
+        """Of the first and the last conversation of a block: its (max, +) matrix, from the role before it to the role at its end."""
+        table = table.sort_by("n")
+        same = table.column("same").to_numpy()
+        conv = np.cumsum((same == 0) & (np.arange(len(same)) > 0))
+        e = _scores(chain, table)
+        first, last = int(np.searchsorted(conv, conv[0], side="right")), int(np.searchsorted(conv, conv[-1]))
         out = []
         for which, (i, j) in enumerate([(0, first)] + ([(last, len(conv))] if last else [])):
-            m = chain.move + e[i]
+            m, begin = chain.move + e[i], chain.begin + e[i]
             for t in range(i + 1, j):
                 m = (m[:, :, None] + chain.move[None]).max(axis=1) + e[t]
-            begin = e[i] + chain.begin
-            for t in range(i + 1, j):
                 begin = (begin[:, None] + chain.move).max(axis=0) + e[t]
-            out.append((int(pdf["pid"].iloc[0]), which, conv[i], m.ravel().tolist(), begin.tolist()))
-        return pd.DataFrame(out, columns=["pid", "which", "conv_id", "m", "begin"]).astype({"conv_id": "Int64"})
+            out.append({"block": table.column("block")[0].as_py(), "which": which, "m": m.ravel().tolist(), "begin": begin.tolist()})
+        return pa.Table.from_pylist(out, pa.schema([("block", pa.int64()), ("which", pa.int32()), ("m", pa.list_(pa.float64())), ("begin", pa.list_(pa.float64()))]))
 
     return rows
 
 
-def chain_partitions(ends: list, chain: Chain) -> dict[int, tuple[list | None, int | None]]:
-    """{partition: (entry scores of its first conversation, exit role of its last)}, None where these start or end inside it."""
-    ends = sorted(ends, key=lambda r: (r["pid"], r["which"]))
+def chain_blocks(ends: list, joined: set[int], chain: Chain) -> dict[int, tuple[list | None, int | None]]:
+    """{block: (entry scores of its first conversation, exit role of its last)}, None where these start or end inside it."""
+    ends = sorted(ends, key=lambda r: (r["block"], r["which"]))
     runs: list[list] = []
     for row in ends:
-        if row["which"] == 0 and runs and runs[-1][-1]["conv_id"] == row["conv_id"] and runs[-1][-1]["pid"] != row["pid"]:
+        if row["which"] == 0 and runs and row["block"] in joined:
             runs[-1].append(row)
         else:
             runs.append([row])
@@ -162,7 +199,7 @@ def chain_partitions(ends: list, chain: Chain) -> dict[int, tuple[list | None, i
             alphas.append((alphas[-1][:, None] + np.reshape(row["m"], chain.move.shape)).max(axis=0))
         state = int(np.argmax(alphas[-1]))
         for k in range(len(run) - 1, -1, -1):
-            own = out.setdefault(run[k]["pid"], [None, None])
+            own = out.setdefault(run[k]["block"], [None, None])
             if k < len(run) - 1:
                 own[1] = state
             if k:
@@ -172,33 +209,56 @@ def chain_partitions(ends: list, chain: Chain) -> dict[int, tuple[list | None, i
 
 
 def _decode(chain: Chain, edges: dict):
-    def rows(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("n").reset_index(drop=True)
-        entry, leave = edges.get(int(pdf["pid"].iloc[0]), (None, None))
-        conv = [_key(x) for x in pdf["conv_id"]]
-        e = chain.scores(np.stack(pdf["f"].to_list()))
+    def rows(table: pa.Table) -> pa.Table:
+        table = table.sort_by("n")
+        entry, leave = edges.get(table.column("block")[0].as_py(), (None, None))
+        same = table.column("same").to_numpy() > 0
+        e = _scores(chain, table)
         back = np.zeros(e.shape, int)
         alpha = np.zeros(e.shape)
-        for t in range(len(conv)):
-            if t == 0 and entry is None or t and conv[t] != conv[t - 1]:
+        for t in range(len(same)):
+            if t == 0 and entry is None or t and not same[t]:
                 alpha[t] = chain.begin + e[t]
             else:
                 step = (np.array(entry) if t == 0 else alpha[t - 1])[:, None] + chain.move
                 back[t] = step.argmax(axis=0)
                 alpha[t] = step.max(axis=0) + e[t]
-        roles = np.zeros(len(conv), int)
-        for t in range(len(conv) - 1, -1, -1):
-            if t + 1 < len(conv) and conv[t + 1] == conv[t]:
+        roles = np.zeros(len(same), int)
+        for t in range(len(same) - 1, -1, -1):
+            if t + 1 < len(same) and same[t + 1]:
                 roles[t] = back[t + 1][roles[t + 1]]
             else:
-                roles[t] = leave if t + 1 == len(conv) and leave is not None else int(alpha[t].argmax())
+                roles[t] = leave if t + 1 == len(same) and leave is not None else int(alpha[t].argmax())
         names = [ROLES[k] for k in roles]
-        text = [f"<|{r}|>\n{x}\n<|end|>\n" for r, x in zip(names, pdf["text"], strict=True)]
-        return pd.DataFrame({"conv_id": pdf["conv_id"].astype("Int64"), "turn": pdf["turn"].astype("Int64"), "seg": pdf["seg"], "role_pred": names, "rendered": text})
+        text = [f"<|{r}|>\n{x}\n<|end|>\n" for r, x in zip(names, table.column("text").to_pylist(), strict=True)]
+        made = {x: table.column(x) for x in ("conv_id", "turn", "seg")}
+        return pa.table(made | {"role_pred": pa.array(names, pa.string()), "rendered": pa.array(text, pa.string())})
 
     return rows
 
 
+def learn_chain(dealt: DataFrame) -> tuple[Chain, set[int]]:
+    """The model over all segments, and the blocks that go on with the conversation of the block before."""
+    ends = dealt.groupBy("block").agg(F.min_by(F.struct("same", "conv_id"), "n").alias("head"), F.max_by(F.struct("conv_id"), "n").alias("tail"))
+    ends = sorted(ends.select("block", "head.same", "head.conv_id", F.col("tail.conv_id").alias("last")).collect(), key=lambda r: r["block"])
+    joined = {r["block"] for before, r in zip(ends, ends[1:], strict=False) if r["same"] == 1 or r["same"] == 2 and before["last"] == r["conv_id"]}
+    counts = dealt.select("block", "n", "role", "learned", "same", "f").groupBy("block").applyInArrow(_count_rows, "a long, b long, c long, n long")
+    counts = counts.groupBy("a", "b", "c").agg(F.sum("n").alias("n")).collect()
+    total = {(r["a"], r["b"], r["c"]): r["n"] for r in counts if r["a"] >= 0}
+    for key, n in step_counts([(r["a"], r["b"], r["c"]) for r in counts if r["a"] < 0], joined).items():
+        total[key] = total.get(key, 0) + n
+    return Chain(total), joined
+
+
+def segments(turns: DataFrame) -> DataFrame:
+    """All segments in order of their conversations, in blocks of bounded rows."""
+    rows = turns.select("conv_id", "turn", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"), "role", "text").mapInArrow(_segment_rows, _SEGMENTS)
+    # rows that are alike in all but ``row`` may be told apart by it; what they give is the same
+    order = ["conv_id", "turn", "h", "seg", "role", "row"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_mark_rows, f"{_SEGMENTS}, same int")
+    return keep(rows.withColumn("n", F.monotonically_increasing_id()).withColumn("block", F.shiftright("n", BLOCK)), "segments")
+
+
 def format_chats(turns: DataFrame) -> DataFrame:
     """Roles and canonical text of transcripts.
 
@@ -209,19 +269,15 @@ def format_chats(turns: DataFrame) -> DataFrame:
     label to learn from: null or unknown roles teach nothing, and conversations
     whose crc32(conv_id as text) mod 5 is 0 are never learned from. A null text
     is an empty segment. Rows of a null conv_id are one conversation; a null
-    turn comes first; repeated turns stand in order of their text's hash.
+    turn comes first; repeated turns stand in order of their text's hash, and
+    segments of repeated rows side by side. The result doesn't depend on the
+    number of partitions.
     """
-    spark = turns.sparkSession
-    order = ["conv_id", "turn", "h", "seg"]
-    rows = turns.select("conv_id", "turn", F.xxhash64("text").alias("h"), "role", "text").mapInPandas(_segment_rows, _SEGMENTS)
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("pid", F.spark_partition_id()).withColumn("n", F.monotonically_increasing_id())
-    dealt = keep(dealt, "segments")
-    by_part = dealt.select("pid", "n", "conv_id", "role", "learned", "f").groupBy("pid")
-    counts = by_part.applyInPandas(_count_rows, "a long, b long, c long, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n")).collect()
-    chain = Chain({(r["a"], r["b"], r["c"]): r["n"] for r in counts})
-    ends = by_part.applyInPandas(_ends(chain), "pid int, which int, conv_id long, m array<double>, begin array<double>").collect()
-    edges = chain_partitions(ends, chain)
-    return dealt.groupBy("pid").applyInPandas(_decode(chain, edges), "conv_id long, turn long, seg int, role_pred string, rendered string")
+    dealt = segments(turns)
+    chain, joined = learn_chain(dealt)
+    slim = dealt.select("block", "n", "same", "f").groupBy("block").applyInArrow(_ends(chain), "block long, which int, m array<double>, begin array<double>")
+    edges = chain_blocks(slim.collect(), joined, chain)
+    return dealt.groupBy("block").applyInArrow(_decode(chain, edges), "conv_id long, turn long, seg int, role_pred string, rendered string")
 
 
 def op1_chat_format(spark, sf_dir: str) -> DataFrame:

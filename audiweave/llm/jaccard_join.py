@@ -42,8 +42,10 @@ TILE, ROWS = 1 << 16, 512
 COLUMNS = 1 << 17
 #: Counts from here on are one in the order of shingles.
 COMMON = 16
+#: Parts of a common shingle's classes that tasks tie together.
+SALTS = 64
 #: Bytes of text whose shingles are counted together before they leave a task.
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 
 
 def lack(n, percent: int):
@@ -53,7 +55,7 @@ def lack(n, percent: int):
 
 def spare(n, percent: int):
     """Shingles of its longer prefix that a set of ``n`` shares with a linking set, at least; never falls as n grows."""
-    return np.minimum(1 + n // 16, n - lack(n, percent))
+    return np.minimum(1 + n // 8, n - lack(n, percent))
 
 
 def _fresh(seen: set[int], a: np.ndarray) -> np.ndarray:
@@ -310,7 +312,7 @@ def candidates(texts: DataFrame, byclass: DataFrame, words: int, percent: int) -
     rows = rows.select(F.explode(told).alias("a"), (F.col("known") + F.when(another, 1).otherwise(0)).alias("k"))
     shared = rows.groupBy("a").agg(F.sum("k").alias("k"))
     partner = F.ceil(F.col("n") * percent / 100)
-    least = F.least(1 + F.floor(partner / 16), F.ceil(partner * percent / 100))
+    least = F.least(1 + F.floor(partner / 8), F.ceil(partner * percent / 100))
     return byclass.join(shared, "a").where(F.col("k") >= least).drop("k")
 
 
@@ -326,26 +328,20 @@ def families(sets: DataFrame, percent: int) -> DataFrame:
     alone = F.col("n") - F.col("own")
     early = placed.join(sets.select("a", "n"), "a").where(F.col("at") <= lacking + 1 - alone)
     early = keep(early.select("a", "gram"), "prefixes")
-    # tied to the least class by a sum that tasks begin, so a common shingle is no group of its own
-    tied = early.groupBy("gram").agg(F.min("a").alias("v"))
-    edges = keep(early.join(tied, "gram").where("a <> v").select(F.col("a").alias("u"), "v").distinct(), "chain")
+    # the classes of a shingle are tied to the least of their part, and these to the least of all, so a common one is no single task
+    early = early.withColumn("part", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
+    parts = early.groupBy("gram", "part").agg(F.min("a").alias("v"))
+    tops = parts.groupBy("gram").agg(F.min("v").alias("w"))
+    edges = early.join(parts, ["gram", "part"]).select(F.col("a").alias("u"), "v").union(parts.join(tops, "gram").select(F.col("v").alias("u"), F.col("w").alias("v")))
+    edges = keep(edges.where("u <> v").distinct(), "chain")
     out = connected_components(edges).withColumnsRenamed({"node": "a", "label": "family"})
     drop(early)
     return out
 
 
-def jaccard_join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """Components of the graph that links documents of alike shingle sets.
-
-    Takes doc_id bigint and text; other columns are ignored. Returns one row
-    per input row: doc_id, n_shingles, component_id (least doc_id reachable by
-    links), n_links (other rows that the row links with). A null or wordless
-    text has an empty set and links with nothing, so its component is its own
-    doc_id. Rows of a null doc_id link like others but name no component (it
-    is null where no row of the component has an id). Rows that repeat a
-    doc_id count as separate texts.
-    """
-    spark = docs.sparkSession
+def jaccard_rows(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
+    """What ``jaccard_join`` returns, with ``h`` (xxhash64 of the text) and ``group``
+    (a name of the row's component; null for an empty set)."""
     texts = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     classes = keep(texts.mapInArrow(_class_rows(words), "doc_id long, h long, n_shingles long, a long, b long"), "classes")
     some = classes.where("n_shingles > 0")
@@ -378,16 +374,30 @@ def jaccard_join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFram
     named = byclass.select("a", "b", "copies", F.col("by.doc_id").alias("least")).join(labels.withColumnRenamed("node", "a"), "a", "left").join(totals, "a", "left")
     group = F.coalesce("label", "a")
     ids = named.groupBy(group.alias("group")).agg(F.min("least").alias("component_id"))
-    named = keep(named.withColumn("group", group).join(ids, "group").select("a", "b", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "named")
+    named = keep(named.withColumn("group", group).join(ids, "group").select("a", "b", "group", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "named")
     for table in (met, sets, placed, tiled, found, byclass):
         drop(table)
     return classes.join(named, ["a", "b"], "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), "h", "group",
     )
 
 
+def jaccard_join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
+    """Components of the graph that links documents of alike shingle sets.
+
+    Takes doc_id bigint and text; other columns are ignored. Returns one row
+    per input row: doc_id, n_shingles, component_id (least doc_id reachable by
+    links), n_links (other rows that the row links with). A null or wordless
+    text has an empty set and links with nothing, so its component is its own
+    doc_id. Rows of a null doc_id link like others but name no component (it
+    is null where no row of the component has an id). Rows that repeat a
+    doc_id count as separate texts.
+    """
+    return jaccard_rows(docs, words, percent).drop("h", "group")
+
+
 ORACLE = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents

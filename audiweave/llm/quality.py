@@ -1,12 +1,14 @@
 """Quality classifier: random-indexing word vectors and a two-layer network.
 
-Every word or run of signs falls in one of ``BUCKETS`` by hash. A bucket has a
-fixed sparse ternary index vector, and its context vector is the sum of the
-index vectors around it over the whole corpus: tasks add these up, Spark sums
-them by bucket, and the driver holds one table of fixed size. A document is the
-mean and the mean square of its words' vectors. The network is fitted in numpy
-on a bounded sample of labelled documents, its temperature on a part of the
-sample kept back.
+Every word or run of signs has a sparse ternary index vector of its own, drawn
+from its hash. Words fall in one of ``BUCKETS`` by hash; the context vector of a
+bucket is the sum of the index vectors around its words over the whole corpus:
+tasks add these up, Spark sums them by bucket, and the driver holds one table of
+fixed size. A document is the mean and the root mean square of its words'
+vectors, and three counts beside them: the norm of the mean, the logarithm of
+its words, and that of the share of distinct ones. The network is fitted in
+numpy on a bounded sample of labelled documents, its temperature on a part of
+the sample kept back.
 """
 
 from __future__ import annotations
@@ -18,21 +20,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audiweave.llm.textbytes import U, WORD_OR_SIGN, Words, chunks
+from audiweave.llm.textbytes import U, WORD_OR_SIGN, Words, chunks, mix
 
 BUCKETS, WIDTH, NONZERO, REACH = 1 << 13, 32, 4, 2
 HIDDEN, EPOCHS, LEARNED = 24, 40, 20_000
 ACCEPT = 0.3
-_rng = np.random.default_rng(11)
-INDEX_AT = np.array([_rng.choice(WIDTH, NONZERO, replace=False) for _ in range(BUCKETS)])
-INDEX_SIGN = _rng.choice([-1, 1], (BUCKETS, NONZERO))
-
-
 def _tokens(column: pa.Array) -> tuple[np.ndarray, Words]:
     words = Words(column, member=WORD_OR_SIGN)
     return (words.hash % U(BUCKETS)).astype(np.int64), words
 
 
+def index_vectors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, whether positive) of the ``NONZERO`` entries of each word's index vector."""
+    drawn = mix(hashes ^ U(0x3C79AC492BA7B653))
+    shift = np.arange(NONZERO, dtype=U)
+    return ((drawn[:, None] >> shift * U(8)) % U(WIDTH)).astype(np.int64), (drawn[:, None] >> (shift + U(48))) & U(1) > 0
+
+
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS * WIDTH, np.int64)
     seen = np.zeros(BUCKETS, np.int64)
@@ -144,7 +148,7 @@ def _pooled_rows(shared):
         for batch in batches:
             for part in chunks(batch, "text"):
                 x = pooled(part.column("text"), shared.value)
-                yield pa.record_batch([part.column("doc_id"), part.column("label"), pa.array(list(x))], names=["doc_id", "label", "x"])
+                yield pa.record_batch([part.column("doc_id"), part.column("h"), part.column("label"), pa.array(list(x))], names=["doc_id", "h", "label", "x"])
 
     return rows
 
@@ -163,24 +167,31 @@ def _score_rows(shared, name: str):
 def learn(docs: DataFrame, labelled: DataFrame, most: int = LEARNED) -> tuple[np.ndarray, Network]:
     """Word vectors over ``docs`` and a network over ``labelled`` (doc_id, label 0 or 1).
 
-    At most ``most`` labelled rows, least by hash of doc_id, are learned from.
+    At most ``most`` labelled ids, least by hash, are learned from; of the rows
+    of a repeated id that of the least text hash, and of its labels the greatest.
     Without labels the network is left as drawn and scores say nothing.
     """
     spark = docs.sparkSession
     table = word_vectors(docs)
     marks = labelled.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
-    got = rows.mapInArrow(_pooled_rows(spark.sparkContext.broadcast(table)), "doc_id long, label double, x array<double>").dropDuplicates(["doc_id"]).toPandas()
-    got = got.sort_values("doc_id")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").join(F.broadcast(marks), "doc_id").select("doc_id", "h", "label", "text")
+    shared = spark.sparkContext.broadcast(table)
+    found = rows.mapInArrow(_pooled_rows(shared), "doc_id long, h long, label double, x array<double>")
+    got = found.groupBy("doc_id").agg(F.min_by(F.struct("label", "x"), "h").alias("of")).select("doc_id", "of.*").toPandas().sort_values("doc_id")
     x = np.stack(got["x"].to_list()) if len(got) else np.zeros((0, 2 * WIDTH + 3))
     return table, Network(x, got["label"].to_numpy(float))
 
 
 def score_quality(docs: DataFrame, model: tuple[np.ndarray, Network], name: str = "score") -> DataFrame:
     """Adds the score (0 to 1) of every row's whole text; null and empty texts
-    get that of a text without words. All columns stay; ``name`` is the new one's."""
+    get that of a text without words. All columns stay; a column that is called
+    ``name`` already becomes ``in_<name>`` (with more ``in_`` where that is there too)."""
     spark = docs.sparkSession
+    fresh = f"in_{name}"
+    while fresh in docs.columns:
+        fresh = f"in_{fresh}"
+    docs = docs.withColumnsRenamed({name: fresh})
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(_score_rows(spark.sparkContext.broadcast(model), name), f"{fields}, `{name}` double")
 

@@ -1,7 +1,8 @@
 """URL verdicts: host and path rules, else a path-template tree.
 
 Per host, runs of digits become wildcards, and so do the segments below a node
-whose children are many and seldom visited again (slugs). Pages of a rule are
+whose next child is likely to be new (slugs): the share of visits to children seen
+once estimates that chance, whatever the size of the crawl. Pages of a rule are
 the labels. Templates of a host that differ in one segment merge where their
 labelled shares of blocked pages are alike by a homogeneity test. A template is
 rejected by its blocked share, smoothed towards that of the same template on
@@ -12,14 +13,19 @@ shapes cost.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from audiweave.llm.scratch import keep
+from audiweave.llm.scratch import drop, keep
 
 #: (host, path, verdict); a rule fits its host and all subdomains.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-DEPTH, MANY, SMOOTH, REJECT = 4, 10, 8.0, 0.8
+#: Chance of a new child from which a segment varies, pages of the prior, and blocked share of a rejected template.
+NOVEL, SMOOTH, REJECT = 0.3, 8.0, 0.8
+#: Shapes below a node that can show such a chance, at least: all seen once, and f - 2 sqrt(f) >= NOVEL f.
+LEAST = math.ceil((2 / (1 - NOVEL)) ** 2)
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -42,26 +48,34 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def shape_of(path: Column) -> Column:
-    """Segments with runs of digits as ``*``; those past ``DEPTH`` are one ``**``."""
-    segments = F.filter(F.split(F.regexp_replace(path, "[0-9]+", "*"), "/"), lambda x: x != "")
-    deep = F.concat(F.slice(segments, 1, DEPTH), F.array(F.lit("**")))
-    return F.array_join(F.when(F.size(segments) > DEPTH, deep).otherwise(segments), "/")
+    """Segments with runs of digits as ``*``."""
+    return F.array_join(F.filter(F.split(F.regexp_replace(path, "[0-9]+", "*"), "/"), lambda x: x != ""), "/")
 
 
 def templates(shapes: DataFrame) -> DataFrame:
     """Adds ``template`` to (host, shape, n, blocked, labelled): level by level,
-    segments below a node with many seldom-visited children become ``*``."""
+    segments below a node become ``*`` where a new child is likely, its chance
+    being f / n of n visits to children, f of them to children seen once, less
+    two deviations. Levels end where no host has shapes enough to show that;
+    what is deeper stays as it is."""
     out = shapes.withColumns({"segments": F.split("shape", "/"), "template": F.lit("")})
-    for level in range(DEPTH + 1):
+    level = 0
+    while True:
         own = F.get("segments", F.lit(level))
+        most = out.where(own.isNotNull()).groupBy("host").agg(F.count("*").alias("m")).agg(F.max("m")).first()[0]
+        if (most or 0) < LEAST:
+            break
         children = out.where(own.isNotNull()).groupBy("host", "template", own.alias("own")).agg(F.sum("n").alias("n"))
-        nodes = children.groupBy("host", "template").agg((F.count("*") >= MANY).alias("many"), (2 * F.count("*") >= F.sum("n")).alias("seldom"))
-        nodes = nodes.select(F.col("host").alias("h"), F.col("template").alias("t"), (F.col("many") & F.col("seldom")).alias("wild"))
-        out = out.join(nodes, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")), "left")
+        nodes = children.groupBy("host", "template").agg(F.count_if(F.col("n") == 1).alias("f"), F.sum("n").alias("n"))
+        nodes = nodes.select(F.col("host").alias("h"), F.col("template").alias("t"), (F.col("f") - 2 * F.sqrt("f") >= NOVEL * F.col("n")).alias("wild"))
+        placed = out.join(nodes, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")), "left")
         step = F.concat("template", F.lit("/"), F.when(F.col("wild"), "*").otherwise(own))
-        out = out.withColumn("template", F.when(own.isNotNull(), step).otherwise(F.col("template"))).drop("h", "t", "wild")
-        out = keep(out, "templates")
-    return out.drop("segments")
+        placed = keep(placed.withColumn("template", F.when(own.isNotNull(), step).otherwise(F.col("template"))).drop("h", "t", "wild"), "templates")
+        if level:
+            drop(out)
+        out, level = placed, level + 1
+    rest = F.slice("segments", level + 1, F.greatest(F.size("segments") - level, F.lit(0)))
+    return out.withColumn("template", F.array_join(F.concat(F.array("template"), rest), "/")).drop("segments")
 
 
 def merged(nodes: DataFrame) -> DataFrame:
