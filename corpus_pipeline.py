@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audiweave.llm.decontaminate import contamination
-from audiweave.llm.jaccard_join import jaccard_join
+from audiweave.llm.jaccard_join import jaccard_rows
 from audiweave.llm.packing import pack
 from audiweave.llm.pii import find_personal_data, redact
 from audiweave.llm.quality import ACCEPT, learn, learned_marks, score_quality
@@ -20,15 +20,28 @@ from audiweave.llm.scratch import keep
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    scored = score_quality(docs, learn(docs, learned_marks(spark, sf_dir)), "_score")
-    return scored.where(F.col("_score") >= ACCEPT).drop("_score")
+    name = "score"
+    while name in docs.columns:
+        name = f"_{name}"
+    scored = score_quality(docs, learn(docs, learned_marks(spark, sf_dir)), name)
+    return scored.where(F.col(name) >= ACCEPT).drop(name)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of documents linked by five-word shingles stays, that of the least doc_id."""
-    groups = jaccard_join(docs, words=5, percent=80).select("doc_id", "component_id")
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
+    """One row of each group of documents linked by five-word shingles stays: that of the least doc_id (null
+    ids last), then of the least text hash. Rows alike in doc_id and text are one; wordless ones are in no group."""
+    rows = keep(jaccard_rows(docs, words=5, percent=80).select("doc_id", "h", "group"), "groups")
+    first = F.min(F.struct(F.isnull("doc_id").alias("void"), "doc_id", "h")).alias("by")
+    stay = rows.where("group is not null").groupBy("group").agg(first).select("by.doc_id", "by.h")
+    stay = stay.union(rows.where("group is null").select("doc_id", "h").distinct())
+    times = rows.groupBy("doc_id", "h").agg(F.count("*").alias("times"))
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["h"].eqNullSafe(b["h"])
+    stay = keep(stay.join(times, same(stay, times)).select(times["doc_id"].alias("id"), times["h"].alias("t"), "times"), "stay")
+    own = docs.withColumn("_h", F.xxhash64("text"))
+    at = lambda part: own["doc_id"].eqNullSafe(part["id"]) & own["_h"].eqNullSafe(part["t"])
+    once, often = stay.where("times = 1"), stay.where("times > 1")
+    repeated = own.join(often, at(often), "left_semi").dropDuplicates(["doc_id", "_h"])
+    return own.join(once, at(once), "left_semi").union(repeated).drop("_h")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +70,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: The stages hold trained models and token ids, which SQL can't express; tests hold them against brute-force versions.
+#: The stages hold trained models and token ids, which SQL can't express; a test works out the rows of every stage in plain Python.
 ORACLE_SQL = None
 
 
