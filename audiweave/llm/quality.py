@@ -44,13 +44,12 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for part in chunks(batch, "text"):
             bucket, words = _tokens(part.column("text"))
             seen += np.bincount(bucket, minlength=BUCKETS)
+            at, plus = index_vectors(words.hash)
             for step in range(1, REACH + 1):
-                same = words.doc[step:] == words.doc[:-step]
-                left, right = bucket[:-step][same], bucket[step:][same]
-                for own, other in ((left, right), (right, left)):
+                left = np.flatnonzero(words.doc[step:] == words.doc[:-step])
+                for own, other in ((left, left + step), (left + step, left)):
                     for k in range(NONZERO):
-                        cell = own * WIDTH + INDEX_AT[other, k]
-                        sign = INDEX_SIGN[other, k] > 0
+                        cell, sign = bucket[own] * WIDTH + at[other, k], plus[other, k]
                         total += np.bincount(cell[sign], minlength=len(total)) - np.bincount(cell[~sign], minlength=len(total))
     some = np.flatnonzero(seen)
     vectors = total.reshape(BUCKETS, WIDTH)[some]
