@@ -30,18 +30,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of documents linked by five-word shingles stays: that of the least doc_id (null
     ids last), then of the least text hash. Rows alike in doc_id and text are one; wordless ones are in no group."""
-    rows = keep(jaccard_rows(docs, words=5, percent=80).select("doc_id", "h", "group"), "groups")
-    first = F.min(F.struct(F.isnull("doc_id").alias("void"), "doc_id", "h")).alias("by")
-    stay = rows.where("group is not null").groupBy("group").agg(first).select("by.doc_id", "by.h")
-    stay = stay.union(rows.where("group is null").select("doc_id", "h").distinct())
-    times = rows.groupBy("doc_id", "h").agg(F.count("*").alias("times"))
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["h"].eqNullSafe(b["h"])
-    stay = keep(stay.join(times, same(stay, times)).select(times["doc_id"].alias("id"), times["h"].alias("t"), "times"), "stay")
+    rows = keep(jaccard_rows(docs, words=5, percent=80).select(F.col("doc_id").alias("id"), F.col("h").alias("t"), "group"), "groups")
+    # wordless rows are groups of their own
+    own_group = F.coalesce(F.col("group"), F.xxhash64("id", "t"))
+    keys = rows.groupBy(own_group.alias("group"), F.col("group").isNull().alias("wordless"), "id", "t").agg(F.count("*").alias("times"))
+    first = F.min(F.struct(F.isnull("id").alias("void"), "id", "t", "times")).alias("by")
+    stay = keep(keys.groupBy("group", "wordless").agg(first).select("by.id", "by.t", "by.times"), "stay")
     own = docs.withColumn("_h", F.xxhash64("text"))
-    at = lambda part: own["doc_id"].eqNullSafe(part["id"]) & own["_h"].eqNullSafe(part["t"])
-    once, often = stay.where("times = 1"), stay.where("times > 1")
-    repeated = own.join(often, at(often), "left_semi").dropDuplicates(["doc_id", "_h"])
-    return own.join(once, at(once), "left_semi").union(repeated).drop("_h")
+    same = own["doc_id"].eqNullSafe(F.col("id")) & (own["_h"] == F.col("t"))
+    once = own.join(stay.where("times = 1"), same, "left_semi")
+    repeated = own.join(stay.where("times > 1"), same, "left_semi").dropDuplicates(["doc_id", "_h"])
+    return once.union(repeated).drop("_h")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
