@@ -9,17 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Substring lists that group referrers, tested in this order.
-SOCIAL = ("facebook", "twitter", "linkedin", "instagram", "reddit", "t.co")
-SEARCH = ("google", "bing", "yahoo", "duckduckgo", "ask")
-MAIL = ("mail", "outlook")
-#: Agent substrings and their groups; the first that is held wins.
-SYSTEMS = (("windows", "windows"), ("linux", "linux"), ("android", "android"), ("iphone", "ios"), ("ipad", "ios"), ("mac", "mac"))
+SOCIAL = ("facebook", "linkedin", "twitter", "t.co/", "youtube", "instagram", "reddit", "pinterest")
+SEARCH = ("ask", "baidu", "bing", "duckduckgo", "google", "yahoo", "yandex")
+MAIL = ("Pardot", "pardot")
+#: Agent substrings and their groups; the first that is held wins, in the given case.
+SYSTEMS = (
+    ("Linux", "linux"), ("Android", "android"), ("Windows NT 10.0", "windows10"), ("Windows", "windows_older"), ("iPhone", "iphone"), ("Macintosh", "macintosh"), ("AppleWebKit", "apple_other"),
+)
 #: Hours added to UTC by continent, and zones by continent.
 OFFSETS = {"EUROPE": 1, "ASIA": 5, "AFRICA": 2, "AMERICA": -6, "MIDDLE EAST": 3}
 ZONES = {"EUROPE": "Europe/Paris", "ASIA": "Asia/Kolkata", "AFRICA": "Africa/Cairo", "AMERICA": "America/Chicago", "MIDDLE EAST": "Asia/Riyadh"}
 #: Names that hold personal data in contact tables.
 PERSONAL = ("salutation", "first_name", "last_name", "email", "phone", "address", "c_name")
-LEGAL_FORMS = ("ltd", "limited", "llc", "inc", "plc", "gmbh", "corp", "co")
+#: Legal forms at the end of company names, without dots.
+LEGAL_FORMS = (
+    "ab", "ag", "aps", "as", "asa", "bhd", "bv", "bvba", "co", "company", "corp", "corporation", "dd", "doo", "eood", "gmbh", "inc", "incorporated", "jsc", "kft", "kg", "kk", "lda", "limited",
+    "llc", "llp", "lp", "ltd", "ltda", "nv", "oao", "ohg", "ood", "ooo", "oy", "oyj", "pjsc", "plc", "pte", "pty", "pvt", "sa", "sarl", "sas", "sdn", "se", "sl", "slu", "spa", "sro", "srl", "ug", "zao", "zrt",
+)
 
 
 def clean_name(name: str) -> str:
@@ -175,10 +181,10 @@ def referrer_group(col: Column, site: Column, network: tuple[str, ...] = ("examp
 
 
 def os_group(col: Column) -> Column:
-    """The first system whose mark the agent holds."""
-    out, agent = F.lit("other"), F.lower(col)
+    """The first system whose mark the agent holds, else other_os; a null or empty agent is other_os."""
+    out = F.lit("other_os")
     for mark, name in reversed(SYSTEMS):
-        out = F.when(F.contains(agent, F.lit(mark)), name).otherwise(out)
+        out = F.when(F.contains(col, F.lit(mark)), name).otherwise(out)
     return out
 
 
@@ -257,10 +263,13 @@ def site_section(col: Column) -> Column:
 
 
 def clean_company(col: Column) -> Column:
-    """L1: lower case, ``&`` as and, no ``group``, legal form or punctuation."""
+    """L1: lower case, ``&`` as and, no ``group``, legal forms (with or without dots, several in a row) or punctuation.
+
+    A name that is nothing but a legal form stays; null stays null."""
     out = F.replace(F.lower(col), F.lit("&"), F.lit(" and "))
     out = F.regexp_replace(out, r"\bgroup\b", "")
-    out = F.regexp_replace(F.trim(out), rf"[ ,]+({'|'.join(LEGAL_FORMS)})\.?$", "")
+    forms = "|".join(r"\.?".join(f) for f in sorted(LEGAL_FORMS, key=len, reverse=True))
+    out = F.regexp_replace(F.trim(out), rf"(?<=[^ ,])(?:[ ,]+(?:{forms})\.?)+$", "")
     return F.trim(F.regexp_replace(F.regexp_replace(out, r"\p{Punct}+", ""), r"\s+", " "))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from audiweave.operators.windows import latest_per
+from audiweave.sources.scratch import written
 
 
 def existing_for(existing: DataFrame, new: DataFrame, entity: str) -> DataFrame:
@@ -207,14 +208,16 @@ def chunk_groups(df: DataFrame, key: str, n: int) -> DataFrame:
     """Chunk number of each whole group: groups in key order fill chunks of about ``n`` rows.
 
     Sums run within ranges of keys and over the totals of the ranges, so no
-    task holds all groups.
+    task holds all groups. Groups are written with their ranges once, since a
+    plan that is run twice may deal them otherwise. Rows of a null key are the
+    first group.
     """
     sizes = df.groupBy(key).agg(F.count("*").alias("rows"))
-    dealt = sizes.repartitionByRange(key).withColumn("_p", F.spark_partition_id())
+    dealt = written(sizes.repartitionByRange(key).withColumn("_p", F.spark_partition_id()), "ranges")
     within = Window.partitionBy("_p").orderBy(key)
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     totals = dealt.groupBy("_p").agg(F.sum("rows").alias("_t")).withColumn("_skip", F.coalesce(F.sum("_t").over(before), F.lit(0)))
-    summed = dealt.withColumn("_own", F.sum("rows").over(within)).join(F.broadcast(totals), "_p")
+    summed = dealt.withColumn("_own", F.sum("rows").over(within)).join(totals, "_p")
     return summed.select(key, "rows", F.floor((F.col("_skip") + F.col("_own") - 1) / n).alias("chunk"))
 
 

@@ -57,3 +57,11 @@ def attribute_stack(base: DataFrame, *parts: DataFrame, key: str = "user_id") ->
 def join_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """F15."""
     return a.join(b, keys)
+
+
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df``, marked for broadcast after its rows were counted up to ``most`` + 1; ValueError where it has more."""
+    n = df.limit(most + 1).count()
+    if n > most:
+        raise ValueError(f"a table that is held against all rows of another has more than {most} rows")
+    return F.broadcast(df)

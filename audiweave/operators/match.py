@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from audiweave.functions.text import clean_title, word_found
+from audiweave.operators.joins import small
 from audiweave.operators.windows import top_n_per
 
 #: Words that mark seniority; a title without one isn't similar to a master with it.
@@ -30,11 +31,12 @@ def closest(names: DataFrame, dictionary: DataFrame, n: int, threshold: int | No
     of a name at least one stands unchanged in any name within the distance,
     moved by the threshold at most, so pieces and places are joined, not all
     names; a name with nothing near gets a null entry. Without one, every name
-    is held against the whole dictionary, which is exact and costs their product.
+    is held against the whole dictionary, which is exact, costs their product and
+    takes a dictionary of bounded size (``joins.small``).
     """
     a, b = names.select(F.col("name")).distinct(), dictionary.select(F.col("name").alias("entry")).distinct()
     if threshold is None:
-        pairs = a.crossJoin(b).withColumn("distance", F.levenshtein("name", "entry"))
+        pairs = a.crossJoin(small(b)).withColumn("distance", F.levenshtein("name", "entry"))
     else:
         pairs = _near_pairs(a, b, threshold).withColumn("distance", F.levenshtein("name", "entry", threshold)).where("distance >= 0")
     ranked = pairs.withColumn("rank", F.row_number().over(_by_distance())).where(F.col("rank") <= n)
@@ -80,19 +82,19 @@ def title_similarity(title: Column, master: Column) -> Column:
 def match_titles(titles: DataFrame, masters: DataFrame) -> DataFrame:
     """(title, master, score) by the cascade, first hit wins.
 
-    Works on distinct titles. Equal titles leave first; of the rest, only pairs
-    that share a word or the first three letters are compared, and a title with
-    no such master is held against all masters by edit distance.
+    Works on distinct titles. Equal titles leave first; the rest are held
+    against all masters, a dictionary of bounded size (``joins.small``), by
+    edit distance and whole words in the JVM. Similarity over 0.7 needs an edit
+    distance under 0.3 of both lengths, since what doesn't match is deleted or
+    inserted, so only such pairs are compared by blocks. Null titles drop out.
     """
-    t, m = titles.select("title").distinct(), masters.select("master").distinct()
+    t, m = titles.select("title").where("title is not null").distinct(), masters.select("master").where("master is not null").distinct()
     exact = t.join(m, F.col("title") == F.col("master")).withColumn("score", F.lit(1.0))
     left = t.join(exact, "title", "left_anti")
-    keys = lambda df, c: df.select(c, F.explode(F.array_union(F.split(c, " "), F.array(F.substring(c, 1, 3)))).alias("key"))
-    pairs = keys(left, "title").join(keys(m, "master"), "key").select("title", "master").distinct()
-    lone = left.join(pairs, "title", "left_anti").join(m, F.levenshtein("title", "master") >= 0)
-    scored = pairs.union(lone).withColumns({
-        "similar": title_similarity(F.col("title"), F.col("master")), "held": word_found(F.col("title"), F.col("master")), "distance": F.levenshtein("title", "master"),
-    })
+    scored = left.crossJoin(small(m)).withColumns({"distance": F.levenshtein("title", "master"), "held": word_found(F.col("title"), F.col("master"))})
+    near = F.col("distance") < 0.3 * (F.length("title") + F.length("master"))
+    close = scored.where(near).withColumn("similar", title_similarity(F.col("title"), F.col("master")))
+    scored = close.unionByName(scored.where(~near).withColumn("similar", F.lit(0.0)))
     best = scored.groupBy("title").agg(
         F.max(F.struct("similar", "master")).alias("s"), F.count_if("held").alias("n_held"), F.min(F.when(F.col("held"), F.col("master"))).alias("h"),
         F.sort_array(F.collect_set(F.when(F.col("held"), F.col("master")))).alias("hs"), F.min(F.struct("distance", "master", "held")).alias("d"),

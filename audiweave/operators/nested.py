@@ -42,12 +42,28 @@ def unpack_options(df: DataFrame) -> DataFrame:
 
 
 def unpack_subquestions(df: DataFrame) -> DataFrame:
-    """Rows of sub-questions (a map of key to struct); numeric keys only, null entries dropped."""
+    """Rows of sub-questions (a map of key to struct); numeric keys only, null entries dropped."""
     out = df.select(*(c for c in df.columns if c != "subquestions"), F.explode("subquestions").alias("sub_key", "_s"))
     return out.where(F.col("sub_key").rlike("^[0-9]+$") & F.col("_s").isNotNull()).select(*(c for c in out.columns if c != "_s"), F.col("_s.question").alias("sub_question"), F.col("_s.answer").alias("sub_answer"))
 
 
-unpack_textboxes = unpack_subquestions
+def unpack_textboxes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Answers of multi-textbox questions, whose columns are named by digits and hold a struct each.
+
+    Only rows without a type are of that kind. A column that isn't null gives a
+    row with ``keys`` and the fields of its struct, ``id`` as ``option_id``;
+    fields that one of the structs lacks are null. Without such columns the
+    result is empty and has the keys alone.
+    """
+    boxes = [f for f in df.schema if f.name.isdigit()]
+    if not boxes:
+        return df.where(F.lit(False)).select(*keys)
+    kinds = {x.name: x.dataType for f in boxes for x in f.dataType}
+    held = {f.name: set(f.dataType.names) for f in boxes}
+    alike = lambda c: F.struct(*((F.col(f"`{c}`.`{x}`") if x in held[c] else F.lit(None)).cast(k).alias("option_id" if x == "id" else x) for x, k in kinds.items()))
+    each = F.array(*(F.when(F.col(f"`{f.name}`").isNotNull(), alike(f.name)) for f in boxes))
+    rows = df.where("type is null").select(*keys, F.explode(F.filter(each, lambda x: x.isNotNull())).alias("_b"))
+    return rows.select(*keys, "_b.*")
 
 
 def simple_answers(df: DataFrame) -> DataFrame:

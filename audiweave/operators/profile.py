@@ -58,12 +58,21 @@ def top_z(df: DataFrame, n: int) -> DataFrame:
 
 
 def health_check(df: DataFrame, dataset: str, table: str) -> DataFrame:
-    """Name, type, coverage and greatest |z| by column, in one aggregate over the table and one over the deviations."""
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    extremes = top_z(df, 1).select("column", F.round(F.abs("z"), 4).alias("max_z"))
+    """Name, type, coverage and greatest |z| (population deviations) by column, in one aggregate.
+
+    The value farthest from the mean is the least or the greatest one. |z| is
+    null for other types, for constant columns and for those of nulls only; an
+    empty table has no rows.
+    """
+    names, kinds = numeric(df), {f.name: f.dataType.simpleString() for f in df.schema}
+    made = [F.count("*").alias("_n"), *(F.try_divide(F.count(c), F.count("*")).alias(f"coverage__{c}") for c in df.columns)]
+    for c in names:
+        own, mean = F.col(c).cast("double"), F.avg(c)
+        made.append(F.try_divide(F.greatest(F.max(own) - mean, mean - F.min(own)), F.stddev_pop(c)).alias(f"max_z__{c}"))
+    wide = df.agg(*made).withColumns({f"max_z__{c}": F.lit(None).cast("double") for c in df.columns if c not in names}).where("_n > 0")
     kind = F.element_at(F.create_map(*(x for c, k in kinds.items() for x in (F.lit(c), F.lit(k)))), F.col("column"))
-    out = coverage(df).join(F.broadcast(extremes), "column", "left")
-    return out.select(F.lit(dataset).alias("dataset"), F.lit(table).alias("table"), "column", kind.alias("type"), F.round("coverage", 4).alias("coverage"), "max_z")
+    out = _stack(wide, df.columns, ["coverage", "max_z"])
+    return out.select(F.lit(dataset).alias("dataset"), F.lit(table).alias("table"), "column", kind.alias("type"), F.round("coverage", 4).alias("coverage"), F.round("max_z", 4).alias("max_z"))
 
 
 def classifier_change(rep: DataFrame, base: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from audiweave.operators.joins import small
 from audiweave.operators.profile import cosine
 from audiweave.operators.windows import latest_per, top_n_per
 
@@ -274,6 +275,8 @@ def period_baseline(rep: DataFrame, start, end, name: str = "f1_score") -> DataF
     return daily.groupBy("domain").agg(F.avg("v").alias("baseline"))
 
 
-def nearest(a: DataFrame, b: DataFrame, cost: Column, key: str) -> DataFrame:
-    """the row of ``b``, a table that fits a broadcast, with the least cost for each row of ``a``."""
-    return latest_per(a.crossJoin(b).withColumn("cost", cost), [key], [F.asc("cost"), *(F.asc(c) for c in b.columns)])
+def nearest(a: DataFrame, b: DataFrame, cost: Column, key: str, most: int = 100_000) -> DataFrame:
+    """the row of ``b`` with the least cost for each row of ``a``; ties go to the lesser row.
+
+    ``b`` is held against all rows, so it has ``most`` rows at most (ValueError beyond)."""
+    return latest_per(a.crossJoin(small(b, most)).withColumn("cost", cost), [key], [F.asc("cost"), *(F.asc(c) for c in b.columns)])

@@ -76,8 +76,8 @@ def g01_views_sessions(spark, sf_dir):
     return G.sessions(views(spark, sf_dir)).groupBy("user_id").agg(*G.views_sessions())
 
 
-@query(f"""{V} SELECT user_id, count(*) FILTER (regexp_matches(referrer, 'facebook|twitter|linkedin|instagram|reddit|t\\.co')) AS visits_social,
- count(*) FILTER (regexp_matches(referrer, 'google|bing|yahoo|duckduckgo|ask')) AS visits_search, count(*) FILTER (regexp_matches(referrer, 'mail|outlook')) AS visits_email,
+@query(f"""{V} SELECT user_id, count(*) FILTER (regexp_matches(referrer, 'facebook|linkedin|twitter|t\\.co/|youtube|instagram|reddit|pinterest')) AS visits_social,
+ count(*) FILTER (regexp_matches(referrer, 'ask|baidu|bing|duckduckgo|google|yahoo|yandex')) AS visits_search, count(*) FILTER (regexp_matches(referrer, 'Pardot|pardot')) AS visits_email,
  count(*) FILTER (contains(referrer, site)) AS visits_own, count(*) FILTER (referrer IS NULL) AS visits_typed FROM v GROUP BY 1""")
 def g02_referrer_visits(spark, sf_dir):
     return views(spark, sf_dir).groupBy("user_id").agg(*G.referrer_visits())
@@ -160,21 +160,22 @@ def f14_last_activity(spark, sf_dir):
     return out.select("user_id", "site", "cluster", micros("last_activity").alias("last_us"))
 
 
-@query(f"""{V}, c AS (SELECT user_id, ts, event_id, title AS company FROM v WHERE event_id % 3 = 0), k AS (SELECT company FROM c GROUP BY 1 ORDER BY count(DISTINCT user_id) DESC, company LIMIT 20),
+@query(f"""{V}, c AS (SELECT user_id, ts, event_id, title AS company FROM v WHERE title IS NOT NULL AND title <> ''), k AS (SELECT company FROM c GROUP BY 1 ORDER BY count(DISTINCT user_id) DESC, company LIMIT 20),
 l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, company) AS k FROM c) WHERE k = 1)
 SELECT user_id, coalesce(k.company, 'Unknown') AS company FROM l LEFT JOIN k USING (company)""")
 def g15_company_of_user(spark, sf_dir):
-    cb = views(spark, sf_dir).where("event_id % 3 = 0").withColumn("company", F.col("title"))
+    cb = views(spark, sf_dir).withColumn("company", F.nullif("title", F.lit("")))
     return G.company_of_user(cb, 20)
 
 
-@query(f"""{V} SELECT event_id, site, CASE WHEN referrer IS NULL THEN 'typed' WHEN regexp_matches(referrer, 'facebook|twitter|linkedin|instagram|reddit|t\\.co') THEN 'social' WHEN regexp_matches(referrer, 'google|bing|yahoo|duckduckgo|ask') THEN 'search'
- WHEN contains(referrer, 'example.net') THEN 'network' WHEN contains(referrer, site) THEN 'own' WHEN regexp_matches(referrer, 'mail|outlook') THEN 'email' ELSE 'other' END AS grp FROM v""")
+@query(f"""{V} SELECT event_id, site, CASE WHEN referrer IS NULL THEN 'typed' WHEN regexp_matches(referrer, 'facebook|linkedin|twitter|t\\.co/|youtube|instagram|reddit|pinterest') THEN 'social' WHEN regexp_matches(referrer, 'ask|baidu|bing|duckduckgo|google|yahoo|yandex') THEN 'search'
+ WHEN contains(referrer, 'example.net') THEN 'network' WHEN contains(referrer, site) THEN 'own' WHEN regexp_matches(referrer, 'Pardot|pardot') THEN 'email' ELSE 'other' END AS grp FROM v""")
 def c22_referrer_group(spark, sf_dir):
     return views(spark, sf_dir).select("event_id", "site", C.referrer_group(F.col("referrer"), F.col("site")).alias("grp"))
 
 
-@query(f"""{V} SELECT event_id, CASE WHEN contains(lower(agent), 'windows') THEN 'windows' WHEN contains(lower(agent), 'linux') THEN 'linux' WHEN contains(lower(agent), 'iphone') THEN 'ios' WHEN contains(lower(agent), 'mac') THEN 'mac' ELSE 'other' END AS os FROM v""")
+@query(f"""{V} SELECT event_id, CASE WHEN agent LIKE '%Linux%' THEN 'linux' WHEN agent LIKE '%Android%' THEN 'android' WHEN agent LIKE '%Windows NT 10.0%' THEN 'windows10' WHEN agent LIKE '%Windows%' THEN 'windows_older'
+ WHEN agent LIKE '%iPhone%' THEN 'iphone' WHEN agent LIKE '%Macintosh%' THEN 'macintosh' WHEN agent LIKE '%AppleWebKit%' THEN 'apple_other' ELSE 'other_os' END AS os FROM v""")
 def c23_os_group(spark, sf_dir):
     return views(spark, sf_dir).select("event_id", C.os_group(F.col("agent")).alias("os"))
 
@@ -216,3 +217,22 @@ def a08_scan_events(spark, sf_dir):
 s AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM g) SELECT user_id, CAST(epoch_us(min(ts)) AS BIGINT) AS start_us, count(*) AS events FROM s GROUP BY user_id, k""")
 def o05_session_windows(spark, sf_dir):
     return stream_sessions(table(spark, sf_dir, "events")).select("user_id", micros("session_start").alias("start_us"), "events")
+
+
+@query(f"""{V}, u AS (SELECT DISTINCT user_id FROM v), a AS (SELECT user_id, count(*) AS n FROM v WHERE value > 50 GROUP BY 1), b AS (SELECT user_id, max(value) AS top FROM v WHERE client = 'web' GROUP BY 1)
+SELECT user_id, n, top FROM u LEFT JOIN a USING (user_id) LEFT JOIN b USING (user_id)""")
+def f02_star(spark, sf_dir):
+    """Aggregates of two sources beside all users; a user without rows in one has nulls."""
+    ev = views(spark, sf_dir)
+    parts = ev.where("value > 50").groupBy("user_id").agg(F.count("*").alias("n")), ev.where("client = 'web'").groupBy("user_id").agg(F.max("value").alias("top"))
+    return G.star(ev.select("user_id").distinct(), *parts)
+
+
+@query(f"""{V} SELECT user_id, site, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM v) WHERE k = 1""")
+def h08_first_per_user(spark, sf_dir):
+    return H.latest_per(views(spark, sf_dir), ["user_id"], [F.asc("ts"), F.asc("event_id")]).select("user_id", "site", "event_id")
+
+
+@query(f"""{V} SELECT event_id, site, CAST(row_number() OVER (PARTITION BY site ORDER BY value DESC, event_id) AS INTEGER) AS position FROM v""")
+def h07_rank_position(spark, sf_dir):
+    return H.rank_position(views(spark, sf_dir), ["site"], [F.desc("value"), F.asc("event_id")]).select("event_id", "site", "position")

@@ -14,9 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _VIEWS = """
 SELECT event_id, user_id, ts, event_type AS site, {title} AS title, value,
   CASE WHEN event_id % 2 = 0 THEN 'web' ELSE 'amp' END AS client, event_id - event_id % 3 AS view_id,
-  CASE event_id % 7 WHEN 0 THEN 'https://www.google.com/search' WHEN 1 THEN 'https://m.facebook.com/x' WHEN 2 THEN NULL WHEN 3 THEN 'https://mail.example.org/'
-    WHEN 4 THEN 'https://news.example.net/' WHEN 5 THEN 'https://' || event_type || '.example.com/' ELSE 'https://other.example.org/' END AS referrer,
-  CASE event_id % 5 WHEN 0 THEN 'Mozilla (Windows NT 10)' WHEN 1 THEN 'Mozilla (Linux; Android 13)' WHEN 2 THEN 'Mozilla (iPhone; like Mac OS)' WHEN 3 THEN 'Googlebot' ELSE 'Mozilla (X11; Linux)' END AS agent,
+  CASE event_id % 11 WHEN 0 THEN 'https://www.google.com/search' WHEN 1 THEN 'https://m.facebook.com/x' WHEN 2 THEN NULL WHEN 3 THEN 'https://go.pardot.com/l/1'
+    WHEN 4 THEN 'https://news.example.net/' WHEN 5 THEN 'https://' || event_type || '.example.com/' WHEN 6 THEN 'https://www.microsoft.com/' WHEN 7 THEN 'https://t.co/ab1'
+    WHEN 8 THEN 'https://yandex.example/q' WHEN 9 THEN 'https://www.youtube.com/watch' ELSE 'https://other.example.org/' END AS referrer,
+  CASE event_id % 9 WHEN 0 THEN 'Mozilla (Windows NT 10.0; Win64)' WHEN 1 THEN 'Mozilla (Linux; Android 13)' WHEN 2 THEN 'Mozilla (iPhone; like Mac OS)' WHEN 3 THEN 'Googlebot' WHEN 4 THEN 'Mozilla (X11; Linux)'
+    WHEN 5 THEN 'Mozilla (Windows NT 6.1)' WHEN 6 THEN 'Mozilla (Macintosh) AppleWebKit' WHEN 7 THEN 'AppleWebKit (iPad)' ELSE 'Dalvik (Android 9)' END AS agent,
   CASE user_id % 6 WHEN 0 THEN 'EUROPE' WHEN 1 THEN 'ASIA' WHEN 2 THEN 'AMERICA' WHEN 3 THEN 'AFRICA' WHEN 4 THEN 'MIDDLE EAST' END AS continent
 FROM events
 """

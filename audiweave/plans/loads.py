@@ -336,3 +336,17 @@ def n14_economics_upsert(spark, sf_dir):
     payload = i.where("year >= 2000").groupBy("country").agg(F.collect_list(F.struct("indicator", "year", (F.col("value") + 1).alias("value"))).alias("series"))
     out = economics_upsert(old, payload, "2002-02-02")
     return out.select("country", "year", F.round("value", 2).alias("value"), F.col("last_updated_date").cast("string").alias("last_updated_date"))
+
+
+@query("""SELECT 'l_quantity' AS "column", round(count(CASE WHEN l_linenumber > 1 THEN 1 END) / count(*), 6) AS coverage FROM lineitem UNION ALL SELECT 'l_orderkey', 1.0""")
+def g16_coverage(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.when(F.col("l_linenumber") > 1, F.col("l_quantity")).alias("l_quantity"))
+    return P.coverage(li).select("column", F.round("coverage", 6).alias("coverage"))
+
+
+@query("SELECT o_orderkey, o_orderpriority AS pf_code, CAST(year(o_orderdate) AS INTEGER) AS yr FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW') AND year(o_orderdate) > 1995")
+def c37_trade_scope(spark, sf_dir):
+    from audiweave.operators.audience import trade_scope
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("pf_code"), F.year("o_orderdate").alias("yr"))
+    return trade_scope(o, ("1-URGENT", "5-LOW"), 1995)

@@ -298,3 +298,10 @@ def m29_segment_report(spark, sf_dir):
     r = _rep(spark, sf_dir).withColumn("domain", F.concat(F.lit("REGION_"), "domain"))
     change = P.classifier_change(r.where("year(date) >= 1998"), r.where("year(date) < 1998"))
     return M.segment_report([m27_drift_behaviour(spark, sf_dir), m28_drift_profile(spark, sf_dir), change])
+
+
+@query()
+def m01_impute(spark, sf_dir):
+    """Medians are approximate (0.1 % of the ranks), so there is no SQL; a test holds them against exact ones."""
+    f = table(spark, sf_dir, "lineitem").select("l_orderkey", F.when(F.col("l_linenumber") > 1, F.col("l_quantity")).alias("l_quantity"))
+    return M.fit_imputer(f, ["l_quantity"]).transform(f)

@@ -17,7 +17,7 @@ def _orders(spark, sf):
 
 def _answers(spark, sf):
     """A response per conversation: map of question id to an answer with options and sub-questions."""
-    c = table(spark, sf, "conversations").withColumn("text", F.substring("text", 1, 40))
+    c = table(spark, sf, "conversations")
     option = F.struct(F.concat(F.lit("o"), F.col("turn").cast("string")).alias("id"), F.concat(F.lit("opt "), "text").alias("answer"))
     options = F.when(F.col("turn") % 2 == 0, F.create_map(F.lit("a"), option, F.lit("b"), option))
     sub = F.struct(F.col("role").alias("question"), F.col("text").alias("answer"))
@@ -41,34 +41,44 @@ def d03_child_table(spark, sf_dir):
     return D.child_table(_orders(spark, sf_dir), "o_custkey", "deals", "deal_")
 
 
-@query("SELECT n_regionkey, n_name AS name, 'nations' AS child FROM nation UNION ALL SELECT n_regionkey, s_name, 'suppliers' FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+@query("SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS name, 'deals' AS child FROM orders UNION ALL SELECT o_custkey, o_orderpriority, 'news' FROM orders")
 def d04_child_tables(spark, sf_dir):
-    n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
-    lists = n.groupBy("n_regionkey").agg(F.collect_list(F.struct(F.col("n_name").alias("name"))).alias("nations"))
-    more = s.join(n, s.s_nationkey == n.n_nationkey).groupBy("n_regionkey").agg(F.collect_list(F.struct(F.col("s_name").alias("name"))).alias("suppliers"))
-    parts = D.child_tables(lists.join(more, "n_regionkey", "left"), "n_regionkey", ["nations", "suppliers"])
-    return parts["nations"].withColumn("child", F.lit("nations")).union(parts["suppliers"].withColumn("child", F.lit("suppliers")))
+    named = lambda c: F.collect_list(F.struct(F.col(c).cast("string").alias("name")))
+    lists = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(named("o_orderkey").alias("deals"), named("o_orderpriority").alias("news"))
+    parts = D.child_tables(lists, "o_custkey", ["deals", "news"])
+    return parts["deals"].withColumn("child", F.lit("deals")).union(parts["news"].withColumn("child", F.lit("news")))
 
 
-@query("SELECT conv_id, CAST(turn AS VARCHAR) AS question_key, 'q-' || CAST(turn AS VARCHAR) AS answer_id, substr(text, 1, 40) AS answer FROM conversations")
+@query("SELECT conv_id, CAST(turn AS VARCHAR) AS question_key, 'q-' || CAST(turn AS VARCHAR) AS answer_id, text AS answer FROM conversations")
 def d05_answers(spark, sf_dir):
     return D.answers(_answers(spark, sf_dir), "survey", ["conv_id"]).select("conv_id", "question_key", "answer_id", "answer")
 
 
-@query("""SELECT conv_id, 'o' || CAST(turn AS VARCHAR) AS answer_id, 'opt ' || substr(text, 1, 40) AS answer FROM conversations, (SELECT unnest([1, 2])) WHERE turn % 2 = 0
-UNION ALL SELECT conv_id, 'q-' || CAST(turn AS VARCHAR), substr(text, 1, 40) FROM conversations WHERE turn % 2 = 1""")
+@query("""SELECT conv_id, 'o' || CAST(turn AS VARCHAR) AS answer_id, 'opt ' || text AS answer FROM conversations, (SELECT unnest([1, 2])) WHERE turn % 2 = 0
+UNION ALL SELECT conv_id, 'q-' || CAST(turn AS VARCHAR), text FROM conversations WHERE turn % 2 = 1""")
 def d06_unpack_options(spark, sf_dir):
     return D.unpack_options(D.answers(_answers(spark, sf_dir), "survey", ["conv_id"])).select("conv_id", "answer_id", "answer")
 
 
-@query("""SELECT conv_id, CAST(turn AS VARCHAR) AS question_key, k AS sub_key, role AS sub_question, substr(text, 1, 40) AS sub_answer FROM conversations, (SELECT unnest(['1', '2']) AS k) WHERE turn % 3 = 0 AND (k = '1' OR turn = 3)""")
+@query("""SELECT conv_id, CAST(turn AS VARCHAR) AS question_key, k AS sub_key, role AS sub_question, text AS sub_answer FROM conversations, (SELECT unnest(['1', '2']) AS k) WHERE turn % 3 = 0 AND (k = '1' OR turn = 3)""")
 def d07_unpack_subquestions(spark, sf_dir):
-    """D7, D8."""
+    """D7."""
     out = D.unpack_subquestions(D.answers(_answers(spark, sf_dir), "survey", ["conv_id"]))
     return out.select("conv_id", "question_key", "sub_key", "sub_question", "sub_answer")
 
 
-@query("SELECT conv_id, role AS question, turn AS answer_id, substr(text, 1, 40) AS answer FROM conversations WHERE turn % 3 <> 0")
+@query("""SELECT conv_id, turn, turn * 10 + 1 AS option_id, text AS answer, CAST(NULL AS VARCHAR) AS note FROM conversations WHERE turn % 2 = 0
+UNION ALL SELECT conv_id, turn, turn * 10 + 2, role, 'second' FROM conversations WHERE turn % 4 = 0""")
+def d08_unpack_textboxes(spark, sf_dir):
+    """Columns named by digits; the second box has a field that the first lacks."""
+    c, turn = table(spark, sf_dir, "conversations"), F.col("turn")
+    first = F.struct((turn * 10 + 1).alias("id"), F.col("text").alias("answer"))
+    second = F.struct((turn * 10 + 2).alias("id"), F.col("role").alias("answer"), F.lit("second").alias("note"))
+    wide = c.select("conv_id", "turn", F.when(turn % 2 != 0, "TABLE").alias("type"), first.alias("1"), F.when(turn % 4 == 0, second).alias("2"))
+    return D.unpack_textboxes(wide, ["conv_id", "turn"])
+
+
+@query("SELECT conv_id, role AS question, turn AS answer_id, text AS answer FROM conversations WHERE turn % 3 <> 0")
 def d09_simple_answers(spark, sf_dir):
     return D.simple_answers(D.answers(_answers(spark, sf_dir), "survey", ["conv_id"])).select("conv_id", "question", "answer_id", "answer")
 

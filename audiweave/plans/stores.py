@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -14,13 +13,13 @@ from audiweave.operators import nested as D
 from audiweave.plans.inputs import SEGMENTS_SQL, VIEWS_SQL, segments, table, views
 from audiweave.plans.registry import query
 from audiweave.sources import tables as A
+from audiweave.sources.scratch import shared_folder
 from audiweave.streaming import streams as O
 
 
 def house(spark) -> A.Warehouse:
-    """A new warehouse in the shared folder of the cluster, or in a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return A.Warehouse(spark, f"{root.rstrip('/')}/house-{uuid.uuid4().hex}")
+    """A new warehouse in the shared folder."""
+    return A.Warehouse(spark, f"{shared_folder(spark)}/house-{uuid.uuid4().hex}")
 
 
 NATIONS = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
@@ -112,9 +111,9 @@ def a14_catalog(spark, sf_dir):
 
 @query("SELECT c_nationkey, count(*) AS n, round(avg(c_acctbal), 4) AS mean FROM customer GROUP BY 1")
 def a15_staged(spark, sf_dir):
-    with A.staged(table(spark, sf_dir, "customer").select("c_nationkey", "c_acctbal")) as c:
-        counts = c.groupBy("c_nationkey").agg(F.count("*").alias("n"))
-        return counts.join(c.groupBy("c_nationkey").agg(F.round(F.avg("c_acctbal"), 4).alias("mean")), "c_nationkey")
+    c = A.staged(table(spark, sf_dir, "customer").select("c_nationkey", "c_acctbal"))
+    counts = c.groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    return counts.join(c.groupBy("c_nationkey").agg(F.round(F.avg("c_acctbal"), 4).alias("mean")), "c_nationkey")
 
 
 @query("SELECT user_id, count(*) AS n, 'd1' AS day FROM events GROUP BY 1")
@@ -137,8 +136,8 @@ def b13_schema_matches(spark, sf_dir):
 @query("""SELECT event_type AS "table", 'loaded ' || CAST(count(*) AS VARCHAR) || ' successfully.' AS message FROM events GROUP BY 1""")
 def b16_log_run(spark, sf_dir):
     at = house(spark)
-    for r in table(spark, sf_dir, "events").groupBy("event_type").count().collect():
-        at.log_run("shop", r["event_type"], f"loaded {r['count']} successfully.", "2024-01-01")
+    runs = table(spark, sf_dir, "events").groupBy("event_type").count()
+    at.log_runs(runs.select(F.lit("2024-01-01").alias("at"), F.concat(F.lit("shop."), "event_type").alias("table"), F.format_string("loaded %d successfully.", "count").alias("message")))
     return at.read("runs", "log").select(F.regexp_replace("table", "^shop[.]", "").alias("table"), "message")
 
 
@@ -178,11 +177,16 @@ def o02_stream_segments(spark, sf_dir):
     return O.stream_segments(views(spark, sf_dir), segments(spark, sf_dir)).select("event_id", "cluster", "soft")
 
 
-@query("SELECT CAST(epoch_us(date_trunc('day', ts)) AS BIGINT) AS day_us, event_type AS site, count(*) AS views FROM events GROUP BY 1, 2")
+@query("""WITH d AS (SELECT DISTINCT user_id, event_type AS site, CAST(ts AS DATE) AS day FROM events)
+SELECT CAST(day AS VARCHAR) AS day, site, count(*) AS visitors, count(*) FILTER (EXISTS (SELECT 1 FROM d AS e WHERE e.user_id = d.user_id AND e.site = d.site AND e.day < d.day AND e.day >= d.day - 30)) AS returning_visitors FROM d GROUP BY 1, 2""")
 def o03_daily_visitors(spark, sf_dir):
-    """The stream's plan over a stored day's views; the count of visitors is approximate and left out."""
-    ev = views(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    return O.stream_daily_visitors(ev).select(micros("day").alias("day_us"), "site", "views")
+    """A stream over two landings, the second with late events; then the count."""
+    at = house(spark)
+    ev = views(spark, sf_dir).select("user_id", "site", F.col("ts").cast("timestamp").alias("ts"))
+    for part in (ev.where("user_id % 3 > 0"), ev):
+        part.write.mode("append").parquet(f"{at.root}/views")
+        O.stream_seen(spark.readStream.schema(part.schema).parquet(f"{at.root}/views"), at, "shop", "seen", f"{at.root}/seen-state").awaitTermination()
+    return O.daily_visitors(at.read("shop", "seen")).withColumn("day", F.col("day").cast("string"))
 
 
 @query("""WITH l AS (SELECT user_id, event_type AS site, user_id % 4 AS cluster, max(ts) AS m FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1, 2, 3), n AS (SELECT user_id, event_type AS site, CASE WHEN user_id % 5 = 0 THEN 9 ELSE user_id % 4 END AS cluster FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY 1, 2, 3)
@@ -202,13 +206,29 @@ def o04_stream_changes(spark, sf_dir):
 
 @query("SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-12'")
 def o06_replay(spark, sf_dir):
-    """A window published twice is stored once."""
+    """The window of a failed run, replayed twice, is stored once."""
     at, ev = house(spark), table(spark, sf_dir, "events").select("event_id", "ts")
+    span = lambda a, b: (F.col("ts") >= F.lit(a).cast(ev.schema["ts"].dataType)) & (F.col("ts") <= F.lit(b).cast(ev.schema["ts"].dataType))
+    at.log_failed(ev.where(span("2024-01-10", "2024-01-12")), "views")
+    at.log_failed(ev.where(span("2024-01-20", "2024-01-21")), "other")
     for _ in range(2):
-        O.replay(ev, "2024-01-10", "2024-01-12", lambda df: at.append_once(df, "shop", "events", ["event_id"]))
+        O.replay(ev, at, "views", lambda df: at.append_once(df, "shop", "events", ["event_id"]))
     return at.read("shop", "events").select("event_id")
 
 
+@query("""SELECT c_custkey, c_name, 'shop' AS dataset, 'customer' AS "table" FROM customer""")
+def a01_landing_csv(spark, sf_dir):
+    """Landed files are named by dataset, table and time."""
+    at = house(spark)
+    _customers(spark, sf_dir).select("c_custkey", "c_name", F.lit(1).alias("Unnamed: 0")).write.option("header", True).csv(f"{at.root}/out")
+    files, folder = at._files(f"{at.root}/out")
+    for k, f in enumerate(x.getPath() for x in files.listStatus(folder)):
+        if f.getName().endswith(".csv"):
+            files.mkdirs(at._files(f"{at.root}/landing")[1])
+            files.rename(f, at._files(f"{at.root}/landing/shop__customer_{k}.csv")[1])
+    return A.read_landing_csv(spark, f"{at.root}/landing", "c_custkey bigint, c_name string, `Unnamed: 0` int")
+
+
 @query("SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders WHERE o_custkey % 2 = 0")
 def n15_entities_upsert(spark, sf_dir):
     """N15 with B1, B3: touched entities merged, the others kept."""

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import contextlib
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from audiweave.functions.text import clean_columns
+from audiweave.sources.scratch import written
 
 
 @dataclass(frozen=True)
@@ -96,7 +96,19 @@ class Warehouse:
 
     def log_run(self, dataset: str, table: str, message: str, at: str) -> None:
         """B16."""
-        self.write(self.spark.createDataFrame([(at, f"{dataset}.{table}", message)], "at string, table string, message string"), "runs", "log")
+        self.log_runs(self.spark.createDataFrame([(at, f"{dataset}.{table}", message)], "at string, table string, message string"))
+
+    def log_runs(self, lines: DataFrame) -> None:
+        """Lines (at, table, message) of several runs, in one write."""
+        self.write(lines.select("at", "table", "message"), "runs", "log")
+
+    def log_failed(self, ev: DataFrame, run: str) -> None:
+        """The first and last event time that a failed run had in hand; without events nothing."""
+        self.write(ev.agg(F.min("ts").alias("start"), F.max("ts").alias("end")).where("start is not null").withColumn("run", F.lit(run)), "runs", "failed")
+
+    def failed_windows(self, run: str) -> DataFrame:
+        """(start, end) of the failed runs of a name, a row per run."""
+        return self.read("runs", "failed").where(F.col("run") == run).select("start", "end").distinct()
 
 
 def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -157,14 +169,9 @@ def export_table(df: DataFrame, path: str, fmt: str, allowed: tuple[str, ...] =
     writer.option("header", True).csv(path) if fmt == "csv" else writer.json(path)
 
 
-@contextlib.contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
-    """Kept for reuse while the block runs."""
-    kept = df.persist()
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
+def staged(df: DataFrame, name: str = "staged") -> DataFrame:
+    """Written to the shared folder once and read back, for any number of uses; no executor's memory holds it."""
+    return written(df, name)
 
 
 def cap_rows(df: DataFrame, n: int, keys: list[str], seed: int = 0) -> DataFrame:

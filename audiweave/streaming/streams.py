@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from audiweave.operators.incremental import append_changed
 from audiweave.operators.windows import latest_per
@@ -27,9 +28,25 @@ def stream_segments(visits: DataFrame, segments: DataFrame, model: PipelineModel
     return scored.select(*visits.columns, F.coalesce("_known", "_soft").alias("cluster"), F.col("_known").isNull().alias("soft"))
 
 
-def stream_daily_visitors(ev: DataFrame) -> DataFrame:
-    """O3: visitors by site and day; a day closes one day after its end."""
-    return ev.withWatermark("ts", "1 day").groupBy(F.window("ts", "1 day").alias("w"), "site").agg(F.approx_count_distinct("user_id").alias("visitors"), F.count("*").alias("views")).select(F.col("w.start").alias("day"), "site", "visitors", "views")
+def stream_seen(ev: DataFrame, warehouse: Warehouse, dataset: str, table: str, checkpoint: str) -> StreamingQuery:
+    """O3: each (user, site, day) of a stream of views once in a table, over restarts and late events too.
+
+    A batch is held against the stored rows of its own days only; ``daily_visitors`` counts the table.
+    """
+
+    def add(batch: DataFrame, _: int) -> None:
+        seen = batch.groupBy("user_id", "site", F.to_date("ts").alias("day")).agg(F.count("*").alias("views"))
+        warehouse.append_once(seen.select("user_id", "site", "day"), dataset, table, ["user_id", "site", "day"])
+
+    return ev.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def daily_visitors(seen: DataFrame, n_days: int = 30) -> DataFrame:
+    """O3: visitors of each site and day, exactly, and those of them who were there in the ``n_days`` before."""
+    number = F.datediff("day", F.lit("1970-01-01").cast("date"))
+    own = Window.partitionBy("user_id", "site").orderBy("_d").rangeBetween(-n_days, -1)
+    flagged = seen.select("user_id", "site", "day").distinct().withColumn("_d", number).withColumn("returning", F.count("*").over(own) > 0)
+    return flagged.groupBy("day", "site").agg(F.count("*").alias("visitors"), F.count_if("returning").alias("returning_visitors"))
 
 
 def stream_changes(pred: DataFrame, warehouse: Warehouse, dataset: str, table: str, checkpoint: str) -> StreamingQuery:
@@ -41,7 +58,9 @@ def stream_changes(pred: DataFrame, warehouse: Warehouse, dataset: str, table: s
     def add(batch: DataFrame, _: int) -> None:
         newest = latest_per(batch, ["user_id", "site"], [F.desc("ts")])
         if warehouse.exists(dataset, table):
-            stored = latest_per(warehouse.read(dataset, table), ["user_id", "site"], [F.desc("ts")])
+            # only rows of users in the batch are ranked
+            own = warehouse.read(dataset, table).join(newest.select("user_id", "site"), ["user_id", "site"], "left_semi")
+            stored = latest_per(own, ["user_id", "site"], [F.desc("ts")])
             newest = append_changed(stored, newest, ["user_id", "site"], "cluster")
         warehouse.write(newest, dataset, table)
 
@@ -55,7 +74,9 @@ def stream_sessions(ev: DataFrame, gap: str = "30 minutes") -> DataFrame:
     return out.select("user_id", F.col("w.start").alias("session_start"), "events")
 
 
-def replay(ev: DataFrame, start, end, publish: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Events of a failed window go to an idempotent sink again."""
-    at = F.col("ts")
-    return publish(ev.where((at >= F.lit(start).cast("timestamp")) & (at <= F.lit(end).cast("timestamp"))))
+def replay(ev: DataFrame, warehouse: Warehouse, run: str, publish: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Events between the first and last time that failed runs had in hand (``Warehouse.log_failed``) go to an
+    idempotent sink again. Windows may overlap; each event goes once."""
+    windows = warehouse.failed_windows(run)
+    lost = ev.join(windows, (F.col("ts") >= F.col("start")) & (F.col("ts") <= F.col("end")), "left_semi")
+    return publish(lost)

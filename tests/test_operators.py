@@ -147,9 +147,12 @@ def test_streams(spark, house, tmp_path):
     assert [r.cluster for r in house.read("d", "seg").orderBy("ts").collect()] == [1, 2]
     visits = spark.createDataFrame([("u", "s"), ("v", "s")], "user_id string, site string")
     assert [(r.user_id, r.cluster, r.soft) for r in O.stream_segments(visits, house.read("d", "seg").where("cluster = 2")).orderBy("user_id").collect()] == [("u", 2, False), ("v", None, True)]
-    daily = O.stream_daily_visitors(spark.readStream.schema(schema).parquet(str(tmp_path / "pred")))
-    q = daily.writeStream.outputMode("complete").format("memory").queryName("daily").trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert spark.sql("select sum(views) from daily").first()[0] == 3
-    kept = O.replay(house.read("d", "seg"), "2024-01-01", "2024-01-02", lambda df: house.append_once(df, "d", "again", ["user_id", "ts"]))
+    for _ in range(2):
+        O.stream_seen(spark.readStream.schema(schema).parquet(str(tmp_path / "pred")), house, "d", "seen", str(tmp_path / "cp3")).awaitTermination()
+    daily = O.daily_visitors(house.read("d", "seen")).orderBy("day").collect()
+    assert [(str(r.day), r.visitors, r.returning_visitors) for r in daily] == [("2024-01-01", 1, 0), ("2024-01-02", 1, 1), ("2024-01-03", 1, 1)]
+    stored = house.read("d", "seg")
+    house.log_failed(stored.where("ts < '2024-01-02'"), "r")
+    house.log_failed(stored.where("ts < '1999-01-02'"), "r")
+    kept = O.replay(stored, house, "r", lambda df: house.append_once(df, "d", "again", ["user_id", "ts"]))
     assert kept.count() == 1
