@@ -180,16 +180,21 @@ def scan(column: pa.Array, catalogue: Catalogue) -> tuple[np.ndarray, list[list[
 
 
 def _verify(catalogue: Catalogue, t: int, near: np.ndarray, gram, doc, first, found: list) -> None:
+    """Keeps windows with enough of template ``t``. From the first of its shingles
+    near a window, the template's length and some slack is looked through, so a
+    window that stands early doesn't cut its end off."""
     own, past = catalogue.sets[t], -1
     slack = max(1, len(own) // 8)
     for w in near.tolist():
         row = int(doc[w])
-        lo, hi = max(int(first[row]), w - slack), min(int(first[row + 1]), w + len(own) + slack)
-        at = np.flatnonzero(np.isin(gram[lo:hi], own))
+        lo, end = max(int(first[row]), w - slack, past), int(first[row + 1])
+        at = np.flatnonzero(np.isin(gram[lo : min(end, w + len(own) + slack)], own))
         if not len(at):
             continue
+        hi = min(end, lo + int(at[0]) + len(own) + slack)
+        at = np.flatnonzero(np.isin(gram[lo:hi], own))
         share = len(np.unique(gram[lo:hi][at])) / len(own)
-        if share >= CONTAINED and lo + int(at[0]) >= past:
+        if share >= CONTAINED:
             begin, past = lo + int(at[0]), lo + int(at[-1]) + 1
             found[row].append((catalogue.names[t], begin - int(first[row]), past - int(first[row]) + SHINGLE - 1, share))
 

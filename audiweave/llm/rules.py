@@ -1,9 +1,12 @@
 """Quality rules: exact text counts, and compression bands.
 
-The zstandard ratio of a whole text, and of its chunks of fixed size, must lie
-in a band that depends on length: repeated text compresses below the band,
-keys, hashes and encoded data stay above it. Short texts hold few repeats even
-where they are good, so their band is wide.
+The zstandard ratio of a whole text must lie in a band that depends on its
+length: repeated text compresses below the band, keys, hashes and encoded data
+stay above it. Bands of half an octave of bytes are fitted on labelled rows that
+pass the base rules: each leaves out ``LOSS`` of its good texts at most, at
+either end. Where a band has few labels, fixed wide limits hold. Windows of
+``CHUNK`` bytes, the last one at the end of the text, are held against fixed
+limits, so a long text can't hide a stretch.
 """
 
 from __future__ import annotations
@@ -13,12 +16,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from audiweave.llm.textbytes import Words, chunks
 
-#: (bytes below which it holds, least and greatest ratio of the whole text). Prose lies at 0.55 to 0.75 under 1 kB and near 0.4 over 16 kB.
+#: (bytes below which it holds, least and greatest ratio of the whole text) where nothing is fitted. Prose lies at 0.55 to 0.75 under 1 kB and near 0.4 over 16 kB.
 BANDS = ((128, 0.30, 9.0), (256, 0.35, 1.2), (1 << 10, 0.32, 0.88), (1 << 12, 0.28, 0.80), (1 << 14, 0.24, 0.74), (1 << 16, 0.20, 0.72), (1 << 62, 0.15, 0.72))
 CHUNK, CHUNK_BAND, CHUNK_SHARE = 1 << 10, (0.25, 0.80), 0.2
+#: Bands of half an octave, share of good texts that a limit leaves out, good labels that a band needs, and slack of a limit.
+N_BANDS, LOSS, LABELLED, SLACK = 128, 0.005, 50, 0.002
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
@@ -66,7 +72,9 @@ def counts(column: pa.Array) -> dict[str, np.ndarray]:
 
 
 def compression(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whole ratio of each text (1 where empty), and the share of its full chunks outside the chunk band."""
+    """Whole ratio of each text (1 where empty), and the share of its windows
+    outside the chunk band. Windows of ``CHUNK`` bytes follow each other, and one
+    more ends with the text; a text that is shorter has none but the whole."""
     import zstandard
 
     squeeze = zstandard.ZstdCompressor(level=3).compress
@@ -75,42 +83,98 @@ def compression(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
         text = raw[off[k] : off[k + 1]].tobytes()
         if text:
             whole[k] = len(squeeze(text)) / len(text)
-            ratios = np.array([len(squeeze(text[i : i + CHUNK])) / CHUNK for i in range(0, len(text) - CHUNK + 1, CHUNK)])
+            starts = [*range(0, len(text) - CHUNK + 1, CHUNK)]
+            starts += [len(text) - CHUNK] if starts and len(text) % CHUNK else []
+            ratios = np.array([len(squeeze(text[i : i + CHUNK])) / CHUNK for i in starts])
             if len(ratios):
                 odd[k] = np.mean((ratios < CHUNK_BAND[0]) | (ratios > CHUNK_BAND[1]))
     return whole, odd
 
 
-def _rule_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bounds = np.array([b for b, _, _ in BANDS])
-    low, high = np.array([x for _, x, _ in BANDS]), np.array([x for _, _, x in BANDS])
+def band_of(size: np.ndarray) -> np.ndarray:
+    """Number of the half octave of a length in bytes."""
+    return np.floor(2 * np.log2(np.maximum(size, 1))).astype(np.int64)
+
+
+def wide_limits() -> np.ndarray:
+    """(least, greatest) ratio by band where nothing is fitted."""
+    start = np.exp2(np.arange(N_BANDS) / 2)
+    at = np.minimum(np.searchsorted(np.array([float(b) for b, _, _ in BANDS]), start, side="right"), len(BANDS) - 1)
+    return np.array([[BANDS[k][1], BANDS[k][2]] for k in at])
+
+
+def base_fails(made: dict[str, np.ndarray]) -> np.ndarray:
+    return (made["n_words"] < 10) | (100 * made["n_repeat_words"] > 20 * made["n_words"])
+
+
+def _ratio_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import zstandard
+
+    squeeze = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         for part in chunks(batch, "text"):
-            column = part.column("text")
-            made = counts(column)
-            words = Words(column)
-            whole, odd = compression(words.raw, words.off)
-            band = np.searchsorted(bounds, np.diff(words.off), side="right")
-            failed = (made["n_words"] < 10) | (100 * made["n_repeat_words"] > 20 * made["n_words"])
-            kept = ~failed & (whole >= low[band]) & (whole <= high[band]) & (odd <= CHUNK_SHARE)
-            yield pa.record_batch(
-                [part.column("doc_id"), *(pa.array(x) for x in made.values()), pa.array(failed), pa.array(kept), pa.array(whole), pa.array(odd)],
-                names=["doc_id", *made, "base_failed", "kept", "zstd_ratio", "odd_chunks"],
-            )
-
-
-def quality_rules(docs: DataFrame) -> DataFrame:
+            passed = np.flatnonzero(~base_fails(counts(part.column("text"))))
+            texts = [x.encode() for x in part.column("text").take(pa.array(passed)).to_pylist()]
+            size = np.array([len(x) for x in texts], np.int64)
+            ratio = np.array([round(1000 * len(squeeze(x)) / len(x)) for x in texts], np.int64)
+            yield pa.record_batch([pa.array(band_of(size)), pa.array(ratio), part.column("label").take(pa.array(passed))], names=["band", "ratio", "label"])
+
+
+def fit_limits(docs: DataFrame, marks: DataFrame) -> np.ndarray:
+    """Limits by band from all rows of ``docs`` that have a label in ``marks`` (doc_id, label 0 or 1).
+
+    Only counts by band, thousandth of the ratio and label reach the driver. A
+    limit is moved in from its wide place only where that rejects bad texts."""
+    labelled = docs.select("doc_id", "text").join(marks.where("label is not null"), "doc_id").select("text", F.col("label").cast("int").alias("label"))
+    rows = labelled.where("text is not null").mapInArrow(_ratio_rows, "band long, ratio long, label int").groupBy("band", "ratio", "label").agg(F.count("*").alias("n")).collect()
+    limits = wide_limits()
+    for band in sorted({r["band"] for r in rows}):
+        good, bad = (np.sort(np.repeat([r["ratio"] / 1000 for r in rows if r["band"] == band and r["label"] == k], [r["n"] for r in rows if r["band"] == band and r["label"] == k])) for k in (1, 0))
+        if len(good) >= LABELLED and band < N_BANDS:
+            out = int(LOSS * len(good))
+            low, high = good[out] - SLACK, good[len(good) - 1 - out] + SLACK
+            if (bad < low).any():
+                limits[band, 0] = max(limits[band, 0], low)
+            if (bad > high).any():
+                limits[band, 1] = min(limits[band, 1], high)
+    return limits
+
+
+def _rule_rows(limits: np.ndarray):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                column = part.column("text")
+                made = counts(column)
+                words = Words(column)
+                whole, odd = compression(words.raw, words.off)
+                low, high = limits[np.minimum(band_of(np.diff(words.off)), N_BANDS - 1)].T
+                failed = base_fails(made)
+                kept = ~failed & (whole >= low) & (whole <= high) & (odd <= CHUNK_SHARE)
+                yield pa.record_batch(
+                    [part.column("doc_id"), *(pa.array(x) for x in made.values()), pa.array(failed), pa.array(kept), pa.array(whole), pa.array(odd)],
+                    names=["doc_id", *made, "base_failed", "kept", "zstd_ratio", "odd_chunks"],
+                )
+
+    return rows
+
+
+def quality_rules(docs: DataFrame, limits: np.ndarray | None = None) -> DataFrame:
     """Counts and verdict per row of ``docs`` (doc_id, text; others ignored).
 
     n_words; word_chars (code points in words); n_symbols; n_dup_lines (lines
     with a word that equal an earlier line of the text); n_repeat_words (words
     in 5-word windows that the text has twice or more); base_failed (fewer than
     10 words, or over a fifth of them repeated); kept; zstd_ratio; odd_chunks.
-    A null text counts as empty: all counts 0, base_failed, not kept.
+    A null text counts as empty: all counts 0, base_failed, not kept. ``limits``
+    are those of ``fit_limits``, else wide ones.
     """
     kinds = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, zstd_ratio double, odd_chunks double"
-    return docs.select("doc_id", "text").mapInArrow(_rule_rows, kinds)
+    return docs.select("doc_id", "text").mapInArrow(_rule_rows(wide_limits() if limits is None else limits), kinds)
 
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
-    return quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    marks = labels.where(~held_out).groupBy("doc_id").agg(F.max("quality").alias("label"))
+    return quality_rules(docs, fit_limits(docs, marks))

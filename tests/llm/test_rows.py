@@ -116,6 +116,51 @@ def test_rules_verdicts(spark):
     assert got == {1: True, 2: False, 3: False}
 
 
+def test_op7_bands_catch_bad_texts_that_the_base_rules_pass(spark):
+    larger = "/root/testdata/sf0.1"
+    got = rules.op7_quality_rules(spark, larger).toPandas()
+    labels = spark.read.parquet(f"{larger}/labels.parquet").toPandas()
+    both = got.merge(labels, on="doc_id")
+    passed = both[~both.base_failed]
+    assert (~passed.kept[passed.quality == 0]).mean() > 0.3 and passed.kept[passed.quality == 1].mean() > 0.97
+
+
+def test_op7_verdicts_equal_plain_ones(spark, larger, monkeypatch):
+    """Limits from sorted ratios and verdicts from one text at a time."""
+    import math
+    import zlib
+
+    import zstandard
+
+    monkeypatch.setattr(rules, "LABELLED", 10)
+    size = lambda x: len(zstandard.ZstdCompressor(level=3).compress(x))
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{larger}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{larger}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    failed = {}
+    for i, t in docs.items():
+        n, _, _, _, again = plain_counts(t.decode())
+        failed[i] = n < 10 or 100 * again > 20 * n
+    band = lambda t: math.floor(2 * math.log2(max(len(t), 1)))
+    by_band = collections.defaultdict(lambda: ([], []))
+    for i, y in labels.items():
+        if i in docs and not failed[i]:
+            by_band[band(docs[i])][y].append(round(1000 * size(docs[i]) / len(docs[i])) / 1000)
+    limits = {k: [next((x, y) for b, x, y in rules.BANDS if 2 ** (k / 2) < b)][0] for k in range(60)}
+    for k, (bad, good) in by_band.items():
+        if len(good) >= rules.LABELLED:
+            good.sort()
+            out = int(rules.LOSS * len(good))
+            low, high = good[out] - rules.SLACK, good[len(good) - 1 - out] + rules.SLACK
+            limits[k] = max(limits[k][0], low) if min(bad, default=9) < low else limits[k][0], min(limits[k][1], high) if max(bad, default=0) > high else limits[k][1]
+    got = {r.doc_id: r.kept for r in rules.op7_quality_rules(spark, larger).collect()}
+    for i, t in docs.items():
+        low, high = limits[band(t)]
+        windows = [t[k : k + rules.CHUNK] for k in range(0, len(t) - rules.CHUNK + 1, rules.CHUNK)] + ([t[-rules.CHUNK :]] if len(t) > rules.CHUNK and len(t) % rules.CHUNK else [])
+        odd = [not rules.CHUNK_BAND[0] <= size(w) / rules.CHUNK <= rules.CHUNK_BAND[1] for w in windows]
+        whole = size(t) / len(t) if t else 1.0
+        assert got[i] == (not failed[i] and low <= whole <= high and sum(odd) <= rules.CHUNK_SHARE * max(len(odd), 1)), i
+
+
 def test_licenses_equal_containment(spark, sf_dir, edges, empty):
     def own(t):
         return re.findall(r"[a-z0-9\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
