@@ -77,8 +77,10 @@ def token_pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: s
     """(doc_id, piece, start, length, ids_crc32): the ids of each text and a
     closing ``end_id``, cut into pieces of ``capacity`` ids. A shorter piece,
     if any, is the first. A null text counts as empty: one piece of one id.
-    Literals of ``added`` tokens in a text get their ids; without it they are
-    split like other text."""
+    Literals of ``added`` tokens in a text get their ids, which without a
+    ``path`` are those of ``byte_bpe_50k.json``; the ranks of another ``path``
+    have none but those given."""
+    added = added_tokens() if path is None and added is None else added
     rows = _piece_rows(path or tokenizer_path(), capacity, end_id, added)
     return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -134,7 +136,7 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | Non
     included; the ranks of another ``path`` have none.
     """
     spark = docs.sparkSession
-    pieces = keep(token_pieces(docs, capacity, end_id, path, None if path else added_tokens()), "pieces")
+    pieces = keep(token_pieces(docs, capacity, end_id, path), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     salts = max(256, sum(counts.values()) // RANKED)
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
