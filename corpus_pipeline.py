@@ -36,11 +36,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     keys = rows.groupBy(own_group.alias("group"), F.col("group").isNull().alias("wordless"), "id", "t").agg(F.count("*").alias("times"))
     first = F.min(F.struct(F.isnull("id").alias("void"), "id", "t", "times")).alias("by")
     stay = keep(keys.groupBy("group", "wordless").agg(first).select("by.id", "by.t", "by.times"), "stay")
-    own = docs.withColumn("_h", F.xxhash64("text"))
-    same = own["doc_id"].eqNullSafe(F.col("id")) & (own["_h"] == F.col("t"))
-    once = own.join(stay.where("times = 1"), same, "left_semi")
-    repeated = own.join(stay.where("times > 1"), same, "left_semi").dropDuplicates(["doc_id", "_h"])
-    return once.union(repeated).drop("_h")
+    key = "_h"
+    while key in docs.columns:
+        key = f"_{key}"
+    stay = stay.withColumnsRenamed({"id": f"{key}_id", "t": f"{key}_t", "times": f"{key}_times"})
+    own = docs.withColumn(key, F.xxhash64("text"))
+    same = own["doc_id"].eqNullSafe(stay[f"{key}_id"]) & (own[key] == stay[f"{key}_t"])
+    once = own.join(stay.where(F.col(f"{key}_times") == 1), same, "left_semi")
+    repeated = own.join(stay.where(F.col(f"{key}_times") > 1), same, "left_semi").dropDuplicates(["doc_id", key])
+    return once.union(repeated).drop(key)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +56,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in brackets; n_chars follows the text."""
-    clean = redact(find_personal_data(docs))
+    clean = redact(find_personal_data(docs)).withColumnsRenamed({f"in_{c}": c for c in ("base", "spans") if c in docs.columns})
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
