@@ -1,34 +1,30 @@
-"""Intermediate tables that outlive a lost executor.
-
-They are Parquet files in the shared folder named by ``spark.checkpoint.dir``.
-Where that is unset, a run within one process (tests) makes a folder of its own;
-on a cluster this is an error, since a folder of one machine isn't shared.
-"""
+"""Intermediate tables that outlive a lost executor: Parquet files in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from audiweave.sources.scratch import shared_folder as folder
 
-def folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables; ValueError on a cluster where none is set."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
+#: Bytes of one batch sent to Python while a table is written: texts can be long.
+BATCH_BYTES = 4 << 20
+_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back, which cuts its lineage."""
+    """Write ``df`` once and read it back, which cuts its lineage. A greater
+    bound of the session on batches is lowered meanwhile and put back."""
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BOUND)
+    if not 0 < int(before.rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(_BOUND, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BOUND, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
