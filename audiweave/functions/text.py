@@ -35,7 +35,7 @@ def clean_name(name: str) -> str:
 
 
 def clean_columns(df: DataFrame) -> DataFrame:
-    """C1."""
+    """Cleaned names of all columns; the rows stay."""
     return df.toDF(*map(clean_name, df.columns))
 
 
@@ -56,7 +56,7 @@ def parse_utc(col: Column, fmt: str) -> Column:
 
 
 def null_sentinels(col: Column, values=("NA", "-", "0001-01-01T00:00:00")) -> Column:
-    """C5."""
+    """Null in place of the given values; null stays."""
     return F.when(~col.isin(*values), col)
 
 
@@ -76,7 +76,7 @@ def to_bool(col: Column) -> Column:
 
 
 def strip_thousands(col: Column) -> Column:
-    """C8."""
+    """A number without its commas; null where it isn't one."""
     return F.regexp_replace(col, ",", "").try_cast("double")
 
 
@@ -95,7 +95,7 @@ def html_to_text(col: Column) -> Column:
 
 
 def strip_nul(col: Column) -> Column:
-    """C11."""
+    """C11: spaces in place of NUL characters; null stays."""
     return F.translate(col, "\0", " ")
 
 
@@ -237,7 +237,7 @@ def unit_text(value: Column, name: Column) -> Column:
 
 
 def join_list(col: Column) -> Column:
-    """C31."""
+    """Entries joined by a comma and a space, without null ones; a null list is empty."""
     return F.concat_ws(", ", col)
 
 

@@ -51,13 +51,13 @@ def select_audience(aud: DataFrame, chosen: dict[str, list], arrays: tuple[str,
 
 
 def by_certainty(aud: DataFrame, p: float, with_known: bool = True) -> DataFrame:
-    """N3."""
+    """Rows whose prob_index is 1 - p or more, and known ones, which ``with_known`` = False leaves out. Null on both sides drops out."""
     out = aud.where((F.col("prob_index") >= 1 - p) | (F.col("known") == 1))
     return out if with_known else out.where("known <> 1")
 
 
 def audience_users(aud: DataFrame) -> DataFrame:
-    """N4."""
+    """The distinct users of an audience."""
     return aud.select("user_id").distinct()
 
 
@@ -95,7 +95,7 @@ def rank_change(ranks: DataFrame) -> DataFrame:
 
 
 def completeness(facts: DataFrame, by: str) -> DataFrame:
-    """N10."""
+    """Share of facts that have a value, by group, and whether it is over one half. An empty table gives no group."""
     out = facts.groupBy(by).agg((F.count_if(F.col("value").isNotNull()) / F.count("*")).alias("completeness"))
     return out.withColumn("publishable", F.col("completeness") > 0.5)
 
@@ -124,12 +124,12 @@ def country_set(ind: DataFrame, chosen, indicator: str | None = None) -> DataFra
 
 
 def largest_cities(df: DataFrame, n: int = 3) -> DataFrame:
-    """I3."""
+    """The n greatest of each country; ties go to the first name. A null country is a country."""
     return top_n_per(df, ["country"], [F.desc("value"), F.asc("city")], n)
 
 
 def trade_scope(df: DataFrame, codes=("H5", "EB02", "HS"), after: int = 2010) -> DataFrame:
-    """C37."""
+    """Facts of the given classifications after a year; nulls drop out."""
     return df.where(F.col("pf_code").isin(*codes) & (F.col("yr") > after))
 
 

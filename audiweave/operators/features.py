@@ -28,7 +28,7 @@ def view() -> Column:
 
 
 def views_sessions() -> list[Column]:
-    """G1."""
+    """G1: distinct sessions and views; null ids count nowhere."""
     return [F.count_distinct("session_id").alias("sessions"), F.count_distinct(view()).alias("views")]
 
 
@@ -42,7 +42,7 @@ def referrer_visits(site: str = "site") -> list[Column]:
 
 
 def client_visits() -> list[Column]:
-    """G3."""
+    """Visits on the web and on amp pages; a null client counts nowhere."""
     return [F.count_if(F.col("client") == c).alias(f"visits_{c}") for c in ("web", "amp")]
 
 
@@ -58,7 +58,7 @@ def os_visits(names=("windows", "linux", "android", "iphone", "mac")) -> list[Co
 
 
 def mean_local_hour() -> Column:
-    """G7."""
+    """Mean hour in the zone of the continent, UTC where that is null or unknown; null times don't count."""
     return F.avg(local_hour_zone(F.col("ts"), F.col("continent"))).alias("mean_hour")
 
 
@@ -76,7 +76,7 @@ def recency_frequency(asof) -> list[Column]:
 
 
 def lead_flag(users: DataFrame, leads: DataFrame) -> DataFrame:
-    """G6."""
+    """Whether a user is among the leads, however often. A null user is none."""
     marks = leads.select("user_id").distinct().withColumn("_lead", F.lit(True))
     return users.join(marks, "user_id", "left").withColumn("is_lead", F.col("_lead").isNotNull()).drop("_lead")
 

@@ -27,7 +27,7 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def assert_unique(df: DataFrame, keys: list[str]) -> None:
-    """B4."""
+    """ValueError where a key stands twice, null keys included; an empty table passes."""
     if not repeated_keys(df, keys).isEmpty():
         raise ValueError(f"keys {keys} are not unique")
 
@@ -86,7 +86,7 @@ def slice_windows(marks: DataFrame, start: str, end: str, hours: int) -> DataFra
 
 
 def keep_last(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """B8."""
+    """The first row of each key in the given order; equal rows fall to one, a null key is a key."""
     return latest_per(df, [key], order)
 
 
@@ -222,7 +222,7 @@ def chunk_groups(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def usage_by_token(log: DataFrame, tokens: DataFrame) -> DataFrame:
-    """B24."""
+    """Calls of each known token, 0 where there are none; calls of unknown and null tokens are left out."""
     calls = log.groupBy("token").agg(F.count("*").alias("calls"))
     return tokens.join(calls, "token", "left").withColumn("calls", F.coalesce("calls", F.lit(0)))
 
@@ -238,7 +238,7 @@ def missing_ids(every: DataFrame, df: DataFrame, key: str) -> DataFrame:
 
 
 def changed_ids(pages: DataFrame, key: str, at: str, since) -> DataFrame:
-    """B27."""
+    """Distinct keys changed since a time; a null time is no change."""
     return pages.where(F.col(at) >= F.lit(since)).select(key).distinct()
 
 

@@ -21,7 +21,7 @@ def unify_identities(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def members(df: DataFrame, ids: DataFrame, key: str, inside: bool = True) -> DataFrame:
-    """F4."""
+    """rows whose key is in ``ids``, or with ``inside`` = False is not. A null key is in none; rows are never multiplied."""
     return df.join(ids.select(key).distinct(), key, "left_semi" if inside else "left_anti")
 
 
@@ -38,7 +38,7 @@ def join_either(a: DataFrame, b: DataFrame, k1: str, k2: str, target: str) -> Da
 
 
 def replace_by_lookup(df: DataFrame, lut: DataFrame, name: str, key: str, value: str) -> DataFrame:
-    """F11."""
+    """the value of a lookup in place of its key; what isn't in it, or has a null there, stays. A repeated key multiplies rows."""
     out = df.join(lut.select(F.col(key).alias(name), F.col(value).alias("_to")), name, "left")
     return out.withColumn(name, F.coalesce("_to", name)).drop("_to")
 
@@ -50,12 +50,12 @@ def mask_by_list(df: DataFrame, allowed: DataFrame, key: str, name: str) -> Data
 
 
 def attribute_stack(base: DataFrame, *parts: DataFrame, key: str = "user_id") -> DataFrame:
-    """F13."""
+    """attributes of other tables beside the base; missing ones are null, repeated keys multiply rows."""
     return reduce(lambda df, p: df.join(p, key, "left"), parts, base)
 
 
 def join_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """F15."""
+    """inner join on several keys; null keys meet nothing."""
     return a.join(b, keys)
 
 

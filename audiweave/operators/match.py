@@ -139,10 +139,10 @@ def match_emails(forms: DataFrame, prospects: DataFrame) -> DataFrame:
 
 
 def master_titles(words: DataFrame, abbreviations: DataFrame, added: list[str], removed: list[str]) -> DataFrame:
-    """L11."""
+    """Distinct titles of both sources and the added ones, without the removed; a null title drops out."""
     spark = words.sparkSession
     every = words.select("master").union(abbreviations.select(F.col("long").alias("master"))).union(spark.createDataFrame([(x,) for x in added], "master string"))
-    return every.where(~F.col("master").isin(*removed)).distinct()
+    return every.where(F.col("master").isNotNull() & ~F.col("master").isin(*removed)).distinct()
 
 
 def rising_terms(df: DataFrame, k: int = 20) -> DataFrame:

@@ -26,7 +26,7 @@ def child_table(df: DataFrame, parent: str, name: str, alias: str = "") -> DataF
 
 
 def child_tables(df: DataFrame, parent: str, names: list[str]) -> dict[str, DataFrame]:
-    """D4."""
+    """The child table of each named list; parents with a null or empty list have no row."""
     return {c: child_table(df, parent, c) for c in names}
 
 
@@ -73,7 +73,7 @@ def simple_answers(df: DataFrame) -> DataFrame:
 
 
 def breakdown(df: DataFrame, name: str = "breakdown") -> DataFrame:
-    """D10."""
+    """A row for each entry of the list, beside the other columns; null and empty lists have none."""
     return explode_records(df, name, [c for c in df.columns if c != name])
 
 

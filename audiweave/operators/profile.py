@@ -20,7 +20,7 @@ def profile(df: DataFrame, dim: str, domain: str = "domain") -> DataFrame:
 
 
 def behaviour_profile(feat: DataFrame, names: list[str]) -> DataFrame:
-    """G14."""
+    """Size and means of features by cluster; nulls don't count in a mean, a null cluster is one."""
     return feat.groupBy("cluster").agg(F.count("*").alias("size"), *(F.avg(c).alias(c) for c in names))
 
 
@@ -84,7 +84,7 @@ def classifier_change(rep: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def returning_change(new: DataFrame, base: DataFrame) -> DataFrame:
-    """G21."""
+    """Mean returning share by site, before and now, and its change; sites of one side drop out."""
     mean = lambda df, name: df.groupBy("site").agg(F.avg("returning_pct").alias(name))
     return mean(new, "now").join(mean(base, "before"), "site").withColumn("change", F.col("now") - F.col("before"))
 
@@ -106,18 +106,18 @@ def top_with_others(df: DataFrame, name: str, k: int) -> DataFrame:
 
 
 def company_table(aud: DataFrame, companies: DataFrame) -> DataFrame:
-    """G24."""
+    """Users of each company beside its attributes; a company without any keeps a row, null ones drop out."""
     users = aud.where("company is not null").groupBy("company").agg(F.count_distinct("user_id").alias("users"))
     return users.join(companies.dropDuplicates(["company"]), "company", "left")
 
 
 def drop_small(df: DataFrame, name: str, n: int) -> DataFrame:
-    """G25."""
+    """Rows of values that stand n times or more; null values drop out."""
     return df.join(df.groupBy(name).agg(F.count("*").alias("_n")).where(F.col("_n") >= n).select(name), name, "left_semi")
 
 
 def n_clusters(df: DataFrame, by: list[str]) -> DataFrame:
-    """G26."""
+    """Greatest cluster + 1 by group, 0 where all are null."""
     return df.groupBy(*by).agg(F.coalesce(F.max("cluster") + 1, F.lit(0)).alias("n_clusters"))
 
 

@@ -137,7 +137,7 @@ def centroid_similarity(cents: DataFrame, names: list[str]) -> DataFrame:
 
 
 def segregation(profile: DataFrame, dim_total: str = "dim_total") -> DataFrame:
-    """M13."""
+    """Mean of weight_ratio - 1, weighted by the squared total; null without any weight."""
     w = F.col(dim_total).cast("double") ** 2
     return profile.groupBy("domain").agg(F.try_divide(F.sum((F.col("weight_ratio") - 1) * w), F.sum(w)).alias("segregation"))
 
@@ -156,7 +156,7 @@ def c_level_score(df: DataFrame, level: str = "C-level-1", none: str = "non-decl
 
 
 def ranking(scores: DataFrame) -> DataFrame:
-    """M15."""
+    """Weighted sum of the four scores; null where one is."""
     return scores.withColumn("ranking", 0.4 * F.col("industry") + 0.3 * F.col("jobs") + 0.2 * F.col("c_level") + 0.1 * F.col("seniority"))
 
 
@@ -263,7 +263,7 @@ def segment_report(parts: list[DataFrame], by: str = "domain") -> DataFrame:
 
 
 def weak_classes(rep: DataFrame, least: float = 0.3) -> DataFrame:
-    """M30."""
+    """Clusters of each day and domain with rows and an F1 under ``least``, in order; a null F1 is none."""
     weak = rep.where((F.col("f1_score") < least) & (F.col("support") > 0))
     return weak.groupBy("date", "domain").agg(F.array_join(F.sort_array(F.collect_set(F.col("cluster").cast("string"))), ",").alias("weak"))
 

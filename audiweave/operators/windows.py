@@ -15,7 +15,7 @@ def latest_per(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 
 def top_n_per(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    """H5, I3, C32."""
+    """The n first rows of each group in the given order, which decides ties; a null key is a group."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_rn") <= n).drop("_rn")
 
 
@@ -39,22 +39,22 @@ def group_shares(df: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def rank_position(df: DataFrame, keys: list[str], order: list[Column], out: str = "position") -> DataFrame:
-    """H7, N8."""
+    """Place of each row in its group in the given order; ties get different places."""
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """I1, I2."""
+    """The n first rows in the given order."""
     return df.orderBy(*order).limit(n)
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:
-    """J1."""
+    """All rows of all tables, columns by name; missing ones are null, repeated rows stay."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
 def union_distinct(*dfs: DataFrame) -> DataFrame:
-    """J2."""
+    """Distinct rows of all tables, columns by name; nulls are equal here."""
     return union_all(*dfs).distinct()
 
 

@@ -33,7 +33,7 @@ class Warehouse:
         return files.exists(at)
 
     def read(self, dataset: str, table: str) -> DataFrame:
-        """A4."""
+        """A4: the rows of a table."""
         return self.spark.read.parquet(self.path(dataset, table))
 
     def load_if_absent(self, df: DataFrame, dataset: str, table: str) -> bool:
@@ -95,7 +95,7 @@ class Warehouse:
         return match(self.read(dataset, table))
 
     def log_run(self, dataset: str, table: str, message: str, at: str) -> None:
-        """B16."""
+        """A line of one run."""
         self.log_runs(self.spark.createDataFrame([(at, f"{dataset}.{table}", message)], "at string, table string, message string"))
 
     def log_runs(self, lines: DataFrame) -> None:
@@ -120,7 +120,7 @@ def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType | str)
 
 
 def mirror_jdbc(df: DataFrame, url: str, table: str, mode: str, batch: int = 20_000) -> None:
-    """A5."""
+    """A5: rows into a relational table, lower-case names, in batches."""
     df.toDF(*(c.lower() for c in df.columns)).write.option("batchsize", batch).jdbc(url, table, mode)
 
 
