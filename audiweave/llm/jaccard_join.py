@@ -63,7 +63,7 @@ def _fresh(seen: set[int], a: np.ndarray) -> np.ndarray:
     return np.array([not (x in seen or seen.add(x)) for x in a.tolist()], dtype=bool)
 
 
-def _classes(column: pa.Array, n: int) -> tuple[np.ndarray, ...]:
+def class_keys(column: pa.Array, n: int) -> tuple[np.ndarray, ...]:
     doc, gram = shingle_sets(column, n)
     count = np.bincount(doc, minlength=len(column)).astype(np.int64)
     first = np.concatenate([[0], np.cumsum(count)])
@@ -78,7 +78,7 @@ def _class_rows(n: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
-                _, _, count, a, b = _classes(part.column("text"), n)
+                _, _, count, a, b = class_keys(part.column("text"), n)
                 yield pa.record_batch([part.column("doc_id"), part.column("h"), pa.array(count), pa.array(a), pa.array(b)], names=["doc_id", "h", "n_shingles", "a", "b"])
 
     return rows
@@ -120,7 +120,7 @@ def _prefix_rows(n: int, percent: int):
         seen: set[int] = set()
         for batch in batches:
             for part in chunks(batch, "text", CHUNK):
-                doc, gram, count, a, _ = _classes(part.column("text"), n)
+                doc, gram, count, a, _ = class_keys(part.column("text"), n)
                 new = _fresh(seen, a)
                 doc, gram, count = doc[new[doc]], gram[new[doc]], np.where(new, count, 0)
                 yield pa.record_batch([pa.array(x) for x in shared_prefixes(doc, gram, count, a, percent)], names=["key", "a", "known"])
@@ -132,7 +132,7 @@ def _set_rows(n: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
-                _, gram, count, a, b = _classes(part.column("text"), n)
+                _, gram, count, a, b = class_keys(part.column("text"), n)
                 first = np.concatenate([[0], np.cumsum(count)])
                 sets = [gram[i:j].tobytes() for i, j in zip(first[:-1], first[1:], strict=True)]
                 mine = (a == part.column("a").to_numpy()) & (b == part.column("b").to_numpy())
@@ -251,7 +251,7 @@ def _add_block(counts: np.ndarray, row: np.ndarray, column: np.ndarray, nl: int)
             counts[np.ix_(hl, hr)] += (dense[0] @ dense[1].T).astype(np.int64)
 
 
-def _forest(rows: np.ndarray, cols: np.ndarray, names: np.ndarray) -> list[tuple[int, int]]:
+def forest(rows: np.ndarray, cols: np.ndarray, names: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of links between positions."""
     root = np.arange(len(names))
 
@@ -287,7 +287,7 @@ def _block(percent: int):
         if tile == other:
             np.fill_diagonal(linked, False)
         r, c = np.nonzero(linked)
-        edges = _forest(li[r], ri[c], name)
+        edges = forest(li[r], ri[c], name)
         u, v, k = [x for x, _ in edges], [y for _, y in edges], [0] * len(edges)
         sides = [(li, linked @ copies[ri])] + ([] if tile == other else [(ri, linked.T @ copies[li])])
         for own, total in sides:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from audiweave.llm import chat, decontaminate, jaccard_join, language, licenses, packing, pii, quality, rules, urls
+from audiweave.llm import centroids, chat, decontaminate, jaccard_join, language, licenses, minhash, packing, pii, quality, resample, rules, urls
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -15,9 +15,14 @@ QUERIES = {
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op10_personal_data": pii.op10_personal_data,
+    "op11_minhash_dedup": minhash.op11_minhash_dedup,
+    "op12_centroid_clusters": centroids.op12_centroid_clusters,
+    "op13_importance_resampling": resample.op13_importance_resampling,
 }
 
 ORACLES = {
     "op4_jaccard_join": jaccard_join.ORACLE,
     "op5_decontaminate": decontaminate.ORACLE,
+    "op11_minhash_dedup": minhash.ORACLE,
+    "op12_centroid_clusters": centroids.ORACLE,
 }
