@@ -17,11 +17,13 @@ SYSTEMS = (
     ("Linux", "linux"), ("Android", "android"), ("Windows NT 10.0", "windows10"), ("Windows", "windows_older"), ("iPhone", "iphone"), ("Macintosh", "macintosh"), ("AppleWebKit", "apple_other"),
 )
 #: Hours added to UTC by continent, and zones by continent.
-OFFSETS = {"EUROPE": 1, "ASIA": 5, "AFRICA": 2, "AMERICA": -6, "MIDDLE EAST": 3}
-ZONES = {"EUROPE": "Europe/Paris", "ASIA": "Asia/Kolkata", "AFRICA": "Africa/Cairo", "AMERICA": "America/Chicago", "MIDDLE EAST": "Asia/Riyadh"}
+OFFSETS = {"North America": -6, "South America": -3, "Europe": 1, "Africa": 1, "Asia": 5}
+ZONES = {"North America": "US/Central", "South America": "Brazil/West", "Europe": "Europe/Berlin", "Africa": "Europe/Berlin", "Asia": "Asia/Karachi"}
+#: Job titles that a clean one is replaced by.
+TITLES = {"professional and technical staff eg lawyer engineer architect": "professional"}
 #: Names that hold personal data in contact tables.
 PERSONAL = ("salutation", "first_name", "last_name", "email", "phone", "address", "c_name")
-#: Legal forms at the end of company names, without dots.
+#: The library's own list of legal forms at the end of company names, without dots.
 LEGAL_FORMS = (
     "ab", "ag", "aps", "as", "asa", "bhd", "bv", "bvba", "co", "company", "corp", "corporation", "dd", "doo", "eood", "gmbh", "inc", "incorporated", "jsc", "kft", "kg", "kk", "lda", "limited",
     "llc", "llp", "lp", "ltd", "ltda", "nv", "oao", "ohg", "ood", "ooo", "oy", "oyj", "pjsc", "plc", "pte", "pty", "pvt", "sa", "sarl", "sas", "sdn", "se", "sl", "slu", "spa", "sro", "srl", "ug", "zao", "zrt",
@@ -189,7 +191,7 @@ def os_group(col: Column) -> Column:
 
 
 def local_hour_offset(hour: Column, continent: Column, wrap: bool = False) -> Column:
-    """Below 0 a day is added and 24 is 0; hours past 24 stay unless ``wrap``."""
+    """Below 0 a day is added and 24 is 0; hours past 24 stay unless ``wrap``. Other continents and null keep the hour."""
     out = F.lit(None).cast("int")
     for name, offset in OFFSETS.items():
         out = F.when(continent == name, hour + offset).otherwise(out)
@@ -273,14 +275,24 @@ def clean_company(col: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(out, r"\p{Punct}+", ""), r"\s+", " "))
 
 
-def clean_title(col: Column, stop: tuple[str, ...] = ("the", "of", "and", "for")) -> Column:
-    """L4: lower case, dots gone, hyphens as spaces, letters only, no stop words or single letters."""
+def clean_title(col: Column, stop: tuple[str, ...] = (), mapped: dict[str, str] = TITLES) -> Column:
+    """L4: lower case, dots gone, hyphens as spaces, then letters and white space only; ``stop`` words go where given.
+
+    A title of fewer than two characters is null; one that ``mapped`` names is replaced. Null stays null."""
     out = F.replace(F.replace(F.lower(col), F.lit("."), F.lit("")), F.lit("-"), F.lit(" "))
-    words = F.split(F.trim(F.regexp_replace(out, "[^a-z ]", " ")), " +")
-    return F.array_join(F.filter(words, lambda w: (F.length(w) >= 2) & ~w.isin(*stop)), " ")
+    out = F.regexp_replace(F.regexp_replace(out, r"[^A-Za-z\s]+", ""), r"^\s+|\s+$", "")
+    if stop:
+        out = F.array_join(F.filter(F.split(out, r"\s+"), lambda w: ~w.isin(*stop)), " ")
+    for title, name in mapped.items():
+        out = F.when(out == title, name).otherwise(out)
+    return F.when(F.length(out) >= 2, out)
+
+
+def _stands_in(a: Column, b: Column) -> Column:
+    quoted = F.concat(F.lit(r"(?U)\b\Q"), F.replace(a, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E\b"))
+    return F.contains(b, a) & F.rlike(b, quoted)
 
 
 def word_found(a: Column, b: Column) -> Column:
-    """One text stands in the other as whole words."""
-    pad = lambda x: F.concat(F.lit(" "), x, F.lit(" "))
-    return F.contains(pad(b), pad(a)) | F.contains(pad(a), pad(b))
+    """One text stands in the other, word boundaries at both of its ends. Null where one is null."""
+    return _stands_in(a, b) | _stands_in(b, a)

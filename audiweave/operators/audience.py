@@ -75,8 +75,8 @@ def indicator_at(ind: DataFrame, year: int, now: int) -> DataFrame:
 
 
 def growth(ind: DataFrame, y0: int, y1: int) -> DataFrame:
-    """Percent from ``y0`` to ``y1``, cut to a whole number."""
-    at = lambda y: F.max(F.when(F.col("year") == y, F.col("value")))
+    """Percent from ``y0`` to ``y1``, cut to a whole number; both values are cut to whole numbers first. Null where one is missing or the first is 0."""
+    at = lambda y: F.max(F.when(F.col("year") == y, F.col("value"))).cast("long")
     return ind.groupBy("country", "indicator").agg(at(y0).alias("v0"), at(y1).alias("v1")).select("country", "indicator", F.try_divide(100 * (F.col("v1") - F.col("v0")), "v0").cast("int").alias("growth"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from audiweave.functions.text import MAIL, SEARCH, SOCIAL, _holds_any, local_hour_zone
+from audiweave.functions.text import MAIL, OFFSETS, SEARCH, SOCIAL, SYSTEMS, _holds_any, local_hour_zone
 from audiweave.functions.time import micros
 from audiweave.operators.windows import latest_per
 
@@ -32,12 +32,13 @@ def views_sessions() -> list[Column]:
     return [F.count_distinct("session_id").alias("sessions"), F.count_distinct(view()).alias("views")]
 
 
-def referrer_visits(site: str = "site") -> list[Column]:
-    """Classes overlap; null is typed."""
+def referrer_visits(site: str = "site", network: tuple[str, ...] = ("example.net",)) -> list[Column]:
+    """Classes overlap; null is typed. ``network`` names the domains of one's own network."""
     ref = F.col("referrer")
     return [
         F.count_if(_holds_any(ref, SOCIAL)).alias("visits_social"), F.count_if(_holds_any(ref, SEARCH)).alias("visits_search"),
-        F.count_if(_holds_any(ref, MAIL)).alias("visits_email"), F.count_if(F.contains(ref, F.col(site))).alias("visits_own"), F.count_if(ref.isNull()).alias("visits_typed"),
+        F.count_if(_holds_any(ref, MAIL)).alias("visits_email"), F.count_if(_holds_any(ref, network)).alias("visits_network"),
+        F.count_if(F.contains(ref, F.col(site))).alias("visits_own"), F.count_if(ref.isNull()).alias("visits_typed"),
     ]
 
 
@@ -46,15 +47,17 @@ def client_visits() -> list[Column]:
     return [F.count_if(F.col("client") == c).alias(f"visits_{c}") for c in ("web", "amp")]
 
 
-def continent_visits(names=("EUROPE", "ASIA", "AMERICA")) -> list[Column]:
+def continent_visits(names=tuple(OFFSETS)) -> list[Column]:
     """A null continent counts nowhere."""
     at = F.col("continent")
-    return [*(F.count_if(at == n).alias(f"visits_{n.lower()}") for n in names), F.count_if(~at.isin(*names)).alias("visits_elsewhere")]
+    return [*(F.count_if(at == n).alias(f"visits_{n.lower().replace(' ', '_')}") for n in names), F.count_if(~at.isin(*names)).alias("visits_elsewhere")]
 
 
-def os_visits(names=("windows", "linux", "android", "iphone", "mac")) -> list[Column]:
-    """An agent counts for every system that it names."""
-    return [F.count_if(F.contains(F.lower("agent"), F.lit(n))).alias(f"visits_{n}") for n in names]
+def os_visits() -> list[Column]:
+    """An agent counts for every system whose mark it holds, in the mark's case; older Windows is any but 10."""
+    held = {name: F.contains("agent", F.lit(mark)) for mark, name in SYSTEMS}
+    held["windows_older"] = held["windows_older"] & ~held["windows10"]
+    return [F.count_if(test).alias(f"visits_{name}") for name, test in held.items()]
 
 
 def mean_local_hour() -> Column:
@@ -62,9 +65,10 @@ def mean_local_hour() -> Column:
     return F.avg(local_hour_zone(F.col("ts"), F.col("continent"))).alias("mean_hour")
 
 
-def engagement(name: str = "value") -> Column:
-    """Zeros don't count."""
-    return F.avg(F.when(F.col(name) != 0, F.col(name))).alias("mean_dwell")
+def engagement(completion: str = "completion", dwell: str = "value") -> list[Column]:
+    """Mean completion and dwell of the views in which neither is 0 or null."""
+    counted = (F.col(completion) != 0) & (F.col(dwell) != 0)
+    return [F.avg(F.when(counted, F.col(completion))).alias("mean_completion"), F.avg(F.when(counted, F.col(dwell))).alias("mean_dwell")]
 
 
 def recency_frequency(asof) -> list[Column]:

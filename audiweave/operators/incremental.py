@@ -127,12 +127,16 @@ def schema_matches(df: DataFrame, expected: T.StructType) -> bool:
     return all(own.get(f.name) == f.dataType for f in expected)
 
 
-def drop_placeholders(df: DataFrame, name: str, values: list[str]) -> DataFrame:
-    """Null stays."""
-    return df.where(~F.coalesce(F.lower(F.trim(F.col(name))).isin(*values), F.lit(False)))
+#: What stands for no value in free text.
+PLACEHOLDERS = ("", " ", ".", "-", ",", "..", "...", "--", "/", "?", "???", "TEST", "TEst", "Test", "test", "x", "xx", "xxx", "xx", "NULL", "none", "None", "NONE", "xxxx")
 
 
-def track_history(prev: DataFrame, rows: DataFrame, key: str, value: str, placeholders: list[str]) -> DataFrame:
+def drop_placeholders(df: DataFrame, name: str, values: tuple[str, ...] | list[str] = PLACEHOLDERS) -> DataFrame:
+    """Rows whose text is literally one of ``values`` go; null stays."""
+    return df.where(~F.coalesce(F.col(name).isin(*values), F.lit(False)))
+
+
+def track_history(prev: DataFrame, rows: DataFrame, key: str, value: str, placeholders: tuple[str, ...] | list[str] = PLACEHOLDERS) -> DataFrame:
     """New and changed keys with their history.
 
     The newest valid value of a key counts; first and last times are over all

@@ -161,12 +161,13 @@ def ranking(scores: DataFrame) -> DataFrame:
 
 
 def shortlist(models: DataFrame) -> DataFrame:
-    """Of each (n_clusters, lookback) the 5 most stable, of these the 3 most similar; a similarity of 1 (a single fit) is replaced by the mean of the others."""
-    alone = F.col("similarity") >= 0.999999
-    mean = F.avg(F.when(~alone, F.col("similarity"))).over(Window.partitionBy("n_clusters", "lookback"))
-    fixed = models.withColumn("similarity", F.when(alone, F.coalesce(mean, "similarity")).otherwise(F.col("similarity")))
+    """Of each (n_clusters, lookback) the 5 most stable, of these the 3 most similar. A similarity over 0.9999 (a single
+    fit, nothing to compare with) is replaced by the mean over all that are stable, itself included."""
     keys = ["n_clusters", "lookback"]
-    return top_n_per(top_n_per(fixed, keys, [F.asc("variance"), F.asc("model")], 5), keys, [F.desc("similarity"), F.asc("model")], 3)
+    stable = top_n_per(models, keys, [F.asc("variance"), F.asc("model")], 5)
+    mean = stable.agg(F.avg("similarity").alias("_mean"))
+    fixed = stable.crossJoin(F.broadcast(mean)).withColumn("similarity", F.when(F.col("similarity") > 0.9999, F.col("_mean")).otherwise(F.col("similarity"))).drop("_mean")
+    return top_n_per(fixed, keys, [F.desc("similarity"), F.asc("model")], 3)
 
 
 def best_model(models: DataFrame, by: str) -> DataFrame:

@@ -90,7 +90,7 @@ def n06_indicator_at(spark, sf_dir):
     return N.indicator_at(indicators(spark, sf_dir).where("length(country) % 2 = 0 or year <> 2001"), 2001, 2000).select("country", "year", "value")
 
 
-@query(f"{I} SELECT country, CAST(trunc(100 * (max(value) FILTER (year = 2000) - max(value) FILTER (year = 1996)) / max(value) FILTER (year = 1996)) AS INTEGER) AS growth FROM i GROUP BY 1")
+@query(f"{I} SELECT country, CAST(trunc(100 * (trunc(max(value) FILTER (year = 2000)) - trunc(max(value) FILTER (year = 1996))) / trunc(max(value) FILTER (year = 1996))) AS INTEGER) AS growth FROM i GROUP BY 1")
 def n07_growth(spark, sf_dir):
     return N.growth(indicators(spark, sf_dir), 1996, 2000).select("country", "growth")
 

@@ -78,7 +78,7 @@ def g01_views_sessions(spark, sf_dir):
 
 @query(f"""{V} SELECT user_id, count(*) FILTER (regexp_matches(referrer, 'facebook|linkedin|twitter|t\\.co/|youtube|instagram|reddit|pinterest')) AS visits_social,
  count(*) FILTER (regexp_matches(referrer, 'ask|baidu|bing|duckduckgo|google|yahoo|yandex')) AS visits_search, count(*) FILTER (regexp_matches(referrer, 'Pardot|pardot')) AS visits_email,
- count(*) FILTER (contains(referrer, site)) AS visits_own, count(*) FILTER (referrer IS NULL) AS visits_typed FROM v GROUP BY 1""")
+ count(*) FILTER (contains(referrer, 'example.net')) AS visits_network, count(*) FILTER (contains(referrer, site)) AS visits_own, count(*) FILTER (referrer IS NULL) AS visits_typed FROM v GROUP BY 1""")
 def g02_referrer_visits(spark, sf_dir):
     return views(spark, sf_dir).groupBy("user_id").agg(*G.referrer_visits())
 
@@ -88,14 +88,14 @@ def g03_client_visits(spark, sf_dir):
     return views(spark, sf_dir).groupBy("user_id").agg(*G.client_visits())
 
 
-@query(f"""{V} SELECT site, count(*) FILTER (continent = 'EUROPE') AS visits_europe, count(*) FILTER (continent = 'ASIA') AS visits_asia, count(*) FILTER (continent = 'AMERICA') AS visits_america,
- count(*) FILTER (continent NOT IN ('EUROPE', 'ASIA', 'AMERICA')) AS visits_elsewhere FROM v GROUP BY 1""")
+@query(f"""{V} SELECT site, count(*) FILTER (continent = 'North America') AS visits_north_america, count(*) FILTER (continent = 'South America') AS visits_south_america, count(*) FILTER (continent = 'Europe') AS visits_europe, count(*) FILTER (continent = 'Africa') AS visits_africa,
+ count(*) FILTER (continent = 'Asia') AS visits_asia, count(*) FILTER (continent NOT IN ('North America', 'South America', 'Europe', 'Africa', 'Asia')) AS visits_elsewhere FROM v GROUP BY 1""")
 def g04_continent_visits(spark, sf_dir):
     return views(spark, sf_dir).groupBy("site").agg(*G.continent_visits())
 
 
-@query(f"""{V} SELECT user_id, count(*) FILTER (contains(lower(agent), 'windows')) AS visits_windows, count(*) FILTER (contains(lower(agent), 'linux')) AS visits_linux,
- count(*) FILTER (contains(lower(agent), 'android')) AS visits_android, count(*) FILTER (contains(lower(agent), 'iphone')) AS visits_iphone, count(*) FILTER (contains(lower(agent), 'mac')) AS visits_mac FROM v GROUP BY 1""")
+@query(f"""{V} SELECT user_id, count(*) FILTER (agent LIKE '%Linux%') AS visits_linux, count(*) FILTER (agent LIKE '%Android%') AS visits_android, count(*) FILTER (agent LIKE '%Windows NT 10.0%') AS visits_windows10, count(*) FILTER (agent LIKE '%Windows%' AND agent NOT LIKE '%Windows NT 10.0%') AS visits_windows_older,
+ count(*) FILTER (agent LIKE '%iPhone%') AS visits_iphone, count(*) FILTER (agent LIKE '%Macintosh%') AS visits_macintosh, count(*) FILTER (agent LIKE '%AppleWebKit%') AS visits_apple_other FROM v GROUP BY 1""")
 def g05_os_visits(spark, sf_dir):
     return views(spark, sf_dir).groupBy("user_id").agg(*G.os_visits())
 
@@ -106,13 +106,15 @@ def g06_lead_flag(spark, sf_dir):
     return G.lead_flag(ev.select("user_id").distinct(), ev.where("event_type = 'signup'"))
 
 
-HOUR = """extract('hour' FROM ((ts AT TIME ZONE 'UTC') AT TIME ZONE CASE continent WHEN 'EUROPE' THEN 'Europe/Paris' WHEN 'ASIA' THEN 'Asia/Kolkata' WHEN 'AFRICA' THEN 'Africa/Cairo' WHEN 'AMERICA' THEN 'America/Chicago' WHEN 'MIDDLE EAST' THEN 'Asia/Riyadh' ELSE 'UTC' END))"""
-FIXED = """CASE continent WHEN 'EUROPE' THEN 0 + hour(ts) + 1 WHEN 'ASIA' THEN hour(ts) + 5 WHEN 'AFRICA' THEN hour(ts) + 2 WHEN 'AMERICA' THEN hour(ts) - 6 WHEN 'MIDDLE EAST' THEN hour(ts) + 3 ELSE hour(ts) END"""
+HOUR = """extract('hour' FROM ((ts AT TIME ZONE 'UTC') AT TIME ZONE CASE continent WHEN 'North America' THEN 'US/Central' WHEN 'South America' THEN 'Brazil/West' WHEN 'Europe' THEN 'Europe/Berlin' WHEN 'Africa' THEN 'Europe/Berlin' WHEN 'Asia' THEN 'Asia/Karachi' ELSE 'Etc/UTC' END))"""
+FIXED = """CASE continent WHEN 'North America' THEN hour(ts) - 6 WHEN 'South America' THEN hour(ts) - 3 WHEN 'Europe' THEN hour(ts) + 1 WHEN 'Africa' THEN hour(ts) + 1 WHEN 'Asia' THEN hour(ts) + 5 ELSE hour(ts) END"""
 
 
-@query(f"""{V} SELECT user_id, round(avg(value) FILTER (value <> 0), 4) AS mean_dwell FROM v GROUP BY 1""")
+@query(f"""{V} SELECT user_id, round(avg(completion), 4) AS mean_completion, round(avg(value), 4) AS mean_dwell FROM v WHERE completion <> 0 AND value <> 0 GROUP BY 1""")
 def g08_engagement(spark, sf_dir):
-    return views(spark, sf_dir).groupBy("user_id").agg(F.round(G.engagement(), 4).alias("mean_dwell"))
+    """Users without any counted view have no row in the SQL, and nulls in the features."""
+    out = views(spark, sf_dir).groupBy("user_id").agg(*G.engagement()).where("mean_dwell is not null")
+    return out.select("user_id", *(F.round(c, 4).alias(c) for c in ("mean_completion", "mean_dwell")))
 
 
 @query(f"""{V}{VIR} SELECT site, title, views, round(virality, 4) AS virality FROM vir""")

@@ -175,12 +175,17 @@ def l01_clean_company(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", C.clean_company(raw).alias("name"))
 
 
-@query("SELECT p_partkey, p_name || ' officer' AS title FROM part")
+RAW_TITLE = """CASE p_partkey % 6 WHEN 0 THEN 'C++/' || p_name WHEN 1 THEN ' R & D. ' || upper(p_name) || ' ' WHEN 2 THEN 'Vice-' || p_name || ', No. 1' WHEN 3 THEN 'X.'
+ WHEN 4 THEN 'Professional and technical staff (e.g. lawyer, engineer, architect)' ELSE p_name || '\t' || p_type END"""
+
+
+@query(f"""WITH r AS (SELECT p_partkey, {RAW_TITLE.replace(chr(92) + 't', chr(9))} AS raw FROM part), c AS (SELECT p_partkey, regexp_replace(regexp_replace(replace(replace(lower(raw), '.', ''), '-', ' '), '[^A-Za-z\\s]+', '', 'g'), '^\\s+|\\s+$', '', 'g') AS t FROM r)
+SELECT p_partkey, CASE WHEN t = 'professional and technical staff eg lawyer engineer architect' THEN 'professional' WHEN length(t) >= 2 THEN t END AS title FROM c""")
 def l04_clean_title(spark, sf_dir):
-    raw = F.concat(F.lit("The "), F.initcap(F.replace("p_name", F.lit(" "), F.lit("-"))), F.lit(" of 9 Officer. X"))
-    return table(spark, sf_dir, "part").select("p_partkey", C.clean_title(raw).alias("title"))
+    """Signs go without a space, single letters stay, a title of one letter is none, and a known one is mapped."""
+    return table(spark, sf_dir, "part").select("p_partkey", C.clean_title(F.expr(RAW_TITLE)).alias("title"))
 
 
-@query("SELECT p_partkey, contains(' ' || p_name || ' ', ' red ') AS found FROM part")
+@query("SELECT p_partkey, regexp_matches(p_name, '\\bred\\b') OR regexp_matches('red', '\\b' || p_name || '\\b') AS found FROM part")
 def l05_word_found(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", C.word_found(F.lit("red"), F.col("p_name")).alias("found"))

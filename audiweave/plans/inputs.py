@@ -19,7 +19,8 @@ SELECT event_id, user_id, ts, event_type AS site, {title} AS title, value,
     WHEN 8 THEN 'https://yandex.example/q' WHEN 9 THEN 'https://www.youtube.com/watch' ELSE 'https://other.example.org/' END AS referrer,
   CASE event_id % 9 WHEN 0 THEN 'Mozilla (Windows NT 10.0; Win64)' WHEN 1 THEN 'Mozilla (Linux; Android 13)' WHEN 2 THEN 'Mozilla (iPhone; like Mac OS)' WHEN 3 THEN 'Googlebot' WHEN 4 THEN 'Mozilla (X11; Linux)'
     WHEN 5 THEN 'Mozilla (Windows NT 6.1)' WHEN 6 THEN 'Mozilla (Macintosh) AppleWebKit' WHEN 7 THEN 'AppleWebKit (iPad)' ELSE 'Dalvik (Android 9)' END AS agent,
-  CASE user_id % 6 WHEN 0 THEN 'EUROPE' WHEN 1 THEN 'ASIA' WHEN 2 THEN 'AMERICA' WHEN 3 THEN 'AFRICA' WHEN 4 THEN 'MIDDLE EAST' END AS continent
+  (event_id % 5) * 0.25E0 AS completion,
+  CASE user_id % 7 WHEN 0 THEN 'Europe' WHEN 1 THEN 'Asia' WHEN 2 THEN 'North America' WHEN 3 THEN 'Africa' WHEN 4 THEN 'South America' WHEN 5 THEN 'Oceania' END AS continent
 FROM events
 """
 VIEWS_SQL = _VIEWS.format(title="regexp_extract(props, '\"k\": *([0-9]+)', 1)")

@@ -111,20 +111,25 @@ PREV = "SELECT o_custkey, min(o_orderpriority) AS value, DATE '1990-01-01' AS cr
 
 
 @query(f"""WITH prev AS ({PREV}), s AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS c, CAST(max(o_orderdate) AS DATE) AS u FROM orders GROUP BY 1),
-n AS (SELECT o_custkey, o_orderpriority AS value FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderpriority) AS k FROM orders WHERE lower(o_orderpriority) <> '4-not specified') WHERE k = 1)
+n AS (SELECT o_custkey, o_orderpriority AS value FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderpriority) AS k FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED') WHERE k = 1)
 SELECT n.o_custkey, n.value, CAST(coalesce(prev.created_at, s.c) AS VARCHAR) AS created_at, CAST(s.u AS VARCHAR) AS updated_at, CASE WHEN prev.history IS NULL THEN n.value ELSE prev.history || ',' || n.value END AS history
 FROM n JOIN s USING (o_custkey) LEFT JOIN prev USING (o_custkey) WHERE prev.history IS NULL OR n.value IS DISTINCT FROM prev.value""")
 def b14_track_history(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     prev = o.where("o_custkey % 2 = 0").groupBy("o_custkey").agg(F.min("o_orderpriority").alias("value")).withColumns({"created_at": F.lit("1990-01-01").cast("date"), "history": F.col("value")})
     rows = o.select("o_custkey", F.col("o_orderpriority").alias("value"), F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("updated_at"))
-    out = B.track_history(prev, rows, "o_custkey", "value", ["4-not specified"])
+    out = B.track_history(prev, rows, "o_custkey", "value", ["4-NOT SPECIFIED"])
     return out.withColumns({c: F.col(c).cast("date").cast("string") for c in ("created_at", "updated_at")})
 
 
-@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE lower(trim(o_orderpriority)) NOT IN ('5-low', 'none')")
+JUNK = """CASE o_orderkey % 9 WHEN 0 THEN 'NULL' WHEN 1 THEN 'null' WHEN 2 THEN 'TEst' WHEN 3 THEN ' ' WHEN 4 THEN '' WHEN 5 THEN ' test' WHEN 6 THEN NULL WHEN 7 THEN '???' ELSE o_orderpriority END"""
+
+
+@query(f"""WITH j AS (SELECT o_orderkey, {JUNK} AS value FROM orders) SELECT o_orderkey, value FROM j WHERE value IS NULL OR value NOT IN
+('', ' ', '.', '-', ',', '..', '...', '--', '/', '?', '???', 'TEST', 'TEst', 'Test', 'test', 'x', 'xx', 'xxx', 'NULL', 'none', 'None', 'NONE', 'xxxx')""")
 def b15_drop_placeholders(spark, sf_dir):
-    return B.drop_placeholders(table(spark, sf_dir, "orders"), "o_orderpriority", ["5-low", "none"]).select("o_orderkey", "o_orderpriority")
+    """Case and spaces count: ``null`` and `` test`` stay."""
+    return B.drop_placeholders(table(spark, sf_dir, "orders").select("o_orderkey", F.expr(JUNK).alias("value")), "value")
 
 
 LOG = "SELECT ts AS \"at\", event_type || '.' || CAST(user_id % 9 AS VARCHAR) AS \"table\", CASE WHEN event_id % 4 = 0 THEN 'failed' ELSE 'loaded successfully.' END AS message, 'log' || CAST(user_id % 3 AS VARCHAR) AS file, CASE WHEN event_id % 2 = 0 THEN '1,2,3' ELSE '' END AS entities FROM events"
@@ -153,10 +158,11 @@ def b20_append_changed(spark, sf_dir):
     return B.append_changed(best(o.where("year(o_orderdate) < 1998")), best(o), ["o_custkey"], "v")
 
 
-@query("SELECT DISTINCT p_name AS name, replace(p_name, ' ', '_') AS clean FROM part WHERE p_name NOT IN (SELECT p_name FROM part WHERE p_partkey % 3 = 0)")
+@query("SELECT DISTINCT p_name || ' ' || lower(p_type) AS name, replace(p_name || ' ' || lower(p_type), ' ', '_') AS clean FROM part WHERE p_name || ' ' || lower(p_type) NOT IN (SELECT p_name || ' ' || lower(p_type) FROM part WHERE p_size > 40)")
 def b22_extend_names(spark, sf_dir):
-    p = table(spark, sf_dir, "part").withColumn("name", F.col("p_name"))
-    return B.extend_names(p.where("p_partkey % 3 = 0"), p, "name", C.slug)
+    """Names known from large parts, extended by those of all parts."""
+    p = table(spark, sf_dir, "part").withColumn("name", F.concat_ws(" ", "p_name", F.lower("p_type")))
+    return B.extend_names(p.where("p_size > 40"), p, "name", C.slug)
 
 
 @query("SELECT o_custkey, rows, CAST(floor((sum(rows) OVER (ORDER BY o_custkey) - 1) / 100) AS BIGINT) AS chunk FROM (SELECT o_custkey, count(*) AS rows FROM orders GROUP BY 1)")
@@ -176,9 +182,11 @@ def b25_since_last(spark, sf_dir):
     return B.since_last(ev, ev.where("event_id < 5000"), "ts").select("event_id")
 
 
-@query("SELECT DISTINCT c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT DISTINCT c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 400000)")
 def b26_missing_ids(spark, sf_dir):
-    return B.missing_ids(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id")), "id")
+    """Customers without a large open order."""
+    large = table(spark, sf_dir, "orders").where("o_orderstatus = 'P' and o_totalprice > 400000")
+    return B.missing_ids(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), large.select(F.col("o_custkey").alias("id")), "id")
 
 
 @query("SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'")

@@ -24,33 +24,56 @@ def l03_closest_names(spark, sf_dir):
     return L.closest(p.where("p_partkey % 2 = 1"), p.where("p_partkey % 2 = 0"), 2, 3).select("name", "entry", "distance")
 
 
+ANY = """WITH a AS (SELECT DISTINCT p_name || ' ' || lower(p_type) AS name FROM part), b AS (SELECT DISTINCT p_brand || ' ' || p_name AS entry FROM part),
+r AS (SELECT name, entry, levenshtein(name, entry) AS distance FROM a, b) SELECT name, entry, CAST(distance AS INTEGER) AS distance, CAST(k AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY distance, entry) AS k FROM r) WHERE k <= 3"""
+
+
+@query(ANY)
+def l03_closest_any(spark, sf_dir):
+    """L3 without a threshold."""
+    p = table(spark, sf_dir, "part")
+    names, entries = p.select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("name")), p.select(F.concat_ws(" ", "p_brand", "p_name").alias("name"))
+    return L.closest(names, entries, 3).select("name", "entry", "distance", "rank")
+
+
 @query()
 def l06_title_similarity(spark, sf_dir):
-    a = table(spark, sf_dir, "part").select(F.col("p_name").alias("title"), F.reverse(F.split("p_name", " "))[0].alias("master")).distinct()
-    return a.withColumn("similarity", L.title_similarity(F.col("title"), F.col("master")))
+    """Tests hold the ratio against a plain one on random pairs."""
+    p = table(spark, sf_dir, "part")
+    a = p.select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("title"), F.concat_ws(" ", F.lower("p_type"), F.lit("head"), F.reverse(F.split("p_name", " "))[0]).alias("master"))
+    heads = a.select(F.col("master").alias("title"), F.col("title").alias("master"))
+    both = a.union(heads).distinct()
+    return both.withColumn("similarity", L.title_similarity(F.col("title"), F.col("master")))
 
 
 def _titles(spark, sf):
     return table(spark, sf, "part").select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("title"))
 
 
+def _masters(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select(F.concat_ws(" ", F.split("p_name", " ")[0], F.lower("p_type")).alias("master")).union(p.select(F.split("p_name", " ")[1].alias("master"))).distinct()
+
+
 @query()
 def l07_match_titles(spark, sf_dir):
-    masters = table(spark, sf_dir, "part").select(F.concat_ws(" ", F.split("p_name", " ")[0], F.lower("p_type")).alias("master")).distinct()
-    return L.match_titles(_titles(spark, sf_dir), masters)
+    """A test works out the cascade over these tables in plain Python."""
+    return L.match_titles(_titles(spark, sf_dir), _masters(spark, sf_dir))
 
 
 @query()
 def l08_assign_titles(spark, sf_dir):
-    masters = spark.createDataFrame([("red widget",), ("blue gadget",), ("small thing",)], "master string")
-    short = spark.createDataFrame([("widget", "widget"), ("std", "standard")], "short string, long string")
-    return L.assign_titles(_titles(spark, sf_dir).withColumnRenamed("title", "raw"), masters, short, "raw", ["none"])
+    p = table(spark, sf_dir, "part")
+    short = p.select(F.split("p_name", " ")[1].alias("short"), F.concat(F.split("p_name", " ")[1], F.lit(" maker")).alias("long")).distinct()
+    raw = p.select(F.when(F.col("p_size") % 10 == 0, "Contact.").otherwise(F.concat_ws("-", F.upper("p_name"), "p_type")).alias("raw"))
+    return L.assign_titles(raw, _masters(spark, sf_dir), short, "raw")
 
 
 @query()
 def l09_seniority(spark, sf_dir):
     masters = _titles(spark, sf_dir).distinct().withColumnRenamed("title", "master")
-    words = spark.createDataFrame([("red", "senior"), ("blue", "junior"), ("green", "middle")], "keyword string, grp string")
+    p = table(spark, sf_dir, "part")
+    words = p.select(F.split("p_name", " ")[0].alias("keyword"), F.col("p_type").alias("grp")).groupBy("keyword").agg(F.min("grp").alias("grp"))
     return L.seniority(masters, words, "other")
 
 

