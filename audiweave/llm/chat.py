@@ -10,11 +10,13 @@ labelled rows need not hold any. How often a role has no marker is learned.
 Viterbi recovers the role of each segment from those of its whole conversation.
 
 Segments are range-partitioned in (conversation, turn) order and cut into blocks
-of ``BLOCK`` rows, so one conversation may span many blocks and no task holds a
-whole one. Counts and Viterbi are exact across them: of each block the driver
-gets its first and last row, to count the step between blocks, and the (max, +)
-matrices of its first and last conversation, which it chains; each block then
-runs with its entry scores and its exit state.
+of bounded rows and bytes, between conversations where these aren't longer than
+a block. So one conversation may span many blocks and no task holds a whole one.
+Counts and Viterbi are exact across them. The driver gets a row for each
+partition, to see which conversations go on there, and of each block whose
+conversation came from the one before, or goes on in the next, its first and last
+row and the (max, +) matrices of its first and last conversation, which it
+chains; blocks then run with their entry scores and exit states.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,14 +43,16 @@ SPEAKERS = {
 }
 _ROLE_OF = {name: k for k, role in enumerate(ROLES) for name in SPEAKERS[role]}
 _NAMES = "|".join(sorted(_ROLE_OF, key=len, reverse=True))
-MARKER = re.compile(rf"^[ \t]*(?:<\|(?:im_start\|>)?|#+[ \t]*|\*\*|\[)?[ \t]*({_NAMES})(?:\|>|\*\*:|:\*\*|\]|[ \t]*:)[ \t]*|^[ \t]*(?:<\|im_start\|>|#+[ \t]*)({_NAMES})[ \t]*$", re.IGNORECASE | re.MULTILINE)
+# blanks and hashes are never given back, so a line is read once
+MARKER = re.compile(rf"^[ \t]*+(?:(?:<\|(?:im_start\|>)?|#++|\*\*|\[)[ \t]*+)?({_NAMES})(?:\|>|\*\*:|:\*\*|\]|[ \t]*+:)[ \t]*+|^[ \t]*+(?:<\|im_start\|>|#++[ \t]*+)({_NAMES})[ \t]*+$", re.IGNORECASE | re.MULTILINE)
+_LISTED = re.compile(r"^[^\S\n]*+(?:[-*]|\d++[.)]|```)", re.MULTILINE)
 _CLOSED = re.compile(r"<\|(?:im_end|end|endoftext)\|>")
-#: Values of each feature, in order: marker, lines, characters, question, list or code, first of its conversation's turns.
+#: Values of each feature, in order: marker, lines, characters, question, list or code, first of its conversation.
 WIDTHS = (4, 4, 6, 2, 2, 2)
 #: Share of markers that name the role that speaks.
 NAMED = 0.94
-#: Bits of the number of segments that a task holds at a time.
-BLOCK = 16
+#: Segments and bytes of text from which a block ends with its conversation, and as many again at which it ends anyway.
+BLOCK, BLOCK_BYTES = 1 << 16, 32 << 20
 _SEGMENTS = "conv_id long, turn long, h long, row long, seg int, role int, learned boolean, f array<int>, text string"
 
 
@@ -61,15 +67,15 @@ def split_segments(text: str) -> list[tuple[int, str]]:
     return [(m, _CLOSED.sub("", t).strip() if len(out) > 1 or m else t) for m, t in out]
 
 
-def features(marker: int, text: str, opening: bool) -> list[int]:
+def features(marker: int, text: str) -> list[int]:
+    """All but the last feature, which the place in the conversation gives."""
     lines = text.count("\n") + 1
     return [
         marker,
         min(3, lines.bit_length() - 1),
         min(5, max(0, len(text).bit_length() - 5)),
         int(text.rstrip().endswith("?")),
-        int(bool(re.search(r"^\s*(?:[-*]|\d+[.)]|```)", text, re.MULTILINE))),
-        int(opening),
+        int(bool(_LISTED.search(text))),
     ]
 
 
@@ -84,7 +90,7 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             parts = split_segments(text or "")
             known = ROLES.index(role) if role in ROLES and len(parts) == 1 else -1
             for k, (marker, own) in enumerate(parts):
-                made = (conv, turn, h, row, k, known, known >= 0 and not held_out(conv), features(marker, own, turn == 0 and k == 0), own)
+                made = (conv, turn, h, row, k, known, known >= 0 and not held_out(conv), features(marker, own), own)
                 for to, x in zip(out, made, strict=True):
                     to.append(x)
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int32()), pa.string())
@@ -93,8 +99,10 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _mark_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds ``same`` to the rows of a partition in order: 1 where the row before is of the same conversation, 2 for its first row."""
+    """Adds ``same`` and ``block`` to the rows of a partition in order. same: 1 where the row before is of the same
+    conversation, 2 for the partition's first row. A block is named by its partition and its number there."""
     before: list = []
+    block, rows, held = TaskContext.get().partitionId() << 33, 0, 0
     for batch in batches:
         conv = batch.column("conv_id").to_pylist()
         shifted = (before or [None]) + conv[:-1]
@@ -102,40 +110,61 @@ def _mark_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if same and not before:
             same[0] = 2
         before = conv[-1:] or before
-        yield pa.record_batch([*batch.columns, pa.array(same, pa.int32())], names=[*batch.schema.names, "same"])
-
-
-def _count_rows(table: pa.Table) -> pa.Table:
-    """Partial emission, transition and begin counts of one block, and (a = -1, -2) the roles at its ends."""
-    table = table.sort_by("n")
-    role, learned, same = (table.column(x).to_numpy() for x in ("role", "learned", "same"))
-    counts: dict[tuple[int, int, int], int] = {}
-    for k, f in enumerate(table.column("f").to_pylist()):
-        if learned[k]:
-            keys = [(j, int(role[k]), int(v)) for j, v in enumerate(f)]
-            if k and same[k]:
-                keys += [(len(WIDTHS), int(role[k - 1]), int(role[k]))] if role[k - 1] >= 0 else []
-            elif k:
-                keys.append((len(WIDTHS) + 1, 0, int(role[k])))
-            for key in keys:
-                counts[key] = counts.get(key, 0) + 1
-    block = table.column("block")[0].as_py()
-    rows = [(*k, v) for k, v in counts.items()] + [(-1, block, int(role[0]) if learned[0] else -1, 0), (-2, block, int(role[-1]), 0)]
-    return pa.table({x: pa.array([r[j] for r in rows], pa.int64()) for j, x in enumerate("abcn")})
-
-
-def step_counts(ends: list[tuple[int, int, int]], joined: set[int]) -> dict[tuple[int, int, int], int]:
-    """Transitions and begins at the starts of blocks, from (-1, block, learned role of its first row) and (-2, block,
-    role of its last), -1 for none. ``joined`` are the blocks that go on with the conversation before."""
+        size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+        blocks = []
+        for s, n in zip(same, size, strict=True):
+            full = max(rows / BLOCK, held / BLOCK_BYTES)
+            if full >= 2 or full >= 1 and not s:
+                block, rows, held = block + 1, 0, 0
+            rows, held = rows + 1, held + n
+            blocks.append(block)
+        yield pa.record_batch([*batch.columns, pa.array(same, pa.int32()), pa.array(blocks, pa.int64())], names=[*batch.schema.names, "same", "block"])
+
+
+def _begun(table: pa.Table, joined: set[int]) -> np.ndarray:
+    """Which rows of a block, in order, begin a conversation."""
+    begun = table.column("same").to_numpy() == 0
+    begun[:1] = table.column("block")[0].as_py() not in joined
+    return begun
+
+
+def _coded(table: pa.Table, begun: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.array(table.column("f").to_pylist(), int), begun])
+
+
+def _count_rows(joined: set[int], met: set[int]):
+    def counts(table: pa.Table) -> pa.Table:
+        """Partial emission, transition and begin counts of one block; of a block that another meets also (a = -1, -2) the roles at its ends."""
+        table = table.sort_by("n")
+        role, learned = (table.column(x).to_numpy() for x in ("role", "learned"))
+        block, begun = table.column("block")[0].as_py(), _begun(table, joined)
+        out: dict[tuple[int, int, int], int] = {}
+        for k, f in enumerate(_coded(table, begun).tolist()):
+            if learned[k]:
+                keys = [(j, int(role[k]), int(v)) for j, v in enumerate(f)]
+                if begun[k]:
+                    keys.append((len(WIDTHS) + 1, 0, int(role[k])))
+                elif k and role[k - 1] >= 0:
+                    keys.append((len(WIDTHS), int(role[k - 1]), int(role[k])))
+                for key in keys:
+                    out[key] = out.get(key, 0) + 1
+        rows = [(*k, v) for k, v in out.items()]
+        if block in met:
+            rows += [(-1, block, int(role[0]) if learned[0] else -1, 0), (-2, block, int(role[-1]), 0)]
+        return pa.table({x: pa.array([r[j] for r in rows], pa.int64()) for j, x in enumerate("abcn")})
+
+    return counts
+
+
+def step_counts(ends: list[tuple[int, int, int]], joined: dict[int, int]) -> dict[tuple[int, int, int], int]:
+    """Transitions at the starts of blocks, from (-1, block, learned role of its first row) and (-2, block, role of its
+    last), -1 for none. ``joined`` has the blocks that go on with a conversation, by the block that it comes from."""
     first, last = {b: c for a, b, c in ends if a == -1}, {b: c for a, b, c in ends if a == -2}
     out: dict[tuple[int, int, int], int] = {}
-    before = -1
-    for block in sorted(first):
-        role = first[block]
-        key = (len(WIDTHS), before, role) if block in joined else (len(WIDTHS) + 1, 0, role)
-        if role >= 0 and key[1] >= 0:
+    for block, before in joined.items():
+        key = (len(WIDTHS), last[before], first[block])
+        if key[1] >= 0 and key[2] >= 0:
             out[key] = out.get(key, 0) + 1
-        before = last[block]
     return out
 
 
@@ -159,17 +188,13 @@ class Chain:
         return sum(t[:, f[:, j]].T for j, t in enumerate(self.emit))
 
 
-def _scores(chain: Chain, table: pa.Table) -> np.ndarray:
-    return chain.scores(np.array(table.column("f").to_pylist(), int))
-
-
-def _ends(chain: Chain):
+def _ends(chain: Chain, joined: set[int]):
     def rows(table: pa.Table) -> pa.Table:
         """Of the first and the last conversation of a block: its (max, +) matrix, from the role before it to the role at its end."""
         table = table.sort_by("n")
-        same = table.column("same").to_numpy()
-        conv = np.cumsum((same == 0) & (np.arange(len(same)) > 0))
-        e = _scores(chain, table)
+        begun = _begun(table, joined)
+        conv = np.cumsum(begun & (np.arange(len(begun)) > 0))
+        e = chain.scores(_coded(table, begun))
         first, last = int(np.searchsorted(conv, conv[0], side="right")), int(np.searchsorted(conv, conv[-1]))
         out = []
         for which, (i, j) in enumerate([(0, first)] + ([(last, len(conv))] if last else [])):
@@ -183,7 +208,7 @@ def _ends(chain: Chain):
     return rows
 
 
-def chain_blocks(ends: list, joined: set[int], chain: Chain) -> dict[int, tuple[list | None, int | None]]:
+def chain_blocks(ends: list, joined: dict[int, int], chain: Chain) -> dict[int, tuple[list | None, int | None]]:
     """{block: (entry scores of its first conversation, exit role of its last)}, None where these start or end inside it."""
     ends = sorted(ends, key=lambda r: (r["block"], r["which"]))
     runs: list[list] = []
@@ -208,12 +233,13 @@ def chain_blocks(ends: list, joined: set[int], chain: Chain) -> dict[int, tuple[
     return {k: tuple(v) for k, v in out.items()}
 
 
-def _decode(chain: Chain, edges: dict):
+def _decode(chain: Chain, edges: dict, joined: set[int]):
     def rows(table: pa.Table) -> pa.Table:
         table = table.sort_by("n")
         entry, leave = edges.get(table.column("block")[0].as_py(), (None, None))
-        same = table.column("same").to_numpy() > 0
-        e = _scores(chain, table)
+        begun = _begun(table, joined)
+        same = ~begun
+        e = chain.scores(_coded(table, begun))
         back = np.zeros(e.shape, int)
         alpha = np.zeros(e.shape)
         for t in range(len(same)):
@@ -237,12 +263,25 @@ def _decode(chain: Chain, edges: dict):
     return rows
 
 
-def learn_chain(dealt: DataFrame) -> tuple[Chain, set[int]]:
-    """The model over all segments, and the blocks that go on with the conversation of the block before."""
-    ends = dealt.groupBy("block").agg(F.min_by(F.struct("same", "conv_id"), "n").alias("head"), F.max_by(F.struct("conv_id"), "n").alias("tail"))
-    ends = sorted(ends.select("block", "head.same", "head.conv_id", F.col("tail.conv_id").alias("last")).collect(), key=lambda r: r["block"])
-    joined = {r["block"] for before, r in zip(ends, ends[1:], strict=False) if r["same"] == 1 or r["same"] == 2 and before["last"] == r["conv_id"]}
-    counts = dealt.select("block", "n", "role", "learned", "same", "f").groupBy("block").applyInArrow(_count_rows, "a long, b long, c long, n long")
+def joined_blocks(dealt: DataFrame) -> dict[int, int]:
+    """The blocks that go on with the conversation of another, by that other. The driver gets them and two rows of each partition."""
+    part = F.shiftright("block", 33).alias("part")
+    heads = dealt.where("same = 2").select("block", "conv_id").collect()
+    tails = dealt.groupBy(part).agg(F.max_by(F.struct("block", "conv_id"), "n").alias("tail")).select("tail.*").collect()
+    out = {}
+    tails, at = sorted(tails), -1
+    for head in sorted(heads):
+        if at >= 0 and tails[at]["conv_id"] == head["conv_id"]:
+            out[head["block"]] = tails[at]["block"]
+        at += 1
+    inner = dealt.groupBy("block").agg(F.min_by("same", "n").alias("same")).where("same = 1").select("block")
+    return out | {r["block"]: r["block"] - 1 for r in inner.collect()}
+
+
+def learn_chain(dealt: DataFrame) -> tuple[Chain, dict[int, int]]:
+    """The model over all segments, and ``joined_blocks``."""
+    joined = joined_blocks(dealt)
+    counts = dealt.select("block", "n", "role", "learned", "same", "f").groupBy("block").applyInArrow(_count_rows({*joined}, {*joined, *joined.values()}), "a long, b long, c long, n long")
     counts = counts.groupBy("a", "b", "c").agg(F.sum("n").alias("n")).collect()
     total = {(r["a"], r["b"], r["c"]): r["n"] for r in counts if r["a"] >= 0}
     for key, n in step_counts([(r["a"], r["b"], r["c"]) for r in counts if r["a"] < 0], joined).items():
@@ -255,8 +294,8 @@ def segments(turns: DataFrame) -> DataFrame:
     rows = turns.select("conv_id", "turn", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"), "role", "text").mapInArrow(_segment_rows, _SEGMENTS)
     # rows that are alike in all but ``row`` may be told apart by it; what they give is the same
     order = ["conv_id", "turn", "h", "seg", "role", "row"]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_mark_rows, f"{_SEGMENTS}, same int")
-    return keep(rows.withColumn("n", F.monotonically_increasing_id()).withColumn("block", F.shiftright("n", BLOCK)), "segments")
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_mark_rows, f"{_SEGMENTS}, same int, block long")
+    return keep(rows.withColumn("n", F.monotonically_increasing_id()), "segments")
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
@@ -275,9 +314,12 @@ def format_chats(turns: DataFrame) -> DataFrame:
     """
     dealt = segments(turns)
     chain, joined = learn_chain(dealt)
-    slim = dealt.select("block", "n", "same", "f").groupBy("block").applyInArrow(_ends(chain), "block long, which int, m array<double>, begin array<double>")
+    # a block that no other meets has neither entry scores nor an exit state
+    met = dealt.sparkSession.createDataFrame([(b,) for b in {*joined, *joined.values()}], "block long")
+    slim = dealt.select("block", "n", "same", "f").join(F.broadcast(met), "block", "left_semi")
+    slim = slim.groupBy("block").applyInArrow(_ends(chain, {*joined}), "block long, which int, m array<double>, begin array<double>")
     edges = chain_blocks(slim.collect(), joined, chain)
-    return dealt.groupBy("block").applyInArrow(_decode(chain, edges), "conv_id long, turn long, seg int, role_pred string, rendered string")
+    return dealt.groupBy("block").applyInArrow(_decode(chain, edges, {*joined}), "conv_id long, turn long, seg int, role_pred string, rendered string")
 
 
 def op1_chat_format(spark, sf_dir: str) -> DataFrame:

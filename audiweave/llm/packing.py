@@ -11,8 +11,9 @@ that many pieces share is ranked by many tasks.
 from __future__ import annotations
 
 import base64
-import functools
 import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,6 +28,9 @@ from audiweave.llm.textbytes import chunks
 
 #: Pieces of one length that are ranked by one task, about.
 RANKED = 50_000
+#: A longer run of white space goes to the slower tokenizer: the faster one's patterns fail at about a million signs.
+BLANKS = 100_000
+_BLANK_RUN = re.compile(r"\s++")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -54,9 +58,25 @@ def coder(path: str, added: dict[str, int] | None = None):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added or {})
 
 
+def encoder(path: str, added: dict[str, int] | None = None):
+    """Ids of a text. Texts with a long blank run get them from the JSON form that stands beside the ranks."""
+    fast, slow = coder(path, added), []
+
+    def encode(text: str) -> list[int]:
+        if len(text) < BLANKS or all(m.end() - m.start() < BLANKS for m in _BLANK_RUN.finditer(text)):
+            return fast.encode(text, allowed_special="all", disallowed_special=())
+        if not slow:
+            import tokenizers
+
+            slow.append(tokenizers.Tokenizer.from_file(f"{os.path.splitext(path)[0]}.json"))
+        return slow[0].encode(text, add_special_tokens=False).ids
+
+    return encode
+
+
 def _piece_rows(path: str, capacity: int, end_id: int, added: dict[str, int] | None):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = functools.partial(coder(path, added).encode, allowed_special="all", disallowed_special=())
+        encode = encoder(path, added)
         for batch in batches:
             for part in chunks(batch, "text", 1 << 18):
                 out: tuple[list, ...] = ([], [], [], [], [])
@@ -125,6 +145,25 @@ def plan_slots(counts: dict[int, int], capacity: int) -> list[tuple[int, int, in
     return runs
 
 
+def _place_rows(runs: list[tuple[int, int, int, int, int, int]]):
+    """Sequence and offset of each piece: a search for the run of its length and rank."""
+    table = np.array(sorted(runs), np.int64).reshape(-1, 6)
+    first = (table[:, 0] << 48) + table[:, 1]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
+            own = table[np.searchsorted(first, (length << 48) + rank, side="right") - 1]
+            at, per = rank - own[:, 1], own[:, 3]
+            made = [pa.array(own[:, 4] + at // per), pa.array(own[:, 5] + at % per * length)]
+            yield pa.record_batch([*(batch.column(c) for c in _PIECE), *made], names=[*_PIECE, "sequence_id", "offset"])
+
+    return rows
+
+
+_PIECE = ("doc_id", "piece", "start", "length", "ids_crc32")
+
+
 def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | None = None) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` ids.
 
@@ -133,9 +172,9 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | Non
     filled without gaps from offset 0. Repeated rows and rows of a null doc_id
     are packed like others; an empty table gives an empty result. Ids are those
     of ``byte_bpe_50k.json`` at the defaults of tokenizers, added tokens
-    included; the ranks of another ``path`` have none.
+    included; the ranks of another ``path`` have none, and a text with a blank
+    run of ``BLANKS`` signs then needs their JSON form beside them.
     """
-    spark = docs.sparkSession
     pieces = keep(token_pieces(docs, capacity, end_id, path), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     salts = max(256, sum(counts.values()) // RANKED)
@@ -143,15 +182,9 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | Non
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = keep(salted.groupBy("length", "salt").agg(F.count("*").alias("n")).select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip")), "ranks")
     within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = salted.withColumn("rank", F.row_number().over(within) - 1).join(offsets, ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("skip"))
-    slots = spark.createDataFrame(plan_slots(counts, capacity), "length long, first_rank long, n long, per long, first_sequence long, first_offset long")
-    at = F.col("rank") - F.col("first_rank")
-    placed = ranked.join(F.broadcast(slots), "length").where((at >= 0) & (at < F.col("n")))
-    return placed.select(
-        "doc_id", "piece", "start", "length", "ids_crc32",
-        (F.col("first_sequence") + F.floor(at / F.col("per"))).alias("sequence_id"),
-        (F.col("first_offset") + at % F.col("per") * F.col("length")).alias("offset"),
-    )
+    ranked = salted.withColumn("rank", (F.row_number().over(within) - 1).cast("long")).join(offsets, ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("skip"))
+    kinds = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    return ranked.select(*_PIECE, "rank").mapInArrow(_place_rows(plan_slots(counts, capacity)), kinds)
 
 
 def op3_best_fit_packing(spark, sf_dir: str) -> DataFrame:

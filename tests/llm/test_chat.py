@@ -21,7 +21,7 @@ def plain_rows(turns):
         known = ROLES.index(t["role"]) if t["role"] in ROLES and len(parts) == 1 else -1
         held = t["conv_id"] is not None and zlib.crc32(str(t["conv_id"]).encode()) % 5 == 0
         for k, (marker, own) in enumerate(parts):
-            row = (known, known >= 0 and not held, chat.features(marker, own, t["turn"] == 0 and k == 0), t["turn"], k, own)
+            row = (known, known >= 0 and not held, [*chat.features(marker, own), int(t["conv_id"] not in out)], t["turn"], k, own)
             out.setdefault(t["conv_id"], []).append(row)
     return out
 
@@ -114,3 +114,30 @@ def test_repeated_rows_large_ids_and_one_conversation_of_all_rows(spark, monkeyp
     rows = [(big, k // 3, ("user", "assistant")[k // 3 % 2], f"text {k // 3}") for k in range(60)] + [(None, None, None, None)] * 3
     got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     assert len(got) == 63 and sum(r.conv_id == big for r in got) == 60 and sum(r.conv_id is None for r in got) == 3
+
+
+def test_blank_runs_and_other_long_texts_are_read_once(spark):
+    import time
+
+    texts = [" " * 1_000_000, "\n" * 1_000_000, "\t" * 1_000_000, "7" * 1_000_000, "#" * 1_000_000, (" " * 999 + "\n") * 1000, "user: " + " " * 1_000_000 + "\n- x", "x" * 1_000_000]
+    began = time.time()
+    made = [chat.features(m, own) for t in texts for m, own in chat.split_segments(t)]
+    assert time.time() - began < 10 and len(made) == len(texts) and [f[4] for f in made] == [0] * 6 + [1, 0]
+    got = chat.format_chats(spark.createDataFrame([(1, k, "user", t) for k, t in enumerate(texts)], "conv_id long, turn long, role string, text string"))
+    assert got.count() == len(texts)
+
+
+def test_conversations_whose_turns_start_at_one_have_an_opening(spark):
+    rows = [(c, t, "system" if t == 1 else ("user", "assistant")[t % 2], "be brief") for c in range(40) for t in (1, 2, 3)]
+    dealt = chat.segments(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    emit = chat.learn_chain(dealt)[0].emit[5]
+    assert emit[0][1] > emit[0][0] and emit[1][1] < emit[1][0]
+
+
+def test_edges(spark):
+    schema = "role string, conv_id long, turn long, text string, block long, n string, same double"
+    assert chat.format_chats(spark.createDataFrame([], schema)).count() == 0
+    rows = [("user", 1, 0, None, None, "n", 1.0), (None, 1, 1, "", 7, None, None), ("odd", None, None, "a: b\nuser: c", 1, "x", 2.0), ("user", 2, None, "x" * 100_000, 1, "x", 2.0)]
+    got = chat.format_chats(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.conv_id or 0, r.turn or 0, r.seg) for r in got) == [(0, 0, 0), (0, 0, 1), (1, 0, 0), (1, 1, 0), (2, 0, 0)]
+    assert all(r.rendered.startswith(f"<|{r.role_pred}|>") for r in got)

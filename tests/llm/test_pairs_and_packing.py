@@ -230,3 +230,14 @@ def test_plan_is_best_fit():
         bins.append((100 if fit is None else fit) - n)
     used = {s + x // per for _, _, n, per, s, _ in K.plan_slots(counts, 100) for x in range(n)}
     assert len(used) == len(bins)
+
+
+def test_ids_of_long_blank_runs_equal_those_of_tokenizers(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    slow, encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), K.encoder(K.tokenizer_path(), K.added_tokens())
+    for text in (" " * 1_000_000, "\n" * 1_000_000, " " * 1_000_000 + "a<|endoftext|>b", "a" + "\t" * K.BLANKS + "b", "a" + " \r\n" * K.BLANKS, " " * (K.BLANKS - 1) + "x", "0" * 1_000_000):
+        assert encode(text) == slow.encode(text, add_special_tokens=False).ids
+    got = K.pack(spark.createDataFrame([(1, " " * 1_000_000), (2, "a")], "doc_id long, text string")).collect()
+    assert sum(r.length for r in got if r.doc_id == 1) == 1_000_001
