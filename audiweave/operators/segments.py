@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,6 +18,7 @@ from pyspark.sql.window import Window
 from audiweave.operators.joins import small
 from audiweave.operators.profile import cosine
 from audiweave.operators.windows import latest_per, top_n_per
+from audiweave.sources.scratch import written
 
 
 def fit_imputer(feat: DataFrame, names: list[str]):
@@ -24,7 +27,10 @@ def fit_imputer(feat: DataFrame, names: list[str]):
 
 
 def cut_outliers(df: DataFrame, names: list[str], cutoff: float) -> DataFrame:
-    """M2: rows of |z| at ``cutoff`` or over go, column after column; a constant column cuts nothing. Nulls stay."""
+    """M2: rows of |z| at ``cutoff`` or over go, column after column; a constant column cuts nothing. Nulls stay.
+
+    What is cut at one column decides the mean of the next, so there is a scan for each column: of that column and
+    those before it, whose bounds are plain numbers in one filter. The driver gets two numbers a column."""
     for c in names:
         mean, dev = df.agg(F.avg(c), F.stddev_pop(c)).first()
         if dev:
@@ -54,32 +60,127 @@ def unscale(df: DataFrame, limits: dict[str, tuple[float, float]]) -> DataFrame:
     return df.withColumns({c: F.col(c) * (high - low) + low for c, (low, high) in limits.items()})
 
 
-def _clusterer(names: list[str], k: int, seed: int) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=sorted(names), outputCol="features"), KMeans(k=k, maxIter=300, seed=seed, predictionCol="cluster")])
-
-
-def fit_segments(df: DataFrame, names: list[str], k: int, restarts: int = 10) -> PipelineModel:
-    """M5: the K-means of least cost over ``restarts`` seeds."""
-    kept = df.persist()
-    try:
-        return min((_clusterer(names, k, seed).fit(kept) for seed in range(restarts)), key=lambda m: m.stages[-1].summary.trainingCost)
-    finally:
-        kept.unpersist()
-
-
-def centroids(spark, model: PipelineModel, names: list[str]) -> DataFrame:
+@dataclass(frozen=True)
+class Segments:
+    """M5: centroids of one fit, a row per cluster, in the alphabetical order of ``names``."""
+
+    names: tuple[str, ...]
+    centers: np.ndarray
+    cost: float
+    k: int
+    seed: int
+
+
+class _Fits:
+    """Lloyd's rounds of many fits at once: all their centroids go to the tasks together, so a round is one scan for all fits."""
+
+    def __init__(self, points: DataFrame, width: int):
+        self.points, self.width, self.scans = points, width, 0
+
+    def round(self, centers: list[np.ndarray]) -> tuple[list[np.ndarray], list[float]]:
+        """(sums with counts last, by cluster; cost) of each fit at its centroids."""
+        self.scans += 1
+        kinds = ", ".join(["slot int", *(f"s{j} double" for j in range(self.width + 2))])
+        rows = self.points.mapInArrow(_round_rows(centers), kinds)
+        total = rows.groupBy("slot").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(self.width + 2)))
+        out = np.zeros((sum(map(len, centers)), self.width + 2))
+        for r in total.collect():
+            out[r["slot"]] = r[1:]
+        cuts = np.cumsum([len(c) for c in centers])[:-1]
+        return [x[:, :-1] for x in np.split(out, cuts)], [float(x[:, -1].sum()) for x in np.split(out, cuts)]
+
+
+def _round_rows(centers: list[np.ndarray]):
+    """Sums, numbers and costs of the points of every cluster of every fit, one row for each at the end of a partition."""
+
+    def rows(batches):
+        every = np.concatenate(centers)
+        first = np.cumsum([0, *(len(c) for c in centers)])
+        norm, total = (every * every).sum(axis=1), np.zeros((len(every), every.shape[1] + 2))
+        for batch in batches:
+            points = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, every.shape[1])
+            for at in range(0, len(points), 1024):
+                x = points[at : at + 1024]
+                far = norm - 2 * x @ every.T
+                slots = np.stack([i + far[:, i:j].argmin(axis=1) for i, j in zip(first[:-1], first[1:], strict=True)], axis=1)
+                cost = np.take_along_axis(far, slots, axis=1) + (x * x).sum(axis=1)[:, None]
+                own = np.column_stack([x, np.ones(len(x))])
+                for j in range(own.shape[1]):
+                    total[:, j] += np.bincount(slots.ravel(), np.repeat(own[:, j], slots.shape[1]), len(every))
+                total[:, -1] += np.bincount(slots.ravel(), np.maximum(cost, 0).ravel(), len(every))
+        yield pa.record_batch([pa.array(np.arange(len(total), dtype=np.int32)), *map(pa.array, total.T)], names=["slot", *(f"s{j}" for j in range(total.shape[1]))])
+
+    return rows
+
+
+def _spread(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ over a sample; the first j rows are the start for j clusters. Fewer distinct points give fewer rows."""
+    rng = np.random.default_rng(seed)
+    out = [sample[rng.integers(len(sample))]]
+    far = ((sample - out[0]) ** 2).sum(axis=1)
+    while len(out) < k and far.sum() > 0:
+        out.append(sample[rng.choice(len(sample), p=far / far.sum())])
+        far = np.minimum(far, ((sample - out[-1]) ** 2).sum(axis=1))
+    return np.array(out)
+
+
+def fit_all(df: DataFrame, names: list[str], ks: list[int], restarts: int = 10, rounds: int = 300, tolerance: float = 1e-4, start: int = 20_000) -> tuple[list[Segments], int]:
+    """M5, M6: the fit of least cost for every k in ``ks``, and the scans of the data that all took together.
+
+    All (k, restart) pairs run side by side, a scan for each round of Lloyd's
+    algorithm; a fit whose centroids move by no more than ``tolerance`` leaves.
+    Starts are k-means++ over about ``start`` distinct points of least hash;
+    costs are those over all rows. The driver holds all centroids and their
+    sums. Rows with a null are left out, an empty cluster keeps its centroid; no
+    rows give no fit.
+    """
+    names = sorted(names)
+    own = df.na.drop(subset=names).select(F.array(*(F.col(c).cast("double") for c in names)).alias("v"))
+    points = written(own, "points")
+    hashed = F.pmod(F.xxhash64("v"), F.lit(1 << 30))
+    share = min(1.0, 1.1 * start / max(1, points.agg(F.approx_count_distinct("v")).first()[0]))
+    sample = points.where(hashed < F.lit(int(share * (1 << 30)))).distinct().orderBy(F.xxhash64("v"), "v").limit(start).collect()
+    if not sample:
+        return [], 2
+    sample = np.array([r["v"] for r in sample])
+    starts = [_spread(sample, max(ks), seed) for seed in range(restarts)]
+    fits = [{"k": k, "seed": seed, "centers": x[:k], "cost": None} for k in ks for seed, x in enumerate(starts)]
+    run, live = _Fits(points, len(names)), fits
+    for _ in range(rounds):
+        sums, costs = run.round([f["centers"] for f in live])
+        after = []
+        for f, total, cost in zip(live, sums, costs, strict=True):
+            n = total[:, -1:]
+            centers = np.where(n > 0, total[:, :-1] / np.maximum(n, 1), f["centers"])
+            moved = ((centers - f["centers"]) ** 2).sum(axis=1).max()
+            f["cost"] = cost
+            if moved > tolerance**2:
+                f["centers"] = centers
+                after.append(f)
+        live = after
+        if not live:
+            break
+    if live:
+        for f, cost in zip(live, run.round([f["centers"] for f in live])[1], strict=True):
+            f["cost"] = cost
+    best = [min((f for f in fits if f["k"] == k), key=lambda f: (f["cost"], f["seed"])) for k in ks]
+    return [Segments(tuple(names), f["centers"], f["cost"], f["k"], f["seed"]) for f in best], run.scans + 2
+
+
+def fit_segments(df: DataFrame, names: list[str], k: int, restarts: int = 10) -> Segments:
+    """M5: the K-means of least cost over ``restarts`` starts, all fitted in the same scans."""
+    return fit_all(df, names, [k], restarts)[0][0]
+
+
+def centroids(spark, model: Segments) -> DataFrame:
     """M5: one row per cluster."""
-    rows = [(k, *map(float, c)) for k, c in enumerate(model.stages[-1].clusterCenters())]
-    return spark.createDataFrame(rows, "cluster int, " + ", ".join(f"`{c}` double" for c in sorted(names)))
+    rows = [(k, *map(float, c)) for k, c in enumerate(model.centers)]
+    return spark.createDataFrame(rows, "cluster int, " + ", ".join(f"`{c}` double" for c in model.names))
 
 
-def elbow(df: DataFrame, names: list[str], low: int = 5, high: int = 20) -> int:
-    """M6: the k with the greatest ratio of successive drops in cost."""
-    kept = df.persist()
-    try:
-        cost = [_clusterer(names, k, 0).fit(kept).stages[-1].summary.trainingCost for k in range(low, high + 1)]
-    finally:
-        kept.unpersist()
+def elbow(df: DataFrame, names: list[str], low: int = 5, high: int = 20, restarts: int = 10) -> int:
+    """M6: the k with the greatest ratio of successive drops in cost, each cost the least of ``restarts`` starts."""
+    cost = [m.cost for m in fit_all(df, names, list(range(low, high + 1)), restarts)[0]]
     drops = [a - b for a, b in zip(cost, cost[1:], strict=False)]
     ratios = [a / b if b > 0 else 0.0 for a, b in zip(drops, drops[1:], strict=False)]
     return low + 1 + ratios.index(max(ratios)) if ratios else low
@@ -229,17 +330,85 @@ def fit_attribute(feat: DataFrame, target: str, names: list[str]) -> PipelineMod
     return _forest(target, [], names).fit(balanced(feat.na.drop(subset=[*names, target]), target))
 
 
-def tune_attribute(feat: DataFrame, target: str, names: list[str], draws: list[dict], folds: int = 3) -> tuple[PipelineModel, dict[str, float]]:
-    """The best of given forest parameters by cross-validation; accuracy, balanced accuracy and its ratio to guessing by frequency."""
-    df = balanced(feat.na.drop(subset=[*names, target]), target)
-    pipe = _forest(target, [], names)
-    forest = pipe.getStages()[-1]
-    maps = [{forest.getParam(k): v for k, v in d.items()} for d in draws]
-    model = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=MulticlassClassificationEvaluator(labelCol="target", metricName="accuracy"), numFolds=folds, seed=0).fit(df).bestModel
-    rep = class_report(model.transform(df).select(F.col("target").alias("y"), F.col("prediction").alias("yhat")))
-    share = F.col("support") / F.sum("support").over(Window.partitionBy())
-    row = rep.withColumn("_s", share).agg(F.sum(F.col("recall") * F.col("_s")).alias("accuracy"), F.avg("recall").alias("balanced"), F.avg("_s").alias("dummy")).first()
-    return model, {"accuracy": row["accuracy"], "balanced_accuracy": row["balanced"], "over_dummy": row["balanced"] / row["dummy"]}
+#: What a random search draws from. Spark's trees have at most 30 levels, so the deepest is that.
+RANGES = {"numTrees": (100, 300, 500), "featureSubsetStrategy": ("auto", "sqrt"), "maxDepth": (10, 20, 30), "minInstancesPerNode": (1, 2, 4), "bootstrap": (True, False)}
+
+
+def draw_params(ranges: dict[str, tuple], n: int, seed: int) -> list[dict]:
+    """N different draws from the ranges; all combinations where there are no more than n."""
+    every = reduce(lambda a, name: [{**d, name: v} for d in a for v in ranges[name]], sorted(ranges), [{}])
+    order = np.random.default_rng(seed).permutation(len(every))
+    return [every[k] for k in order[:n]]
+
+
+def stratified_parts(df: DataFrame, target: str, keys: list[str], shares: list[float], seed: int) -> DataFrame:
+    """Adds ``part``: 0, 1, ... by ``shares`` of the rows of each class, in order of a hash of ``keys``. Cuts are quantiles
+    of the hash in a class, so no task holds a whole class, and rows of equal keys stay together."""
+    cuts = [sum(shares[: k + 1]) for k in range(len(shares) - 1)]
+    hashed = df.withColumn("_u", F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1 << 40)))
+    bounds = hashed.groupBy(F.col(target).alias("_class")).agg(F.percentile_approx("_u", [float(c) for c in cuts], 1_000_000).alias("_cuts"))
+    joined = hashed.join(F.broadcast(bounds), F.col(target).eqNullSafe(F.col("_class")))
+    return joined.withColumn("part", F.size(F.filter("_cuts", lambda c: F.col("_u") > c))).drop("_u", "_class", "_cuts")
+
+
+def _scores(pred: DataFrame) -> dict[str, float]:
+    """Accuracy, and mean recall over the classes that occur."""
+    rep = class_report(pred).where("support > 0")
+    row = rep.agg((F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("a"), F.avg("recall").alias("b")).first()
+    return {"accuracy": row["a"], "balanced_accuracy": row["b"]}
+
+
+def _guess(df: DataFrame, shares: list[tuple], keys: list[str], seed: int) -> DataFrame:
+    """Adds ``yhat``: a class drawn by the given shares, from a hash of ``keys``."""
+    u = F.pmod(F.xxhash64(*keys, F.lit(seed), F.lit("guess")), F.lit(1 << 40)) / float(1 << 40)
+    out, upto = F.lit(shares[-1][0]), 1.0
+    for name, share in reversed(shares[:-1]):
+        upto = upto - shares[[s[0] for s in shares].index(name) + 1][1]
+        out = F.when(u < upto, name).otherwise(out)
+    return df.withColumn("yhat", out)
+
+
+def tune_attribute(
+    feat: DataFrame, target: str, names: list[str], keys: list[str], ranges: dict[str, tuple] = RANGES, draws: int = 100, folds: int = 3, test: float = 0.3, seed: int = 42
+) -> tuple[PipelineModel, dict]:
+    """Random search over forest parameters.
+
+    ``test`` of the complete rows of each class are held out; the rest is cut
+    into ``folds`` parts alike. Every draw is scored by its mean accuracy on the
+    parts left out of its fits; equal ones go to the first draw. The best is
+    fitted on all training rows and scored on the held-out ones only: accuracy,
+    balanced accuracy, that of a guess drawn by the training shares of the
+    classes, their ratio, and counts of classes and predictions. Splits and guesses
+    come from hashes of ``keys``, which rows of one entity share.
+    """
+    complete = feat.na.drop(subset=[*names, target]).withColumn(target, F.col(target).cast("string"))
+    shares = [test, *[(1 - test) / folds] * folds]
+    parts = written(stratified_parts(complete, target, keys, shares, seed), "parts")
+    train, held = parts.where("part > 0"), parts.where("part = 0")
+
+    def fitted(df: DataFrame, params: dict) -> PipelineModel:
+        pipe = _forest(target, [], names)
+        pipe.getStages()[-1]._set(**params)
+        return pipe.fit(balanced(df, target))
+
+    def predicted(model: PipelineModel, df: DataFrame) -> DataFrame:
+        labels = F.array(*map(F.lit, model.stages[0].labels))
+        out = model.transform(df.withColumn("weight", F.lit(1.0)))
+        return out.select(F.col(target).alias("y"), F.get(labels, F.col("prediction").cast("int")).alias("yhat"))
+
+    tried = []
+    for k, params in enumerate(draw_params(ranges, draws, seed)):
+        own = [_scores(predicted(fitted(train.where(F.col("part") != f), params), train.where(F.col("part") == f)))["accuracy"] for f in range(1, folds + 1)]
+        tried.append((sum(own) / folds, -k, params))
+    score, _, params = max(tried, key=lambda t: t[:2])
+    model = fitted(train, params)
+    pred = written(predicted(model, held), "predicted")
+    counts = sorted((r[0], r[1]) for r in train.groupBy(target).count().collect())
+    total = sum(n for _, n in counts)
+    guess = _scores(_guess(held, [(c, n / total) for c, n in counts], keys, seed).select(F.col(target).alias("y"), "yhat"))["balanced_accuracy"]
+    own = _scores(pred)
+    tally = lambda c: {r[0]: r[1] for r in pred.groupBy(c).count().collect()}
+    return model, own | {"dummy_balanced": guess, "over_dummy": own["balanced_accuracy"] / guess if guess else None, "best": params, "cv_accuracy": score, "classes": tally("y"), "predictions": tally("yhat")}
 
 
 def attribute_probabilities(model: PipelineModel, feat: DataFrame) -> DataFrame:

@@ -231,15 +231,15 @@ def m05_fit_segments(spark, sf_dir):
     f = _features(spark, sf_dir)
     f = M.fit_imputer(f, NAMES).transform(f)
     limits = M.scaling(M.cut_outliers(f, NAMES, 3.0), NAMES)
-    model = M.fit_segments(M.scale(f, limits), NAMES, 3, restarts=2)
-    return M.unscale(M.centroids(spark, model, NAMES), limits)
+    return M.unscale(M.centroids(spark, M.fit_segments(M.scale(f, limits), NAMES, 3)), limits)
 
 
 @query()
 def m06_elbow(spark, sf_dir):
+    """M6 at its defaults: k from 5 to 20 by ten starts each."""
     f = _features(spark, sf_dir)
     f = M.scale(f, M.scaling(f, NAMES))
-    return f.agg(F.lit(M.elbow(f, NAMES, 2, 5)).alias("k"), F.count("*").alias("n"))
+    return f.agg(F.lit(M.elbow(f, NAMES)).alias("k"), F.count("*").alias("n"))
 
 
 @query()
@@ -283,9 +283,11 @@ def m22_attribute_classifier(spark, sf_dir):
 
 @query()
 def m23_tune_attribute(spark, sf_dir):
-    f = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("flag"), "o_totalprice", F.year("o_orderdate").alias("y"))
-    _, scores = M.tune_attribute(f, "flag", ["o_totalprice", "y"], [{"maxDepth": 3, "numTrees": 5}, {"maxDepth": 5, "numTrees": 5}], folds=2)
-    return f.agg(*(F.lit(v).alias(k) for k, v in scores.items()), F.count("*").alias("n"))
+    """M23 with three folds and small forests: rows are counts of held-out classes and of their predictions."""
+    f = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("flag"), "o_totalprice", F.year("o_orderdate").alias("y"))
+    _, got = M.tune_attribute(f, "flag", ["o_totalprice", "y"], ["o_orderkey"], {"numTrees": (3, 5), "maxDepth": (2, 4), "minInstancesPerNode": (1, 4)}, draws=3)
+    rows = [(c, n, got["predictions"].get(c, 0), got["balanced_accuracy"], got["over_dummy"]) for c, n in sorted(got["classes"].items())]
+    return spark.createDataFrame(rows, "class string, held_out long, predicted long, balanced_accuracy double, over_dummy double")
 
 
 @query("SELECT vec_id AS user_id, 'a' || CAST(k AS VARCHAR) AS attribute, CAST(embedding[k + 1] AS DOUBLE) AS probability FROM embeddings, (SELECT unnest([0, 1, 2]) AS k)")
