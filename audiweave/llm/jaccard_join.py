@@ -11,9 +11,10 @@
    them is done too. In the order of counts, rare ones first, linking sets share
    one of their first lack + 1; classes that do are put in one *family*.
 4. Within a family, classes of about one size form tiles of bounded rows and
-   shingles. A pair of tiles whose sizes can link is one block: the product of the
-   two sparse document by shingle incidence matrices is accumulated over column
-   blocks, and pairs that can't reach their size-derived bound are discarded.
+   shingles. A pair of tiles whose sizes can link, and which share one of those
+   first shingles, is one block: the product of the two sparse document by shingle
+   incidence matrices is accumulated over column blocks, and pairs that can't
+   reach their size-derived bound are discarded.
 5. Blocks return a spanning forest of their links, never the pairs. Its
    components are the components of the join.
 
@@ -301,41 +302,51 @@ def _block(percent: int):
 
 
 def candidates(texts: DataFrame, byclass: DataFrame, words: int, percent: int) -> DataFrame:
-    """Classes of ``byclass`` that share enough of their longer prefix with others."""
-    rows = texts.select("text").mapInArrow(_prefix_rows(words, percent), "key long, a long, known long")
-    by_key = Window.partitionBy("key").orderBy("a")
-    rows = rows.withColumns({"before": F.lag("a").over(by_key), "least": F.first("a").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
-    another = (F.col("a") != F.col("least")) & (F.col("a") != F.col("before"))
-    rows = rows.where(another | (F.col("known") > 0))
-    # the second class of a shingle shows that the first shares it too
-    told = F.when(another & (F.col("before") == F.col("least")), F.array("a", "least")).otherwise(F.array("a"))
-    rows = rows.select(F.explode(told).alias("a"), (F.col("known") + F.when(another, 1).otherwise(0)).alias("k"))
-    shared = rows.groupBy("a").agg(F.sum("k").alias("k"))
+    """Classes of ``byclass`` that share enough of their longer prefix with others. A shingle's classes are met by the least
+    and greatest of them, from partial aggregates, so a shingle of every chunk is no task's alone."""
+    rows = keep(texts.select("text").mapInArrow(_prefix_rows(words, percent), "key long, a long, known long"), "prefixes")
+    single, known = rows.where("known = 0").select("key", "a"), rows.where("known > 0").select("a", F.col("known").alias("k"))
+    met = single.groupBy("key").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("key")
+    shared = single.join(met, "key").distinct().groupBy("a").agg(F.count("*").alias("k")).union(known)
+    shared = shared.groupBy("a").agg(F.sum("k").alias("k"))
     partner = F.ceil(F.col("n") * percent / 100)
     least = F.least(1 + F.floor(partner / 8), F.ceil(partner * percent / 100))
-    return byclass.join(shared, "a").where(F.col("k") >= least).drop("k")
+    out = keep(byclass.join(shared, "a").where(F.col("k") >= least).drop("k"), "candidates")
+    drop(rows)
+    return out
 
 
-def families(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, family): classes that share a shingle among their first in the order of exact counts."""
-    rows = sets.select("a", "grams").mapInArrow(_token_rows, "key long, gram long, a long, weight long")
-    total = F.sum(F.abs("weight")).over(Window.partitionBy("key"))
-    shared = rows.withColumn("total", total).where((F.col("total") > 1) & (F.col("weight") > 0))
-    shared = shared.select("a", "gram", F.least("total", F.lit(COMMON)).cast("int").alias("rank"))
+def families(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(a, family): classes that share a shingle among their first in the order of exact counts; and (a, gram), these shingles."""
+    rows = keep(sets.select("a", "grams").mapInArrow(_token_rows, "key long, gram long, a long, weight long"), "tokens")
+    total = rows.groupBy("key").agg(F.sum(F.abs("weight")).alias("total")).where("total > 1")
+    shared = rows.where("weight > 0").join(total, "key").select("a", "gram", F.least("total", F.lit(COMMON)).cast("int").alias("rank"))
     by_class = Window.partitionBy("a")
     placed = shared.withColumns({"own": F.count("*").over(by_class), "at": F.row_number().over(by_class.orderBy("rank", F.xxhash64("gram"), "gram"))})
     lacking = F.col("n") - F.ceil(F.col("n") * percent / 100)
     alone = F.col("n") - F.col("own")
     early = placed.join(sets.select("a", "n"), "a").where(F.col("at") <= lacking + 1 - alone)
-    early = keep(early.select("a", "gram"), "prefixes")
+    early = keep(early.select("a", "gram"), "early")
     # the classes of a shingle are tied to the least of their part, and these to the least of all, so a common one is no single task
-    early = early.withColumn("part", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
-    parts = early.groupBy("gram", "part").agg(F.min("a").alias("v"))
+    parted = early.withColumn("part", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
+    parts = parted.groupBy("gram", "part").agg(F.min("a").alias("v"))
     tops = parts.groupBy("gram").agg(F.min("v").alias("w"))
-    edges = early.join(parts, ["gram", "part"]).select(F.col("a").alias("u"), "v").union(parts.join(tops, "gram").select(F.col("v").alias("u"), F.col("w").alias("v")))
+    edges = parted.join(parts, ["gram", "part"]).select(F.col("a").alias("u"), "v").union(parts.join(tops, "gram").select(F.col("v").alias("u"), F.col("w").alias("v")))
     edges = keep(edges.where("u <> v").distinct(), "chain")
     out = connected_components(edges).withColumnsRenamed({"node": "a", "label": "family"})
-    drop(early)
+    drop(rows)
+    return out, early
+
+
+def tile_pairs(tiled: DataFrame, early: DataFrame, percent: int) -> DataFrame:
+    """(family, i, j), i <= j: tiles of sizes that can link and which share one of the first shingles of their classes."""
+    seats = early.join(tiled.select("a", "family", "tile"), "a").select("family", "gram", "tile").distinct()
+    sizes = tiled.groupBy("family", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    seats = keep(seats.join(sizes, ["family", "tile"]), "seats")
+    upper = seats.select("family", "gram", F.col("tile").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
+    alike = f"j >= i and {percent} * low_j <= 100 * high and {percent} * low <= 100 * high_j"
+    out = keep(seats.withColumnRenamed("tile", "i").join(upper, ["family", "gram"]).where(alike).select("family", "i", "j").distinct(), "blocks")
+    drop(seats)
     return out
 
 
@@ -348,7 +359,7 @@ def jaccard_rows(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFram
     named_by = F.min(F.struct(F.isnull("doc_id").alias("void"), "doc_id", "h")).alias("by")
     byclass = keep(some.groupBy("a", "b").agg(F.count("*").alias("copies"), named_by, F.max("n_shingles").alias("n")), "byclass")
 
-    met = keep(candidates(texts, byclass, words, percent), "candidates")
+    met = candidates(texts, byclass, words, percent)
     picked = met.select(F.col("by.doc_id").alias("id"), F.col("by.h").alias("t"), "a", "b")
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("t"))
     sets = texts.hint("merge").join(picked, same).select("text", "a", "b").mapInArrow(_set_rows(words), "a long, b long, n long, grams binary")
@@ -356,15 +367,13 @@ def jaccard_rows(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFram
 
     # a tile is a part by hash of a size class of a family, so no task orders a whole family
     level = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
-    placed = keep(met.join(families(sets, percent), "a").select("family", "n", "a", "b", "copies", level.alias("level")), "placed")
+    family, early = families(sets, percent)
+    placed = keep(met.join(family, "a").select("family", "n", "a", "b", "copies", level.alias("level")), "placed")
     parts = F.floor(F.greatest(F.sum("n") / TILE, F.count("*") / ROWS)) + 1
     parts = placed.groupBy("family", "level").agg(parts.alias("parts"))
     tiled = placed.join(parts, ["family", "level"]).withColumn("tile", F.col("level") * F.lit(1 << 40) + F.pmod(F.xxhash64("a", "b"), F.col("parts")))
     tiled = keep(tiled.select("family", "tile", "n", "a", "b", "copies"), "tiled")
-    tiles = tiled.groupBy("family", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    upper = tiles.select("family", F.col("tile").alias("j"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
-    alike = f"j >= i and {percent} * low_j <= 100 * high and {percent} * low <= 100 * high_j"
-    blocks = tiles.withColumnRenamed("tile", "i").join(upper, "family").where(alike).select("family", "i", "j")
+    blocks = tile_pairs(tiled, early, percent)
     places = blocks.select("family", F.col("i").alias("tile"), "i", "j").union(blocks.where("i < j").select("family", F.col("j").alias("tile"), "i", "j"))
     dealt = sets.drop("n").join(tiled, ["a", "b"]).join(places, ["family", "tile"])
     found = keep(dealt.groupBy("family", "i", "j").applyInArrow(_block(percent), "u long, v long, links long"), "links")
@@ -375,7 +384,7 @@ def jaccard_rows(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFram
     group = F.coalesce("label", "a")
     ids = named.groupBy(group.alias("group")).agg(F.min("least").alias("component_id"))
     named = keep(named.withColumn("group", group).join(ids, "group").select("a", "b", "group", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "named")
-    for table in (met, sets, placed, tiled, found, byclass):
+    for table in (met, sets, placed, tiled, found, byclass, early, blocks):
         drop(table)
     return classes.join(named, ["a", "b"], "left").select(
         "doc_id", "n_shingles",

@@ -108,7 +108,7 @@ def chosen(spark, docs, words, percent):
     byclass = J.keep(classes.where("n_shingles > 0").selectExpr("a", "b", "h", "n_shingles as n").distinct(), "byclass")
     met = J.keep(J.candidates(texts, byclass, words, percent), "met")
     sets = texts.join(met.select("h", "a", "b"), "h").select("text", "a", "b").mapInArrow(J._set_rows(words), "a long, b long, n long, grams binary")
-    return byclass.count(), met.count(), J.families(J.keep(sets, "sets"), percent).groupBy("family").count().collect()
+    return byclass.count(), met.count(), J.families(J.keep(sets, "sets"), percent)[0].groupBy("family").count().collect()
 
 
 @pytest.mark.parametrize("words, percent", [(3, 90), (5, 80)])
@@ -133,6 +133,18 @@ def test_common_shingles_leave_a_chunk_in_few_rows(monkeypatch):
     assert (known > 0).sum() == 1000 and (known == 0).sum() == 2 * len(np.unique(key[known == 0]))
 
 
+def test_tiles_that_share_no_first_shingle_make_no_block(spark):
+    """A family chained link by link: blocks are as many as shared shingles, not as pairs of its tiles."""
+    from pyspark.sql import functions as F
+
+    tiled = spark.range(4000).select(F.col("id").alias("a"), F.lit(7).cast("long").alias("family"), F.floor(F.col("id") / 10).alias("tile"), F.lit(50).cast("long").alias("n"))
+    early = spark.range(4000).select(F.col("id").alias("a"), F.explode(F.array("id", F.col("id") + 1)).alias("gram"))
+    got = J.tile_pairs(tiled, early, 90)
+    assert sorted(tuple(r)[1:] for r in got.collect()) == sorted([(k, k) for k in range(400)] + [(k, k + 1) for k in range(399)])
+    small = tiled.withColumn("n", F.when(F.col("tile") % 2 == 0, 50).otherwise(20).cast("long"))
+    assert J.tile_pairs(small, early, 90).where("i <> j").isEmpty()
+
+
 def test_join_edges(edges, empty):
     docs = [tuple(r)[:2] for r in edges.collect()]
     assert sorted(map(tuple, J.jaccard_join(edges).collect()), key=str) == plain_join(docs)
