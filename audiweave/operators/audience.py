@@ -9,17 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from audiweave.operators.incremental import keep_last, upsert
-from audiweave.operators.windows import latest_per, top_n, top_n_per
+from audiweave.operators.windows import latest_per, top_n, top_n_per, with_group
 
 
 def audience(industry: DataFrame, job: DataFrame, company: DataFrame) -> DataFrame:
     """A user's likeliest industry with its index among unknown users, job and company."""
     best = latest_per(industry, ["user_id"], [F.desc("probability"), F.asc("attribute")])
     unknown = F.when(F.col("known") == 0, F.col("probability"))
-    own = Window.partitionBy("domain", "attribute")
-    low, high = F.min(unknown).over(own), F.max(unknown).over(own)
+    low, high = F.col("_low"), F.col("_high")
     index = F.when(F.col("known") == 0, F.try_divide(F.col("probability") - low, F.nullif(high - low, F.lit(0.0))))
-    out = best.withColumn("prob_index", index).withColumnRenamed("attribute", "industry")
+    out = with_group(best, ["domain", "attribute"], F.min(unknown).alias("_low"), F.max(unknown).alias("_high"))
+    out = out.withColumn("prob_index", index).drop("_low", "_high").withColumnRenamed("attribute", "industry")
     return out.join(job.select("user_id", "job"), "user_id", "left").join(company, "user_id", "left")
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from audiweave.sources.scratch import written
+
 
 def latest_per(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key; ``order`` ends in a tie-break."""
@@ -27,20 +29,42 @@ def argmax_per(df: DataFrame, keys: list[str], value: str, score: Column) -> Dat
 
 def minmax_index(df: DataFrame, keys: list[str], name: str, out: str = "index") -> DataFrame:
     """H6: place between the least and greatest of the group; null where these are equal."""
-    own = Window.partitionBy(*keys)
-    low, high = F.min(name).over(own), F.max(name).over(own)
-    return df.withColumn(out, F.try_divide(F.col(name) - low, F.nullif(high - low, F.lit(0.0))))
+    low, high = F.col("_low"), F.col("_high")
+    both = with_group(df, keys, F.min(name).alias("_low"), F.max(name).alias("_high"))
+    return both.withColumn(out, F.try_divide(F.col(name) - low, F.nullif(high - low, F.lit(0.0)))).drop("_low", "_high")
+
+
+def with_group(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
+    """Aggregates of a row's group beside it. They are worked out first, with partial sums, and joined on: no task
+    holds a whole group, and few groups are broadcast. Null keys are a group."""
+    names = {k: f"_of_{k}" for k in keys}
+    stats = df.groupBy(*keys).agg(*aggregates).withColumnsRenamed(names)
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(own)) for k, own in names.items()))
+    return df.join(stats, same).drop(*names.values())
 
 
 def group_shares(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """H6: sum, least and greatest of the group beside each row."""
-    own = Window.partitionBy(*keys)
-    return df.withColumns({"group_sum": F.sum(name).over(own), "group_min": F.min(name).over(own), "group_max": F.max(name).over(own)})
+    return with_group(df, keys, F.sum(name).alias("group_sum"), F.min(name).alias("group_min"), F.max(name).alias("group_max"))
 
 
 def rank_position(df: DataFrame, keys: list[str], order: list[Column], out: str = "position") -> DataFrame:
-    """Place of each row in its group in the given order; ties get different places."""
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    """H7: place of each row in its group in the given order, for groups of any size; ties get different places, null keys are a group.
+
+    Rows are dealt to ranges of (group, order) by sampled bounds and written once. A row's place is its number among
+    its group's rows of its range, after those of the ranges before, which come from counts. Rows alike in all of
+    that are told apart by a number, so they too are dealt over ranges.
+    """
+    made = df.withColumn("_at", F.monotonically_increasing_id())
+    dealt = made.repartitionByRange(*(F.asc(k) for k in keys), *order, "_at").withColumn("_range", F.spark_partition_id())
+    dealt = written(dealt, "ranges")
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    skips = counts.select(*(F.col(k).alias(f"_of_{k}") for k in keys), F.col("_range").alias("_of_range"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_skip"))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys), F.col("_range") == F.col("_of_range"))
+    within = Window.partitionBy("_range", *keys).orderBy(*order, "_at")
+    numbered = dealt.withColumn("_rn", F.row_number().over(within)).join(skips, same)
+    return numbered.select(*df.columns, (F.col("_skip") + F.col("_rn")).cast("int").alias(out))
 
 
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,8 @@ class Warehouse:
         return new
 
     def write(self, df: DataFrame, dataset: str, table: str, mode: str = "append", schema: T.StructType | None = None, by: list[str] | None = None) -> None:
-        """A3: append or overwrite; an overwrite is staged, then moved in place, so a plan may read what it replaces."""
+        """A3: append or overwrite. An overwrite is staged, so a plan may read what it replaces; the old table keeps its files
+        under another name until the new one is in place, and comes back where that fails."""
         if mode not in ("append", "overwrite"):
             raise ValueError(f"mode is append or overwrite, not {mode}")
         out = df.select(*(F.col(f.name).cast(f.dataType) for f in schema)) if schema else df
@@ -51,12 +53,20 @@ class Warehouse:
         if mode == "append":
             out.write.mode("append").partitionBy(*by or ()).parquet(target)
             return
-        staged = f"{target}.staged-{uuid.uuid4().hex}"
+        run = uuid.uuid4().hex
+        staged = f"{self.root.rstrip('/')}/.staged-{run}"
         out.write.partitionBy(*by or ()).parquet(staged)
-        self.drop(dataset, table)
-        files, at = self._files(staged)
-        if not files.rename(at, self._files(target)[1]):
+        files, at = self._files(target)
+        old = self._files(f"{self.root.rstrip('/')}/.old-{run}")[1]
+        was = files.exists(at)
+        files.mkdirs(at.getParent())
+        if was and not files.rename(at, old):
+            raise OSError(f"could not move {target} aside")
+        if not files.rename(self._files(staged)[1], at):
+            if was:
+                files.rename(old, at)
             raise OSError(f"could not move {staged} to {target}")
+        files.delete(old, True)
 
     def drop(self, dataset: str, table: str) -> None:
         """No error where it is absent."""
@@ -75,6 +85,8 @@ class Warehouse:
         files, at = self._files(self.root)
         rows = []
         for dataset in files.listStatus(at) if files.exists(at) else []:
+            if dataset.getPath().getName().startswith("."):
+                continue
             for table in files.listStatus(dataset.getPath()):
                 own = (dataset.getPath().getName(), table.getPath().getName())
                 rows += [(*own, f.name, f.dataType.simpleString()) for f in self.spark.read.parquet(str(table.getPath())).schema]
@@ -88,7 +100,7 @@ class Warehouse:
 
     def cached(self, dataset: str, table: str, key: dict, build: Callable[[], DataFrame]) -> DataFrame:
         """Stored rows of a key, built and appended where there are none."""
-        match = lambda df: df.where(" and ".join(f"`{k}` <=> {v!r}" for k, v in key.items()))
+        match = lambda df: df.where(reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.lit(v)) for k, v in key.items()), F.lit(True)))
         if not self.exists(dataset, table) or match(self.read(dataset, table)).isEmpty():
             made = build().withColumns({k: F.lit(v) for k, v in key.items()})
             self.write(made, dataset, table, by=list(key))
@@ -175,7 +187,44 @@ def staged(df: DataFrame, name: str = "staged") -> DataFrame:
 
 
 def cap_rows(df: DataFrame, n: int, keys: list[str], seed: int = 0) -> DataFrame:
-    """N rows, the same in every run."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """N rows, the same in every run: those whose keys have the least 60-bit hash; all rows where there are no more.
+
+    The cut is found by counts: how many rows begin with each 15 bits of the hash,
+    then within the one group of bits that holds the cut, and so on, for the
+    hash of the keys and, among equal ones, that of the whole row. The driver gets
+    2^15 counts at a time and no task sorts or holds n rows. Rows alike in
+    everything are taken by number. Null keys are texts of their own.
+    """
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\\N"))
+    hashed = lambda *parts: F.conv(F.substring(F.md5(F.concat_ws("\x1f", *parts)), 1, 15), 16, 10).cast("long")
+    whole = F.to_json(F.struct(*df.columns))
+    rest = df.withColumns({"_k": hashed(*map(text, keys), F.lit(str(seed))), "_w": hashed(whole, F.lit(str(seed)))})
+    every, left = rest, n
+    taken = F.lit(False)
+    same = F.lit(True)
+    for name in ("_k", "_w"):
+        for down in (45, 30, 15, 0):
+            bits = F.shiftright(name, down).bitwiseAND((1 << 15) - 1)
+            counts = sorted((r["b"], r["n"]) for r in rest.groupBy(bits.alias("b")).agg(F.count("*").alias("n")).collect())
+            if not counts or sum(c for _, c in counts) <= left:
+                return every.where(taken | same).select(df.columns)
+            for at, c in counts:
+                if c > left:
+                    break
+                left -= c
+            taken = taken | (same & (bits < at))
+            if not left:
+                return every.where(taken).select(df.columns)
+            same = same & (bits == at)
+            rest = every.where(same)
+    tied = written(rest.withColumn("_at", F.monotonically_increasing_id()), "tied")
+    part = F.shiftright("_at", 33)
+    quota = []
+    for r in sorted(tied.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()):
+        quota.append((r["part"], min(left, r["n"])))
+        left -= quota[-1][1]
+    quota = df.sparkSession.createDataFrame(quota, "part long, quota long")
+    some = tied.withColumn("part", part.cast("long")).join(F.broadcast(quota), "part").where(F.col("_at").bitwiseAND((1 << 33) - 1) < F.col("quota"))
+    return every.where(taken).select(df.columns).union(some.select(df.columns))
 
 
