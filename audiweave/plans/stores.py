@@ -11,7 +11,9 @@ from audiweave.functions.time import micros
 from audiweave.operators import incremental as B
 from audiweave.operators import nested as D
 from audiweave.plans.inputs import SEGMENTS_SQL, VIEWS_SQL, segments, table, views
+from audiweave.plans.loads import NEW, OLD, _states
 from audiweave.plans.registry import query
+from audiweave.sources.buckets import EntityTable
 from audiweave.sources import tables as A
 from audiweave.sources.scratch import shared_folder
 from audiweave.streaming import streams as O
@@ -189,6 +191,18 @@ def o03_daily_visitors(spark, sf_dir):
     return O.daily_visitors(at.read("shop", "seen")).withColumn("day", F.col("day").cast("string"))
 
 
+@query("""WITH d AS (SELECT DISTINCT user_id, event_type AS site, CAST(ts AS DATE) AS day FROM events)
+SELECT CAST(day AS VARCHAR) AS day, site, count(*) AS visitors, count(*) FILTER (EXISTS (SELECT 1 FROM d AS e WHERE e.user_id = d.user_id AND e.site = d.site AND e.day < d.day AND e.day >= d.day - 7)) AS returning_visitors FROM d WHERE day >= DATE '2024-01-15' GROUP BY 1, 2""")
+def o03_watermarked_visitors(spark, sf_dir):
+    """Views land ten days at a time and pass the watermarked stream; then a part of the days is counted."""
+    at = house(spark)
+    ev = views(spark, sf_dir).select("user_id", "site", F.col("ts").cast("timestamp").alias("ts"))
+    for first, last in (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-02-01")):
+        ev.where((F.col("ts") >= F.lit(first).cast("timestamp")) & (F.col("ts") < F.lit(last).cast("timestamp"))).write.mode("append").parquet(f"{at.root}/views")
+        O.stream_visitors(spark.readStream.schema(ev.schema).parquet(f"{at.root}/views"), at, "shop", "seen", f"{at.root}/state").awaitTermination()
+    return O.daily_visitors(at.read("shop", "seen"), 7, first="2024-01-15").withColumn("day", F.col("day").cast("string"))
+
+
 @query("""WITH l AS (SELECT user_id, event_type AS site, user_id % 4 AS cluster, max(ts) AS m FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1, 2, 3), n AS (SELECT user_id, event_type AS site, CASE WHEN user_id % 5 = 0 THEN 9 ELSE user_id % 4 END AS cluster FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY 1, 2, 3)
 SELECT user_id, site, cluster FROM l UNION ALL SELECT n.user_id, n.site, n.cluster FROM n LEFT JOIN l USING (user_id, site) WHERE l.cluster IS DISTINCT FROM n.cluster""")
 def o04_stream_changes(spark, sf_dir):
@@ -236,3 +250,25 @@ def n15_entities_upsert(spark, sf_dir):
     old = o.withColumn("last_updated_date", F.lit("2001-01-01").cast("date"))
     new = o.where("o_orderkey % 2 = 0").withColumn("price", F.col("price") + 1)
     return B.upsert(old, new, "o_custkey", ["o_custkey", "o_orderkey"], "2002-02-02").unionByName(B.delete_entities(old, new, "o_custkey")).select("o_custkey", "o_orderkey", "price")
+
+
+@query(f"""WITH old AS ({OLD}), new AS ({NEW}), t AS (SELECT * FROM old WHERE o_custkey IN (SELECT o_custkey FROM new)), u AS (SELECT o_custkey, o_orderkey, coalesce(n.status, t.status) AS status, coalesce(n.price, t.price) AS price,
+ CASE WHEN coalesce(n.status, t.status) IS NOT DISTINCT FROM t.status AND coalesce(n.price, t.price) IS NOT DISTINCT FROM t.price THEN t.last_updated_date ELSE DATE '2002-02-02' END AS d FROM t FULL JOIN new n USING (o_custkey, o_orderkey))
+SELECT o_custkey, o_orderkey, status, price, CAST(d AS VARCHAR) AS last_updated_date FROM u UNION ALL SELECT o_custkey, o_orderkey, status, price, CAST(last_updated_date AS VARCHAR) FROM old WHERE o_custkey NOT IN (SELECT o_custkey FROM new)""")
+def b01_upsert_in_place(spark, sf_dir):
+    """B1, B2 over a table in buckets of customers: all its rows after an upsert."""
+    old, new = _states(spark, sf_dir)
+    at = EntityTable(house(spark), "shop", "orders", ("o_custkey",), 16)
+    at.create(old)
+    at.upsert(new, ["o_custkey", "o_orderkey"], "2002-02-02")
+    return at.read().withColumn("last_updated_date", F.col("last_updated_date").cast("string"))
+
+
+@query(f"WITH old AS ({OLD}), new AS ({NEW}) SELECT o_orderkey, status, price FROM old WHERE o_custkey NOT IN (SELECT o_custkey FROM new)")
+def b03_delete_in_place(spark, sf_dir):
+    """B3 over a table in buckets of customers."""
+    old, new = _states(spark, sf_dir)
+    at = EntityTable(house(spark), "shop", "orders", ("o_custkey",), 16)
+    at.create(old)
+    at.delete(new)
+    return at.read().select("o_orderkey", "status", "price")

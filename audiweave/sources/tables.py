@@ -92,10 +92,16 @@ class Warehouse:
                 rows += [(*own, f.name, f.dataType.simpleString()) for f in self.spark.read.parquet(str(table.getPath())).schema]
         return self.spark.createDataFrame(rows, "dataset string, table string, column string, type string")
 
-    def append_once(self, df: DataFrame, dataset: str, table: str, keys: list[str]) -> DataFrame:
-        """Writes the rows whose key isn't stored yet, and returns them."""
-        new = df.join(self.read(dataset, table).select(*keys).distinct(), keys, "left_anti") if self.exists(dataset, table) else df
-        self.write(new, dataset, table)
+    def append_once(self, df: DataFrame, dataset: str, table: str, keys: list[str], by: str | None = None) -> DataFrame:
+        """Writes the rows whose key isn't stored yet, and returns them. ``by``, one of the keys, partitions the table;
+        then only the partitions of the values that ``df`` holds are read, which the driver gathers."""
+        new = df
+        if self.exists(dataset, table):
+            stored = self.read(dataset, table)
+            if by:
+                stored = stored.where(F.col(by).isin([r[0] for r in df.select(by).distinct().collect()]))
+            new = df.join(stored.select(*keys).distinct(), keys, "left_anti")
+        self.write(new, dataset, table, by=[by] if by else None)
         return new
 
     def cached(self, dataset: str, table: str, key: dict, build: Callable[[], DataFrame]) -> DataFrame:
