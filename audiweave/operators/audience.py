@@ -13,31 +13,34 @@ from audiweave.operators.windows import latest_per, top_n, top_n_per, with_group
 
 
 def audience(industry: DataFrame, job: DataFrame, company: DataFrame) -> DataFrame:
-    """A user's likeliest industry with its index among unknown users, job and company."""
+    """A user's likeliest industry with its index among unknown users, job (and ``known_job`` where given) and company."""
     best = latest_per(industry, ["user_id"], [F.desc("probability"), F.asc("attribute")])
     unknown = F.when(F.col("known") == 0, F.col("probability"))
     low, high = F.col("_low"), F.col("_high")
     index = F.when(F.col("known") == 0, F.try_divide(F.col("probability") - low, F.nullif(high - low, F.lit(0.0))))
     out = with_group(best, ["domain", "attribute"], F.min(unknown).alias("_low"), F.max(unknown).alias("_high"))
     out = out.withColumn("prob_index", index).drop("_low", "_high").withColumnRenamed("attribute", "industry")
-    return out.join(job.select("user_id", "job"), "user_id", "left").join(company, "user_id", "left")
+    known_job = [c for c in ("known_job",) if c in job.columns]
+    return out.join(job.select("user_id", "job", *known_job), "user_id", "left").join(company, "user_id", "left")
 
 
 #: From the lowest level up: the lowest that is chosen decides.
-LEVELS = (("city", "province", "country", "continent"), ("company", "company_type"))
+LEVELS = (("city", "province", "country", "continent"), ("company", "company_type"), ("company_city", "company_state", "company_country"))
 
 
-def facets(chosen: dict[str, list]) -> Column:
-    """N2 as a predicate: values of a facet are alternatives, ``all`` is no filter."""
+def active_facets(chosen: dict[str, list]) -> dict[str, list]:
+    """The facets that filter. No values and ``all`` are no filter; of a group of levels only the lowest counts."""
     active = {k: v for k, v in chosen.items() if v and "all" not in v}
     for levels in LEVELS:
         present = [k for k in levels if k in active]
         for k in present[1:]:
             active.pop(k)
-    tests = []
-    for k, v in active.items():
-        tests.append(F.col(k).isin(*v))
-    return reduce(lambda a, b: a & b, tests, F.lit(True))
+    return active
+
+
+def facets(chosen: dict[str, list]) -> Column:
+    """N2 as a predicate: values of a facet are alternatives."""
+    return reduce(lambda a, b: a & b, (F.col(k).isin(*v) for k, v in active_facets(chosen).items()), F.lit(True))
 
 
 def select_audience(aud: DataFrame, chosen: dict[str, list], arrays: tuple[str, ...] = ()) -> DataFrame:
@@ -50,10 +53,13 @@ def select_audience(aud: DataFrame, chosen: dict[str, list], arrays: tuple[str,
     return out
 
 
-def by_certainty(aud: DataFrame, p: float, with_known: bool = True) -> DataFrame:
-    """Rows whose prob_index is 1 - p or more, and known ones, which ``with_known`` = False leaves out. Null on both sides drops out."""
+def by_certainty(aud: DataFrame, p: float, with_known: bool = True, with_known_jobs: bool = True) -> DataFrame:
+    """Rows whose prob_index is 1 - p or more, and known ones. ``with_known`` = False leaves out those of known
+    industry, ``with_known_jobs`` = False those whose ``known_job`` is 1. Null on both sides drops out."""
     out = aud.where((F.col("prob_index") >= 1 - p) | (F.col("known") == 1))
-    return out if with_known else out.where("known <> 1")
+    for flag, wanted in (("known", with_known), ("known_job", with_known_jobs)):
+        out = out if wanted else out.where(F.coalesce(F.col(flag) != 1, F.lit(True)))
+    return out
 
 
 def audience_users(aud: DataFrame) -> DataFrame:

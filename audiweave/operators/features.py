@@ -71,12 +71,16 @@ def engagement(completion: str = "completion", dwell: str = "value") -> list[Col
     return [F.avg(F.when(counted, F.col(completion))).alias("mean_completion"), F.avg(F.when(counted, F.col(dwell))).alias("mean_dwell")]
 
 
-def recency_frequency(asof) -> list[Column]:
-    """Whole days since the last event; sessions per 28 days, null where the span is shorter."""
+def _recency_frequency(asof, sessions: Column) -> list[Column]:
     day = 86_400_000_000
     now, first, last = micros(F.lit(asof).cast("timestamp")), F.min(micros("ts")), F.max(micros("ts"))
     span = F.floor((now - first) / day)
-    return [F.floor((now - last) / day).alias("recency"), F.when(span >= 28, F.count_distinct("session_id") * 28 / span).alias("frequency")]
+    return [F.floor((now - last) / day).alias("recency"), F.when(span >= 28, sessions * 28 / span).alias("frequency")]
+
+
+def recency_frequency(asof) -> list[Column]:
+    """Whole days since the last event; sessions per 28 days, null where the span is shorter."""
+    return _recency_frequency(asof, F.count_distinct("session_id"))
 
 
 def lead_flag(users: DataFrame, leads: DataFrame) -> DataFrame:
@@ -85,24 +89,40 @@ def lead_flag(users: DataFrame, leads: DataFrame) -> DataFrame:
     return users.join(marks, "user_id", "left").withColumn("is_lead", F.col("_lead").isNotNull()).drop("_lead")
 
 
+def _distinct_per(ev: DataFrame, key: str, value: Column, name: str) -> DataFrame:
+    """Distinct values of each key, nulls not counted: values are made distinct by key and value first, so no row is copied."""
+    return ev.select(F.col(key).alias("_key"), value.alias("_v")).where("_v is not null").distinct().groupBy("_key").agg(F.count("*").alias(name))
+
+
+def _with_distinct(df: DataFrame, ev: DataFrame, key: str, value: Column, name: str) -> DataFrame:
+    part = _distinct_per(ev, key, value, name)
+    return df.join(part, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key").withColumn(name, F.coalesce(name, F.lit(0)))
+
+
 def virality(ev: DataFrame) -> DataFrame:
     """Views of a title on a site against the site's mean views per title."""
-    by_title = ev.groupBy("site", "title").agg(F.count_distinct(view()).alias("views"))
-    by_site = ev.groupBy("site").agg((F.count_distinct(view()) / F.count_distinct("title")).alias("mean_views"))
+    seen = ev.select("site", "title", view().alias("_v")).distinct()
+    by_title = seen.groupBy("site", "title").agg(F.count("_v").alias("views"))
+    titles = by_title.where("title is not null").groupBy("site").agg(F.count("*").alias("_titles"))
+    by_site = titles.join(_distinct_per(ev, "site", view(), "_n").withColumnRenamed("_key", "site"), "site", "left")
+    by_site = by_site.select("site", (F.coalesce("_n", F.lit(0)) / F.col("_titles")).alias("mean_views"))
     return by_title.join(by_site, "site").select("site", "title", "views", F.try_divide("views", "mean_views").alias("virality"))
 
 
 def user_virality(ev: DataFrame, vir: DataFrame) -> DataFrame:
-    """Titles of null have no virality."""
-    seen = ev.join(vir.select("site", "title", "virality"), ["site", "title"])
-    return seen.groupBy("user_id").agg(F.avg("virality").alias("mean_virality"))
+    """Titles of null have no virality. A user's views of a title are one row before the join, so a home page isn't joined by its events."""
+    seen = ev.groupBy("user_id", "site", "title").agg(F.count("*").alias("_n")).join(vir.select("site", "title", "virality"), ["site", "title"])
+    known = F.col("virality").isNotNull()
+    return seen.groupBy("user_id").agg(F.try_divide(F.sum(F.col("virality") * F.col("_n")), F.sum(F.when(known, F.col("_n")))).alias("mean_virality"))
 
 
 def user_features(ev: DataFrame, leads: DataFrame, asof) -> DataFrame:
-    """One row per user from one pass over the events, with virality and the lead flag joined."""
+    """One row per user: one aggregate over the events, distinct sessions and views beside it, with virality and the lead flag joined."""
     base = ev.groupBy("user_id").agg(
-        *views_sessions(), *referrer_visits(), *client_visits(), *continent_visits(), *os_visits(), mean_local_hour(), engagement(), *recency_frequency(asof)
+        *referrer_visits(), *client_visits(), *continent_visits(), *os_visits(), mean_local_hour(), *engagement(), *_recency_frequency(asof, F.lit(1.0))
     )
+    base = _with_distinct(base, ev, "user_id", F.col("session_id"), "sessions")
+    base = _with_distinct(base, ev, "user_id", view(), "views").withColumn("frequency", F.col("frequency") * F.col("sessions"))
     return lead_flag(base, leads).join(user_virality(ev, virality(ev)), "user_id", "left")
 
 

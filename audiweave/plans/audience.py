@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from audiweave.operators import audience as N
 from audiweave.operators import profile as P
 from audiweave.operators import windows as H
+from audiweave.operators.facets import certainty_levels, facet_counts, facet_index, select_bits
 from audiweave.plans.inputs import INDICATORS_SQL, PEOPLE_SQL, indicators, people, table
 from audiweave.plans.registry import query
 
@@ -36,6 +37,18 @@ def n02_select_audience(spark, sf_dir):
     return N.audience_users(N.select_audience(_audience(spark, sf_dir), chosen).where("company is not null"))
 
 
+FACETS = ("industry", "job", "company", "country", "known")
+_WITHIN = "country IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_7') AND (prob_index >= 1 - 0.6 OR known = 1)"
+
+
+@query(f"{AUD}, f AS (SELECT * FROM a WHERE {_WITHIN}) " + " UNION ALL ".join(f"SELECT '{c}' AS facet, CAST({c} AS VARCHAR) AS value, count(DISTINCT user_id) AS users FROM f WHERE {c} IS NOT NULL GROUP BY 2" for c in FACETS))
+def n02_facet_counts(spark, sf_dir):
+    """N2, N3, G22 from bitmaps: users of every facet value within a selection of countries and a certainty."""
+    index = facet_index(certainty_levels(_audience(spark, sf_dir)), [*FACETS, "certainty"])
+    chosen = {"country": ["NATION_1", "NATION_2", "NATION_3", "NATION_7"], "certainty": list(range(61)), "job": ["all"]}
+    return facet_counts(index, select_bits(index, chosen)).where("facet <> 'certainty'")
+
+
 @query(f"{AUD} SELECT user_id, industry FROM a WHERE prob_index >= 1 - 0.3 OR known = 1")
 def n03_by_certainty(spark, sf_dir):
     return N.by_certainty(_audience(spark, sf_dir), 0.3).select("user_id", "industry")

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from audiweave.functions import text as C
 from audiweave.functions.time import micros
 from audiweave.operators import features as G
 from audiweave.operators import windows as H
+from audiweave.operators.rolling import RollingFeatures
 from audiweave.plans.inputs import SEGMENTS_SQL, VIEWS_SQL, segments, table, views
 from audiweave.plans.registry import query
+from audiweave.sources.scratch import shared_folder
+from audiweave.sources.tables import Warehouse
 from audiweave.streaming.streams import stream_sessions
 
 DAY = "2024-01-25"
@@ -129,14 +134,33 @@ def g10_user_virality(spark, sf_dir):
 
 
 @query(f"""{S}{VIR}, r AS (SELECT user_id, count(DISTINCT session_id) AS sessions, count(DISTINCT CASE WHEN client = 'web' THEN view_id ELSE event_id END) AS views,
- count(*) FILTER (referrer IS NULL) AS visits_typed, count(*) FILTER (client = 'web') AS visits_web, count(*) FILTER (continent = 'ASIA') AS visits_asia, count(*) FILTER (contains(lower(agent), 'linux')) AS visits_linux,
- round(avg(value) FILTER (value <> 0), 4) AS mean_dwell, CAST(floor((epoch_us(TIMESTAMP '2024-02-01') - max(epoch_us(ts))) / 86400000000) AS BIGINT) AS recency, bool_or(site = 'signup') AS is_lead FROM s GROUP BY 1)
+ count(*) FILTER (referrer IS NULL) AS visits_typed, count(*) FILTER (contains(referrer, 'example.net')) AS visits_network, count(*) FILTER (client = 'web') AS visits_web, count(*) FILTER (continent = 'Asia') AS visits_asia, count(*) FILTER (continent = 'South America') AS visits_south_america,
+ count(*) FILTER (agent LIKE '%Linux%') AS visits_linux, count(*) FILTER (agent LIKE '%Windows%' AND agent NOT LIKE '%Windows NT 10.0%') AS visits_windows_older, round(avg(completion) FILTER (completion <> 0 AND value <> 0), 4) AS mean_completion,
+ round(avg(value) FILTER (completion <> 0 AND value <> 0), 4) AS mean_dwell, round(avg({HOUR}), 4) AS mean_hour, CAST(floor((epoch_us(TIMESTAMP '2024-02-01') - max(epoch_us(ts))) / 86400000000) AS BIGINT) AS recency, bool_or(site = 'signup') AS is_lead FROM s GROUP BY 1)
 SELECT r.*, round(m, 4) AS mean_virality FROM r LEFT JOIN (SELECT user_id, avg(virality) AS m FROM v JOIN vir USING (site, title) GROUP BY 1) USING (user_id)""")
 def g11_user_features(spark, sf_dir):
     """G11 with G1-G10, C26, F2: one pass, then two joins."""
     ev = G.sessions(views(spark, sf_dir))
     out = G.user_features(ev, ev.where("site = 'signup'"), "2024-02-01")
-    return out.select("user_id", "sessions", "views", "visits_typed", "visits_web", "visits_asia", "visits_linux", F.round("mean_dwell", 4).alias("mean_dwell"), F.col("recency").cast("long").alias("recency"), "is_lead", F.round("mean_virality", 4).alias("mean_virality"))
+    means = (F.round(c, 4).alias(c) for c in ("mean_completion", "mean_dwell", "mean_hour", "mean_virality"))
+    visits = ("visits_typed", "visits_network", "visits_web", "visits_asia", "visits_south_america", "visits_linux", "visits_windows_older")
+    return out.select("user_id", "sessions", "views", *visits, F.col("recency").cast("long").alias("recency"), "is_lead", *means)
+
+
+ROLLING = [("2024-01-15", 9), ("2024-01-16", 9)]
+
+
+@query(f"""{S}, w AS (SELECT * FROM s WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-16' - 9 AND DATE '2024-01-16')
+SELECT user_id, count(*) AS events, count(DISTINCT session_id) AS sessions, count(DISTINCT CASE WHEN client = 'web' THEN view_id ELSE event_id END) AS views, count(*) FILTER (client = 'web') AS visits_web, count(*) FILTER (continent = 'Africa') AS visits_africa,
+ round(avg(completion) FILTER (completion <> 0 AND value <> 0), 4) AS mean_completion, round(avg({HOUR}), 4) AS mean_hour, CAST(floor((epoch_us(TIMESTAMP '2024-01-17') - max(epoch_us(ts))) / 86400000000) AS BIGINT) AS recency FROM w GROUP BY 1""")
+def g11_rolling_features(spark, sf_dir):
+    """The window of one day, then that of the next, which reads one new day. Few sessions a user, so sketches are exact."""
+    at = RollingFeatures(Warehouse(spark, f"{shared_folder(spark)}/house-{uuid.uuid4().hex}"), "features", "daily")
+    ev = G.sessions(views(spark, sf_dir))
+    for end, lookback in ROLLING:
+        out = at.features(ev, end, lookback)
+    means = (F.round(c, 4).alias(c) for c in ("mean_completion", "mean_hour"))
+    return out.select("user_id", "events", "sessions", "views", "visits_web", "visits_africa", *means, F.col("recency").cast("long").alias("recency"))
 
 
 @query(f"""{S}, r AS (SELECT user_id, min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b, count(DISTINCT session_id) AS n FROM s GROUP BY 1)
