@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from audiweave.llm.textbytes import LOWER, U, Words, chunks, mix
 
@@ -243,10 +244,27 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["h", "k", "lang", "text"])
 
 
+def shares_of(counts: dict[str, int], most: int) -> dict[str, int]:
+    """How many of ``most`` texts each language gives: equal numbers, and what small ones leave is shared by the others."""
+    out, left = {}, most
+    for k, lang in enumerate(sorted(counts, key=lambda x: (counts[x], x))):
+        out[lang] = min(counts[lang], left // (len(counts) - k))
+        left -= out[lang]
+    return out
+
+
 def learn(labelled: DataFrame, most: int = LEARNED) -> Field:
-    """A field from (doc_id, text, lang): at most ``most`` distinct labelled texts, least by hash, each whole."""
+    """A field from (doc_id, text, lang): at most ``most`` distinct labelled texts, each whole.
+
+    Of each language the texts of least hash are taken, as many as of others, so a
+    rare one is learned too; only its number of texts reaches the driver. Where
+    there are more languages than texts to take, the most frequent have one each."""
     known = labelled.where("text is not null and lang is not null").select("lang", "text", F.xxhash64("doc_id", "text", "lang").alias("h"))
-    ids = known.groupBy("h").agg(F.count("*").alias("n")).orderBy("h").limit(most).select("h")
+    each = known.groupBy("lang", "h").agg(F.count("*").alias("n"))
+    sizes = each.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect()
+    share = labelled.sparkSession.createDataFrame([*shares_of({r["lang"]: r["n"] for r in sizes}, most).items()], "lang string, share int")
+    least = each.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("place") <= most)
+    ids = least.join(F.broadcast(share), "lang").where("place <= share").select("h")
     got = known.join(F.broadcast(ids), "h").dropDuplicates(["h"]).mapInArrow(_segment_rows, "h long, k int, lang string, text string").toPandas()
     got = got.sort_values(["h", "k"])
     return Field(sorted(got["lang"].unique().tolist()), list(zip(got["text"], got["lang"], strict=True)))

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from audiweave.llm.scratch import keep
 from audiweave.llm.textbytes import Words, chunks
 
 #: (bytes below which it holds, least and greatest ratio of the whole text) where nothing is fitted. Prose lies at 0.55 to 0.75 under 1 kB and near 0.4 over 16 kB.
@@ -107,26 +108,34 @@ def base_fails(made: dict[str, np.ndarray]) -> np.ndarray:
     return (made["n_words"] < 10) | (100 * made["n_repeat_words"] > 20 * made["n_words"])
 
 
-def _ratio_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import zstandard
-
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+def _measure_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in chunks(batch, "text"):
-            passed = np.flatnonzero(~base_fails(counts(part.column("text"))))
-            texts = [x.encode() for x in part.column("text").take(pa.array(passed)).to_pylist()]
-            size = np.array([len(x) for x in texts], np.int64)
-            ratio = np.array([round(1000 * len(squeeze(x)) / len(x)) for x in texts], np.int64)
-            yield pa.record_batch([pa.array(band_of(size)), pa.array(ratio), part.column("label").take(pa.array(passed))], names=["band", "ratio", "label"])
+            column = part.column("text")
+            made = counts(column)
+            words = Words(column)
+            whole, odd = compression(words.raw, words.off)
+            band = np.minimum(band_of(np.diff(words.off)), N_BANDS - 1)
+            yield pa.record_batch(
+                [part.column("doc_id"), *(pa.array(x) for x in made.values()), pa.array(base_fails(made)), pa.array(whole), pa.array(odd), pa.array(band)],
+                names=["doc_id", *made, "base_failed", "zstd_ratio", "odd_chunks", "band"],
+            )
 
 
-def fit_limits(docs: DataFrame, marks: DataFrame) -> np.ndarray:
-    """Limits by band from all rows of ``docs`` that have a label in ``marks`` (doc_id, label 0 or 1).
+def measures(docs: DataFrame) -> DataFrame:
+    """Counts, ratios and length band of every text: all that limits and verdicts need, in one pass over the texts."""
+    kinds = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, zstd_ratio double, odd_chunks double, band long"
+    return docs.select("doc_id", "text").mapInArrow(_measure_rows, kinds)
+
+
+def fit_limits(measured: DataFrame, marks: DataFrame) -> np.ndarray:
+    """Limits by band from all rows of ``measures`` that pass the base rules and have a label in ``marks`` (doc_id, label 0 or 1).
 
     Only counts by band, thousandth of the ratio and label reach the driver. A
     limit is moved in from its wide place only where that rejects bad texts."""
-    labelled = docs.select("doc_id", "text").join(marks.where("label is not null"), "doc_id").select("text", F.col("label").cast("int").alias("label"))
-    rows = labelled.where("text is not null").mapInArrow(_ratio_rows, "band long, ratio long, label int").groupBy("band", "ratio", "label").agg(F.count("*").alias("n")).collect()
+    passed = measured.where("not base_failed").select("doc_id", "band", F.rint(1000 * F.col("zstd_ratio")).cast("long").alias("ratio"))
+    labelled = passed.join(marks.where("label is not null").select("doc_id", F.col("label").cast("int").alias("label")), "doc_id")
+    rows = labelled.groupBy("band", "ratio", "label").agg(F.count("*").alias("n")).collect()
     limits = wide_limits()
     for band in sorted({r["band"] for r in rows}):
         good, bad = (np.sort(np.repeat([r["ratio"] / 1000 for r in rows if r["band"] == band and r["label"] == k], [r["n"] for r in rows if r["band"] == band and r["label"] == k])) for k in (1, 0))
@@ -140,41 +149,36 @@ def fit_limits(docs: DataFrame, marks: DataFrame) -> np.ndarray:
     return limits
 
 
-def _rule_rows(limits: np.ndarray):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, "text"):
-                column = part.column("text")
-                made = counts(column)
-                words = Words(column)
-                whole, odd = compression(words.raw, words.off)
-                low, high = limits[np.minimum(band_of(np.diff(words.off)), N_BANDS - 1)].T
-                failed = base_fails(made)
-                kept = ~failed & (whole >= low) & (whole <= high) & (odd <= CHUNK_SHARE)
-                yield pa.record_batch(
-                    [part.column("doc_id"), *(pa.array(x) for x in made.values()), pa.array(failed), pa.array(kept), pa.array(whole), pa.array(odd)],
-                    names=["doc_id", *made, "base_failed", "kept", "zstd_ratio", "odd_chunks"],
-                )
+def verdicts(measured: DataFrame, limits: np.ndarray | None = None) -> DataFrame:
+    """``measures`` with ``kept``, by limits of ``fit_limits``, else wide ones."""
+    low, high = (wide_limits() if limits is None else limits).T
+    at = lambda x: F.get(F.array(*(F.lit(float(v)) for v in x)), F.col("band").cast("int"))
+    inside = (F.col("zstd_ratio") >= at(low)) & (F.col("zstd_ratio") <= at(high)) & (F.col("odd_chunks") <= CHUNK_SHARE)
+    return measured.select(*_COUNTS, "base_failed", (~F.col("base_failed") & inside).alias("kept"), "zstd_ratio", "odd_chunks")
+
 
-    return rows
+_COUNTS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def quality_rules(docs: DataFrame, limits: np.ndarray | None = None) -> DataFrame:
+def quality_rules(docs: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     """Counts and verdict per row of ``docs`` (doc_id, text; others ignored).
 
     n_words; word_chars (code points in words); n_symbols; n_dup_lines (lines
     with a word that equal an earlier line of the text); n_repeat_words (words
     in 5-word windows that the text has twice or more); base_failed (fewer than
     10 words, or over a fifth of them repeated); kept; zstd_ratio; odd_chunks.
-    A null text counts as empty: all counts 0, base_failed, not kept. ``limits``
-    are those of ``fit_limits``, else wide ones.
+    A null text counts as empty: all counts 0, base_failed, not kept. Limits are
+    fitted on ``marks`` (doc_id, label), where given, else wide; texts are read
+    and compressed once.
     """
-    kinds = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, zstd_ratio double, odd_chunks double"
-    return docs.select("doc_id", "text").mapInArrow(_rule_rows(wide_limits() if limits is None else limits), kinds)
+    if marks is None:
+        return verdicts(measures(docs))
+    measured = keep(measures(docs), "measures")
+    return verdicts(measured, fit_limits(measured, marks))
 
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
     marks = labels.where(~held_out).groupBy("doc_id").agg(F.max("quality").alias("label"))
-    return quality_rules(docs, fit_limits(docs, marks))
+    return quality_rules(docs, marks)

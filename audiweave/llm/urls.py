@@ -13,8 +13,10 @@ shapes cost.
 
 from __future__ import annotations
 
+import bisect
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,8 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 NOVEL, SMOOTH, REJECT = 0.3, 8.0, 0.8
 #: Shapes below a node that can show such a chance, at least: all seen once, and f - 2 sqrt(f) >= NOVEL f.
 LEAST = math.ceil((2 / (1 - NOVEL)) ** 2)
+#: Shapes, and signs in them, of a host whose tree one task walks.
+WALKED, WALKED_SIGNS = 100_000, 16 << 20
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -52,17 +56,70 @@ def shape_of(path: Column) -> Column:
     return F.array_join(F.filter(F.split(F.regexp_replace(path, "[0-9]+", "*"), "/"), lambda x: x != ""), "/")
 
 
+def host_templates(shapes: list[str], counts: list[int]) -> list[str]:
+    """Templates of one host's shapes: a walk down its tree of segments."""
+    segments = [x.split("/") for x in shapes]
+    out = ["/" + x for x in shapes]
+    open_nodes = [(list(range(len(shapes))), 0)]
+    while open_nodes:
+        rows, level = open_nodes.pop()
+        children: dict[str, list[int]] = {}
+        for r in rows:
+            if len(segments[r]) > level:
+                children.setdefault(segments[r][level], []).append(r)
+        visits = [sum(counts[r] for r in own) for own in children.values()]
+        once = sum(n == 1 for n in visits)
+        if once - 2 * math.sqrt(once) >= NOVEL * sum(visits) and once:
+            below = [r for own in children.values() for r in own]
+            for r in below:
+                segments[r][level] = "*"
+            groups = [below]
+        else:
+            groups = list(children.values())
+        # a node of fewer shapes can't show a chance, nor can any below it
+        open_nodes += [(own, level + 1) for own in groups if len(own) >= LEAST]
+    for r, own in enumerate(segments):
+        out[r] = "/" + "/".join(own)
+    return out
+
+
+def _tree_rows(table: pa.Table) -> pa.Table:
+    table = table.sort_by([("host", "ascending"), ("shape", "ascending")])
+    host, shape, n = (table.column(c).to_pylist() for c in ("host", "shape", "n"))
+    made, start = [], 0
+    while start < len(host):
+        end = bisect.bisect_right(host, host[start], start)
+        made += host_templates(shape[start:end], n[start:end])
+        start = end
+    return table.select(["host", "shape", "n", "blocked", "labelled"]).append_column("template", pa.array(made, pa.string()))
+
+
 def templates(shapes: DataFrame) -> DataFrame:
-    """Adds ``template`` to (host, shape, n, blocked, labelled): level by level,
-    segments below a node become ``*`` where a new child is likely, its chance
-    being f / n of n visits to children, f of them to children seen once, less
-    two deviations. Levels end where no host has shapes enough to show that;
-    what is deeper stays as it is."""
+    """Adds ``template`` to (host, shape, n, blocked, labelled): segments below a
+    node become ``*`` where a new child is likely, its chance being f / n of n
+    visits to children, f of them to children seen once, less two deviations.
+    Hosts of up to ``WALKED`` shapes are walked in one pass, many in a task.
+    Others go level by level, for as long as a node has shapes enough to show a
+    chance; what is deeper stays as it is."""
+    kinds = "host string, shape string, n long, blocked long, labelled long, template string"
+    sizes = keep(shapes.groupBy("host").agg(F.count("*").alias("shapes"), F.sum(F.length("shape")).alias("signs")), "hosts")
+    large = (F.col("shapes") > WALKED) | (F.col("signs") > WALKED_SIGNS)
+    signs = sizes.where(~large).agg(F.sum(F.col("signs") + 20)).first()[0] or 0
+    walked = shapes.join(sizes.where(~large).select("host"), "host").withColumn("part", F.pmod(F.xxhash64("host"), F.lit(signs // WALKED_SIGNS + 1)))
+    walked = walked.select("host", "shape", "n", "blocked", "labelled", "part").groupBy("part").applyInArrow(_tree_rows, kinds)
+    if sizes.where(large).isEmpty():
+        return keep(walked, "templates")
+    out = shapes.join(F.broadcast(sizes.where(large).select("host")), "host")
+    return keep(walked.union(_by_level(out).select(walked.columns)), "templates")
+
+
+def _by_level(shapes: DataFrame) -> DataFrame:
+    """``templates`` of hosts of any number of shapes, a round of joins for each level."""
     out = shapes.withColumns({"segments": F.split("shape", "/"), "template": F.lit("")})
     level = 0
     while True:
         own = F.get("segments", F.lit(level))
-        most = out.where(own.isNotNull()).groupBy("host").agg(F.count("*").alias("m")).agg(F.max("m")).first()[0]
+        most = out.where(own.isNotNull()).groupBy("host", "template").agg(F.count("*").alias("m")).agg(F.max("m")).first()[0]
         if (most or 0) < LEAST:
             break
         children = out.where(own.isNotNull()).groupBy("host", "template", own.alias("own")).agg(F.sum("n").alias("n"))
@@ -70,7 +127,7 @@ def templates(shapes: DataFrame) -> DataFrame:
         nodes = nodes.select(F.col("host").alias("h"), F.col("template").alias("t"), (F.col("f") - 2 * F.sqrt("f") >= NOVEL * F.col("n")).alias("wild"))
         placed = out.join(nodes, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")), "left")
         step = F.concat("template", F.lit("/"), F.when(F.col("wild"), "*").otherwise(own))
-        placed = keep(placed.withColumn("template", F.when(own.isNotNull(), step).otherwise(F.col("template"))).drop("h", "t", "wild"), "templates")
+        placed = keep(placed.withColumn("template", F.when(own.isNotNull(), step).otherwise(F.col("template"))).drop("h", "t", "wild"), "levels")
         if level:
             drop(out)
         out, level = placed, level + 1
@@ -112,7 +169,8 @@ def url_verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
     parts = parts.withColumns({"r": rule_of(F.col("host"), F.col("path"), rules), "shape": shape_of(F.col("path"))})
     parts = keep(parts.select("page_id", "host", "path", "r.rule", F.col("r.verdict").alias("ruled"), "shape"), "pages")
     shapes = parts.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count_if(F.col("ruled") == "block").alias("blocked"), F.count("ruled").alias("labelled"))
-    placed = templates(keep(shapes, "shapes"))
+    shapes = keep(shapes, "shapes")
+    placed = templates(shapes)
     nodes = keep(placed.groupBy("host", "template").agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")), "nodes")
     total = nodes.agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l")).first()
     prior = ((total["b"] or 0) + 1) / ((total["l"] or 0) + 2)
@@ -121,6 +179,8 @@ def url_verdicts(pages: DataFrame, rules=RULES) -> DataFrame:
     purity = (F.col("blocked") + SMOOTH * F.col("usual")) / (F.col("labelled") + SMOOTH)
     scored = scored.select("host", "template", "branch", F.round(purity, 6).alias("purity"))
     verdicts = keep(placed.select("host", "shape", "template").join(scored, ["host", "template"]).select("host", "shape", F.col("branch").alias("template"), "purity"), "verdicts")
+    for table in (shapes, placed, nodes):
+        drop(table)
     own = F.when(F.col("purity") >= REJECT, "block").otherwise("allow")
     return parts.join(verdicts, ["host", "shape"], "left").select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "template", "purity")
 

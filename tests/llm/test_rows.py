@@ -442,3 +442,34 @@ def test_pipeline_stages(spark, sf_dir):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
+
+
+def test_url_trees_of_large_hosts_and_of_deep_paths(spark, monkeypatch):
+    import time
+
+    rng = np.random.default_rng(3)
+    made = [(k, f"https://h{k % 3}.com/" + "/".join(rng.choice([["a", "b"], ["x", "y", f"s{k}"], [f"t{k}", "p"]][j % 3]) for j in range(rng.integers(0, 6)))) for k in range(900)]
+    df = spark.createDataFrame(made, "page_id long, url string")
+    rules_here = (("h0.com", "/a/", "block"), ("h1.com", "/b/", "allow"))
+    walked = sorted(map(tuple, urls.url_verdicts(df, rules_here).collect()))
+    monkeypatch.setattr(urls, "WALKED", 250)
+    assert sorted(map(tuple, urls.url_verdicts(df, rules_here).collect())) == walked
+    assert any("*" in r[5] for r in walked)
+    trap = [(k, "https://trap.com/" + "/".join(["d"] * 5000) + f"/{'abcdefghijkl'[k]}") for k in range(12)]
+    trap = spark.createDataFrame([(*r, "clash", 1) for r in trap], "page_id long, url string, host string, purity int")
+    began = time.time()
+    for most in (250, 5):
+        monkeypatch.setattr(urls, "WALKED", most) if most == 250 else None
+        assert {r.template.count("/") for r in urls.url_verdicts(trap, rules_here).collect()} == {5001}
+    assert time.time() - began < 120
+
+
+def test_a_rare_language_is_learned(spark):
+    rng = np.random.default_rng(6)
+    common, rare = "the and of house water people time".split(), "zxu qyo wvezz kjua ploxx".split()
+    rows = [(k, " ".join(rng.choice(common, 12)), "en") for k in range(4000)] + [(9000 + k, " ".join(rng.choice(rare, 12)), "xx") for k in range(2)] + [(9500, None, "en"), (9501, "text", None)]
+    field = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 60)
+    assert field.labels == ["en", "xx"]
+    got = language.identify(spark.createDataFrame([(1, "kjua zxu wvezz qyo ploxx zxu"), (2, "the people of time and water")], "doc_id long, text string"), field).collect()
+    assert [r.lang_pred for r in sorted(got)] == ["xx", "en"]
+    assert language.shares_of({"a": 5000, "b": 2, "c": 100}, 1000) == {"b": 2, "c": 100, "a": 898} and sum(language.shares_of(dict.fromkeys("abcdefg", 900), 1000).values()) == 1000
