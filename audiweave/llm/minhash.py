@@ -121,12 +121,13 @@ def _held_rows(percent: int):
 
 def _held_links(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Links among ``pairs`` (a, least). Rows of a least class are split by shingles, with its set in each part."""
-    sized = pairs.join(sets.select("a", "n"), "a")
+    sized = keep(pairs.join(sets.select("a", "n"), "a"), "sized")
     load = sized.groupBy("least").agg(F.sum("n").alias("load"), F.count("*").alias("rows"))
     parts = (F.floor(F.greatest(F.col("load") / HELD, F.col("rows") / 4096)) + 1).alias("parts")
     dealt = sized.join(load.select("least", parts), "least").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")))
     dealt = keep(dealt.select("a", "least", "part"), "held")
     total = sized.agg(F.sum("n")).first()[0] or 0
+    drop(sized)
     bins = max(64, total // HELD)
     heads = dealt.select(F.col("least").alias("a"), "least", "part", F.lit(1).alias("head")).distinct()
     rows = dealt.withColumn("head", F.lit(0)).union(heads).join(sets.select("a", "grams"), "a")
