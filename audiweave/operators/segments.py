@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from audiweave.operators.joins import small
-from audiweave.operators.profile import cosine
+from audiweave.operators.profile import classifier_change, cosine, drift_behaviour, drift_profile, returning_change
 from audiweave.operators.windows import latest_per, top_n_per
 from audiweave.sources.scratch import written
 
@@ -424,12 +424,20 @@ def melt_probs(df: DataFrame, labels: list[str], name: str = "p") -> DataFrame:
     return df.select(*rest, F.posexplode(name).alias("_k", "probability")).where(F.col("_k") < len(labels)).select(*rest, F.get(names, F.col("_k")).alias("attribute"), "probability")
 
 
-def segment_report(parts: list[DataFrame], by: str = "domain") -> DataFrame:
-    """One row per domain from drift and change tables."""
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, by, "left")
-    return out
+def segment_report(behaviour: tuple[DataFrame, DataFrame], profiles: dict[str, tuple[DataFrame, DataFrame]], returning: tuple[DataFrame, DataFrame], classifier: tuple[DataFrame, DataFrame], names: list[str]) -> DataFrame:
+    """One row per domain of the baseline behaviour, each pair being (baseline, day).
+
+    Similarities of cluster sizes and of behaviour over ``names`` (M27), one of the profile of each dimension in
+    ``profiles`` (M28, under the dimension's name), the change of returning visitors (G21; domain, returning_pct) and
+    those of the classifier's precision, recall and F1 with the baseline's F1 (G20). What a domain lacks is null."""
+    out = drift_behaviour(*behaviour, names)
+    for dim, (base, day) in profiles.items():
+        out = out.join(drift_profile(base, day, dim).withColumnRenamed("similarity", dim), "domain", "left")
+    site = lambda df: df.withColumnRenamed("domain", "site")
+    change = returning_change(site(returning[1]), site(returning[0])).select(F.col("site").alias("domain"), F.col("change").alias("returning_change"))
+    base = classifier[0].groupBy("domain").agg(F.try_divide(F.sum(F.col("f1_score") * F.col("support")), F.sum("support")).alias("base_f1_score"))
+    scores = classifier_change(classifier[1], classifier[0]).select("domain", "precision_change", "recall_change", "f1_score_change")
+    return out.join(change, "domain", "left").join(scores, "domain", "left").join(base, "domain", "left")
 
 
 def weak_classes(rep: DataFrame, least: float = 0.3) -> DataFrame:

@@ -166,5 +166,5 @@ def i03_largest_cities(spark, sf_dir):
 
 @query(f"{I} SELECT country, year, value FROM i ORDER BY value DESC, country LIMIT 10")
 def i01_top_values(spark, sf_dir):
-    """I1."""
+    """The ten greatest yearly values over all countries."""
     return H.top_n(indicators(spark, sf_dir), [F.desc("value"), F.asc("country")], 10).select("country", "year", "value")

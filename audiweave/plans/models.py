@@ -248,10 +248,14 @@ def m08_best_features(spark, sf_dir):
     return f.agg(F.lit(",".join(M.best_features([f], NAMES, ["l_discount"], 1))).alias("names"), F.count("*").alias("n"))
 
 
-@query("SELECT k, lookback, CAST((SELECT count(*) FROM customer) AS BIGINT) AS n FROM (SELECT unnest([5, 6, 7]) AS k), (SELECT unnest([30, 60]) AS lookback)")
+@query("""WITH g AS (SELECT k, lookback FROM (SELECT unnest([5, 6, 7]) AS k), (SELECT unnest([3, 10]) AS lookback)), e AS (SELECT user_id, CAST(ts AS DATE) AS day FROM events)
+SELECT k, lookback, CAST(user_id % k AS INTEGER) AS cluster, count(*) AS visits FROM g JOIN e ON day >= DATE '2024-01-30' - CAST(lookback AS INTEGER) GROUP BY 1, 2, 3""")
 def m09_grid(spark, sf_dir):
-    n = table(spark, sf_dir, "customer").agg(F.count("*").alias("n"))
-    return M.grid(spark, {"k": [5, 6, 7], "lookback": [30, 60]}).crossJoin(n)
+    """M9: visits of every cluster under each number of clusters and look-back of the grid."""
+    ev = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"))
+    runs = M.grid(spark, {"k": [5, 6, 7], "lookback": [3, 10]})
+    own = ev.join(F.broadcast(runs), F.col("day") >= F.date_sub(F.lit("2024-01-30").cast("date"), F.col("lookback").cast("int")))
+    return own.groupBy("k", "lookback", (F.col("user_id") % F.col("k")).cast("int").alias("cluster")).agg(F.count("*").alias("visits"))
 
 
 @query()
@@ -296,12 +300,43 @@ def m24_melt_probs(spark, sf_dir):
     return M.melt_probs(e, ["a0", "a1", "a2"])
 
 
-@query()
+DIMS = {
+    "industry": "industry", "wishlist": "CASE WHEN industry IN ('BUILDING', 'MACHINERY') THEN industry END", "job": "CASE WHEN user_id % 3 > 0 THEN concat('job', CAST(user_id % 7 AS {text})) END",
+    "seniority": "CASE WHEN balance > 5000 THEN 'C-level' WHEN balance > 1000 THEN 'manager' END",
+}
+
+
+def _drift_sql(dim: str, made: str) -> str:
+    """CTEs of M28 for one dimension, the last under its name."""
+    return f"""c_{dim} AS (SELECT user_id % 2 AS h, domain, cluster, {made.format(text='VARCHAR')} AS v, count(*) AS n FROM p GROUP BY 1, 2, 3, 4),
+t_{dim} AS (SELECT *, CAST(sum(n) OVER (PARTITION BY h, domain, v) AS DOUBLE) AS dt, (n / sum(n) OVER (PARTITION BY h, domain, v)) / (sum(n) OVER (PARTITION BY h, domain, cluster) / sum(n) OVER (PARTITION BY h, domain)) AS wr FROM c_{dim}),
+b_{dim} AS (SELECT domain, cluster, v, n::DOUBLE AS a1, dt AS a2, wr AS a3 FROM t_{dim} WHERE h = 0 AND v IS NOT NULL), u_{dim} AS (SELECT * FROM b_{dim} UNION ALL SELECT DISTINCT domain, cluster, 'unknown', 0.0, 0.0, 0.0 FROM b_{dim}),
+d_{dim} AS (SELECT domain, cluster, CASE WHEN (domain, cluster, v) IN (SELECT (domain, cluster, v) FROM b_{dim}) THEN v ELSE 'unknown' END AS v, sum(n)::DOUBLE AS d1, sum(dt) AS d2, sum(wr) AS d3 FROM t_{dim} WHERE h = 1 AND v IS NOT NULL GROUP BY 1, 2, 3),
+j_{dim} AS (SELECT domain, a1, a2, a3, coalesce(d1, 0) AS d1, coalesce(d2, 0) AS d2, coalesce(d3, 0) AS d3 FROM u_{dim} LEFT JOIN d_{dim} USING (domain, cluster, v)),
+{dim}_similarity AS (SELECT domain, round(avg((a1 * d1 + a2 * d2 + a3 * d3) / nullif(sqrt((a1 * a1 + a2 * a2 + a3 * a3) * (d1 * d1 + d2 * d2 + d3 * d3)), 0)), 6) AS {dim} FROM j_{dim} GROUP BY 1)"""
+
+
+_HALF = "WHERE year(date) {} 1998 GROUP BY 1"
+_WEIGHED = ", ".join(f"{_MEAN.format(c=c)} AS {c}" for c in ("precision", "recall", "f1_score"))
+
+
+@query(f"""{TWO}, {', '.join(_drift_sql(k, v) for k, v in DIMS.items())},
+m AS (SELECT domain, round(list_cosine_similarity(list(b.size::DOUBLE ORDER BY cluster), list(coalesce(d.size, 0)::DOUBLE ORDER BY cluster)), 6) AS size_similarity, round(avg((b.x * d.x + b.y * d.y) / sqrt((b.x * b.x + b.y * b.y) * (d.x * d.x + d.y * d.y))), 6) AS behaviour_similarity FROM b LEFT JOIN d USING (domain, cluster) GROUP BY 1),
+v AS (SELECT domain, round(avg(balance) FILTER (user_id % 2 = 1) - avg(balance) FILTER (user_id % 2 = 0), 6) AS returning_change FROM p GROUP BY 1), r AS ({REP}), old AS (SELECT 'REGION_' || domain AS domain, {_WEIGHED} FROM r {_HALF.format('<')}), now AS (SELECT 'REGION_' || domain AS domain, {_WEIGHED} FROM r {_HALF.format('>=')}),
+k AS (SELECT domain, {', '.join(f'round(now.{c} - old.{c}, 6) AS {c}_change' for c in ('precision', 'recall', 'f1_score'))} FROM now JOIN old USING (domain))
+SELECT m.*, {', '.join(DIMS)}, returning_change, precision_change, recall_change, f1_score_change, round(old.f1_score, 6) AS base_f1_score FROM m {' '.join(f'LEFT JOIN {k}_similarity USING (domain)' for k in DIMS)} LEFT JOIN v USING (domain) LEFT JOIN k USING (domain) LEFT JOIN old USING (domain)""")
 def m29_segment_report(spark, sf_dir):
-    """M27, M28 and G20 by domain."""
+    """M29 with its four dimensions (M28), M27, G20 and G21, by domain: even users are the baseline, odd ones the day."""
+    p = people(spark, sf_dir).withColumns({k: F.expr(v.format(text="STRING")) for k, v in DIMS.items()})
+    own = lambda df: df.groupBy("domain", "cluster").agg(F.count("*").alias("size"), F.avg("balance").alias("x"), F.avg("user_id").alias("y"))
+    base, day = p.where("user_id % 2 = 0"), p.where("user_id % 2 = 1")
     r = _rep(spark, sf_dir).withColumn("domain", F.concat(F.lit("REGION_"), "domain"))
-    change = P.classifier_change(r.where("year(date) >= 1998"), r.where("year(date) < 1998"))
-    return M.segment_report([m27_drift_behaviour(spark, sf_dir), m28_drift_profile(spark, sf_dir), change])
+    returning = lambda df: df.select("domain", F.col("balance").alias("returning_pct"))
+    out = M.segment_report(
+        (own(base), own(day)), {k: (P.profile(base, k), P.profile(day, k)) for k in DIMS}, (returning(base), returning(day)),
+        (r.where("year(date) < 1998"), r.where("year(date) >= 1998")), ["x", "y"],
+    )
+    return out.select("domain", *(F.round(c, 6).alias(c) for c in out.columns if c != "domain"))
 
 
 @query()

@@ -62,7 +62,7 @@ def d06_unpack_options(spark, sf_dir):
 
 @query("""SELECT conv_id, CAST(turn AS VARCHAR) AS question_key, k AS sub_key, role AS sub_question, text AS sub_answer FROM conversations, (SELECT unnest(['1', '2']) AS k) WHERE turn % 3 = 0 AND (k = '1' OR turn = 3)""")
 def d07_unpack_subquestions(spark, sf_dir):
-    """D7."""
+    """Sub-questions of the answers of every third turn, one row each."""
     out = D.unpack_subquestions(D.answers(_answers(spark, sf_dir), "survey", ["conv_id"]))
     return out.select("conv_id", "question_key", "sub_key", "sub_question", "sub_answer")
 

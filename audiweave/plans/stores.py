@@ -143,16 +143,23 @@ def b16_log_run(spark, sf_dir):
     return at.read("runs", "log").select(F.regexp_replace("table", "^shop[.]", "").alias("table"), "message")
 
 
-@query("SELECT CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS committed, NULL::VARCHAR AS pending, count(*) AS n FROM events")
+@query("SELECT event_id, CASE WHEN CAST(ts AS DATE) <= DATE '2024-01-10' THEN 1 ELSE 3 END AS run FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20'")
 def b19_checkpoint(spark, sf_dir):
-    """Committed, then a failed run rolls back."""
-    at, ev = B.Checkpoint(house(spark)), table(spark, sf_dir, "events")
-    at.begin("views", str(ev.agg(F.to_date(F.max("ts"))).first()[0]))
-    at.commit("views")
-    at.begin("views", "2999-01-01")
-    at.rollback("views")
-    committed, pending = at.get("views")
-    return ev.agg(F.lit(committed).alias("committed"), F.lit(pending).cast("string").alias("pending"), F.count("*").alias("n"))
+    """Three runs load what lies between the committed date and their own; the second fails and is rolled back, so the third loads its rows."""
+    at = B.Checkpoint(house(spark))
+    ev = table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day"))
+    loaded = []
+    for run, (date, fails) in enumerate([("2024-01-10", False), ("2024-01-20", True), ("2024-01-20", False)], 1):
+        at.begin("views", date)
+        committed, pending = at.get("views")
+        rows = ev.where(F.col("day") <= F.lit(pending).cast("date"))
+        rows = rows if committed is None else rows.where(F.col("day") > F.lit(committed).cast("date"))
+        if fails:
+            at.rollback("views")
+        else:
+            loaded.append(rows.select("event_id", F.lit(run).alias("run")))
+            at.commit("views")
+    return loaded[0].union(loaded[1])
 
 
 @query("SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 3 = 0 THEN 'first' ELSE 'second' END AS run FROM orders")
