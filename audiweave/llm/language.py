@@ -262,9 +262,12 @@ def learn(labelled: DataFrame, most: int = LEARNED) -> Field:
     known = labelled.where("text is not null and lang is not null").select("lang", "text", F.xxhash64("doc_id", "text", "lang").alias("h"))
     each = known.groupBy("lang", "h").agg(F.count("*").alias("n"))
     sizes = each.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect()
-    share = labelled.sparkSession.createDataFrame([*shares_of({r["lang"]: r["n"] for r in sizes}, most).items()], "lang string, share int")
-    least = each.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("place") <= most)
-    ids = least.join(F.broadcast(share), "lang").where("place <= share").select("h")
+    counts = {r["lang"]: r["n"] for r in sizes}
+    # hashes are even, so the least of a language lie under a bound that follows from its number: few rows are ranked
+    shares = [(lang, n, min(1.0, (n + 10 * n**0.5 + 20) / counts[lang])) for lang, n in shares_of(counts, most).items()]
+    share = labelled.sparkSession.createDataFrame(shares, "lang string, share int, upto double")
+    low = each.join(F.broadcast(share), "lang").where(F.col("h") / 2.0**64 + 0.5 <= F.col("upto"))
+    ids = low.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where("place <= share").select("h")
     got = known.join(F.broadcast(ids), "h").dropDuplicates(["h"]).mapInArrow(_segment_rows, "h long, k int, lang string, text string").toPandas()
     got = got.sort_values(["h", "k"])
     return Field(sorted(got["lang"].unique().tolist()), list(zip(got["text"], got["lang"], strict=True)))
