@@ -414,10 +414,10 @@ def test_slugs_become_wildcards_and_purity_rejects(spark):
 
 
 def test_chat_roles_and_markers(spark):
-    rows = [(1, 0, None, "User: hi?\nAssistant: - a\n- b\nUser: bye"), (3, 5, "system", "### System\nbe good\n<|im_start|>user\nq<|im_end|>"), (None, None, "zzz", None), (2, 0, "user", ""), (2, 0, "user", "")]
+    rows = [(1, 0, None, "User: hi?\nAssistant: - a\n- b\nUser: bye"), (3, 5, "system", "### System\nbe good\n<|im_start|>user\nq<|im_end|>"), (None, None, "zzz", None), (2, 0, "user", ""), (2, 0, "user", ""), (4, 1, "system", "x"), (4, 2, "user", "y")]
     got = sorted(((r.conv_id or -1, r.turn or -1, r.seg, r.role_pred, r.rendered) for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()))
     assert [g[3:] for g in got if g[0] == 1] == [("user", "<|user|>\nhi?\n<|end|>\n"), ("assistant", "<|assistant|>\n- a\n- b\n<|end|>\n"), ("user", "<|user|>\nbye\n<|end|>\n")]
-    assert [g[3] for g in got if g[0] == 3] == ["system", "user"] and len(got) == 8
+    assert [g[3] for g in got if g[0] == 3] == ["system", "user"] and len(got) == 10
     assert chat.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
