@@ -5,7 +5,7 @@
    A table key combines one sub-key of either collection, so SIDE^2 tables of
    bands of 2 WIDTH minhashes cost 2 SIDE WIDTH minhashes and not SIDE^2 2 WIDTH.
    Sets of similarity s meet in a table with probability
-   (1 - (1 - s^WIDTH)^SIDE)^2: 0.99997 at 0.8, 0.999999 at 0.85, 0.006 at 0.15.
+   (1 - (1 - s^WIDTH)^SIDE)^2: 0.99998 at 0.8, 0.999999 at 0.85, 0.003 at 0.15.
    Only sub-keys that several classes hold are combined, which leaves the tables
    unchanged and most classes without any row.
 3. In each bucket of a table all classes are held against its least one, on full
@@ -191,7 +191,7 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
     input row: doc_id, n_shingles, component_id (least doc_id reachable by
     links), kept (whether doc_id is component_id). Links are those among pairs
     that meet in a table of the banding, each confirmed on full sets; a pair
-    at the bound is missed with probability 3e-5, a closer one more rarely. A null or
+    at the bound is missed with probability 2e-5, a closer one more rarely. A null or
     wordless text has an empty set and links with nothing: its component is its
     own doc_id. Rows of a null doc_id link like others but name no component
     (null where no row of the component has an id, and these are kept). Rows
