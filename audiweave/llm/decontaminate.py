@@ -6,11 +6,16 @@ the grams of one such stretch, so its least, so a fingerprint: every shared
 window is found. Fingerprints are joined, and each meeting is extended along
 its diagonal word by word, which settles the matter exactly. Items with fewer
 words than a window are one window of their own; for these, fingerprints of
-their own length are taken too.
+half the window, a quarter and so on are taken too, where there are such items.
+A text that holds such an item whole holds all its fingerprints, so the least
+one finds it. All fingerprints of a text come from one pass over its words.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,34 +35,48 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(folded, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
-def gram_hashes(hashes: str, n: int) -> Column:
-    """Hash of every ``n`` consecutive entries, empty for fewer entries."""
-    size = F.size(hashes)
-    made = F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.xxhash64(F.slice(hashes, i, n)))
-    return F.when(size >= n, made).otherwise(F.array().cast("array<bigint>"))
-
+def _sliding(df: DataFrame, name: str, at: dict[int, str], n: int, f: Callable[[Column, Column], Column]) -> DataFrame:
+    """Adds columns to ``df`` and ``at`` (width: column) until ``at[n]`` holds ``f`` over every ``n`` consecutive entries of ``at[1]``.
 
-def winnow(grams: str, n: int) -> Column:
-    """Distinct least hashes of every ``n`` consecutive grams."""
-    size = F.size(grams)
-    least = F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.array_min(F.slice(grams, i, n)))
-    return F.when(size >= n, F.array_distinct(least)).otherwise(F.array().cast("array<bigint>"))
+    Widths double up to the last step, so an entry takes a few steps and not ``n``; columns that are there are used again,
+    and a width is always made in the same way.
+    """
+    wide = 1
+    while n not in at:
+        to = min(2 * wide, n)
+        if to not in at:
+            size = F.greatest(F.size(at[wide]) - (to - wide), F.lit(0))
+            both = F.zip_with(F.slice(at[wide], F.lit(1), size), F.slice(at[wide], F.lit(1 + to - wide), size), f)
+            at[to] = f"{name}{to}"
+            df = df.withColumn(at[to], both)
+        wide = to
+    return df
 
 
 def gram_size(window: int) -> int:
-    return (window + 1) // 2
+    """Words of a gram; the shortest windows are grams themselves, since single words are in every text."""
+    return (window + 1) // 2 if window > 3 else window
+
+
+def floors(window: int) -> list[int]:
+    """The window and its halves, falling to 1. Items of fewer words than the window go with the first that they reach."""
+    out = [window]
+    while out[-1] > 1:
+        out.append((out[-1] + 1) // 2)
+    return out
 
 
 def fingerprints(df: DataFrame, windows: list[int]) -> DataFrame:
-    """Rows of ``df`` (with array ``h`` of word hashes, which is dropped), once for each fingerprint: ``size``, ``fp``."""
-    out = None
-    for n in windows:
+    """``df`` with the array ``h`` of word hashes replaced by ``fps``: the distinct fingerprints for all ``windows``."""
+    rest = [c for c in df.columns if c != "h"]
+    grams, found = {1: "h"}, []
+    for n in sorted(windows):
         k = gram_size(n)
-        part = df.withColumn("g", gram_hashes("h", k)).withColumn("fps", winnow("g", n - k + 1))
-        part = part.select(*(c for c in df.columns if c != "h"), F.lit(n).alias("size"), F.explode_outer("fps").alias("fp"))
-        out = part if out is None else out.union(part)
-    # a filter before the rows are made would be pushed into the lambdas above and compute their inputs at every step
-    return out.where("fp is not null")
+        df = _sliding(df, "_g", grams, k, lambda a, b: F.xxhash64(a, b))
+        least = {1: grams[k]}
+        df = _sliding(df, f"_m{n}_", least, n - k + 1, lambda a, b: F.least(a, b))
+        found.append(least[n - k + 1])
+    return df.select(*rest, F.array_distinct(F.concat(*found)).alias("fps"))
 
 
 def _runs(doc: str, item: str, d: Column, n: Column) -> Column:
@@ -120,19 +139,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
     texts = docs.select("doc_id", F.xxhash64("text").alias("t"), "text")
     items = benchmark.select("item_id", words_of(F.col("text")).alias("iw")).where("size(iw) > 0").distinct()
     items = keep(items.withColumns({"ik": F.xxhash64("item_id", "iw"), "size": F.least(F.size("iw"), F.lit(window))}), "items")
-    sizes = sorted(r[0] for r in items.select("size").distinct().collect())
-    if not sizes:
+    reached = [F.when(F.col("size") >= n, n) for n in floors(window)]
+    windows = [r[0] for r in items.select(F.coalesce(*reached)).distinct().collect()]
+    if not windows:
         found = keep(texts.limit(0).select(*key, F.lit(0).alias("n_hit"), F.lit(0).alias("n_items"), F.lit("").alias("items")), "found")
     else:
         hashed = lambda df, w: df.withColumn("h", F.transform(w, lambda x: F.xxhash64(x)))
-        of_items = hashed(items, "iw").select("ik", "size", "h").withColumnRenamed("size", "own")
-        of_items = keep(fingerprints(of_items, sizes).where("own = size").select("ik", "size", "fp").distinct(), "prints")
+        own = [fingerprints(hashed(items.where(F.coalesce(*reached) == n), "iw").select("ik", "size", "h"), [n]) for n in windows]
+        own = reduce(DataFrame.union, own)
+        of_items = own.select("ik", F.explode(F.when(F.col("size") < window, F.array(F.array_min("fps"))).otherwise(F.col("fps"))).alias("fp"))
+        of_items = keep(of_items.distinct(), "prints")
         spread = hashed(texts.withColumn("w", words_of(F.col("text"))), "w").select(*key, "h")
-        pairs = keep(fingerprints(spread, sizes).join(of_items, ["size", "fp"]).select(*key, "ik").distinct(), "pairs")
+        spread = fingerprints(spread, windows).select(*key, F.explode_outer("fps").alias("fp"))
+        pairs = keep(spread.join(of_items, "fp").select(*key, "ik").distinct(), "pairs")
         same = texts["doc_id"].eqNullSafe(pairs["doc_id"]) & (texts["t"] == pairs["t"])
         met = texts.join(pairs, same).select(texts["doc_id"], texts["t"], "text", "ik")
         met = keep(met.join(items, "ik").select(*key, "item_id", "size", "iw", words_of(F.col("text")).alias("w")), "met")
-        hit = extend(met).select(*key, "item_id", F.struct("s", "e").alias("run"))
+        # a text shorter than the item can't hold it, though it may hold its fingerprint
+        hit = extend(met.where("size(w) >= size")).select(*key, "item_id", F.struct("s", "e").alias("run"))
         grouped = hit.groupBy(*key).agg(F.collect_set("run").alias("runs"), F.collect_set(F.col("item_id").cast("string")).alias("ids"))
         inside = F.array_distinct(F.flatten(F.transform("runs", lambda x: F.sequence(x["s"], x["e"] - 1))))
         found = keep(grouped.select(*key, F.size(inside).alias("n_hit"), F.size("ids").alias("n_items"), F.array_join(F.array_sort("ids"), ",").alias("items")), "found")
