@@ -1,7 +1,6 @@
 """Decontamination and personal data against plain versions."""
 
 import hashlib
-import random
 import re
 
 import pytest
@@ -50,27 +49,6 @@ def test_contamination_of_short_long_and_overlapping_windows(spark):
     assert sorted(map(tuple, got.collect()), key=str) == plain_hits(docs, items)
 
 
-@pytest.mark.parametrize("window", [13, 20])
-def test_short_items_of_every_length(spark, window):
-    rng = random.Random(window)
-    some = lambda n: " ".join(rng.choice("abc") for _ in range(n))
-    items = [(n, some(n)) for n in range(1, 24)] + [(100 + n, some(n)) for n in range(1, 24)]
-    held = [t for n, t in items if n % 100 > 5]
-    docs = [(k, f"{some(rng.randrange(30))} {rng.choice(held)} {some(rng.randrange(4))}") for k in range(60)]
-    docs += [(100 + k, some(rng.randrange(15))) for k in range(30)]
-    got = D.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window).drop("t")
-    assert sorted(map(tuple, got.collect()), key=str) == plain_hits(docs, items, window)
-
-
-def test_a_text_meets_an_item_by_one_pass_of_fingerprints(spark):
-    texts = [[1, 2, 3, 4, 5, 6, 7, 8, 9, 1, 2, 3, 4], list(range(30)), [5] * 20, [7], []]
-    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id int, h array<bigint>")
-    both = {r.id: set(r.fps) for r in D.fingerprints(df, [7, 20]).collect()}
-    each = {n: {r.id: set(r.fps) for r in D.fingerprints(df, [n]).collect()} for n in (7, 20)}
-    assert both == {k: each[7][k] | each[20][k] for k in range(len(texts))}
-    assert [len(each[20][k]) > 0 for k in range(len(texts))] == [len(t) >= 20 for t in texts]
-
-
 def test_contamination_edges(spark, edges, empty):
     items = spark.createDataFrame([(1, "a b c", 7)], "item_id long, text string, doc_id int")
     docs = [tuple(r)[:2] for r in edges.collect()]
