@@ -74,14 +74,14 @@ class Segments:
 class _Fits:
     """Lloyd's rounds of many fits at once: all their centroids go to the tasks together, so a round is one scan for all fits."""
 
-    def __init__(self, points: DataFrame, width: int):
-        self.points, self.width, self.scans = points, width, 0
+    def __init__(self, lines: DataFrame, width: int):
+        self.lines, self.width, self.scans = lines, width, 0
 
     def round(self, centers: list[np.ndarray]) -> tuple[list[np.ndarray], list[float]]:
         """(sums with counts last, by cluster; cost) of each fit at its centroids."""
         self.scans += 1
         kinds = ", ".join(["slot int", *(f"s{j} double" for j in range(self.width + 2))])
-        rows = self.points.mapInArrow(_round_rows(centers), kinds)
+        rows = self.lines.mapInArrow(_round_rows(centers), kinds)
         total = rows.groupBy("slot").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(self.width + 2)))
         out = np.zeros((sum(map(len, centers)), self.width + 2))
         for r in total.collect():
@@ -90,25 +90,121 @@ class _Fits:
         return [x[:, :-1] for x in np.split(out, cuts)], [float(x[:, -1].sum()) for x in np.split(out, cuts)]
 
 
+#: Points from which a line is cut between centroids; those of shorter lines are held against all centroids.
+LINE = 16
+
+
+def _line_rows(batches):
+    """Rows of points, sorted by all columns but the last two and then by the last but one (``n`` is how often a point
+    occurs), as a row (at, x, n) for each line: values of the last coordinate at one place of the others."""
+    for batch in batches:
+        *at, x, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        if not len(x):
+            continue
+        new = np.ones(len(x), dtype=bool)
+        new[1:] = False
+        for c in at:
+            new[1:] |= c[1:] != c[:-1]
+        first = np.flatnonzero(new)
+        cuts = pa.array(np.append(first, len(x)).astype(np.int32))
+        place = np.column_stack([c[first] for c in at]) if at else np.zeros((len(first), 0))
+        places = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * len(at)), pa.array(place.ravel()))
+        yield pa.record_batch([places, pa.ListArray.from_arrays(cuts, pa.array(x)), pa.ListArray.from_arrays(cuts, pa.array(n))], names=["at", "x", "n"])
+
+
+def _lines(df: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(points, lines, order): the distinct points with ``n``, how often each occurs; lines of them along the column of
+    most values; and the columns in the order of a line's coordinates, that one last."""
+    spark = df.sparkSession
+    own = df.na.drop(subset=names).select(*(F.col(c).cast("double").alias(c) for c in names))
+    points = written(own.groupBy(*names).agg(F.count("*").alias("n")), "points")
+    many = points.agg(*(F.approx_count_distinct(c) for c in names)).first()
+    axis = names[max(range(len(names)), key=lambda j: many[j])]
+    order = [*(c for c in names if c != axis), axis]
+    parts = max(spark.sparkContext.defaultParallelism, points.count() // 500_000)
+    dealt = points.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(*order, F.col("n").cast("double").alias("n"))
+    return points, written(dealt.mapInArrow(_line_rows, "at array<double>, x array<double>, n array<double>"), "lines"), order
+
+
+def _cut_lines(at: np.ndarray, every: list[np.ndarray]) -> np.ndarray:
+    """(lines, centroids): up to where on each line a centroid of a fit, in order of its last coordinate, is the nearest; -inf where nowhere.
+
+    On a line the squared distances to the centroids of a fit differ by linear functions of x, so each centroid is
+    the nearest on one interval at most, whose ends are places where two are equally far."""
+    out = []
+    for c in every:
+        a, g = c[:, -1], (c[:, -1] ** 2)[None] + ((at[:, None, :] - c[None, :, :-1]) ** 2).sum(axis=2)
+        step = a[None, :] - a[:, None]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            meet = (g[:, None, :] - g[:, :, None]) / (2 * step)
+        meet = np.where(step > 0, meet, np.where(g[:, :, None] <= g[:, None, :], np.inf, -np.inf))
+        later = np.triu(np.ones((len(c), len(c)), dtype=bool), 1)
+        upto = np.where(later, meet, np.inf).min(axis=2)
+        since = np.where(later, meet, -np.inf).max(axis=1)
+        out.append(np.where(since < upto, upto, -np.inf))
+    return np.concatenate(out, axis=1)
+
+
 def _round_rows(centers: list[np.ndarray]):
-    """Sums, numbers and costs of the points of every cluster of every fit, one row for each at the end of a partition."""
+    """Sums, numbers and costs of the points of every cluster of every fit, one row for each at the end of a partition.
+    Centroids have their coordinates in the order of a line's: its place, then the value along it."""
 
     def rows(batches):
-        every = np.concatenate(centers)
+        width = centers[0].shape[1]
+        order = [np.argsort(c[:, -1], kind="stable") for c in centers]
         first = np.cumsum([0, *(len(c) for c in centers)])
-        norm, total = (every * every).sum(axis=1), np.zeros((len(every), every.shape[1] + 2))
-        for batch in batches:
-            points = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, every.shape[1])
-            for at in range(0, len(points), 1024):
-                x = points[at : at + 1024]
+        place = np.concatenate([i + o for i, o in zip(first[:-1], order, strict=True)])
+        ranked = [c[o] for c, o in zip(centers, order, strict=True)]
+        every = np.concatenate(ranked)
+        heads = np.repeat(first[:-1], np.diff(first))
+        ahead = np.arange(len(every)) - 1
+        # lines that are cut together: their pairs of centroids of a fit are 8 MB at most, or those of one line
+        step = int(np.clip((1 << 20) // max(map(len, centers)) ** 2, 1, 64))
+        total = np.zeros((len(every), width + 2))
+
+        def add_lines(at, x, n):
+            upto = _cut_lines(at, ranked)
+            for y, own, times, bounds in zip(at, x, n, upto, strict=True):
+                sums = np.zeros((len(own) + 1, 3))
+                np.cumsum(np.column_stack([times, times * own, times * own * own]), axis=0, out=sums[1:])
+                end = np.where(bounds > -np.inf, np.searchsorted(own, bounds, side="right"), 0)
+                for i, j in zip(first[:-1], first[1:], strict=True):
+                    np.maximum.accumulate(end[i:j], out=end[i:j])
+                count, value, square = (sums[end] - sums[np.where(ahead >= heads, end[ahead], 0)]).T
+                total[:, : width - 1] += count[:, None] * y
+                total[:, width - 1] += value
+                total[:, width] += count
+                far = square - 2 * every[:, -1] * value + count * (every[:, -1] ** 2 + ((y - every[:, :-1]) ** 2).sum(axis=1))
+                total[:, -1] += np.maximum(far, 0)
+
+        def add_points(points, times):
+            norm = (every * every).sum(axis=1)
+            for k in range(0, len(points), 1024):
+                x, n = points[k : k + 1024], times[k : k + 1024]
                 far = norm - 2 * x @ every.T
                 slots = np.stack([i + far[:, i:j].argmin(axis=1) for i, j in zip(first[:-1], first[1:], strict=True)], axis=1)
                 cost = np.take_along_axis(far, slots, axis=1) + (x * x).sum(axis=1)[:, None]
-                own = np.column_stack([x, np.ones(len(x))])
+                own = np.column_stack([x * n[:, None], n])
                 for j in range(own.shape[1]):
                     total[:, j] += np.bincount(slots.ravel(), np.repeat(own[:, j], slots.shape[1]), len(every))
-                total[:, -1] += np.bincount(slots.ravel(), np.maximum(cost, 0).ravel(), len(every))
-        yield pa.record_batch([pa.array(np.arange(len(total), dtype=np.int32)), *map(pa.array, total.T)], names=["slot", *(f"s{j}" for j in range(total.shape[1]))])
+                total[:, -1] += np.bincount(slots.ravel(), (np.maximum(cost, 0) * n[:, None]).ravel(), len(every))
+
+        for batch in batches:
+            cuts = batch.column("x").offsets.to_numpy()
+            x, n = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("x", "n"))
+            at = batch.column("at").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), width - 1)
+            cuts = cuts - cuts[0]
+            size = np.diff(cuts)
+            long = np.flatnonzero(size >= LINE)
+            for k in range(0, len(long), step):
+                own = long[k : k + step]
+                add_lines(at[own], [x[cuts[i] : cuts[i + 1]] for i in own], [n[cuts[i] : cuts[i + 1]] for i in own])
+            short = np.repeat(size < LINE, size)
+            if short.any():
+                add_points(np.column_stack([np.repeat(at, size, axis=0)[short], x[short]]), n[short])
+        out = np.zeros_like(total)
+        out[place] = total
+        yield pa.record_batch([pa.array(np.arange(len(out), dtype=np.int32)), *map(pa.array, out.T)], names=["slot", *(f"s{j}" for j in range(out.shape[1]))])
 
     return rows
 
@@ -129,23 +225,26 @@ def fit_all(df: DataFrame, names: list[str], ks: list[int], restarts: int = 10,
 
     All (k, restart) pairs run side by side, a scan for each round of Lloyd's
     algorithm; a fit whose centroids move by no more than ``tolerance`` leaves.
+    A round reads distinct points with their numbers, in lines along the column
+    of most values: where the others take few values, a line is cut between the
+    centroids and its points are never visited, with the same assignment.
     Starts are k-means++ over about ``start`` distinct points of least hash;
     costs are those over all rows. The driver holds all centroids and their
     sums. Rows with a null are left out, an empty cluster keeps its centroid; no
     rows give no fit.
     """
     names = sorted(names)
-    own = df.na.drop(subset=names).select(F.array(*(F.col(c).cast("double") for c in names)).alias("v"))
-    points = written(own, "points")
-    hashed = F.pmod(F.xxhash64("v"), F.lit(1 << 30))
-    share = min(1.0, 1.1 * start / max(1, points.agg(F.approx_count_distinct("v")).first()[0]))
-    sample = points.where(hashed < F.lit(int(share * (1 << 30)))).distinct().orderBy(F.xxhash64("v"), "v").limit(start).collect()
+    points, lines, order = _lines(df, names)
+    vector = F.array(*names)
+    hashed = F.pmod(F.xxhash64(vector), F.lit(1 << 30))
+    share = min(1.0, 1.1 * start / max(1, points.agg(F.approx_count_distinct(vector)).first()[0]))
+    sample = points.where(hashed < F.lit(int(share * (1 << 30)))).orderBy(F.xxhash64(vector), *names).limit(start).select(*order).collect()
     if not sample:
         return [], 2
-    sample = np.array([r["v"] for r in sample])
+    sample = np.array([tuple(r) for r in sample])
     starts = [_spread(sample, max(ks), seed) for seed in range(restarts)]
     fits = [{"k": k, "seed": seed, "centers": x[:k], "cost": None} for k in ks for seed, x in enumerate(starts)]
-    run, live = _Fits(points, len(names)), fits
+    run, live = _Fits(lines, len(names)), fits
     for _ in range(rounds):
         sums, costs = run.round([f["centers"] for f in live])
         after = []
@@ -164,7 +263,8 @@ def fit_all(df: DataFrame, names: list[str], ks: list[int], restarts: int = 10,
         for f, cost in zip(live, run.round([f["centers"] for f in live])[1], strict=True):
             f["cost"] = cost
     best = [min((f for f in fits if f["k"] == k), key=lambda f: (f["cost"], f["seed"])) for k in ks]
-    return [Segments(tuple(names), f["centers"], f["cost"], f["k"], f["seed"]) for f in best], run.scans + 2
+    back = [order.index(c) for c in names]
+    return [Segments(tuple(names), f["centers"][:, back], f["cost"], f["k"], f["seed"]) for f in best], run.scans + 2
 
 
 def fit_segments(df: DataFrame, names: list[str], k: int, restarts: int = 10) -> Segments:

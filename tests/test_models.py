@@ -76,3 +76,23 @@ def test_draws_are_seeded_and_differ():
     a = M.draw_params(M.RANGES, 20, 1)
     assert a == M.draw_params(M.RANGES, 20, 1) != M.draw_params(M.RANGES, 20, 2)
     assert len({tuple(sorted(d.items())) for d in a}) == 20 and len(M.draw_params({"a": (1, 2)}, 9, 0)) == 2
+
+
+def test_rounds_over_lines_are_those_over_all_points(spark):
+    """Repeated points are read once, in lines of one quantity and discount, and give Lloyd's own rounds."""
+    rng = np.random.default_rng(11)
+    x = np.column_stack([rng.integers(0, 5, 4000) / 4, np.round(rng.random(4000), 3), rng.integers(0, 3, 4000) / 2])
+    x = np.concatenate([x, x[:500], rng.random((7, 3))])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double")
+    points, lines, order = M._lines(df, ["a", "b", "c"])
+    assert order == ["a", "c", "b"] and points.agg(F.sum("n")).first()[0] == len(x) and lines.count() < 100
+    own = x[:, [0, 2, 1]]
+    fits = [rng.random((k, 3)) for k in (1, 3, 8, 20)]
+    for _ in range(4):
+        sums, costs = M._Fits(lines, 3).round(fits)
+        for k, (c, total, cost) in enumerate(zip(fits, sums, costs, strict=True)):
+            far = ((own[:, None] - c[None]) ** 2).sum(axis=2)
+            at = far.argmin(axis=1)
+            plain = np.array([[*own[at == j].sum(axis=0), (at == j).sum()] for j in range(len(c))])
+            assert np.allclose(total, plain) and np.isclose(cost, far.min(axis=1).sum())
+            fits[k] = np.where(total[:, -1:] > 0, total[:, :-1] / np.maximum(total[:, -1:], 1), c)
