@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, QuantileDiscretizer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -300,8 +300,11 @@ def best_features(preds: list[DataFrame], names: list[str], must: list[str], n:
     """M8: ``must`` and the n most important others, by forests on the segment labels, mean over fits."""
     total = dict.fromkeys(names, 0.0)
     for df in preds:
-        forest = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), RandomForestClassifier(labelCol="cluster", numTrees=20, seed=0)])
-        for c, v in zip(names, forest.fit(df).stages[-1].featureImportances.toArray(), strict=True):
+        own = df.select("cluster", *names)
+        buckets, binned = _buckets(own, names)
+        rows = _cells(PipelineModel(stages=buckets).transform(own), "cluster", binned, even=False)
+        forest = Pipeline(stages=[VectorAssembler(inputCols=binned, outputCol="features"), RandomForestClassifier(labelCol="cluster", weightCol="weight", numTrees=20, seed=0)])
+        for c, v in zip(names, forest.fit(rows).stages[-1].featureImportances.toArray(), strict=True):
             total[c] += float(v) / len(preds)
     others = sorted((c for c in names if c not in must), key=lambda c: (-total[c], c))
     return [*must, *others[:n]]
@@ -376,25 +379,58 @@ def best_model(models: DataFrame, by: str) -> DataFrame:
     return latest_per(models, [by], [F.desc("ranking"), F.asc("variance"), F.desc("similarity"), F.asc("model")])
 
 
-def _forest(label: str, categories: list[str], numbers: list[str], trees: int = 50) -> Pipeline:
+#: Buckets of a number, as many as a forest's bins; rows of one cell that a bootstrap draws one by one.
+BINS, COPIES = 32, 64
+
+
+def _stages(label: str, categories: list[str], numbers: list[str], forest: RandomForestClassifier) -> Pipeline:
+    """What is fitted on cells: ``numbers`` are buckets there."""
     index = [StringIndexer(inputCol=c, outputCol=f"{c}_i", handleInvalid="keep") for c in categories]
     one_hot = [OneHotEncoder(inputCols=[f"{c}_i" for c in categories], outputCols=[f"{c}_v" for c in categories])] if categories else []
     inputs = [VectorAssembler(inputCols=[*(f"{c}_v" for c in categories), *numbers], outputCol="raw"), StandardScaler(withMean=True, inputCol="raw", outputCol="features")]
     target = StringIndexer(inputCol=label, outputCol="target", handleInvalid="keep", stringOrderType="alphabetAsc")
-    return Pipeline(stages=[target, *index, *one_hot, *inputs, RandomForestClassifier(labelCol="target", weightCol="weight", numTrees=trees, minInstancesPerNode=5, seed=0)])
-
-
-def balanced(df: DataFrame, label: str) -> DataFrame:
-    """Adds ``weight``, so that every class weighs the same."""
-    counts = df.groupBy(label).agg(F.count("*").alias("_n"))
-    total = counts.agg((F.sum("_n") / F.count("*")).alias("_m"))
-    return df.join(F.broadcast(counts.crossJoin(total)), label).withColumn("weight", F.col("_m") / F.col("_n")).drop("_n", "_m")
+    return Pipeline(stages=[target, *index, *one_hot, *inputs, forest.setLabelCol("target").setWeightCol("weight")])
+
+
+def _buckets(df: DataFrame, numbers: list[str]) -> tuple[list, list[str]]:
+    """Stages that put ``numbers`` of more than ``BINS`` values in quantile buckets, and the columns to use then. A
+    forest makes as many bins, from a sample; these are of all rows, in two scans."""
+    many = df.agg(*(F.approx_count_distinct(c).alias(c) for c in numbers)).first()
+    wide = [c for c in numbers if many[c] > BINS]
+    stages = [QuantileDiscretizer(numBuckets=BINS, relativeError=0.0001, inputCols=wide, outputCols=[f"{c}_b" for c in wide]).fit(df)] if wide else []
+    return stages, [f"{c}_b" if c in wide else c for c in numbers]
+
+
+def _cells(df: DataFrame, label: str, alike: list[str], even: bool) -> DataFrame:
+    """Rows of one label and alike in ``alike`` as ``COPIES`` rows at most, whose ``weight`` is that of all of them
+    (with ``even``, every label weighs the same): what a forest sees of its rows, so its passes don't grow with
+    them. The files and their order don't depend on the order of the rows."""
+    spark, by = df.sparkSession, [label, *alike]
+    counts = written(df.groupBy(*by).agg(F.count("*").alias("n")), "counts")
+    total = counts.groupBy(label).agg(F.sum("n").alias("_n"))
+    total = total.crossJoin(F.broadcast(total.agg((F.sum("_n") / F.count("*")).alias("_m"))))
+    copies = F.least("n", F.lit(COPIES))
+    # multiples of 2^-20: their sums are exact, so the order in which tasks end decides nothing
+    weight = F.round(F.col("n") * (F.col("_m") / F.col("_n") if even else F.lit(1.0)) / copies * (1 << 20)) / (1 << 20)
+    rows = counts.join(F.broadcast(total), label).withColumns({"weight": weight, "_k": F.explode(F.sequence(F.lit(1), copies.cast("int")))})
+    order = [*by, "_k"]
+    return written(rows.repartition(spark.sparkContext.defaultParallelism, *order).sortWithinPartitions(*order).select(*by, "weight"), "cells")
+
+
+def _fit_forest(df: DataFrame, label: str, categories: list[str], numbers: list[str], **params) -> PipelineModel:
+    """Forest of ``params`` on all rows of ``df``, every class weighing the same. Rows of one class and categories in the same
+    buckets of ``numbers`` are one cell; the bootstrap draws rows of a cell, in blocks where it has more than ``COPIES``."""
+    own = df.select(label, *categories, *numbers)
+    buckets, binned = _buckets(own, numbers)
+    forest = RandomForestClassifier(numTrees=50, minInstancesPerNode=5, seed=0)._set(**params)
+    model = _stages(label, categories, binned, forest).fit(_cells(PipelineModel(stages=buckets).transform(own), label, [*categories, *binned], even=True))
+    return PipelineModel(stages=[model.stages[0], *buckets, *model.stages[1:]])
 
 
 def fit_visit_classifier(visits: DataFrame, label: str = "cluster") -> PipelineModel:
     """Segment of a first visit from local hour, referrer group and system."""
     known = visits.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("string"))
-    return _forest(label, ["referrer_group", "os_group"], ["hour"]).fit(balanced(known, label))
+    return _fit_forest(known, label, ["referrer_group", "os_group"], ["hour"])
 
 
 def rf_eval_rows(joined: DataFrame) -> DataFrame:
@@ -427,7 +463,7 @@ def most_confused(conf: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFram
 
 def fit_attribute(feat: DataFrame, target: str, names: list[str]) -> PipelineModel:
     """Complete rows with a known target."""
-    return _forest(target, [], names).fit(balanced(feat.na.drop(subset=[*names, target]), target))
+    return _fit_forest(feat.na.drop(subset=[*names, target]), target, [], names)
 
 
 #: What a random search draws from. Spark's trees have at most 30 levels, so the deepest is that.
@@ -487,9 +523,7 @@ def tune_attribute(
     train, held = parts.where("part > 0"), parts.where("part = 0")
 
     def fitted(df: DataFrame, params: dict) -> PipelineModel:
-        pipe = _forest(target, [], names)
-        pipe.getStages()[-1]._set(**params)
-        return pipe.fit(balanced(df, target))
+        return _fit_forest(df, target, [], names, **params)
 
     def predicted(model: PipelineModel, df: DataFrame) -> DataFrame:
         labels = F.array(*map(F.lit, model.stages[0].labels))

@@ -96,3 +96,21 @@ def test_rounds_over_lines_are_those_over_all_points(spark):
             plain = np.array([[*own[at == j].sum(axis=0), (at == j).sum()] for j in range(len(c))])
             assert np.allclose(total, plain) and np.isclose(cost, far.min(axis=1).sum())
             fits[k] = np.where(total[:, -1:] > 0, total[:, :-1] / np.maximum(total[:, -1:], 1), c)
+
+
+def test_forests_read_cells_that_stand_for_all_rows(spark):
+    """Rows past ``COPIES`` of a cell add weight and no row; every class weighs the same, whatever the order of rows."""
+    few = [("a", 1.0, 0.5)] * 3 + [("b", 2.0, 0.5)] * 1000
+    df = spark.createDataFrame(few, "flag string, x double, y double")
+    own = [sorted(map(tuple, M._cells(d, "flag", ["x", "y"], even=True).collect())) for d in (df, df.repartition(5))]
+    assert own[0] == own[1] and len(own[0]) == 3 + M.COPIES
+    weight = {c: sum(r[-1] for r in own[0] if r[0] == c) for c in "ab"}
+    assert np.isclose(weight["a"], weight["b"], rtol=1e-4)
+    assert sum(r["weight"] for r in M._cells(df, "flag", ["x", "y"], even=False).collect()) == len(few)
+
+
+def test_a_forest_is_the_same_for_rows_in_another_order_and_learns_all_of_them(labelled):
+    known = labelled.where("flag is not null")
+    one, two = (M.fit_attribute(d, "flag", ["x", "y"]) for d in (known, known.orderBy(F.xxhash64("user_id")).repartition(3)))
+    got = [sorted((r.user_id, r.flag, r.prediction) for r in m.transform(known).collect()) for m in (one, two)]
+    assert got[0] == got[1] and np.mean([one.stages[0].labels[int(p)] == y for _, y, p in got[0]]) > 0.85
