@@ -103,5 +103,5 @@ def c32_rising_terms(spark, sf_dir):
 def f10_nearest(spark, sf_dir):
     """Customers to the 25 rows of ``nation``."""
     n = table(spark, sf_dir, "nation").select("n_nationkey")
-    out = nearest(table(spark, sf_dir, "customer"), n, F.abs(F.col("c_acctbal") - F.col("n_nationkey") * 400), "c_custkey")
+    out = nearest(table(spark, sf_dir, "customer"), n, lambda x: F.abs(F.col("c_acctbal") - x["n_nationkey"] * 400), "c_custkey")
     return out.select("c_custkey", "n_nationkey", F.round("cost", 4).alias("cost"))

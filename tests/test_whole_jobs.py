@@ -1,5 +1,9 @@
 """Queries that once looked at part of their tables, over made tables whose answer shows it."""
 
+import pytest
+from pyspark.sql import functions as F
+
+from audiweave.operators import segments as M
 from audiweave.plans import registry
 
 
@@ -9,3 +13,15 @@ def test_missing_ids_hold_every_order_against_the_customers(spark, tmp_path):
     spark.createDataFrame(orders, "o_custkey long, o_orderstatus string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
     got = registry.QUERIES["b26_missing_ids"](spark, str(tmp_path))
     assert sorted(r.id for r in got.collect()) == [4, 5, 6]
+
+
+def test_the_nearest_row_is_found_without_a_row_for_each_pair(spark):
+    """A null cost is the nearest of none, ties go to the lesser row, a repeated key keeps its best."""
+    a = spark.createDataFrame([(1, 9.0), (2, None), (3, 5.0), (3, 21.0), (4, 15.0)], "k int, x double")
+    b = spark.createDataFrame([(10, "p"), (20, "q"), (None, "r"), (20, "a")], "y int, name string")
+    out = M.nearest(a, b, lambda r: F.abs(F.col("x") - r["y"]), "k")
+    assert out.columns == ["k", "x", "y", "name", "cost"]
+    assert {r.k: (r.x, r.y, r.name, r.cost) for r in out.collect()} == {1: (9.0, 10, "p", 1.0), 2: (None, None, "r", None), 3: (21.0, 20, "a", 1.0), 4: (15.0, 10, "p", 5.0)}
+    assert M.nearest(a, b.limit(0), lambda r: F.abs(F.col("x") - r["y"]), "k").isEmpty()
+    with pytest.raises(ValueError):
+        M.nearest(a, b, lambda r: r["y"], "k", most=3)
