@@ -303,11 +303,14 @@ def _block(percent: int):
 
 def candidates(texts: DataFrame, byclass: DataFrame, words: int, percent: int) -> DataFrame:
     """Classes of ``byclass`` that share enough of their longer prefix with others. A shingle's classes are met by the least
-    and greatest of them, from partial aggregates, so a shingle of every chunk is no task's alone."""
+    and greatest of them; a shingle of every chunk has two rows of each. The rows are dealt by shingle once, for these and for the
+    join with them: a partial aggregate of shingles that hardly repeat would only write them a second time."""
     rows = keep(texts.select("text").mapInArrow(_prefix_rows(words, percent), "key long, a long, known long"), "prefixes")
     single, known = rows.where("known = 0").select("key", "a"), rows.where("known > 0").select("a", F.col("known").alias("k"))
+    # neither is ever null; both sides of the join say so, or their plans would differ and deal the rows twice
+    single = single.where("key is not null and a is not null").repartition("key")
     met = single.groupBy("key").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("key")
-    shared = single.join(met, "key").distinct().groupBy("a").agg(F.count("*").alias("k")).union(known)
+    shared = single.join(met.hint("merge"), "key").distinct().groupBy("a").agg(F.count("*").alias("k")).union(known)
     shared = shared.groupBy("a").agg(F.sum("k").alias("k"))
     partner = F.ceil(F.col("n") * percent / 100)
     least = F.least(1 + F.floor(partner / 8), F.ceil(partner * percent / 100))
