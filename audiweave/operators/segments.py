@@ -8,6 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, QuantileDiscretizer, StandardScaler, StringIndexer, VectorAssembler
@@ -19,7 +20,7 @@ from pyspark.sql.window import Window
 from audiweave.operators.joins import small
 from audiweave.operators.profile import classifier_change, cosine, drift_behaviour, drift_profile, returning_change
 from audiweave.operators.windows import latest_per, top_n_per
-from audiweave.sources.scratch import written
+from audiweave.sources.scratch import small_batches, written
 
 
 def fit_imputer(feat: DataFrame, names: list[str]):
@@ -85,46 +86,119 @@ class _Fits:
         rows = self.lines.mapInArrow(_round_rows(centers), kinds)
         total = rows.groupBy("slot").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(self.width + 2)))
         out = np.zeros((sum(map(len, centers)), self.width + 2))
-        for r in total.collect():
-            out[r["slot"]] = r[1:]
+        with small_batches(self.lines.sparkSession):
+            for r in total.collect():
+                out[r["slot"]] = r[1:]
         cuts = np.cumsum([len(c) for c in centers])[:-1]
         return [x[:, :-1] for x in np.split(out, cuts)], [float(x[:, -1].sum()) for x in np.split(out, cuts)]
 
 
 #: Points from which a line is cut between centroids; those of shorter lines are held against all centroids.
 LINE = 16
+#: Values that are sorted together into lines, points of one row of lines, and rows among which lines of one place are merged.
+CHUNK, PIECE, SHARE = 1 << 22, 1 << 17, 20_000_000
+_LINE_ROW = "at array<double>, x binary, n binary"
+
+
+def _doubles(x: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Binary values of ``size`` doubles each, which Spark copies as they are."""
+    cuts = np.append(0, np.cumsum(size) * 8).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(x, dtype=np.float64))])
+
+
+def _line_rows(shares: int):
+    """Rows of points, sorted in chunks, as a row (at, x, n, deal) for each line: distinct values of the last coordinate at one
+    place of the others and how often each occurs (empty: once each). Points of places with few are rows without ``at``, of many
+    points each. Short lines of a place meet under one of ``shares`` numbers, all else is dealt out."""
+
+    def chunk(p: np.ndarray, share: int, spread: int):
+        p = p[:, np.lexsort(p[::-1])]
+        first = np.flatnonzero(np.append(True, (p[:, 1:] != p[:, :-1]).any(axis=0)))
+        n, p = np.diff(np.append(first, p.shape[1])).astype(np.float64), p[:, first]
+        head = np.append(True, (p[:-1, 1:] != p[:-1, :-1]).any(axis=0))
+        since = np.flatnonzero(head)
+        head |= (np.arange(len(head)) - since[np.cumsum(head) - 1]) % PIECE == 0
+        first = np.flatnonzero(head)
+        size = np.diff(np.append(first, len(n)))
+        few = size < LINE // 4
+        loose = np.repeat(few, size)
+        if not few.all():
+            at = p[:-1, first[~few]].T
+            places = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * at.shape[1]), pa.array(np.ascontiguousarray(at).ravel()))
+            own = size[~few]
+            more = np.add.reduceat(n, first)[~few] > own
+            times = _doubles(n[~loose][np.repeat(more, own)], np.where(more, own, 0))
+            deal = np.where(own == PIECE, spread + np.arange(len(own)), share)
+            yield pa.record_batch([places, _doubles(p[-1, ~loose], own), times, pa.array(deal)], names=["at", "x", "n", "deal"])
+        if loose.any():
+            flat, times = p[:, loose].T, n[loose]
+            step = max(1, PIECE // len(p))
+            for k in range(0, len(times), step):
+                one = [pa.array([None], pa.list_(pa.float64())), pa.array([flat[k : k + step].tobytes()]), pa.array([times[k : k + step].tobytes()]), pa.array([spread + k])]
+                yield pa.record_batch(one, names=["at", "x", "n", "deal"])
+
+    def rows(batches):
+        part, made, held = TaskContext.get().partitionId(), 0, []
+        for batch in batches:
+            if len(batch):
+                held.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
+            if sum(h.size for h in held) >= CHUNK:
+                yield from chunk(np.concatenate(held, axis=1), (part + made) % shares, (part << 40) + (made << 24) + shares)
+                made, held = made + 1, []
+        if held:
+            yield from chunk(np.concatenate(held, axis=1), (part + made) % shares, (part << 40) + (made << 24) + shares)
+
+    return rows
 
 
-def _line_rows(batches):
-    """Rows of points, sorted by all columns but the last two and then by the last but one (``n`` is how often a point
-    occurs), as a row (at, x, n) for each line: values of the last coordinate at one place of the others."""
+def _merged_rows(batches):
+    """Lines of one place, one after the other, made one of ``PIECE`` points or somewhat more, sorted; where a quarter of
+    them or more repeat others, equal points are one with their number."""
+
+    def merged(held):
+        if len(held) == 1:
+            return held[0]
+        x = np.concatenate([np.frombuffer(r[1]) for r in held])
+        n = np.concatenate([np.frombuffer(r[2]) if r[2] else np.ones(len(r[1]) // 8) for r in held])
+        by = np.argsort(x, kind="stable")
+        x, n = x[by], n[by]
+        first = np.flatnonzero(np.append(True, np.diff(x) != 0))
+        if 4 * len(first) <= 3 * len(x):
+            x, n = x[first], np.add.reduceat(n, first)
+        return held[0][0], x.tobytes(), n.tobytes() if (n > 1).any() else b""
+
+    def batch_of(out):
+        return pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), (pa.list_(pa.float64()), pa.binary(), pa.binary()), strict=True)], names=["at", "x", "n"])
+
+    held, out = [], []
     for batch in batches:
-        *at, x, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        if not len(x):
-            continue
-        new = np.ones(len(x), dtype=bool)
-        new[1:] = False
-        for c in at:
-            new[1:] |= c[1:] != c[:-1]
-        first = np.flatnonzero(new)
-        cuts = pa.array(np.append(first, len(x)).astype(np.int32))
-        place = np.column_stack([c[first] for c in at]) if at else np.zeros((len(first), 0))
-        places = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * len(at)), pa.array(place.ravel()))
-        yield pa.record_batch([places, pa.ListArray.from_arrays(cuts, pa.array(x)), pa.ListArray.from_arrays(cuts, pa.array(n))], names=["at", "x", "n"])
+        for row in zip(*(batch.column(c).to_pylist() for c in ("at", "x", "n")), strict=True):
+            if held and (row[0] is None or row[0] != held[0][0] or sum(len(r[1]) for r in held) >= 8 * PIECE):
+                out.append(merged(held))
+                held = []
+            held.append(row)
+            if sum(len(r[1]) for r in out[-1:]) >= 8 * PIECE or len(out) >= 1000:
+                yield batch_of(out)
+                out = []
+    if held:
+        yield batch_of([*out, merged(held)])
 
 
 def _lines(df: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(points, lines, order): the distinct points with ``n``, how often each occurs; lines of them along the column of
-    most values; and the columns in the order of a line's coordinates, that one last."""
+    """(points, lines, order): the rows, ``n`` 1 in each; their points in lines along the column of most values, repeated ones
+    with their number; and the columns in the order of a line's coordinates, that one last.
+
+    Rows are sorted where they are, and what is shuffled are lines, not points. Beyond ``SHARE`` rows a place has several lines."""
     spark = df.sparkSession
-    own = df.na.drop(subset=names).select(*(F.col(c).cast("double").alias(c) for c in names))
-    points = written(own.groupBy(*names).agg(F.count("*").alias("n")), "points")
-    many = points.agg(*(F.approx_count_distinct(c) for c in names)).first()
+    points = written(df.na.drop(subset=names).select(*(F.col(c).cast("double").alias(c) for c in names), F.lit(1).alias("n")), "points")
+    *many, count = points.agg(*(F.approx_count_distinct(c) for c in names), F.count("*")).first()
     axis = names[max(range(len(names)), key=lambda j: many[j])]
     order = [*(c for c in names if c != axis), axis]
-    parts = max(spark.sparkContext.defaultParallelism, points.count() // 500_000)
-    dealt = points.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(*order, F.col("n").cast("double").alias("n"))
-    return points, written(dealt.mapInArrow(_line_rows, "at array<double>, x array<double>, n array<double>"), "lines"), order
+    parts = max(spark.sparkContext.defaultParallelism, count // 500_000)
+    rows = points.select(*order).mapInArrow(_line_rows(1 + count // SHARE), f"{_LINE_ROW}, deal long")
+    dealt = rows.repartition(parts, "at", "deal").sortWithinPartitions("at", "deal")
+    with small_batches(spark):
+        return points, written(dealt.select("at", "x", "n").mapInArrow(_merged_rows, _LINE_ROW), "lines"), order
 
 
 def _cut_lines(at: np.ndarray, every: list[np.ndarray]) -> np.ndarray:
@@ -166,12 +240,14 @@ def _round_rows(centers: list[np.ndarray]):
         def add_lines(at, x, n):
             upto = _cut_lines(at, ranked)
             for y, own, times, bounds in zip(at, x, n, upto, strict=True):
-                sums = np.zeros((len(own) + 1, 3))
-                np.cumsum(np.column_stack([times, times * own, times * own * own]), axis=0, out=sums[1:])
+                weighed = own if times is None else times * own
+                ranks = np.arange(len(own) + 1.0) if times is None else np.append(0, np.cumsum(times))
+                sums = (ranks, np.append(0, np.cumsum(weighed)), np.append(0, np.cumsum(weighed * own)))
                 end = np.where(bounds > -np.inf, np.searchsorted(own, bounds, side="right"), 0)
                 for i, j in zip(first[:-1], first[1:], strict=True):
                     np.maximum.accumulate(end[i:j], out=end[i:j])
-                count, value, square = (sums[end] - sums[np.where(ahead >= heads, end[ahead], 0)]).T
+                since = np.where(ahead >= heads, end[ahead], 0)
+                count, value, square = (c[end] - c[since] for c in sums)
                 total[:, : width - 1] += count[:, None] * y
                 total[:, width - 1] += value
                 total[:, width] += count
@@ -191,18 +267,21 @@ def _round_rows(centers: list[np.ndarray]):
                 total[:, -1] += np.bincount(slots.ravel(), (np.maximum(cost, 0) * n[:, None]).ravel(), len(every))
 
         for batch in batches:
-            cuts = batch.column("x").offsets.to_numpy()
-            x, n = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("x", "n"))
-            at = batch.column("at").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), width - 1)
-            cuts = cuts - cuts[0]
-            size = np.diff(cuts)
-            long = np.flatnonzero(size >= LINE)
+            x, n = ([np.frombuffer(v.as_buffer()) for v in batch.column(c)] for c in ("x", "n"))
+            at = batch.column("at").to_pylist()
+            long = [i for i, y in enumerate(at) if y is not None and len(x[i]) >= LINE]
             for k in range(0, len(long), step):
                 own = long[k : k + step]
-                add_lines(at[own], [x[cuts[i] : cuts[i + 1]] for i in own], [n[cuts[i] : cuts[i + 1]] for i in own])
-            short = np.repeat(size < LINE, size)
-            if short.any():
-                add_points(np.column_stack([np.repeat(at, size, axis=0)[short], x[short]]), n[short])
+                add_lines(np.array([at[i] for i in own]).reshape(len(own), width - 1), [x[i] for i in own], [n[i] if len(n[i]) else None for i in own])
+            short = [(y, x[i], n[i]) for i, y in enumerate(at) if y is not None and len(x[i]) < LINE]
+            if short:
+                size = [len(v) for _, v, _ in short]
+                places = np.repeat(np.array([y for y, _, _ in short]).reshape(len(short), width - 1), size, axis=0)
+                times = np.concatenate([m if len(m) else np.ones(len(v)) for _, v, m in short])
+                add_points(np.column_stack([places, np.concatenate([v for _, v, _ in short])]), times)
+            for i, y in enumerate(at):
+                if y is None:
+                    add_points(x[i].reshape(-1, width), n[i])
         out = np.zeros_like(total)
         out[place] = total
         yield pa.record_batch([pa.array(np.arange(len(out), dtype=np.int32)), *map(pa.array, out.T)], names=["slot", *(f"s{j}" for j in range(out.shape[1]))])
@@ -226,9 +305,9 @@ def fit_all(df: DataFrame, names: list[str], ks: list[int], restarts: int = 10,
 
     All (k, restart) pairs run side by side, a scan for each round of Lloyd's
     algorithm; a fit whose centroids move by no more than ``tolerance`` leaves.
-    A round reads distinct points with their numbers, in lines along the column
-    of most values: where the others take few values, a line is cut between the
-    centroids and its points are never visited, with the same assignment.
+    A round reads points in lines along the column of most values, as binary
+    values: where the others take few values, a line is cut between the
+    centroids by its running sums, with the same assignment.
     Starts are k-means++ over about ``start`` distinct points of least hash;
     costs are those over all rows. The driver holds all centroids and their
     sums. Rows with a null are left out, an empty cluster keeps its centroid; no
@@ -239,7 +318,7 @@ def fit_all(df: DataFrame, names: list[str], ks: list[int], restarts: int = 10,
     vector = F.array(*names)
     hashed = F.pmod(F.xxhash64(vector), F.lit(1 << 30))
     share = min(1.0, 1.1 * start / max(1, points.agg(F.approx_count_distinct(vector)).first()[0]))
-    sample = points.where(hashed < F.lit(int(share * (1 << 30)))).orderBy(F.xxhash64(vector), *names).limit(start).select(*order).collect()
+    sample = points.where(hashed < F.lit(int(share * (1 << 30)))).select(*names).distinct().orderBy(F.xxhash64(vector), *names).limit(start).select(*order).collect()
     if not sample:
         return [], 2
     sample = np.array([tuple(r) for r in sample])

@@ -98,6 +98,23 @@ def test_rounds_over_lines_are_those_over_all_points(spark):
             fits[k] = np.where(total[:, -1:] > 0, total[:, :-1] / np.maximum(total[:, -1:], 1), c)
 
 
+def test_lines_are_few_and_whole_for_points_that_hardly_repeat(spark):
+    """What a round reads are binary lines of up to ``PIECE`` points, not one for each batch; no point is lost, loose and repeated ones count."""
+    x = spark.range(300_000, numPartitions=3).select(F.rand(3).alias("x"))
+    one = x.union(x.where("x < 0.5")).union(x.where("x < 0.5"))
+    two = x.select("x", F.when(F.col("x") < 0.001, F.rand(4)).otherwise(0.5).alias("y"))
+    for df, names in ((x, ["x"]), (one, ["x"]), (two, ["x", "y"])):
+        points, lines, order = M._lines(df, names)
+        assert dict(lines.dtypes)["x"] == "binary" and lines.count() <= 12
+        own = points.select(*order).toPandas().to_numpy()
+        for c in (own[:1], own[:5]):
+            far = ((own[:, None] - c[None]) ** 2).sum(axis=2)
+            at = far.argmin(axis=1)
+            sums, costs = M._Fits(lines, len(names)).round([c])
+            plain = [[*own[at == j].sum(axis=0), (at == j).sum()] for j in range(len(c))]
+            assert np.allclose(sums[0], plain) and np.isclose(costs[0], far.min(axis=1).sum())
+
+
 def test_forests_read_cells_that_stand_for_all_rows(spark):
     """Rows past ``COPIES`` of a cell add weight and no row; every class weighs the same, whatever the order of rows."""
     few = [("a", 1.0, 0.5)] * 3 + [("b", 2.0, 0.5)] * 1000
