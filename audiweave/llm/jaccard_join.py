@@ -168,7 +168,9 @@ def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = part.column("grams").to_pylist()
             gram = np.frombuffer(b"".join(own), U)
             a = np.repeat(part.column("a").to_numpy(), [len(x) // 8 for x in own])
-            yield pa.record_batch([pa.array(x) for x in counted_rows(gram, a)], names=["key", "gram", "a", "weight"])
+            key, gram, a, weight = counted_rows(gram, a)
+            # most shingles are their own key: written once
+            yield pa.record_batch([pa.array(key), pa.array(gram, mask=gram == key), pa.array(a), pa.array(weight)], names=["key", "gram", "a", "weight"])
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
@@ -323,7 +325,7 @@ def families(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(a, family): classes that share a shingle among their first in the order of exact counts; and (a, gram), these shingles."""
     rows = keep(sets.select("a", "grams").mapInArrow(_token_rows, "key long, gram long, a long, weight long"), "tokens")
     total = rows.groupBy("key").agg(F.sum(F.abs("weight")).alias("total")).where("total > 1")
-    shared = rows.where("weight > 0").join(total, "key").select("a", "gram", F.least("total", F.lit(COMMON)).cast("int").alias("rank"))
+    shared = rows.where("weight > 0").join(total, "key").select("a", F.coalesce("gram", "key").alias("gram"), F.least("total", F.lit(COMMON)).cast("int").alias("rank"))
     by_class = Window.partitionBy("a")
     placed = shared.withColumns({"own": F.count("*").over(by_class), "at": F.row_number().over(by_class.orderBy("rank", F.xxhash64("gram"), "gram"))})
     lacking = F.col("n") - F.ceil(F.col("n") * percent / 100)

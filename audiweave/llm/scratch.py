@@ -11,20 +11,25 @@ from audiweave.sources.scratch import shared_folder as folder
 #: Bytes of one batch sent to Python while a table is written: texts can be long.
 BATCH_BYTES = 4 << 20
 _BOUND = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Spark deletes the shuffle files of a query when it ends; else they stay until the driver happens to collect its garbage.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back, which cuts its lineage. A greater
-    bound of the session on batches is lowered meanwhile and put back."""
+    """Write ``df`` once and read it back, which cuts its lineage and frees the
+    shuffle files of the step. A greater bound of the session on batches is
+    lowered meanwhile; both settings are put back."""
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_BOUND)
-    if not 0 < int(before.rstrip("b")) <= BATCH_BYTES:
+    before = {setting: spark.conf.get(setting) for setting in (_BOUND, _FREE)}
+    if not 0 < int(before[_BOUND].rstrip("b")) <= BATCH_BYTES:
         spark.conf.set(_BOUND, str(BATCH_BYTES))
+    spark.conf.set(_FREE, "true")
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(_BOUND, before)
+        for setting, value in before.items():
+            spark.conf.set(setting, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

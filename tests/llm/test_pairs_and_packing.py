@@ -133,6 +133,40 @@ def test_common_shingles_leave_a_chunk_in_few_rows(monkeypatch):
     assert (known > 0).sum() == 1000 and (known == 0).sum() == 2 * len(np.unique(key[known == 0]))
 
 
+def test_token_rows_hold_a_shingle_once():
+    """Only a common shingle, whose rows leave under other keys, is written beside its key."""
+    import pyarrow as pa
+
+    sets = [np.arange(k, k + 5 + k % 2, dtype=U) for k in range(0, 1000, 5)] + [np.array([7], U)] * J.COMMON
+    batch = pa.record_batch([pa.array(range(1, len(sets) + 1)), pa.array([x.tobytes() for x in sets])], names=["a", "grams"])
+    own = [r for x in J._token_rows(iter([batch])) for r in x.to_pylist()]
+    told = [(r["gram"] if r["gram"] is not None else r["key"], r["a"]) for r in own if r["weight"] > 0]
+    assert sorted(told) == sorted((int(g), a) for a, x in enumerate(sets, 1) for g in x)
+    assert sum(r["gram"] is not None for r in own) == J.COMMON + 1
+
+
+def test_a_kept_step_leaves_no_shuffle_files(spark):
+    """They don't wait for the driver's garbage collection, and the session's setting is as before."""
+    import glob
+    import time
+
+    from pyspark.sql import functions as F
+
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    counts = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count().repartition(3, "count")
+    before, own = files(), spark.conf.get(setting)
+    counts.collect()
+    assert files() - before, "this test looks in other folders than Spark's"
+    before |= files()
+    kept = J.keep(counts, "counts")
+    end = time.time() + 5
+    while files() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(setting) == own and kept.count() == 100
+
+
 def test_tiles_that_share_no_first_shingle_make_no_block(spark):
     """A family chained link by link: blocks are as many as shared shingles, not as pairs of its tiles."""
     from pyspark.sql import functions as F
