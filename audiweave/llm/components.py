@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from audiweave.llm.scratch import drop, keep
 
 
+def _twice(rows: DataFrame, *columns: str) -> DataFrame:
+    """(u, v) of the first two and of the last two columns. A union would plan all that ``rows`` is made of twice,
+    and each star twice again; the driver keeps these plans."""
+    return rows.select(F.stack(F.lit(2), *columns).alias("u", "v"))
+
+
 def _with_least(pairs: DataFrame) -> DataFrame:
     """Adds ``m``, the least of ``u`` and its ``v``."""
     least = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -16,7 +22,7 @@ def _with_least(pairs: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the node's least neighbour."""
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = _twice(edges, "u", "v", "v", "u")
     return _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
@@ -24,8 +30,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, is tied to the least."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     tied = _with_least(down)
-    out = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).union(tied.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").distinct()
+    return _twice(tied, "v", "m", "u", "m").where("u <> v").distinct()
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

@@ -61,10 +61,10 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     unit spread and weighted down where a bucket is frequent."""
     names = [f"v{k}" for k in range(WIDTH)]
     rows = docs.select("text").mapInArrow(_context_rows, "bucket long, n long, " + ", ".join(f"{v} long" for v in names))
-    sums = rows.groupBy("bucket").agg(F.sum("n").alias("n"), *(F.sum(v).alias(v) for v in names)).toPandas()
+    sums = rows.groupBy("bucket").agg(F.sum("n").alias("n"), *(F.sum(v).alias(v) for v in names)).toArrow()
     n, table = np.zeros(BUCKETS), np.zeros((BUCKETS, WIDTH))
-    at = sums["bucket"].to_numpy(np.int64)
-    n[at], table[at] = sums["n"].to_numpy(float), sums[names].to_numpy(float)
+    at = sums["bucket"].to_numpy()
+    n[at], table[at] = sums["n"].to_numpy(), np.column_stack([sums[v].to_numpy() for v in names])
     mean = table / np.maximum(n, 1)[:, None]
     share = n / max(n.sum(), 1)
     mean -= share @ mean
@@ -177,9 +177,11 @@ def learn(docs: DataFrame, labelled: DataFrame, most: int = LEARNED) -> tuple[np
     rows = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").join(F.broadcast(marks), "doc_id").select("doc_id", "h", "label", "text")
     shared = spark.sparkContext.broadcast(table)
     found = rows.mapInArrow(_pooled_rows(shared), "doc_id long, h long, label double, x array<double>")
-    got = found.groupBy("doc_id").agg(F.min_by(F.struct("label", "x"), "h").alias("of")).select("doc_id", "of.*").toPandas().sort_values("doc_id")
-    x = np.stack(got["x"].to_list()) if len(got) else np.zeros((0, 2 * WIDTH + 3))
-    return table, Network(x, got["label"].to_numpy(float))
+    # as Arrow columns: rows would be a Python object for every number, memory that the driver doesn't get back
+    got = found.groupBy("doc_id").agg(F.min_by(F.struct("label", "x"), "h").alias("of")).select("doc_id", "of.*").toArrow()
+    order = np.argsort(got["doc_id"].to_numpy())
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, 2 * WIDTH + 3)[order]
+    return table, Network(x, got["label"].to_numpy()[order])
 
 
 def score_quality(docs: DataFrame, model: tuple[np.ndarray, Network], name: str = "score") -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from compare import duck, rows
 
+from audiweave.llm import components
 from audiweave.llm import jaccard_join as J
 from audiweave.llm import packing as K
 from audiweave.llm.components import connected_components
@@ -206,6 +207,14 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_a_round_of_components_reads_its_edges_four_times(spark, tmp_path):
+    """Each star reads what it ties for the least and for the join with it. Plans of 16 reads filled the driver's memory."""
+    spark.createDataFrame([(1, 2), (2, 3)], "u long, v long").write.parquet(f"{tmp_path}/edges")
+    star = components._small_star(components._large_star(spark.read.parquet(f"{tmp_path}/edges")))
+    assert sorted(map(tuple, star.collect())) == [(2, 1), (3, 1)]
+    assert star._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 4
+
+
 def plain_pieces(docs, capacity=2048):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -34,6 +34,15 @@ def test_op2_learns_nothing_from_held_out_labels(spark, larger):
     assert marks and all(zlib.crc32(str(r.doc_id).encode()) % 5 for r in marks)
 
 
+def test_quality_learns_from_arrow_columns(spark, larger, monkeypatch):
+    """Rows collected as Python objects are memory that the driver doesn't get back."""
+    docs, marks = spark.read.parquet(f"{larger}/documents.parquet"), quality.learned_marks(spark, larger)
+    for name in ("toPandas", "collect"):
+        monkeypatch.setattr(type(docs), name, lambda _: pytest.fail("numbers reach the driver as Python objects"))
+    table, network = quality.learn(docs, marks)
+    assert np.isfinite(table).all() and table.any() and network.temperature != 1
+
+
 def test_quality_edges(spark, edges, empty):
     marks = spark.createDataFrame([(3, 1), (4, 0), (None, 1), (5, None)], "doc_id long, label int")
     model = quality.learn(edges, marks)
