@@ -227,10 +227,10 @@ def m07_predict_segments(spark, sf_dir):
 
 @query()
 def m05_fit_segments(spark, sf_dir):
-    """M1-M5: imputed, cut, scaled, three segments and their centroids in the columns' own units."""
+    """M1-M5: imputed, cut, scaled, three segments and their centroids in the columns' own units. Scaling and fit see what the cut leaves."""
     f = _features(spark, sf_dir)
-    f = M.fit_imputer(f, NAMES).transform(f)
-    limits = M.scaling(M.cut_outliers(f, NAMES, 3.0), NAMES)
+    f = M.cut_outliers(M.fit_imputer(f, NAMES).transform(f), NAMES, 3.0)
+    limits = M.scaling(f, NAMES)
     return M.unscale(M.centroids(spark, M.fit_segments(M.scale(f, limits), NAMES, 3)), limits)
 
 

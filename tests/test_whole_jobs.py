@@ -1,5 +1,6 @@
 """Queries that once looked at part of their tables, over made tables whose answer shows it."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,3 +26,18 @@ def test_the_nearest_row_is_found_without_a_row_for_each_pair(spark):
     assert M.nearest(a, b.limit(0), lambda r: F.abs(F.col("x") - r["y"]), "k").isEmpty()
     with pytest.raises(ValueError):
         M.nearest(a, b, lambda r: r["y"], "k", most=3)
+
+
+def test_segments_are_fitted_on_the_rows_that_the_cut_leaves(spark, tmp_path):
+    """Three groups, whose means are the centroids, and rows far off in price or quantity, which would be centroids of their own."""
+    rng = np.random.default_rng(3)
+    near = [(10.0 + 15 * (k % 3) + rng.normal(), 1000.0 * (1 + k % 3) + rng.normal(), 0.01 * (k % 3)) for k in range(600)]
+    x = np.array([*near, *((25.0, 500_000.0 + k, 0.01) for k in range(4)), *((2000.0 + k, 2000.0, 0.01) for k in range(4))])
+    schema = "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double"
+    spark.createDataFrame([(k, 1, *map(float, r)) for k, r in enumerate(x)], schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for j in range(3):
+        x = x[np.abs(x[:, j] - x[:, j].mean()) < 3 * x[:, j].std()]
+    assert len(x) == 600
+    got = registry.QUERIES["m05_fit_segments"](spark, str(tmp_path)).select("l_quantity", "l_extendedprice", "l_discount").collect()
+    means = [x[np.isclose(x[:, 2], 0.01 * j)].mean(axis=0) for j in range(3)]
+    assert np.allclose(sorted(map(tuple, got)), means)
